@@ -207,7 +207,7 @@ def _join(rows: DataFrame, estimates: DataFrame, few: bool, how: str = "inner")
     return rows.join(F.broadcast(estimates) if few else estimates, "grp", how)
 
 
-def estimate(features: DataFrame, h_share: float = 0.75, min_group: int = 50) -> DataFrame:
+def estimate(features: DataFrame, h_share: float = 0.6, min_group: int = 8) -> DataFrame:
     """The reweighted MCD estimate of each group of ``features`` (columns ``grp`` and the vector).
 
     ``features`` is read about eight times; pass a checkpointed table.

@@ -11,6 +11,8 @@ from corpusloom.llm import sql
 from corpusloom.llm.op01_quality import quality
 from corpusloom.llm.op03_mix import mix
 from corpusloom.llm.op05_urls import filter_urls
+from corpusloom.llm.op09_bpe import default_tokenizer, encode_documents, read_tokenizer
+from corpusloom.llm.op10_html import extract_pages
 from corpusloom.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +34,22 @@ def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), F.substring(F.md5(F.col("host").cast("binary")), 1, 1).isin("0", "1"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """The tokenizer file defaults to the one that the public tokenizers package names."""
+    return encode_documents(table(spark, sf_dir, "documents"), read_tokenizer(tokenizer or default_tokenizer()))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_mcd": op1_quality_mcd,
         "op3_mix_systematic": op3_mix_systematic,
         "op5_url_cascade": op5_url_cascade,
+        "op9_bpe": op9_bpe,
+        "op10_html_text": op10_html_text,
     }
 
 
