@@ -28,6 +28,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from corpusloom.runtime import ship
+
 #: The splitting pattern of byte-level BPE tokenizers (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces remembered by a worker process; then the table starts anew.
@@ -166,6 +168,7 @@ def encode_documents(docs: DataFrame, contents: bytes, doc_id: str = "doc_id", t
 
     ``contents`` is the tokenizer file.  Ids are one binary value, little-endian unsigned 32-bit.
     """
+    ship(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(contents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

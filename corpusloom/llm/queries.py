@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm import sql
 from corpusloom.llm.op01_quality import quality
 from corpusloom.llm.op03_mix import mix
+from corpusloom.llm.op04_jaccard import jaccard_groups
 from corpusloom.llm.op05_urls import filter_urls
+from corpusloom.llm.op07_substrings import remove_repeats
 from corpusloom.llm.op09_bpe import default_tokenizer, encode_documents, read_tokenizer
 from corpusloom.llm.op10_html import extract_pages
 from corpusloom.runtime import table
@@ -29,11 +31,20 @@ def op3_mix_systematic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document: its copies' id, its group's id and its number of links."""
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list blocks each host whose MD5 digest begins with 0 or 1, an eighth of all hosts."""
     return filter_urls(table(spark, sf_dir, "pages"), F.substring(F.md5(F.col("host").cast("binary")), 1, 1).isin("0", "1"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """The tokenizer file defaults to the one that the public tokenizers package names."""
     return encode_documents(table(spark, sf_dir, "documents"), read_tokenizer(tokenizer or default_tokenizer()))
@@ -47,7 +58,9 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_mcd": op1_quality_mcd,
         "op3_mix_systematic": op3_mix_systematic,
+        "op4_jaccard_forest": op4_jaccard_forest,
         "op5_url_cascade": op5_url_cascade,
+        "op7_substrings": op7_substrings,
         "op9_bpe": op9_bpe,
         "op10_html_text": op10_html_text,
     }
