@@ -8,7 +8,10 @@ absent, as in tests on one machine.
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +54,24 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Applications whose executors have the package.
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package's source to the executors, whose Python need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom_source.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, str(file.relative_to(root.parent)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans nobody refers to any more.
 
