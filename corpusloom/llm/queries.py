@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import sql
 from corpusloom.llm.op01_quality import quality
+from corpusloom.llm.op02_topk import top_inner_products
 from corpusloom.llm.op03_mix import mix
 from corpusloom.llm.op04_jaccard import jaccard_groups
 from corpusloom.llm.op05_urls import filter_urls
+from corpusloom.llm.op06_licenses import scan_licenses
 from corpusloom.llm.op07_substrings import remove_repeats
+from corpusloom.llm.op08_pii import find_personal_data
 from corpusloom.llm.op09_bpe import default_tokenizer, encode_documents, read_tokenizer
 from corpusloom.llm.op10_html import extract_pages
 from corpusloom.runtime import table
@@ -26,6 +29,10 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op2_topk_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_mix_systematic(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -41,10 +48,18 @@ def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), F.substring(F.md5(F.col("host").cast("binary")), 1, 1).isin("0", "1"))
 
 
+def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """The tokenizer file defaults to the one that the public tokenizers package names."""
     return encode_documents(table(spark, sf_dir, "documents"), read_tokenizer(tokenizer or default_tokenizer()))
@@ -57,10 +72,13 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_mcd": op1_quality_mcd,
+        "op2_topk_norms": op2_topk_norms,
         "op3_mix_systematic": op3_mix_systematic,
         "op4_jaccard_forest": op4_jaccard_forest,
         "op5_url_cascade": op5_url_cascade,
+        "op6_license_digests": op6_license_digests,
         "op7_substrings": op7_substrings,
+        "op8_personal_data": op8_personal_data,
         "op9_bpe": op9_bpe,
         "op10_html_text": op10_html_text,
     }
