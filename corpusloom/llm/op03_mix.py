@@ -50,9 +50,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
         }
     )
     rows = rows.withColumn("level", (F.col("whole") - F.col("full")).cast("double") / F.col("open"))
-    # The first source whose cap lies above the level spent on it and on the rest ends the filling.
-    ends = F.min(F.when(F.col("cap") / F.col("weight") >= F.col("level"), F.col("level"))).over(everything)
-    target = F.least(F.col("cap").cast("double"), F.coalesce(ends, F.col("level")) * F.col("weight"))
+    # The level rises while the next source saturates below it and falls after: its peak spends the whole.
+    target = F.least(F.col("cap").cast("double"), F.max("level").over(everything) * F.col("weight"))
     rate = F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(F.lit(0.0))
     return rows.select("source", "source_size", target.alias("target"), rate.alias("rate"))
 

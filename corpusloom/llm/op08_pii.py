@@ -111,6 +111,8 @@ class Nodes(NamedTuple):
 
 
 FEATURES = 18
+#: Columns of the features that say "as many digits as a card" and "passes the Luhn check".
+LONG, VALID = 14, 15
 
 
 def _feature_row(token: str, before: bool, after: bool) -> list[float]:
@@ -234,6 +236,8 @@ def marginals(nodes: Nodes, field: Field) -> np.ndarray:
     known = nodes.clamped >= 0
     unary[known] = -50.0
     unary[known, nodes.clamped[known]] = 0.0
+    # A number as long as a card's that fails the check is no card by its own shape or its neighbours'.
+    unary[nodes.features[:, LONG].astype(bool) & ~nodes.features[:, VALID].astype(bool) & ~known, 2] = -50.0
     unary -= unary.max(1, keepdims=True)
     edges = np.concatenate([nodes.chain, nodes.skip])
     if not len(edges):

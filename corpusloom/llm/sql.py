@@ -16,7 +16,7 @@ WITH d AS (
 ), l AS (
   SELECT *, (whole - taken_up)::DOUBLE / open_weight AS level FROM f
 ), e AS (
-  SELECT min(CASE WHEN cap / weight >= level THEN level END) AS level FROM l
+  SELECT max(level) AS level FROM l
 ), t AS (
   SELECT l.source, l.source_size, least(l.cap::DOUBLE, e.level * l.weight) AS target FROM l, e
 ), o AS (
