@@ -46,3 +46,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("source").alias("dataset_id"), "shard")
         .agg(F.count("*").alias("samples"), F.sum("n_chars").alias("bytes"))
     )
+
+
+from corpusloom.plans import catalog_queries  # noqa: E402, F401  (registers the queries)
