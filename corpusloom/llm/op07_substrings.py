@@ -256,22 +256,35 @@ def _removals(spans: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def _of_kind(answers: DataFrame, kind: int, name: str) -> DataFrame:
+    return answers.filter(F.col("kind") == kind).groupBy("doc_id").agg(F.collect_list("payload").alias(name))
+
+
+def _answered(sent: DataFrame) -> DataFrame:
+    return sent.groupBy("bucket").applyInArrow(_bucket, ANSWER)
+
+
+def _repeated_windows(rows: DataFrame, seeds: DataFrame, buckets: int) -> DataFrame:
+    """The second pass: each document's windows that a smaller id has, as a checkpointed table."""
+    copies = _of_kind(seeds, WHOLES, "copies")
+    open_ = checkpoint(_of_kind(seeds, ANCHORS, "anchors").join(copies, "doc_id", "left_anti"))
+    candidates = rows.join(open_, "doc_id").select("doc_id", "text", "anchors")
+    windows = _of_kind(_answered(candidates.mapInArrow(_extensions(buckets), SENT)), WINDOWS, "windows")
+    return checkpoint(windows.join(copies, "doc_id", "full"))
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_sha256 of each row; with ``kept_text`` if asked."""
+    """doc_id, n_words, n_removed and kept_sha256 of each row; with ``kept_text`` if asked.
+
+    Between the passes nothing refers to their plans any more, so Spark drops their shuffle files.
+    """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     buckets = BUCKETS_PER_SPLIT * max(1, rows.rdd.getNumPartitions())
-    seeds = rows.mapInArrow(_seeds(buckets), SENT).groupBy("bucket").applyInArrow(_bucket, ANSWER)
-    of_kind = lambda df, kind, name: df.filter(F.col("kind") == kind).groupBy("doc_id").agg(F.collect_list("payload").alias(name))
-    seeds = checkpoint(seeds)
+    seeds = checkpoint(_answered(rows.mapInArrow(_seeds(buckets), SENT)))
     release(spark)
-    copies = of_kind(seeds, WHOLES, "copies")
-    open_ = of_kind(seeds, ANCHORS, "anchors").join(copies, "doc_id", "left_anti")
-    candidates = rows.join(checkpoint(open_), "doc_id").select("doc_id", "text", "anchors")
-    found = candidates.mapInArrow(_extensions(buckets), SENT).groupBy("bucket").applyInArrow(_bucket, ANSWER)
-    windows = checkpoint(of_kind(found, WINDOWS, "windows"))
+    told = _repeated_windows(rows, seeds, buckets)
     release(spark)
-    told = checkpoint(windows.join(copies, "doc_id", "full"))
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return rows.join(told, "doc_id", "left").select("doc_id", "text", "windows", "copies").mapInArrow(_removals(with_text), out)
