@@ -168,10 +168,14 @@ def nodes_of(text: str, base: list[Span]) -> Nodes | None:
     if not bounds:
         return None
     clamped = np.full(len(bounds), -1)
+    # A base span of several tokens is compared as a whole, at its first token.
+    whole: dict[int, str] = {}
     starts = np.array([a for a, _ in bounds])
     ends = np.array([b for _, b in bounds])
     for kind, a, b in base:
-        clamped[np.searchsorted(ends, a, "right") : np.searchsorted(starts, b, "left")] = kind
+        low, high = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b, "left"))
+        clamped[low:high] = kind
+        whole[low] = text[a:b]
     near = [not text[ends[k] : starts[k + 1]].strip(SPACE) for k in range(len(bounds) - 1)]
     tokens = [text[a:b] for a, b in bounds]
     features = np.array([_feature_row(t, k > 0 and near[k - 1], k < len(near) and near[k]) for k, t in enumerate(tokens)], float)
@@ -179,7 +183,7 @@ def nodes_of(text: str, base: list[Span]) -> Nodes | None:
     last: dict[str, int] = {}
     skip = set()
     for k, token in enumerate(tokens):
-        for key in _similar(token):
+        for key in {*_similar(token), *_similar(whole.get(k, ""))}:
             if key in last:
                 skip.add((last[key], k))
             last[key] = k
