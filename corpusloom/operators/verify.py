@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +20,19 @@ def blob_status(name: Column, digest: Column) -> Column:
 
 
 def cache_blobs(spark: SparkSession, cache_dir: str, dataset: str | None = None) -> DataFrame:
-    """path, dataset, name and content digest of the blobs of a cache (one task per group of files)."""
+    """path, dataset, name and content digest of the blobs of a cache (one task per group of files).
+
+    Spark's file scans pass over empty files, so those come from the listing.
+    """
     folder = "datasets--*" if dataset is None else "datasets--" + dataset.replace("/", "--")
-    files = spark.read.format("binaryFile").load(f"{cache_dir.rstrip('/')}/hub/{folder}/blobs/*")
-    name = basename(F.col("path"))
-    return files.select("path", dataset_name(F.regexp_extract("path", r"/hub/([^/]+)/", 1)).alias("dataset"), name.alias("name"), F.sha2("content", 256).alias("digest"))
+    pattern = f"{cache_dir.rstrip('/')}/hub/{folder}/blobs/*"
+    files = spark.read.format("binaryFile").load(pattern).select("path", F.sha2("content", 256).alias("digest"))
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    listed = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or []
+    empty = [(s.getPath().toString(), hashlib.sha256().hexdigest()) for s in listed if s.isFile() and s.getLen() == 0]
+    if empty:
+        files = files.unionByName(spark.createDataFrame(empty, "path string, digest string"))
+    return files.select("path", dataset_name(F.regexp_extract("path", r"/hub/([^/]+)/", 1)).alias("dataset"), basename(F.col("path")).alias("name"), "digest")
 
 
 def verify_cache(blobs: DataFrame) -> tuple[DataFrame, DataFrame]:
