@@ -38,7 +38,7 @@ from corpusloom.runtime import checkpoint, release, ship
 
 WINDOW, GRAM = 13, 5
 #: Texts are worked on in chunks of about this many bytes.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BUCKETS_PER_SPLIT = 4
 #: Payloads of one kind each: anchors, whole texts, windows.
 ANCHORS, WHOLES, WINDOWS = 0, 1, 2
