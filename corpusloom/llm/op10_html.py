@@ -4,7 +4,8 @@ The standard library's streaming parser turns a page into lines, one for each bl
 the number of characters and of tags of each.  The ratio of text to tags along the page is smoothed
 with a Gaussian and split in two clusters by its threshold (two means in one dimension).  The lines
 of the high cluster are the seeds of the content; the region is the innermost element that holds
-nearly all of the seeds' text, or the article or main element around it.  All lines of the region
+nearly all of the seeds' text, or the article or main element around it; a page without such elements
+has its region grown while most of what is added lies in the high cluster.  All lines of the region
 that do not belong to page furniture are returned, short ones too, in page order.
 
 Page furniture never seeds nor enters a region: navigation, headers, footers, asides, forms,
@@ -52,7 +53,9 @@ CLOSED_BY_PEER = frozenset("p li dt dd tr td th option".split())
 CLOSES_P = BLOCKS - {"br", "body", "html", "head", "title", "button", "option", "select", "optgroup"}
 
 SIGMA, REACH = 1.0, 3
-SEED_SHARE = 0.9
+SEED_SHARE, GROWING_SHARE = 0.9, 0.5
+#: Elements wide enough to be a region by themselves.
+CONTAINERS = frozenset("body center div section table td".split())
 
 
 def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
@@ -176,6 +179,9 @@ def main_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
         return ""
+    # No tag ends after the last closing bracket; the parser would look for one again at each opening bracket.
+    tail = html.rfind(">") + 1
+    html = html[:tail] + html[tail:].replace("<", "&lt;")
     parser = _Lines()
     try:
         parser.feed(html)
@@ -191,23 +197,25 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = _smoothed([len(text) / (tags + 1) for text, tags, _ in lines])
     cut = _threshold(ratios)
-    mass: dict[int, int] = {}
+    mass, whole = [0] * len(parser.parents), [0] * len(parser.parents)
     for (text, _, node), ratio in zip(lines, ratios, strict=True):
-        if ratio > cut:
-            while node >= 0:
-                mass[node] = mass.get(node, 0) + len(text)
-                node = parser.parents[node]
-    region = max((n for n in mass if mass[n] >= SEED_SHARE * mass[0]), default=0)
+        while node >= 0:
+            mass[node] += len(text) * (ratio > cut)
+            whole[node] += len(text)
+            node = parser.parents[node]
+    region = max(n for n in range(len(mass)) if mass[n] >= SEED_SHARE * mass[0])
     up = region
-    while up >= 0:
-        if parser.tags[up] in ("article", "main"):
-            region = up
-            break
+    while up >= 0 and parser.tags[up] not in ("article", "main"):
         up = parser.parents[up]
+    if up >= 0:
+        region = up
     else:
-        # Paragraphs and items are too narrow a region: take the element around them.
-        while parser.tags[region] not in ("", "html", "body", "div", "section", "td", "center") and region > 0:
-            region = parser.parents[region]
+        # Without a named region, grow from the seeds while what is added mostly belongs to the high cluster.
+        while (up := parser.parents[region]) >= 0:
+            added = whole[up] - whole[region]
+            if parser.tags[region] in CONTAINERS and mass[up] - mass[region] < GROWING_SHARE * added:
+                break
+            region = up
     inside = {region}
     for node in range(region + 1, len(parser.parents)):
         if parser.parents[node] in inside:
