@@ -129,51 +129,44 @@ def _consistency(share: float, df: int) -> float:
     return share / _chi2_even_cdf(chi2_quantile(share, df), df + 2)
 
 
+P = len(DIMS)
+#: Pairs (i, j) of the lower triangle, by rows.
+LOWER = [(i, j) for i in range(P) for j in range(i + 1)]
+ESTIMATE = [f"m_{i}" for i in range(P)] + [f"l_{i}_{j}" for i, j in LOWER]
+MOMENTS = {"m": "count(*)"} | {f"s_{i}": f"sum({c})" for i, c in enumerate(DIMS)} | {f"s_{i}_{j}": f"sum({DIMS[i]} * {DIMS[j]})" for i, j in LOWER}
+
+
 def _moment_sums() -> list[Column]:
-    sums = [F.count("*").alias("m")] + [F.sum(c).alias(f"s_{i}") for i, c in enumerate(DIMS)]
-    return sums + [F.sum(F.col(a) * F.col(b)).alias(f"s_{i}_{j}") for i, a in enumerate(DIMS) for j, b in enumerate(DIMS[: i + 1])]
+    return [F.expr(f"{e} AS {name}") for name, e in MOMENTS.items()]
 
 
-MOMENTS = ["m"] + [f"s_{i}" for i in range(len(DIMS))] + [f"s_{i}_{j}" for i in range(len(DIMS)) for j in range(i + 1)]
+def _plus(df: DataFrame, **columns: str) -> DataFrame:
+    """``df`` with further columns given as SQL; one call, where columns built piece by piece take thousands."""
+    return df.selectExpr("*", *(f"{e} AS {name}" for name, e in columns.items()))
 
 
 def _factored(sums: DataFrame, keys: list[str], factor: float) -> DataFrame:
-    """Location ``m_i``, Cholesky factor ``l_i_j`` of the scatter times ``factor``, and its log determinant."""
-    p = len(DIMS)
-    out = sums.withColumns({f"m_{i}": F.col(f"s_{i}") / F.col("m") for i in range(p)})
-    out = out.withColumns(
-        {
-            f"c_{i}_{j}": factor * (F.col(f"s_{i}_{j}") / F.col("m") - F.col(f"m_{i}") * F.col(f"m_{j}"))
-            + (F.lit((FLOORS[DIMS[i]] * UNIT) ** 2) if i == j else F.lit(0.0))
-            for i in range(p)
-            for j in range(i + 1)
-        }
-    )
-    for j in range(p):
-        own = F.col(f"c_{j}_{j}") - sum((F.col(f"l_{j}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))
-        out = out.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(own, F.lit((FLOORS[DIMS[j]] * UNIT) ** 2))))
-        out = out.withColumns(
-            {
-                f"l_{i}_{j}": (F.col(f"c_{i}_{j}") - sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l_{j}_{j}")
-                for i in range(j + 1, p)
-            }
-        )
-    det = sum((F.log(F.col(f"l_{j}_{j}")) for j in range(p)), F.lit(0.0))
-    return out.select(*keys, *_estimate_columns(), det.alias("log_det"))
+    """Location ``m_i``, Cholesky factor ``l_i_j`` of the scatter times ``factor``, and its log determinant.
 
-
-def _estimate_columns() -> list[str]:
-    p = len(DIMS)
-    return [f"m_{i}" for i in range(p)] + [f"l_{i}_{j}" for i in range(p) for j in range(i + 1)]
+    The squared floors stand on the diagonal, so the factor exists for any sample.
+    """
+    floor = [repr((FLOORS[c] * UNIT) ** 2) + "D" for c in DIMS]
+    less = lambda i, j: "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j))
+    out = _plus(sums, **{f"m_{i}": f"s_{i} / m" for i in range(P)})
+    out = _plus(out, **{f"c_{i}_{j}": f"{factor!r}D * (s_{i}_{j} / m - m_{i} * m_{j})" + (f" + {floor[i]}" if i == j else "") for i, j in LOWER})
+    for j in range(P):
+        out = _plus(out, **{f"l_{j}_{j}": f"sqrt(greatest(c_{j}_{j}{less(j, j)}, {floor[j]}))"})
+        if j + 1 < P:
+            out = _plus(out, **{f"l_{i}_{j}": f"(c_{i}_{j}{less(i, j)}) / l_{j}_{j}" for i in range(j + 1, P)})
+    return out.selectExpr(*keys, *ESTIMATE, " + ".join(f"ln(l_{j}_{j})" for j in range(P)) + " AS log_det")
 
 
 def _distance(rows: DataFrame) -> DataFrame:
     """``rows``, which hold an estimate, with their squared Mahalanobis distance ``d2``."""
     for i, c in enumerate(DIMS):
-        lower = sum((F.col(f"l_{i}_{k}") * F.col(f"y_{k}") for k in range(i)), F.lit(0.0))
-        rows = rows.withColumn(f"y_{i}", (F.col(c) - F.col(f"m_{i}") - lower) / F.col(f"l_{i}_{i}"))
-    d2 = sum((F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(len(DIMS))), F.lit(0.0))
-    return rows.withColumn("d2", d2).drop(*(f"y_{i}" for i in range(len(DIMS))))
+        lower = "".join(f" - l_{i}_{k} * y_{k}" for k in range(i))
+        rows = _plus(rows, **{f"y_{i}": f"({c} - m_{i}{lower}) / l_{i}_{i}"})
+    return _plus(rows, d2=" + ".join(f"y_{i} * y_{i}" for i in range(P))).drop(*(f"y_{i}" for i in range(P)))
 
 
 def _bin() -> Column:
@@ -182,7 +175,7 @@ def _bin() -> Column:
 
 def _starts(rows: DataFrame) -> DataFrame:
     """Two starting estimates for each group: median and quartiles by coordinate, mean and variance."""
-    p, width = len(DIMS), UNIT // 8
+    width = UNIT // 8
     long = rows.select("grp", F.posexplode(F.array(*(F.floor(F.col(c) / width) for c in DIMS))).alias("dim", "cell"))
     counts = long.groupBy("grp", "dim", "cell").agg(F.count("*").alias("n"))
     order = Window.partitionBy("grp", "dim").orderBy("cell")
@@ -192,15 +185,14 @@ def _starts(rows: DataFrame) -> DataFrame:
     spread = ranked.groupBy("grp", "dim").agg(at(0.5).alias("mid"), (at(0.75) - at(0.25)).alias("iqr"))
     floor = F.element_at(F.array(*(F.lit(FLOORS[c] * UNIT) for c in DIMS)), F.col("dim") + 1)
     spread = spread.withColumn("sd", F.greatest(F.col("iqr") / 1.349, floor))
-    at_dim = lambda c, i: F.max(F.when(F.col("dim") == i, F.col(c)))
+    at_dim = lambda c, i: f"max(CASE WHEN dim = {i} THEN {c} END)"
+    diagonal = lambda i, j: at_dim("sd", i) if i == j else "0D"
     robust = spread.groupBy("grp").agg(
-        *(at_dim("mid", i).alias(f"m_{i}") for i in range(p)),
-        *((at_dim("sd", i) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}") for i in range(p) for j in range(i + 1)),
+        *(F.expr(f"{at_dim('mid', i)} AS m_{i}") for i in range(P)), *(F.expr(f"{diagonal(i, j)} AS l_{i}_{j}") for i, j in LOWER)
     )
     plain = _factored(rows.groupBy("grp").agg(*_moment_sums()), ["grp"], 1.0)
-    plain = plain.withColumns({f"l_{i}_{j}": F.lit(0.0) for i in range(p) for j in range(i)})
-    picked = lambda df, k: df.select("grp", F.lit(k).alias("start"), *_estimate_columns())
-    return picked(robust, 0).unionByName(picked(plain, 1))
+    robust = robust.selectExpr("grp", "0 AS start", *ESTIMATE)
+    return robust.unionByName(plain.selectExpr("grp", "1 AS start", *(c if c[0] == "m" or len({*c.split("_")[1:]}) == 1 else f"0D AS {c}" for c in ESTIMATE)))
 
 
 def _join(rows: DataFrame, estimates: DataFrame, few: bool, how: str = "inner") -> DataFrame:
@@ -212,7 +204,6 @@ def estimate(features: DataFrame, h_share: float = 0.6, min_group: int = 8) -> D
 
     ``features`` is read about eight times; pass a checkpointed table.
     """
-    p = len(DIMS)
     sizes = checkpoint(features.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") >= min_group))
     few = sizes.count() <= BROADCAST_GROUPS
     rows = _join(features.select("grp", *DIMS), sizes.select("grp"), few)
@@ -224,21 +215,21 @@ def estimate(features: DataFrame, h_share: float = 0.6, min_group: int = 8) -> D
         half = binned.withColumns({"before": F.coalesce(F.sum("m").over(before), F.lit(0)), "all": F.sum("m").over(whole)})
         half = half.filter(F.col("before") < h_share * F.col("all"))
         sums = half.groupBy("grp", "start").agg(*(F.sum(c).alias(c) for c in MOMENTS))
-        current = checkpoint(_factored(sums, ["grp", "start"], _consistency(h_share, p)))
-    best = current.groupBy("grp").agg(F.min_by(F.struct(*_estimate_columns()), F.struct("log_det", "start")).alias("e"))
+        current = checkpoint(_factored(sums, ["grp", "start"], _consistency(h_share, P)))
+    best = current.groupBy("grp").agg(F.min_by(F.struct(*ESTIMATE), F.struct("log_det", "start")).alias("e"))
     best = checkpoint(best.select("grp", "e.*"))
-    central = _distance(_join(rows, best, few)).filter(F.col("d2") <= chi2_quantile(0.975, p))
-    final = _factored(central.groupBy("grp").agg(*_moment_sums()), ["grp"], _consistency(0.975, p))
-    return checkpoint(final.select("grp", *_estimate_columns()))
+    central = _distance(_join(rows, best, few)).filter(F.col("d2") <= chi2_quantile(0.975, P))
+    final = _factored(central.groupBy("grp").agg(*_moment_sums()), ["grp"], _consistency(0.975, P))
+    return checkpoint(final.select("grp", *ESTIMATE))
 
 
 def judge(rows: DataFrame, estimates: DataFrame, tail: float = 1e-12) -> DataFrame:
     """``rows`` (statistics and ``grp``) with ``d2`` and ``kept``; rows of unestimated groups have a null ``d2``."""
     few = estimates.count() <= BROADCAST_GROUPS
     judged = _distance(_join(rows, estimates, few, "left"))
-    limit = chi2_quantile(1 - tail, len(DIMS))
+    limit = chi2_quantile(1 - tail, P)
     verdict = ~F.col("base_failed") & F.coalesce(F.col("d2") <= limit, F.lit(True))
-    return judged.withColumn("kept", verdict).drop(*_estimate_columns())
+    return judged.withColumn("kept", verdict).drop(*ESTIMATE)
 
 
 def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
