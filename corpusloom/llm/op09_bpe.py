@@ -34,6 +34,9 @@ from corpusloom.runtime import ship
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces remembered by a worker process; then the table starts anew.
 REMEMBERED = 300_000
+#: Room for an id in the low bits of a merge's number, and the number of no merge.
+ID_BITS = 32
+ID_MASK, NO_MERGE = (1 << ID_BITS) - 1, 1 << 62
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -71,24 +74,24 @@ class ByteBpe:
         self.byte_ids = [0] * 256
         for char, byte in alphabet.items():
             self.byte_ids[byte] = vocab[char]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: By pair of ids, the rank of their merge and its id in one number, so that lists of them compare fast.
+        self.merges: dict[tuple[int, int], int] = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[left], vocab[right]] = (rank, vocab[left + right])
-        self.inside = {t[k : k + 2] for t in raw.values() for k in range(len(t) - 1)}
+            self.merges[vocab[left], vocab[right]] = rank << ID_BITS | vocab[left + right]
+        #: Pairs of bytes that stand side by side inside some token.
+        self.inside = {pair for t in raw.values() for pair in zip(t, t[1:], strict=False)}
         self.pattern = regex.compile(PATTERN)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pieces = _Pieces(self)
 
-    def fragments(self, piece: bytes) -> Iterator[bytes]:
+    def fragments(self, piece: bytes) -> list[bytes]:
         """``piece`` cut at each pair of bytes that no token holds side by side."""
-        start, inside = 0, self.inside
-        for k in range(1, len(piece)):
-            if piece[k - 1 : k + 1] not in inside:
-                yield piece[start:k]
-                start = k
-        if start < len(piece):
-            yield piece[start:]
+        known = list(map(self.inside.__contains__, zip(piece, piece[1:], strict=False)))
+        if all(known):
+            return [piece]
+        cuts = [0, *(k for k, inside in enumerate(known, 1) if not inside), len(piece)]
+        return [piece[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def encode_piece(self, piece: bytes) -> bytes:
         ids = array("I")
@@ -98,37 +101,35 @@ class ByteBpe:
 
     def merge(self, fragment: bytes) -> list[int]:
         """Merge the pair of lowest rank, leftmost first, until none is left; for short fragments."""
-        ids, merges = [self.byte_ids[b] for b in fragment], self.merges
-        ranks = [merges.get(p) for p in zip(ids, ids[1:], strict=False)]
-        while True:
-            best = min((r for r in ranks if r is not None), default=None)
-            if best is None:
-                return ids
+        ids, of = list(map(self.byte_ids.__getitem__, fragment)), self.merges.get
+        ranks = [of(pair, NO_MERGE) for pair in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) != NO_MERGE:
             at = ranks.index(best)
-            ids[at : at + 2] = [best[1]]
+            ids[at : at + 2] = [best & ID_MASK]
             del ranks[at]
             if at < len(ranks):
-                ranks[at] = merges.get((ids[at], ids[at + 1]))
+                ranks[at] = of((ids[at], ids[at + 1]), NO_MERGE)
             if at:
-                ranks[at - 1] = merges.get((ids[at - 1], ids[at]))
+                ranks[at - 1] = of((ids[at - 1], ids[at]), NO_MERGE)
+        return ids
 
     def merge_long(self, fragment: bytes) -> list[int]:
         """The same with a heap and links between neighbours."""
         ids: list[int | None] = [self.byte_ids[b] for b in fragment]
         before, after = list(range(-1, len(ids) - 1)), [*range(1, len(ids)), -1]
-        heap = [(*found, k) for k in range(len(ids) - 1) if (found := self.merges.get((ids[k], ids[k + 1])))]
+        heap = [(found, k) for k, pair in enumerate(zip(ids, ids[1:], strict=False)) if (found := self.merges.get(pair)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, merged, k = heapq.heappop(heap)
+            best, k = heapq.heappop(heap)
             right = after[k]
-            if ids[k] is None or right < 0 or self.merges.get((ids[k], ids[right]), (0, -1))[1] != merged:
+            if ids[k] is None or right < 0 or self.merges.get((ids[k], ids[right])) != best:
                 continue
-            ids[k], ids[right], after[k] = merged, None, after[right]
+            ids[k], ids[right], after[k] = best & ID_MASK, None, after[right]
             if after[k] >= 0:
                 before[after[k]] = k
             for a in (before[k], k):
-                if a >= 0 and after[a] >= 0 and (found := self.merges.get((ids[a], ids[after[a]]))):
-                    heapq.heappush(heap, (*found, a))
+                if a >= 0 and after[a] >= 0 and (found := self.merges.get((ids[a], ids[after[a]]))) is not None:
+                    heapq.heappush(heap, (found, a))
         return [i for i in ids if i is not None]
 
     def encode(self, text: str) -> bytes:
