@@ -39,6 +39,10 @@ def _byte_values(seed: int) -> np.ndarray:
 _BYTES = (_byte_values(1), _byte_values(2))
 
 
+#: Tables of powers grow by so many entries, to stay about as long as the largest chunk.
+GROWN_BY = 1 << 18
+
+
 class _Powers:
     """Powers of an odd number and of its inverse modulo 2**64, grown on demand."""
 
@@ -48,7 +52,7 @@ class _Powers:
 
     def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
+            size = -(-n // GROWN_BY) * GROWN_BY
             with np.errstate(over="ignore"):
                 self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, U64), np.full(size - 1, f, U64)])) for f in (self.factor, self.inverse))
         return self.up[:n], self.down[:n]
