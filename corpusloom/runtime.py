@@ -54,13 +54,21 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of a batch that goes to a Python worker, unless the session says otherwise: rows can be long.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Applications whose executors have the package.
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package's source to the executors, whose Python need not have it installed."""
+    """Give this package's source to the executors, whose Python need not have it installed.
+
+    Batches to Python are bounded in bytes as well, where the session leaves that open.
+    """
     context = spark.sparkContext
+    if not context.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parent
