@@ -228,8 +228,9 @@ def judge(rows: DataFrame, estimates: DataFrame, tail: float = 1e-12) -> DataFra
     few = estimates.count() <= BROADCAST_GROUPS
     judged = _distance(_join(rows, estimates, few, "left"))
     limit = chi2_quantile(1 - tail, P)
-    verdict = ~F.col("base_failed") & F.coalesce(F.col("d2") <= limit, F.lit(True))
-    return judged.withColumn("kept", verdict).drop(*ESTIMATE)
+    # One comparison: the optimizer would push a condition on base_failed below the join, and count each text once more.
+    distance = F.greatest(F.col("base_failed").cast("double") * 1e300, F.coalesce(F.col("d2"), F.lit(0.0)))
+    return judged.withColumn("kept", distance <= limit).drop(*ESTIMATE)
 
 
 def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -246,5 +247,5 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     """
     every = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     rows = statistics(docs.select(every, F.col(text).alias("text"), group_key(lang, source).alias("grp")))
-    fit = checkpoint(rows.filter(~F.col("base_failed")).select("grp", *DIMS))
+    fit = checkpoint(rows.select("grp", "base_failed", *DIMS)).filter(~F.col("base_failed"))
     return judge(rows, estimate(fit)).filter("kept").select("_row.*")
