@@ -258,3 +258,33 @@ def test_serialized_samples(spark):
     bad = schema.serialize(df.withColumn("sample_type", F.lit("video")))
     with pytest.raises(Exception, match="unknown sample type"):
         schema.deserialize(bad).collect()
+
+
+def test_json_lines_in_nested_archives_and_fetching(spark, tmp_path):
+    import http.server
+    import threading
+
+    from corpusloom.sources import web
+
+    class Answer(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(200 if self.path.startswith("/ok") else 404)
+            self.end_headers()
+            self.wfile.write(self.path.encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    doc = lambda *urls: json.dumps({"image_info": [{"raw_url": u} for u in urls]})
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("d/a.jsonl", "\n".join([doc(f"{base}/ok1", None, ""), "broken {", doc(f"{base}/gone", f"{base}/ok2", "no://where")]))
+    make_zip(tmp_path / "mmc4.zip", [("part.zip", inner.getvalue()), ("bad.zip", b"PKbroken")])
+    members = archives.read_members(spark, str(tmp_path / "mmc4.zip"), lambda p: p.endswith(".jsonl"), nested=True)
+    urls = web.image_addresses(web.json_lines(members))
+    assert [(r["line_no"], r["k"]) for r in urls.orderBy("line_no", "k").collect()] == [(0, 0), (2, 0), (2, 1), (2, 2)]
+    assert sorted(bytes(r["content"]) for r in web.fetch(urls, in_flight=2).collect()) == [b"/ok1", b"/ok2"]
+    server.shutdown()
