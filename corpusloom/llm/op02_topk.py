@@ -14,8 +14,8 @@ k times queries times tasks, and mostly far less thanks to the bar.
 
 Results for special rows: vectors that are null or hold null or non-finite components take no part,
 neither do rows with a null id; shorter vectors count as padded with zeros; empty vectors score 0;
-rows that share an id are never their own candidates and appear as often as they are stored, up to
-k rows; an empty table gives an empty result; further columns are not read.
+rows that share an id are never each other's candidates, are searched once, with the least of their
+vectors, and are found as often as they are stored; an empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ FIRST_SEGMENT, GROWTH = 4096, 4
 ROWS, QUERIES = 2048, 512
 #: Share of the second moment that the first coordinates hold.
 HEAD_SHARE = 0.6
+#: Second moments are summed over so many groups of partitions, then over so many groups of those.
+MOMENT_BUCKETS, MOMENT_ROWS = 1024, 32
 
 
 def _matrix(column: pa.Array, dims: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -58,17 +61,51 @@ def _matrix(column: pa.Array, dims: int | None = None) -> tuple[np.ndarray, np.n
     return out, usable
 
 
+MOMENTS = "bucket int, dims int, n long, m binary"
+
+
+def _moment_rows(bucket: int, n: int, total: np.ndarray) -> list[pa.Array]:
+    return [pa.array([bucket], pa.int32()), pa.array([len(total)], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())]
+
+
+def _added(total: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Sum of two square matrices, the smaller one padded with zeros."""
+    if len(part) > len(total):
+        total, part = part.copy(), total
+    total[: len(part), : len(part)] += part
+    return total
+
+
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each partition the second moments, by number of dimensions seen."""
+    """The second moments of a partition."""
     total, n = np.zeros((0, 0)), 0
     for batch in batches:
         m, usable = _matrix(batch.column(1))
         m = m[usable]
         n += len(m)
-        if m.shape[1] > len(total):
-            total = np.pad(total, (0, m.shape[1] - len(total)))
-        total[: m.shape[1], : m.shape[1]] += m.T @ m
-    yield pa.RecordBatch.from_arrays([pa.array([len(total)], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["dims", "n", "m"])
+        total = _added(total, m.T @ m)
+    bucket = TaskContext.get().partitionId() % MOMENT_BUCKETS
+    yield pa.RecordBatch.from_arrays(_moment_rows(bucket, n, total), ["bucket", "dims", "n", "m"])
+
+
+def _moment_sum(table: pa.Table) -> pa.Table:
+    total = np.zeros((0, 0))
+    for dims, m in zip(table.column("dims").to_pylist(), table.column("m").to_pylist(), strict=True):
+        total = _added(total, np.frombuffer(m).reshape(dims, dims).copy())
+    arrays = _moment_rows(table.column("bucket")[0].as_py() % MOMENT_ROWS, sum(table.column("n").to_pylist()), total)
+    return pa.Table.from_arrays(arrays, ["bucket", "dims", "n", "m"])
+
+
+def second_moments(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """The second-moment matrix and the number of usable vectors; MOMENT_ROWS matrices reach the driver."""
+    sums = rows.mapInArrow(_moments, MOMENTS)
+    for _ in range(2):
+        sums = sums.groupBy("bucket").applyInArrow(_moment_sum, MOMENTS)
+    total, n = np.zeros((0, 0)), 0
+    for row in sums.collect():
+        total = _added(total, np.frombuffer(row["m"]).reshape(row["dims"], row["dims"]).copy())
+        n += row["n"]
+    return total, n
 
 
 def _prepared(dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -171,13 +208,7 @@ def top_inner_products(vectors: DataFrame, is_query: Column, top: int = TOP, vec
     spark = vectors.sparkSession
     ship(spark)
     rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").alias("e")).filter("vec_id IS NOT NULL")
-    moments, n = np.zeros((0, 0)), 0
-    # One row of dims * dims numbers for each partition, summed in pairs of bounded size on the driver.
-    for row in rows.mapInArrow(_moments, "dims int, n long, m binary").toLocalIterator():
-        part = np.frombuffer(row["m"]).reshape(row["dims"], row["dims"])
-        moments = np.pad(moments, (0, max(0, len(part) - len(moments))))
-        moments[: len(part), : len(part)] += part
-        n += row["n"]
+    moments, n = second_moments(rows)
     dims = max(1, len(moments))
     rotation, head = _rotation(moments) if len(moments) else (np.eye(1), 1)
     ready = rows.mapInArrow(_prepared(dims), "vec_id long, norm2 long, v binary")
@@ -199,6 +230,7 @@ def top_inner_products(vectors: DataFrame, is_query: Column, top: int = TOP, vec
         own = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).select("vec_id", "v").collect()
         if not own:
             continue
+        own.sort(key=lambda r: (r["vec_id"], bytes(r["v"])))
         ids = np.array([r["vec_id"] for r in own], np.int64)
         matrix = np.frombuffer(b"".join(bytes(r["v"]) for r in own), np.int64).reshape(len(own), -1).astype(np.float64)
         ids, once = np.unique(ids, return_index=True)
