@@ -10,6 +10,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -80,13 +81,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def release(spark: SparkSession) -> None:
+def release(spark: SparkSession, wait: bool = False) -> None:
     """Let Spark drop the shuffle files of plans nobody refers to any more.
 
     The context cleaner acts when the driver's JVM collects garbage, which a driver with little to
-    do may not do for a long time; large operators call this between their phases.
+    do may not do for a long time; large operators call this between their phases.  Python tells the
+    JVM of dropped plans from a thread that wakes once a second; ``wait`` waits for it, a few seconds
+    at most, where what is dropped is large.
     """
     gc.collect()
+    waiting = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None)
+    until = time.monotonic() + 4
+    while wait and waiting and time.monotonic() < until:
+        time.sleep(0.05)
+    if wait:
+        time.sleep(0.1)
     spark.sparkContext._jvm.System.gc()
 
 
