@@ -283,8 +283,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     buckets = BUCKETS_PER_SPLIT * max(1, rows.rdd.getNumPartitions())
     seeds = checkpoint(_answered(rows.mapInArrow(_seeds(buckets), SENT)))
-    release(spark)
+    release(spark, wait=True)
     told = _repeated_windows(rows, seeds, buckets)
-    release(spark)
+    release(spark, wait=True)
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return rows.join(told, "doc_id", "left").select("doc_id", "text", "windows", "copies").mapInArrow(_removals(with_text), out)
