@@ -184,10 +184,11 @@ def _seeds(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
             long = known & (words.counts >= WINDOW)
             _settle(out, WHOLES, words.whole()[long], words.whole(1)[long].astype(np.uint32), ids[long])
             at, anchors = _anchored(words)
-            changed = np.ones(len(at), bool)  # windows in a row mostly have one anchor
-            changed[1:] = anchors[1:] != anchors[:-1]
-            changed &= known[words.text_of[at]]
-            _settle(out, ANCHORS, anchors[changed], np.zeros(changed.sum(), np.uint32), ids[words.text_of[at[changed]]])
+            text_of = words.text_of[at]
+            changed = np.ones(len(at), bool)  # windows of a text in a row mostly have one anchor
+            changed[1:] = (anchors[1:] != anchors[:-1]) | (text_of[1:] != text_of[:-1])
+            changed &= known[text_of]
+            _settle(out, ANCHORS, anchors[changed], np.zeros(changed.sum(), np.uint32), ids[text_of[changed]])
             yield out.batch()
 
     return run

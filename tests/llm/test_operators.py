@@ -218,6 +218,18 @@ def test_substrings_chunks_and_null_ids(spark, monkeypatch):
     assert brute.counted(list(map(tuple, remove_repeats(df).collect()))) == brute.counted(brute.removed(rows))
 
 
+def test_substrings_of_adjacent_rows(spark):
+    rng = random.Random(6)
+    rows: list[tuple] = []
+    for k in range(0, 90, 9):
+        passage = " ".join(f"{w}{k}" for w in prose(rng, 14).split())
+        rows += [(k, f"{prose(rng, 20)} {passage}"), (k + 1, f"{passage} {prose(rng, 20)}")]
+        rows += [(k + 2 + j, f"{passage} end{j}") for j in range(4)]
+        rows += [(None, f"{passage} none"), (k + 6, f"{passage} last")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert brute.counted(list(map(tuple, remove_repeats(df).collect()))) == brute.counted(brute.removed(rows))
+
+
 def test_personal_data_base(docs):
     rng = random.Random(3)
     texts = ["".join(rng.choice("ab1234567890@.+-() %") for _ in range(rng.randint(0, 80))) for _ in range(3000)]
