@@ -4,11 +4,11 @@ The join links documents whose sets of five-word shingles have a Jaccard similar
 threshold.  Documents with equal sets form one class first, so copies are never compared.
 
 The forest has ``TREES`` tries.  A class's key in a trie is ``DEPTH`` minimum hashes, stored so that
-any prefix of it can be taken; classes that share a prefix of the current length in any trie are
-candidates.  The join starts from the longest prefixes and shortens them until the recall estimated
-from the candidates' own similarities reaches the target, but at the latest at the length that
-reaches it for pairs at the threshold itself.  Candidates are star edges to the least class of a
-trie node, linear in the number of classes; their connected components hold every candidate pair.
+any prefix of it can be taken; classes that share a prefix of the length for the threshold in any
+trie are candidates.  That length is the longest that reaches the target recall for pairs at the
+threshold itself, whatever other pairs the table holds.  Candidates are star edges to the least
+class of a trie node, linear in the number of classes; their connected components hold every
+candidate pair.
 
 Each component is verified exactly, all against all, in blocks of bounded size: intersections of
 shingle sets are counted by matrix products inside a task, which returns for each class its number
@@ -38,8 +38,6 @@ from corpusloom.runtime import checkpoint, release, ship
 SHINGLE = 5
 TREES, DEPTH = 18, 8
 THRESHOLD, RECALL = 0.8, 0.999
-#: Star edges whose signatures are compared to estimate the recall (a sample that fits one parameter).
-SAMPLE = 4000
 #: A block of a component holds at most about this many classes and shingles.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 750_000
 #: Shingles of at most so many classes are counted pair by pair, others by matrix products.
@@ -116,34 +114,9 @@ def star_edges(nodes: DataFrame, depth: int) -> DataFrame:
     return keys.join(hubs, "key").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def estimated_recall(nodes: DataFrame, edges: DataFrame, depth: int, threshold: float) -> float:
-    """Found links over found and missed ones, each found link standing for 1 / its chance to be found.
-
-    Similarities are estimated from the signatures of about SAMPLE edges, chosen by a hash threshold.
-    """
-    share = min(1.0, SAMPLE / max(1, edges.count()))
-    chosen = edges.filter(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)) < int(share * (1 << 31)))
-    sample = F.broadcast(chosen.limit(2 * SAMPLE))
-    near = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")).join(sample, "a")
-    pairs = near.join(nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b").select("sig_a", "sig_b").collect()
-    found = missed = 0.0
-    for row in pairs:
-        same = float(np.mean(np.frombuffer(row["sig_a"], ">u4") == np.frombuffer(row["sig_b"], ">u4")))
-        if same >= threshold:
-            found += 1
-            missed += 1 / found_share(same, depth) - 1
-    return found / (found + missed) if found else 0.0
-
-
 def candidate_edges(nodes: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Star edges at the longest prefix whose recall reaches the target."""
-    last = least_depth(threshold, recall)
-    for depth in range(DEPTH, last - 1, -1):
-        edges = checkpoint(star_edges(nodes, depth))
-        release(nodes.sparkSession)
-        if depth == last or estimated_recall(nodes, edges, depth, threshold) >= recall:
-            return edges
-    raise AssertionError("the range of depths is never empty")
+    """Star edges at the longest prefix that reaches the recall for pairs at the threshold itself."""
+    return checkpoint(star_edges(nodes, least_depth(threshold, recall)))
 
 
 def _intersections(rows: np.ndarray, shingles: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:

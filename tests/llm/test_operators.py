@@ -150,6 +150,20 @@ def test_forest_reaches_its_recall():
     assert op04_jaccard.found_share(0.8, depth) >= 0.999 > op04_jaccard.found_share(0.8, depth + 1)
 
 
+def test_jaccard_finds_pairs_at_the_threshold_amid_close_copies(spark):
+    rng = random.Random(8)
+    rows: list[tuple] = []
+    for k in range(150):
+        w = [f"{rng.randrange(10**9)}" for _ in range(49)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join([*w[:24], f"other{k}", *w[25:]]))]
+    sets = [brute.shingles(t) for _, t in rows]
+    assert all(len(a & b) == 0.8 * len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True))
+    for k in range(5000):
+        rows.append((1000 + k, " ".join([*(f"b{k // 100}x{i}" for i in range(200)), f"last{k}"])))
+    got = {r["doc_id"]: r["class_id"] for r in op04_jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [k for k in range(150) if got[2 * k + 1] != 2 * k] == []
+
+
 URLS = [
     "http://a.example.org/es/x", "https://Example.ORG/en/1?x", "http://example.org/en/2", "http://x.com/fr/", "http://x.com/de/1#a", "http://x.com?/fr/",
     "http://org", "http://org/", "no scheme", None, "", "ftp://host", "http://x.net/de/", "http://comx/fr/", "a://b://c/d",
