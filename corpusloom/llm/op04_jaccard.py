@@ -197,11 +197,21 @@ def _verifier(threshold: float) -> Callable[[pa.Table], pa.Table]:
 
 
 def _sets_of(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (node, cls, and others) with their shingles, from the texts of their class ids."""
-    ids = members.select(F.col("cls").alias("doc_id"))
+    """``members`` (node, cls, and others) with their shingles, from the texts of their class ids.
+
+    Classes without an id take theirs from the rows without one, each class once.
+    """
+    shape = "node binary, shingles binary"
+    ids = members.filter("cls IS NOT NULL").select(F.col("cls").alias("doc_id"))
     ids = F.broadcast(ids) if members.count() <= BROADCAST_IDS else ids
     texts = rows.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    sets = texts.mapInArrow(_sets, "node binary, shingles binary")
+    sets = texts.mapInArrow(_sets, shape)
+    bare = members.filter("cls IS NULL").select("node")
+    n_bare = bare.count()
+    if n_bare:
+        bare = F.broadcast(bare) if n_bare <= BROADCAST_IDS else bare
+        lost = rows.filter("doc_id IS NULL").select("doc_id", "text").mapInArrow(_sets, shape)
+        sets = sets.unionByName(lost.join(bare, "node", "left_semi").dropDuplicates(["node"]))
     return members.join(sets, "node").dropDuplicates(["node"])
 
 
@@ -219,7 +229,7 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = checkpoint(nodes.agg(F.count("*").alias("m"), F.min("doc_id").alias("cls"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     release(spark)
     near = components(candidate_edges(nodes, threshold, recall))
-    members = near.join(nodes.select("node", "m", "cls", "n"), "node").filter("cls IS NOT NULL")
+    members = near.join(nodes.select("node", "m", "cls", "n"), "node")
     sizes = members.groupBy("label").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     members = checkpoint(members.join(sizes.filter("classes > 1").select("label", blocks.alias("blocks")), "label"))

@@ -164,6 +164,19 @@ def test_jaccard_finds_pairs_at_the_threshold_amid_close_copies(spark):
     assert [k for k in range(150) if got[2 * k + 1] != 2 * k] == []
 
 
+def test_jaccard_null_ids_are_linked(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    # The second and third are only linked through the row without an id.
+    texts = [" ".join(base), " ".join([*base[:57], "x", "y", "z"]), " ".join(["a", "b", "c", "d", *base[4:]]), prose(rng, 40)]
+    rows = [(10**6, texts[0]), (10**6, texts[0]), (5, texts[1]), (7, texts[2]), (9, texts[3])]
+    groups, counts = brute.links(rows)
+    assert counts == [3, 3, 2, 2, 0]
+    df = spark.createDataFrame([(d if d < 10**6 else None, t) for d, t in rows], "doc_id long, text string").repartition(2)
+    got = [(r["doc_id"], r["class_id"], r["n_links"]) for r in op04_jaccard.jaccard_groups(df).collect()]
+    assert brute.counted(got) == brute.counted([(d if d < 10**6 else None, g, c) for (d, _), g, c in zip(rows, groups, counts, strict=True)])
+
+
 URLS = [
     "http://a.example.org/es/x", "https://Example.ORG/en/1?x", "http://example.org/en/2", "http://x.com/fr/", "http://x.com/de/1#a", "http://x.com?/fr/",
     "http://org", "http://org/", "no scheme", None, "", "ftp://host", "http://x.net/de/", "http://comx/fr/", "a://b://c/d",
