@@ -5,7 +5,9 @@ space turned into one space, equivalent spellings unified) and its digest is joi
 of known licence texts in the same form.  Only whole texts match, whatever their case, layout,
 punctuation or copyright holder.
 
-Known licences are a table (name, text); ``KNOWN`` holds short ones.  The table of known digests is
+Known licences are a table (name, text).  ``known_texts`` gives the short ones of ``KNOWN`` with and
+without the title lines of ``TITLES``, and the long ones in the folder ``licenses`` with and without
+their title and what follows their terms.  The table of known digests is
 broadcast up to ``BROADCAST_LICENSES`` rows and joined by shuffle beyond.  Texts are canonicalised by
 expressions and never shuffled in the broadcast case; otherwise only ids and digests are.
 
@@ -16,6 +18,8 @@ table gives an empty result; further columns are not read.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,16 +77,97 @@ KNOWN = (
         'distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the '
         "License for the specific language governing permissions and limitations under the License.",
     ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n"
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n"
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution.\n\n"
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE '
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+        "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n"
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n"
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution.\n\n"
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission.\n\n"
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE '
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+        "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE.",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+        "the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+        "and redistribute it freely, subject to the following restrictions:\n\n"
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a "
+        "product, an acknowledgment in the product documentation would be appreciated but is not required.\n"
+        "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n"
+        "3. This notice may not be removed or altered from any source distribution.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute "
+        "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\n"
+        "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the "
+        "public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this "
+        "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.\n\n"
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+        "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
     ("Apache-2.0-line", "Licensed under the Apache License, Version 2.0."),
     ("MIT-line", "Released under the MIT License."),
     ("GPL-3.0-line", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0-line", "Licensed under CC BY-NC 4.0."),
 )
 
+#: Title lines of the short licences (fixed values).
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", "Simplified BSD License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", "New BSD License", "BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+#: The words that a long licence's text begins with after its title, and those after which its terms are over.
+BODY = {"Apache-2.0": "TERMS AND CONDITIONS FOR USE", "MPL-2.0": "1. Definitions", "CC0-1.0": "CC0 1.0 Universal"}
+TERMS_END = "END OF TERMS AND CONDITIONS"
+#: Words that licences open with; a copyright notice on the same line ends before them.
+OPENINGS = (
+    "permission is hereby granted|permission to use|redistribution and use|this software is provided|permission is granted|licensed under|this is free and unencumbered"
+    "|all rights reserved"
+)
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """Name and text of known licences in their usual forms."""
+    out = list(KNOWN) + [(name, f"{title}\n\n{text}") for name, text in KNOWN for title in TITLES.get(name, ())]
+    for file in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
+        whole = file.read_text("utf-8")
+        starts = {0, max(0, whole.find(BODY.get(file.stem, "")))}
+        ends = {len(whole)} | ({whole.index(TERMS_END), whole.index(TERMS_END) + len(TERMS_END)} if TERMS_END in whole else set())
+        out += [(file.stem, form) for a in starts for b in ends for form in (whole[a:b], whole[a:b].replace("http://", "https://"), whole[a:b].replace("https://", "http://"))]
+    return sorted(set(out))
+
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
     out = F.lower(text)
+    out = F.regexp_replace(out, rf"(?:copyright|\(c\)|©)[^a-z\n]*(?:\(c\)|©|[0-9]{{4}})[^\n]{{0,200}}?(?=\b(?:{OPENINGS})\b)", " ")
+    out = F.regexp_replace(out, rf"\ball rights reserved\b[^a-z0-9\n]*(?=(?:{OPENINGS})\b)", " ")
     out = F.regexp_replace(out, r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^a-z\n]*(?:\(c\)|©|[0-9]{4}|by\b)[^\n]*$", " ")
     out = F.regexp_replace(out, r"(?m)^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$", " ")
     out = F.btrim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
@@ -99,7 +184,7 @@ def digest(text: Column) -> Column:
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, digest and license (null if none) of each row."""
     if known is None:
-        known = docs.sparkSession.createDataFrame(list(KNOWN), "name string, text string")
+        known = docs.sparkSession.createDataFrame(known_texts(), "name string, text string")
     names = known.select(digest(F.col("text")).alias("digest"), "name").groupBy("digest").agg(F.min("name").alias("license"))
     if known.count() <= BROADCAST_LICENSES:
         names = F.broadcast(names)

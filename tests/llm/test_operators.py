@@ -231,6 +231,19 @@ def test_license_spelling(spark):
     assert got == {1: None, 2: "MIT-line"}
 
 
+def test_license_files_as_found(spark):
+    known = dict(op06_licenses.KNOWN)
+    notice = "Copyright (c) 2020 Some One"
+    rows = [(f"{title}\n\n{notice}\n\n{known[name]}\n", name) for name, titles in op06_licenses.TITLES.items() for title in titles]
+    rows += [(" ".join(f"{notice}. All rights reserved. {known[n]}".split()), n) for n in ("MIT", "ISC", "BSD-3-Clause")]
+    rows += [(f"MIT License {notice} {known['MIT']}".replace("\n", " "), "MIT"), (f"{notice}", None)]
+    for name in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "CC0-1.0"):
+        rows.append((dict(op06_licenses.known_texts())[name], name))
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in op06_licenses.scan_licenses(df).collect()}
+    assert got == {k: name for k, (_, name) in enumerate(rows)}
+
+
 def test_substrings_match_brute_force(docs):
     rows = [(d, t) for d, t, *_ in corpus()]
     assert brute.counted(list(map(tuple, remove_repeats(docs).collect()))) == brute.counted(brute.removed(rows))
