@@ -11,7 +11,7 @@ PNG_MAGIC = b"\x89PNG\r\n\x1a\n"
 
 
 def image_size(data: bytes | None) -> tuple[int, int] | None:
-    """Width and height from the header of a PNG, JPEG, GIF or BMP file; None if it has none."""
+    """Width and height from the header of a PNG, JPEG, GIF, BMP or TIFF file; None if it has none."""
     if not data or len(data) < 10:
         return None
     try:
@@ -22,6 +22,8 @@ def image_size(data: bytes | None) -> tuple[int, int] | None:
         if data[:2] == b"BM":
             w, h = struct.unpack("<ii", data[18:26])
             return w, abs(h)
+        if data[:4] in (b"II*\0", b"MM\0*"):
+            return _tiff_size(data)
         if data[:2] == b"\xff\xd8":
             at = 2
             while at + 9 < len(data):
@@ -38,6 +40,19 @@ def image_size(data: bytes | None) -> tuple[int, int] | None:
     return None
 
 
+def _tiff_size(data: bytes) -> tuple[int, int] | None:
+    """Width and height of a TIFF file's first image."""
+    order = "<" if data[:2] == b"II" else ">"
+    (at,) = struct.unpack_from(order + "I", data, 4)
+    (entries,) = struct.unpack_from(order + "H", data, at)
+    found = {}
+    for k in range(entries):
+        tag, kind = struct.unpack_from(order + "HH", data, at + 2 + 12 * k)
+        if tag in (256, 257) and kind in (3, 4):
+            (found[tag],) = struct.unpack_from(order + ("H" if kind == 3 else "I"), data, at + 10 + 12 * k)
+    return (found[256], found[257]) if len(found) == 2 else None
+
+
 def encode_png(pixels: np.ndarray) -> bytes:
     """A PNG file of gray (h, w) or colour (h, w, 3 or 4) bytes."""
     pixels = np.ascontiguousarray(pixels, np.uint8)

@@ -119,3 +119,15 @@ def test_stream_resumes_without_doubles(spark, tmp_path):
     spark.range(10, 15).coalesce(1).write.mode("append").parquet(source)
     runner.drain(stream(), runner.overwrite_by_batch(out), check)
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(15))
+
+
+def test_size_of_tiff():
+    import struct
+
+    from corpusloom.functions.pixels import image_size
+
+    for order, magic in (("<", b"II*\0"), (">", b"MM\0*")):
+        entries = struct.pack(order + "HHIHH", 256, 3, 1, 224, 0) + struct.pack(order + "HHII", 257, 4, 1, 100_000)
+        data = magic + struct.pack(order + "I", 12) + b"data" + struct.pack(order + "H", 2) + entries
+        assert image_size(data) == (224, 100_000)
+        assert image_size(data[:20]) is None
