@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,32 @@ def hamming(a: Column, b: Column) -> Column:
     return F.size(F.filter(pairs, lambda p: p["x"] != p["y"])).cast("long")
 
 
+def _packed(bits: Column) -> Column:
+    """A string of at most 63 zeros and ones as a number."""
+    return F.conv(bits, 2, 10).cast("long")
+
+
+#: Rows of a label are compared in blocks of about so many by as many.
+BLOCK_ROWS = 512
+
+
+def near_pairs(rows: DataFrame, label: str, key: str, bits: str, below: int) -> DataFrame:
+    """Pairs (a, b, distance) of a label's rows, a < b, whose strings of at most 63 bits differ at fewer than ``below`` places.
+
+    All pairs of a label are compared, in tasks of one block by one block, however large the label.
+    """
+    named = rows.select(F.col(label).alias("label"), F.col(key).alias("key"), _packed(F.col(bits)).alias("bits"))
+    named = named.filter("label IS NOT NULL AND key IS NOT NULL AND bits IS NOT NULL")
+    blocks = named.groupBy("label").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    dealt = named.join(blocks, "label").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    x = dealt.select("label", F.col("key").alias("a"), F.col("bits").alias("x"), F.col("own").alias("i"), other.alias("j"))
+    y = dealt.select("label", F.col("key").alias("b"), F.col("bits").alias("y"), F.col("own").alias("j"), other.alias("i"))
+    met = x.hint("shuffle_hash").join(y, ["label", "i", "j"]).filter("a < b")
+    distance = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))).cast("long")
+    return met.select("a", "b", distance.alias("distance")).filter(F.col("distance") < below)
+
+
 def bits_to_hex(bits: np.ndarray) -> str:
     """The hexadecimal form of a flat array of bits, the first the most significant."""
     return np.packbits(bits.astype(np.uint8).ravel()).tobytes().hex()

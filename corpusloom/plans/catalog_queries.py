@@ -110,12 +110,9 @@ def phash_bits(spark: SparkSession, sf: str) -> DataFrame:
     FROM b x JOIN b y ON x.label = y.label AND x.vec_id < y.vec_id WHERE hamming(x.bits, y.bits) < 20""",
 )
 def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """The reference compares the frames of one video; here those of a label's first 120 vectors."""
-    rows = table(spark, sf, "embeddings").filter("vec_id < 120").select("vec_id", "label", imghash.difference_bits(F.col("embedding")).alias("bits"))
-    x, y = rows.alias("x"), rows.alias("y")
-    near = x.join(y, (F.col("x.label") == F.col("y.label")) & (F.col("x.vec_id") < F.col("y.vec_id")))
-    distance = imghash.hamming(F.col("x.bits"), F.col("y.bits"))
-    return near.select(F.col("x.vec_id").alias("a"), F.col("y.vec_id").alias("b"), distance.alias("distance")).filter("distance < 20")
+    """The reference compares the frames of one video; here those of a label, all of them."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", imghash.difference_bits(F.col("embedding")).alias("bits"))
+    return imghash.near_pairs(rows, "label", "vec_id", "bits", 20)
 
 
 _AVG_SQL = """SELECT vec_id, label, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS bits FROM embeddings"""

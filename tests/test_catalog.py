@@ -28,3 +28,21 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_hamming_pairs_takes_every_vector(spark, tmp_path, monkeypatch):
+    import random
+
+    from corpusloom.functions import imghash
+
+    monkeypatch.setattr(imghash, "BLOCK_ROWS", 32)
+    rng = random.Random(1)
+    grids = [[float(rng.random()) for _ in range(64)] for _ in range(200)]
+    grids += [[x + 0.1 * rng.random() for x in grids[k]] for k in range(100)]
+    rows = [(k, k % 3 if k else None, g) for k, g in enumerate(grids)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    bits = [[g[i + 1] > g[i] for i in range(64) if i % 8 != 7] for g in grids]
+    apart = lambda a, b: sum(x != y for x, y in zip(bits[a], bits[b], strict=True))
+    want = [(a, b, apart(a, b)) for b in range(1, 300) for a in range(1, b) if a % 3 == b % 3 and apart(a, b) < 20]
+    assert any(a >= 120 for a, _, _ in want)
+    assert sorted(map(tuple, catalog.queries()["hamming_pairs"](spark, str(tmp_path)).collect())) == sorted(want)
