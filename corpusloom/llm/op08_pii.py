@@ -8,8 +8,9 @@ constraint of the model, which keeps it linear in such tokens).  Factors are
 
 * one for each token, from its shape and neighbours,
 * one for each two neighbouring tokens,
-* one for each token and the next similar one anywhere in the document (skip edges): tokens with the
-  same digits, the same last seven digits, or the same letters and digits around an at sign.
+* one for each token and the next similar one anywhere in the document, and for each token and the
+  first similar one inside a base span (skip edges): tokens with the same digits, the same last seven
+  digits, or the same letters and digits around an at sign.
 
 Tokens inside base spans are clamped to their kind.  Loopy belief propagation with damping carries
 labels along skip edges, so a card number found once is found in every other notation that the base
@@ -181,12 +182,18 @@ def nodes_of(text: str, base: list[Span]) -> Nodes | None:
     features = np.array([_feature_row(t, k > 0 and near[k - 1], k < len(near) and near[k]) for k, t in enumerate(tokens)], float)
     chain = np.array([(k, k + 1) for k, x in enumerate(near) if x], int).reshape(-1, 2)
     last: dict[str, int] = {}
+    hub: dict[str, int] = {}
     skip = set()
-    for k, token in enumerate(tokens):
-        for key in {*_similar(token), *_similar(whole.get(k, ""))}:
+    keys = [{*_similar(token), *_similar(whole.get(k, ""))} for k, token in enumerate(tokens)]
+    for k, own in enumerate(keys):
+        for key in own:
+            if clamped[k] >= 0:
+                hub.setdefault(key, k)
             if key in last:
                 skip.add((last[key], k))
             last[key] = k
+    for k, own in enumerate(keys):
+        skip |= {(min(k, hub[key]), max(k, hub[key])) for key in own if hub.get(key, k) != k}
     return Nodes(bounds, clamped, features, chain, np.array(sorted(skip), int).reshape(-1, 2))
 
 

@@ -296,6 +296,15 @@ def test_personal_data_added_by_skip_edges(spark):
     assert rows[1]["text"] == "mail <EMAIL> <CARD>" and rows[1]["n_chars"] == 19 and rows[2]["text"] is None
 
 
+def test_personal_data_reaches_every_mention():
+    rng = random.Random(4)
+    known = [f"{prose(rng, 9)} 4111111111111111 {prose(rng, 5)} +1 ({k:03d}) 555-{k:04d} {prose(rng, 3)} a.{k}@mail.example.com and 10.0.0.{k} in {k} of 7435553824 or 2024{k}" for k in range(100, 180)]
+    field = op08_pii.train(known)
+    for at in (0, 20, 40):
+        text = " ".join(f"call {'+1 (743) 555-3824' if k == at else '(743)555-3824'} now" for k in range(41))
+        assert [kind for kind, _, _ in op08_pii.all_spans(text, field)[1]] == [3] * 41
+
+
 @pytest.fixture(scope="module")
 def codec():
     return ByteBpe(read_tokenizer(default_tokenizer()))
