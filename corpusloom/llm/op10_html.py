@@ -1,29 +1,32 @@
 """HTML extraction: parser events, text-to-tag ratios, Gaussian smoothing, threshold clustering.
 
 The standard library's streaming parser turns a page into lines, one for each block of text, with
-the number of characters and of tags of each.  The ratio of text to tags along the page is smoothed
-with a Gaussian and split in two clusters by its threshold (two means in one dimension).  The lines
-of the high cluster are the seeds of the content; the region is the innermost element that holds
-nearly all of the seeds' text, or the article or main element around it; a page without such elements
-has its region grown while most of what is added lies in the high cluster.  All lines of the region
-that do not belong to page furniture are returned, short ones too, in page order.
-
-Page furniture never seeds nor enters a region: navigation, headers, footers, asides, forms,
-scripts, styles, hidden elements, and elements whose class, id or role names them as such (menus,
-sidebars, notices, adverts, reader comments).
+the number of characters and of tags of each.  The logarithm of the ratio of text to tags is smoothed
+along the page with a Gaussian and split in two clusters by the threshold that leaves the least sum of
+squares within them.  Each line then weighs its characters times its distance from the threshold:
+lines of the high cluster for, lines of the low cluster against the elements that hold them.  The
+region is the container with the greatest weight, the innermost of equal ones.
+
+Tags and names of elements have two uses.  Lines of page furniture (navigation, headers, footers,
+asides, forms, and elements whose class, id or role names menus, sidebars, notices, adverts or reader
+comments) count a quarter of their ratio and are smoothed among themselves.  Inside the region, lines of
+the low cluster are left out where they are furniture, and kept where they are not, being headings and
+short paragraphs.  Scripts, styles, hidden elements and the like hold no text of the page.
 
 Results for special rows: null and empty pages give an empty text; so do pages without content;
-rows are independent, so repeated rows change nothing; an empty table gives an empty result; further
-columns are not read.  Pages are parsed whole, whatever their length.
+a page whose lines are all alike is its own region; rows are independent, so repeated rows change
+nothing; an empty table gives an empty result; further columns are not read.  Pages are parsed whole,
+whatever their length, in time linear in it but for a sort of the lines' ratios.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -35,9 +38,9 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead title tr ul br".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-FURNITURE_TAGS = frozenset(
-    "nav header footer aside form script style noscript template iframe object svg button select option textarea head title menu dialog canvas audio video".split()
-)
+#: Elements whose text is no text of the page.
+SKIPPED_TAGS = frozenset("script style noscript template iframe object svg button select option textarea head title dialog canvas audio video".split())
+FURNITURE_TAGS = frozenset("nav header footer aside form menu".split())
 #: Words of class, id and role attributes that mark page furniture.
 FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs "
@@ -52,10 +55,12 @@ COMMENT_WORDS = frozenset("comment comments reply replies disqus discussion".spl
 CLOSED_BY_PEER = frozenset("p li dt dd tr td th option".split())
 CLOSES_P = BLOCKS - {"br", "body", "html", "head", "title", "button", "option", "select", "optgroup"}
 
+#: Standard deviation of the Gaussian in lines, and how far it reaches.
 SIGMA, REACH = 1.0, 3
-SEED_SHARE, GROWING_SHARE = 0.9, 0.5
-#: Elements wide enough to be a region by themselves.
-CONTAINERS = frozenset("body center div section table td".split())
+#: What a line of page furniture counts of its ratio.
+FURNITURE_SHARE = 0.25
+#: Elements wide enough to be a region; the page itself is one.
+CONTAINERS = frozenset("article body center div html main section table td".split())
 
 
 def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
@@ -66,30 +71,30 @@ def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
     return found
 
 
-def _furniture(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    if tag in FURNITURE_TAGS:
-        return True
+def _kind(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+    """Whether an element's text is skipped, and whether it is page furniture."""
+    if tag in SKIPPED_TAGS:
+        return True, False
     if not attrs:
-        return False
-    names = _names(attrs)
-    if names & (COMMENT_WORDS if tag in KEPT_TAGS else FURNITURE_WORDS):
-        return True
+        return False, tag in FURNITURE_TAGS
     said = {k: (v or "").replace(" ", "").lower() for k, v in attrs}
-    return tag not in KEPT_TAGS and ("hidden" in said or said.get("aria-hidden") == "true" or "display:none" in said.get("style", ""))
+    hidden = "hidden" in said or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "")
+    named = bool(_names(attrs) & (COMMENT_WORDS if tag in KEPT_TAGS else FURNITURE_WORDS))
+    return hidden and tag not in KEPT_TAGS, named or tag in FURNITURE_TAGS
 
 
 class _Lines(HTMLParser):
-    """Lines as (text, tags, path of open element numbers), furniture left out."""
+    """Lines as (text, tags, number of the element around it, whether furniture)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []
+        self.stack: list[tuple[str, int, bool, bool]] = []
+        self.open: Counter[str] = Counter()
         self.parents: list[int] = [-1]
-        self.tags: list[str] = [""]
-        self.lines: list[tuple[str, int, int]] = []
+        self.tags: list[str] = ["html"]
+        self.lines: list[tuple[str, int, int, bool]] = []
         self.buffer: list[str] = []
-        self.n_tags = 0
-        self.hidden = 0
+        self.n_tags = self.skipped = self.furniture = 0
 
     def _node(self) -> int:
         return self.stack[-1][1] if self.stack else 0
@@ -97,17 +102,19 @@ class _Lines(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.buffer).split())
         if text:
-            self.lines.append((text, self.n_tags, self._node()))
+            self.lines.append((text, self.n_tags, self._node(), self.furniture > 0))
             self.n_tags = 0
         self.buffer.clear()
 
     def _pop(self, depth: int) -> None:
         while len(self.stack) > depth:
-            tag, _, furniture = self.stack[-1]
+            tag, _, skipped, furniture = self.stack[-1]
             if tag in BLOCKS:
                 self._flush()
             self.stack.pop()
-            self.hidden -= furniture
+            self.open[tag] -= 1
+            self.skipped -= skipped
+            self.furniture -= furniture
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -115,7 +122,7 @@ class _Lines(HTMLParser):
         self.n_tags += 1
         if tag in VOID:
             return
-        if tag in CLOSES_P or tag in CLOSED_BY_PEER:
+        if tag in CLOSED_BY_PEER and self.open[tag] or tag in CLOSES_P and self.open["p"]:
             for depth in range(len(self.stack) - 1, -1, -1):
                 open_tag = self.stack[depth][0]
                 if open_tag == tag and tag in CLOSED_BY_PEER or open_tag == "p" and tag in CLOSES_P:
@@ -125,9 +132,11 @@ class _Lines(HTMLParser):
                     break
         self.parents.append(self._node())
         self.tags.append(tag)
-        furniture = _furniture(tag, attrs)
-        self.stack.append((tag, len(self.parents) - 1, furniture))
-        self.hidden += furniture
+        skipped, furniture = _kind(tag, attrs)
+        self.stack.append((tag, len(self.parents) - 1, skipped, furniture))
+        self.open[tag] += 1
+        self.skipped += skipped
+        self.furniture += furniture
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -136,7 +145,7 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.n_tags += 1
-        if tag in VOID:
+        if tag in VOID or not self.open[tag]:
             return
         for depth in range(len(self.stack) - 1, -1, -1):
             if self.stack[depth][0] == tag:
@@ -144,41 +153,40 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self.hidden:
+        if not self.skipped:
             self.buffer.append(data)
 
     def unknown_decl(self, data: str) -> None:
         pass
 
 
-def _smoothed(values: list[float]) -> list[float]:
-    weights = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
-    out = []
-    for i in range(len(values)):
-        near = [(w, values[i + k]) for k, w in zip(range(-REACH, REACH + 1), weights, strict=True) if 0 <= i + k < len(values)]
-        out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
-    return out
+def _ratios(lines: list[tuple[str, int, int, bool]]) -> np.ndarray:
+    """The logarithm of each line's ratio of characters to tags; furniture counts a share of it."""
+    plain = np.log1p([len(text) / (tags + 1) for text, tags, _, _ in lines])
+    return plain * np.where([furniture for *_, furniture in lines], FURNITURE_SHARE, 1.0)
 
 
-def _threshold(values: list[float]) -> float:
-    """Between the means of two clusters; below every value if they are all alike."""
-    low, high = min(values), max(values)
-    for _ in range(30):
-        cut = (low + high) / 2
-        below, above = [v for v in values if v <= cut], [v for v in values if v > cut]
-        if not below or not above:
-            return low - 1
-        moved = (sum(below) / len(below), sum(above) / len(above))
-        if moved == (low, high):
-            break
-        low, high = moved
-    return (low + high) / 2
+def _smoothed(values: np.ndarray) -> np.ndarray:
+    """The Gaussian mean of each value and its neighbours, as far as there are any."""
+    steps = np.arange(-REACH, REACH + 1)
+    kernel = np.exp(-(steps**2) / (2 * SIGMA * SIGMA))
+    middle = slice(REACH, REACH + len(values))
+    return np.convolve(values, kernel)[middle] / np.convolve(np.ones(len(values)), kernel)[middle]
 
 
-def main_text(html: str | None) -> str:
-    """The main text of one page."""
-    if not html:
-        return ""
+def _threshold(values: np.ndarray) -> float:
+    """Between the two clusters of least squares; values that are all alike are high, unless they are zero."""
+    v = np.sort(values)
+    if v[-1] - v[0] < 1e-9:
+        return float(v[0]) / 2 if v[0] > 0 else np.inf
+    size = np.arange(1, len(v))
+    below, whole = np.cumsum(v)[:-1], v.sum()
+    between = below**2 / size + (whole - below) ** 2 / (len(v) - size)
+    cut = int(np.argmax(between))
+    return float(v[cut] + v[cut + 1]) / 2
+
+
+def _parsed(html: str) -> _Lines:
     # No tag ends after the last closing bracket; the parser would look for one again at each opening bracket.
     tail = html.rfind(">") + 1
     html = html[:tail] + html[tail:].replace("<", "&lt;")
@@ -192,35 +200,36 @@ def main_text(html: str | None) -> str:
         parser.close()
     parser._pop(0)
     parser._flush()
+    return parser
+
+
+def main_text(html: str | None) -> str:
+    """The main text of one page."""
+    parser = _parsed(html or "")
     lines = parser.lines
     if not lines:
         return ""
-    ratios = _smoothed([len(text) / (tags + 1) for text, tags, _ in lines])
-    cut = _threshold(ratios)
-    mass, whole = [0] * len(parser.parents), [0] * len(parser.parents)
-    for (text, _, node), ratio in zip(lines, ratios, strict=True):
-        while node >= 0:
-            mass[node] += len(text) * (ratio > cut)
-            whole[node] += len(text)
-            node = parser.parents[node]
-    region = max(n for n in range(len(mass)) if mass[n] >= SEED_SHARE * mass[0])
-    up = region
-    while up >= 0 and parser.tags[up] not in ("article", "main"):
-        up = parser.parents[up]
-    if up >= 0:
-        region = up
-    else:
-        # Without a named region, grow from the seeds while what is added mostly belongs to the high cluster.
-        while (up := parser.parents[region]) >= 0:
-            added = whole[up] - whole[region]
-            if parser.tags[region] in CONTAINERS and mass[up] - mass[region] < GROWING_SHARE * added:
-                break
-            region = up
+    ratios = _ratios(lines)
+    furniture = np.array([f for *_, f in lines])
+    level = ratios.copy()
+    for kind in (furniture, ~furniture):
+        if kind.any():
+            level[kind] = _smoothed(ratios[kind])
+    cut = _threshold(level)
+    high = level >= cut
+    if not high.any():
+        return ""
+    weight = [0.0] * len(parser.parents)
+    for (text, _, node, _), distance in zip(lines, (level - cut).tolist(), strict=True):
+        weight[node] += len(text) * distance
+    for node in range(len(weight) - 1, 0, -1):
+        weight[parser.parents[node]] += weight[node]
+    region = max((n for n, tag in enumerate(parser.tags) if tag in CONTAINERS), key=lambda n: (weight[n], n))
     inside = {region}
     for node in range(region + 1, len(parser.parents)):
         if parser.parents[node] in inside:
             inside.add(node)
-    return " ".join(text for text, _, node in lines if node in inside)
+    return " ".join(line[0] for line, h in zip(lines, high.tolist(), strict=True) if line[2] in inside and (h or not line[3]))
 
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import html as entities
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -112,8 +114,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def top_products(vectors: list[tuple[int, list[float]]], k: int = 20, every: int = 20) -> list[tuple[int, int, int, int]]:
-    import math
-
     whole = [(i, [math.floor(64 * x) for x in v]) for i, v in vectors]
     out = []
     for q, a in whole:
@@ -125,3 +125,41 @@ def top_products(vectors: list[tuple[int, list[float]]], k: int = 20, every: int
 
 def counted(values: list) -> Counter:
     return Counter(values)
+
+
+def best_cut(values: list[float]) -> float:
+    """Between the two clusters of least squares, by trying every cut."""
+    v = sorted(values)
+    if v[-1] - v[0] < 1e-9:
+        return v[0] / 2 if v[0] > 0 else math.inf
+    spread = lambda part: sum((x - sum(part) / len(part)) ** 2 for x in part)
+    k = min(range(1, len(v)), key=lambda k: spread(v[:k]) + spread(v[k:]))
+    return (v[k - 1] + v[k]) / 2
+
+
+def main_text(html: str, op) -> str:
+    """The text of the best region, by weighing each container by itself; ``op`` gives lines and constants."""
+    page = op._parsed(html)
+    kinds = [f for *_, f in page.lines]
+    ratio = [math.log(1 + len(t) / (n + 1)) * (op.FURNITURE_SHARE if f else 1) for t, n, _, f in page.lines]
+    level = []
+    for i, kind in enumerate(kinds):
+        same = [j for j, other in enumerate(kinds) if other == kind]
+        at = same.index(i)
+        near = [(math.exp(-((at - k) ** 2) / (2 * op.SIGMA**2)), ratio[j]) for k, j in enumerate(same) if abs(at - k) <= op.REACH]
+        level.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+    cut = best_cut(level)
+
+    def path(node: int) -> list[int]:
+        return [node, *path(page.parents[node])] if node >= 0 else []
+
+    weights = {n: sum(len(t) * (x - cut) for (t, _, m, _), x in zip(page.lines, level, strict=True) if n in path(m)) for n, tag in enumerate(page.tags) if tag in op.CONTAINERS}
+    best = max(weights, key=lambda n: (round(weights[n], 6), n))
+    return " ".join(t for (t, _, m, f), x in zip(page.lines, level, strict=True) if best in path(m) and (x >= cut or not f))
+
+
+def article_text(html: str) -> str:
+    """The text of the only article of a page of the test tables, by its tags."""
+    body = re.search(r"<article>(.*?)(</article>|<footer>|$)", html, re.S)[1]
+    parts = [re.sub("</?b>", "", x) for x in re.split(r"<(?!/?b>)[^>]*>", body)]
+    return " ".join(filter(None, (" ".join(entities.unescape(x).split()) for x in parts)))

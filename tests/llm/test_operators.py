@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import op01_quality, op04_jaccard, op05_urls, op06_licenses, op08_pii
+from corpusloom.llm import op01_quality, op04_jaccard, op05_urls, op06_licenses, op08_pii, op10_html
 from corpusloom.llm.op02_topk import top_inner_products
 from corpusloom.llm.op03_mix import mix
 from corpusloom.llm.op07_substrings import remove_repeats
@@ -349,17 +349,69 @@ PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style><script>v
 def test_html_main_text():
     want = "Head & title First bold paragraph of text that is long enough to be content, surely. Line two Unclosed paragraph. Item one Item two End."
     assert main_text(PAGE) == want
-    assert main_text("") == main_text(None) == main_text("<nav>x</nav>") == ""
+    assert main_text("") == main_text(None) == main_text("<script>x</script>") == ""
     assert main_text("<p>only <i>this</i>") == "only this"
     assert main_text("plain & simple <![bogus[ x") != ""
     divs = "<div class=menu><a>One</a><a>Two</a></div><div class=content>" + "<p>Long sentence of content number one here.</p>" * 4 + "<p>Short.</p></div><div class=footer>f</div>"
     assert main_text(divs) == " ".join(["Long sentence of content number one here."] * 4 + ["Short."])
 
 
+def page(rng: random.Random, named: bool) -> tuple[str, str]:
+    """A page whose furniture is named or plain divs, and its main text."""
+    tag, name = (lambda t: t if named else "div"), (lambda n: f" class={n}" if named else "")
+    parts = [prose(rng, 5).strip()] + [prose(rng, rng.choice([12, 40, 90])) for _ in range(rng.randint(3, 9))] + [prose(rng, 2), prose(rng, 60)]
+    menu = "".join(f"<li><a href=/{k}>{prose(rng, 1)}</a></li>" for k in range(rng.randint(4, 9)))
+    article = f"<h1>{parts[0]}</h1>" + "".join(f"<p>{x}</p>" for x in parts[1:])
+    html = (
+        f"<html><head><title>t</title></head><body><{tag('nav')}><ul>{menu}</ul></{tag('nav')}><div{name('ad')}><a>{prose(rng, 3)}</a></div>"
+        f"<{tag('article')}>{article}</{tag('article')}><{tag('aside')}><ul>{menu}</ul></{tag('aside')}><{tag('footer')}><a>{prose(rng, 2)}</a></{tag('footer')}></body></html>"
+    )
+    return html, " ".join(" ".join(parts).split())
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_html_regions_with_and_without_names(named):
+    rng = random.Random(12)
+    pages = [page(rng, named) for _ in range(100)]
+    assert [k for k, (html, want) in enumerate(pages) if main_text(html) != want] == []
+
+
+@pytest.mark.parametrize(("part", "constant"), [("_ratios", lambda lines: np.ones(len(lines))), ("_threshold", lambda values: 0.0), ("_threshold", lambda values: 1e9)])
+def test_html_text_comes_from_the_clusters(monkeypatch, part, constant):
+    rng = random.Random(12)
+    pages = [page(rng, k % 2 == 0) for k in range(100)]
+    monkeypatch.setattr(op10_html, part, constant)
+    assert sum(main_text(html) == want for html, want in pages) < 5
+
+
+def test_html_equals_brute_force():
+    rng = random.Random(13)
+    pages = [page(rng, k % 2 == 0)[0] for k in range(40)] + [PAGE]
+    for html in pages:
+        assert main_text(html) == brute.main_text(html, op10_html)
+    lone = [float(x) for x in np.random.default_rng(1).normal(size=30)]
+    assert op10_html._threshold(np.array(lone)) == pytest.approx(brute.best_cut(lone))
+
+
+def test_html_of_every_page_of_the_tables():
+    import pyarrow.parquet as pq
+
+    for row in pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist():
+        assert main_text(row["html"]) == brute.article_text(row["html"])
+
+
+def test_html_very_long_pages():
+    long = "<div>" + "<p>A paragraph of some length for a long page.</p>" * 20_000 + "</div><ul>" + "<li>x" * 20_000 + "</ul>"
+    assert main_text(long) == " ".join(["A paragraph of some length for a long page."] * 20_000)
+    assert main_text("<b>" * 50_000 + "<p>deep" * 2000).count("deep") == 2000
+
+
 def test_html_table(spark):
-    pages = spark.createDataFrame([(1, "u", PAGE), (2, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("x"))
-    rows = {r["page_id"]: r for r in extract_pages(pages).collect()}
-    assert rows[1]["n_chars"] == len(rows[1]["text"]) > 100 and (rows[2]["text"], rows[2]["n_chars"]) == ("", 0)
+    rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (4, "w", "<p>one</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("x"), "n_chars": F.lit("y")})
+    got = [tuple(r) for r in extract_pages(pages).collect()]
+    want = main_text(PAGE)
+    assert brute.counted(got) == brute.counted([(1, "u", want, len(want))] * 2 + [(2, None, "", 0), (None, "v", "", 0), (4, "w", "one", 3)])
 
 
 def test_empty_tables(spark, nothing):
