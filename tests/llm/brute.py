@@ -163,3 +163,25 @@ def article_text(html: str) -> str:
     body = re.search(r"<article>(.*?)(</article>|<footer>|$)", html, re.S)[1]
     parts = [re.sub("</?b>", "", x) for x in re.split(r"<(?!/?b>)[^>]*>", body)]
     return " ".join(filter(None, (" ".join(entities.unescape(x).split()) for x in parts)))
+
+
+def label_marginals(nodes, field, op):
+    """The label distribution of each token, by summing over all labellings."""
+    import itertools
+
+    import numpy as np
+
+    unary = nodes.features @ field.unary
+    for i, kind in enumerate(nodes.clamped):
+        if kind >= 0:
+            unary[i], unary[i, kind] = -50.0, 0.0
+        elif nodes.features[i][op.LONG] and not nodes.features[i][op.VALID]:
+            unary[i, op.CARD] = -50.0
+    out = np.zeros_like(unary)
+    top = unary.max(1).sum() + 10 * (len(nodes.chain) + len(nodes.skip))
+    for labels in itertools.product(range(unary.shape[1]), repeat=len(unary)):
+        score = sum(unary[i, y] for i, y in enumerate(labels))
+        score += sum(field.chain[labels[a], labels[b]] for a, b in nodes.chain) + sum(field.skip[labels[a], labels[b]] for a, b in nodes.skip)
+        for i, y in enumerate(labels):
+            out[i, y] += math.exp(score - top)
+    return out / out.sum(1, keepdims=True)
