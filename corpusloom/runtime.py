@@ -11,6 +11,7 @@ import gc
 import os
 import tempfile
 import time
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -32,16 +33,19 @@ def session(app: str = "corpusloom", cpus: str | int = "*", shuffle_partitions:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints, from the session where it names one."""
+    """The shared folder for checkpoints, from the session where it names one; a session of several machines must."""
     global _fallback_dir
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _fallback_dir is None:
         _fallback_dir = tempfile.mkdtemp(prefix="corpusloom-checkpoint-")
     return _fallback_dir
@@ -55,6 +59,24 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder below the shared one, deleted when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop_path)
+    system.deleteOnExit(hadoop_path)
+    return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read from there, so that each reader takes only its columns."""
+    path = f"{scratch_folder(df.sparkSession, 'stored')}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Bytes of a batch that goes to a Python worker, unless the session says otherwise: rows can be long.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
