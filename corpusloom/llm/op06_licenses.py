@@ -3,42 +3,37 @@
 A text is brought to a canonical form (lower case, copyright lines dropped, punctuation and runs of
 space turned into one space, equivalent spellings unified) and its digest is joined with the digests
 of known licence texts in the same form.  Only whole texts match, whatever their case, layout,
-punctuation or copyright holder.
+punctuation, spelling or copyright holder.
 
-Known licences are a table (name, text).  ``known_texts`` gives the short ones of ``KNOWN`` with and
-without the title lines of ``TITLES``, and the long ones in the folder ``licenses`` with and without
-their title and what follows their terms.  The table of known digests is
-broadcast up to ``BROADCAST_LICENSES`` rows and joined by shuffle beyond.  Texts are canonicalised by
-expressions and never shuffled in the broadcast case; otherwise only ids and digests are.
+Known licences are a table (name, text), a parameter.  ``known_texts`` gives the short ones of ``KNOWN``
+with and without the title lines of ``TITLES`` and the numbers of their clauses, and the long ones in the
+folder ``licenses`` with and without their title and what follows their terms.  The table of known
+digests is broadcast up to ``BROADCAST_LICENSES`` rows and joined by shuffle beyond.  Texts are
+canonicalised by expressions and never shuffled in the broadcast case; otherwise only ids and digests
+are.  Regular expressions run on texts that hold their literals; spellings are literals themselves.
 
 Results for special rows: null texts and texts without letters or digits have a null digest and no
-licence; known texts with equal digests give the least name; repeated rows each have a row; an empty
-table gives an empty result; further columns are not read.
+licence; known texts with equal digests give the least name; repeated rows each have a row; whole texts
+are read whatever their length; an empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_LICENSES = 50_000
 
-#: Equivalent spellings as (pattern, replacement), applied to canonical text in order (fixed values).
+#: Equivalent spellings as literals, replaced in canonical text in this order (fixed values, after public matching guidelines).
 SPELLINGS = (
-    (r"\b(sub)?licen[cs](e|ed|es|ing|ee|ees|or|ors)\b", r"$1licens$2"),
-    (r"\bcopyright (owner|owners|holder|holders)\b", "copyright holder"),
-    (r"\b(\w+)isation(s?)\b", r"$1ization$2"),
-    (r"\b(author|organ|recogn|util|real)is(e|ed|es|ing)\b", r"$1iz$2"),
-    (r"\b(fav|lab|col|hon)our(\w*)\b", r"$1or$2"),
-    (r"\bfulfil\b", "fulfill"),
-    (r"\backnowledgement(s?)\b", r"acknowledgment$1"),
-    (r"\b(per cent|percent)\b", "percent"),
-    (r"\bnon ?commercial\b", "noncommercial"),
-    (r"\bmerchantibility\b", "merchantability"),
-    (r"\bwhilst\b", "while"),
-)
+    ("licenc", "licens"), ("copyright owner", "copyright holder"), ("copyright holders", "copyright holder"), ("isation", "ization"), ("authoris", "authoriz"),
+    ("organis", "organiz"), ("recognis", "recogniz"), ("utilis", "utiliz"), ("realis", "realiz"), ("favour", "favor"), ("labour", "labor"), ("colour", "color"),
+    ("honour", "honor"), ("fulfill", "fulfil"), ("acknowledgement", "acknowledgment"), ("per cent", "percent"), ("non commercial", "noncommercial"),
+    ("merchantibility", "merchantability"), ("whilst", "while"), ("https ", "http "),
+)
 
 #: Name and text of known licences (fixed values).
 KNOWN = (
@@ -126,6 +121,39 @@ KNOWN = (
         "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
         "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        "copyright notice and this permission notice appear in all copies.\n\n"
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+        "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "MIT-0",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.\n\n"
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE.",
+    ),
+    (
+        "BSL-1.0",
+        "Boost Software License - Version 1.0 - August 17th, 2003\n\n"
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by "
+        'this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the '
+        "Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:\n\n"
+        "The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must "
+        "be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are "
+        "solely in the form of machine-executable object code generated by a source language processor.\n\n"
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR "
+        "ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE.",
+    ),
     ("Apache-2.0-line", "Licensed under the Apache License, Version 2.0."),
     ("MIT-line", "Released under the MIT License."),
     ("GPL-3.0-line", "This work is licensed under the GNU General Public License, version 3."),
@@ -135,6 +163,7 @@ KNOWN = (
 #: Title lines of the short licences (fixed values).
 TITLES = {
     "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "MIT-0": ("MIT No Attribution", "MIT-0"),
     "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
     "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)"),
     "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", "Simplified BSD License", "BSD License"),
@@ -154,39 +183,51 @@ OPENINGS = (
 
 def known_texts() -> list[tuple[str, str]]:
     """Name and text of known licences in their usual forms."""
-    out = list(KNOWN) + [(name, f"{title}\n\n{text}") for name, text in KNOWN for title in TITLES.get(name, ())]
+    short = [(name, form) for name, text in KNOWN for form in (text, re.sub(r"(?m)^[0-9]\. ", "", text))]
+    out = short + [(name, f"{title}\n\n{text}") for name, text in short for title in TITLES.get(name, ())]
     for file in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
         whole = file.read_text("utf-8")
         starts = {0, max(0, whole.find(BODY.get(file.stem, "")))}
         ends = {len(whole)} | ({whole.index(TERMS_END), whole.index(TERMS_END) + len(TERMS_END)} if TERMS_END in whole else set())
-        out += [(file.stem, form) for a in starts for b in ends for form in (whole[a:b], whole[a:b].replace("http://", "https://"), whole[a:b].replace("https://", "http://"))]
+        out += [(file.stem, whole[a:b]) for a in starts for b in ends]
     return sorted(set(out))
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text."""
-    out = F.lower(text)
-    out = F.regexp_replace(out, rf"(?:copyright|\(c\)|©)[^a-z\n]*(?:\(c\)|©|[0-9]{{4}})[^\n]{{0,200}}?(?=\b(?:{OPENINGS})\b)", " ")
-    out = F.regexp_replace(out, rf"\ball rights reserved\b[^a-z0-9\n]*(?=(?:{OPENINGS})\b)", " ")
-    out = F.regexp_replace(out, r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^a-z\n]*(?:\(c\)|©|[0-9]{4}|by\b)[^\n]*$", " ")
-    out = F.regexp_replace(out, r"(?m)^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$", " ")
-    out = F.btrim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
-    for pattern, replacement in SPELLINGS:
-        out = F.regexp_replace(out, pattern, replacement)
-    return out
+#: What is taken out of lower-case text: (literals of which one must occur, pattern, replacement).
+NOTICES = (
+    (("copyright", "(c)", "©"), rf"(copyright|\(c\)|©)[^a-z\n]*(\(c\)|©|[0-9]{{4}})[^\n]{{0,200}}?[^a-z0-9\n]({OPENINGS})", r" \3"),
+    (("all rights reserved",), rf"all rights reserved[^a-z0-9\n]*({OPENINGS})", r" \1"),
+    (("copyright", "(c)", "©"), r"(^|\n)[^a-z0-9\n]*(copyright|\(c\)|©)[^a-z\n]*(\(c\)|©|[0-9]{4}|by[^a-z0-9])[^\n]*", r"\1 "),
+    (("all rights reserved",), r"(^|\n)([^a-z0-9\n]*all rights reserved[^a-z0-9\n]*(\n|\z))+", r"\1 "),
+)
+#: What separates words, as one space.
+SEPARATORS = r"[^\p{L}\p{N}]+"
+
 
+def with_digest(rows: DataFrame, text: str = "text") -> DataFrame:
+    """``rows`` with the column ``digest`` of the canonical form in place of ``text``; null where that is empty.
 
-def digest(text: Column) -> Column:
-    """The digest of the canonical form; null where that is empty."""
-    return F.sha2(F.nullif(canonical(text), F.lit("")), 256)
+    One projection for each step, so that no step is evaluated twice.
+    """
+    rows = rows.withColumn(text, F.lower(text))
+    for literals, pattern, replacement in NOTICES:
+        held = F.lit(False)
+        for literal in literals:
+            held = held | F.contains(F.col(text), F.lit(literal))
+        rows = rows.withColumn(text, F.when(held, F.regexp_replace(text, pattern, replacement.replace("\\", "$"))).otherwise(F.col(text)))
+    pairs = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in SPELLINGS))
+    # A fold over the pairs, since the code of nested replacements would pass the limit of a method.
+    form = F.aggregate(pairs, F.btrim(F.regexp_replace(text, SEPARATORS, " ")), lambda done, pair: F.replace(done, pair["a"], pair["b"]))
+    rows = rows.withColumn(text, form)
+    return rows.withColumn("digest", F.sha2(F.nullif(F.col(text), F.lit("")).cast("binary"), 256)).drop(text)
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, digest and license (null if none) of each row."""
     if known is None:
         known = docs.sparkSession.createDataFrame(known_texts(), "name string, text string")
-    names = known.select(digest(F.col("text")).alias("digest"), "name").groupBy("digest").agg(F.min("name").alias("license"))
+    names = with_digest(known.select("text", "name")).groupBy("digest").agg(F.min("name").alias("license"))
     if known.count() <= BROADCAST_LICENSES:
         names = F.broadcast(names)
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), digest(F.col(f"`{text}`")).alias("digest"))
+    rows = with_digest(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")))
     return rows.join(names, "digest", "left").select("doc_id", "digest", "license")

@@ -85,4 +85,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_systematic": sql.MIX, "op5_url_cascade": sql.URLS}
+    return {"op3_mix_systematic": sql.MIX, "op5_url_cascade": sql.URLS, "op6_license_digests": sql.licenses()}

@@ -1,5 +1,10 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from __future__ import annotations
+
+from corpusloom.llm import op06_licenses
+
+
 MIX = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
@@ -52,3 +57,25 @@ SELECT page_id, host, path, rule, CASE
   ELSE 'allow' END AS verdict
 FROM r
 """
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def licenses() -> str:
+    """The canonical form of documents and of known texts, and their join by digest."""
+    form = "lower(text)"
+    for _, pattern, replacement in op06_licenses.NOTICES:
+        form = f"regexp_replace({form}, {_literal(pattern)}, {_literal(replacement)}, 'g')"
+    form = f"trim(regexp_replace({form}, {_literal(op06_licenses.SEPARATORS)}, ' ', 'g'))"
+    for spelling, other in op06_licenses.SPELLINGS:
+        form = f"replace({form}, {_literal(spelling)}, {_literal(other)})"
+    known = ", ".join(f"({_literal(name)}, {_literal(text)})" for name, text in op06_licenses.known_texts())
+    digest = f"sha256(nullif({form}, ''))"
+    return f"""
+WITH known(name, text) AS (VALUES {known}),
+k AS (SELECT {digest} AS digest, min(name) AS license FROM known GROUP BY 1),
+d AS (SELECT doc_id, {digest} AS digest FROM documents)
+SELECT d.doc_id, d.digest, k.license FROM d LEFT JOIN k ON d.digest = k.digest
+"""
