@@ -8,17 +8,21 @@ were built over the complete universe of the corpus's hosts, the answer is exact
 and no row is joined with the list.
 
 Filters are built by Spark (``bitmap_construct_agg``) and tested by expressions over literals.  A
-level holds ``BITS_PER_KEY`` bits for each key it encodes.  Levels whose bitmaps would together pass
-``max_filter_bytes`` are not shipped to executors: the listed hosts are then joined by shuffle, with
-the same result.
+level holds ``BITS_PER_KEY`` bits for each key it encodes.  Hosts are dealt by a hash into as many groups
+as keep the bitmaps of one within ``max_filter_bytes``; each group has a cascade of its own, which its
+pages are tested by, and whose result is written before the next group's cascade is built.  So neither
+the driver nor a task ever holds more than one group's bitmaps, however many hosts there are, and the
+method is the same at every size.
 
 Results for special rows: a null url, or one without ``://``, has an empty host and path, which no
 rule fits; empty hosts are looked up like any other; repeated rows are judged each; an empty table
-gives an empty result; further columns are not read.
+gives an empty result; urls are read whole, whatever their length; further columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +40,9 @@ BITS_PER_KEY = 10
 HASHES = 4
 #: bitmap_construct_agg makes pieces of this many bits.
 PIECE = 32768
+#: Share of other keys that a level lets through, at most about.
+PASSED = 0.02
 MAX_FILTER_BYTES = 64 << 20
-MAX_LEVELS = 40
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,7 +68,8 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]
 
 
 def _positions(key: Column, level: int, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(f"{level}/{k}")), F.lit(bits)).cast("long") for k in range(HASHES)]
+    # The level is hashed before the key: keys that share positions in one level part in the next.
+    return [F.pmod(F.xxhash64(F.lit(f"{level}/{k}"), key), F.lit(bits)).cast("long") for k in range(HASHES)]
 
 
 def _contains(bitmap: bytes, level: int, key: Column) -> Column:
@@ -92,15 +98,12 @@ def bloom(keys: DataFrame, level: int, n: int) -> bytes:
     return bytes(out)
 
 
-def build_cascade(universe: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> list[bytes] | None:
-    """The levels for a table of distinct hosts (``host``, ``listed``); None if they pass the bound."""
+def build_cascade(universe: DataFrame) -> list[bytes]:
+    """The levels for a table of distinct hosts (``host``, ``listed``)."""
     levels: list[bytes] = []
     inside, outside = universe.filter("listed").select("host"), universe.filter("NOT listed").select("host")
-    n, spent = inside.count(), 0
+    n = inside.count()
     while n:
-        spent += -(-n * BITS_PER_KEY // 8)
-        if spent > max_filter_bytes or len(levels) == MAX_LEVELS:
-            return None
         level = len(levels) + 1
         levels.append(bloom(inside, level, n))
         inside, outside = outside.filter(_contains(levels[-1], level, F.col("host"))), inside
@@ -108,6 +111,13 @@ def build_cascade(universe: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES)
     return levels
 
 
+def groups_of(universe: DataFrame, max_filter_bytes: int) -> int:
+    """Into how many groups the hosts are dealt, so that the bitmaps of each keep within the bound."""
+    sizes = universe.agg(F.count("*").alias("all"), F.count_if("listed").alias("listed")).first()
+    keys = sizes["listed"] + PASSED * sizes["all"]
+    return max(1, -int(-keys * BITS_PER_KEY // (8 * max_filter_bytes)))
+
+
 def listed(levels: list[bytes], key: Column) -> Column:
     """Exact membership of a key of the universe: the first level that misses it decides."""
     out = F.lit(len(levels) % 2 == 1)
@@ -131,12 +141,13 @@ def filter_urls(
     """
     rows = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     universe = checkpoint(rows.select("host").distinct().withColumn("listed", F.coalesce(is_listed, F.lit(False))))
-    levels = build_cascade(universe, max_filter_bytes)
-    if levels is None:
-        rows = rows.join(universe, "host", "left")
-        blocked = F.col("listed")
-    else:
-        blocked = listed(levels, F.col("host"))
-    fitting = rule_of(F.col("host"), F.col("path"), rules)
-    by_list = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
-    return rows.withColumn("fit", fitting).select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), by_list).alias("verdict"))
+    groups = groups_of(universe, max_filter_bytes)
+    results = []
+    for k in range(groups):
+        part = (F.pmod(F.xxhash64(F.lit("group"), "host"), F.lit(groups)) == k) if groups > 1 else F.lit(True)
+        blocked = listed(build_cascade(universe.filter(part)), F.col("host"))
+        by_list = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
+        judged = rows.filter(part).withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
+        judged = judged.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), by_list).alias("verdict"))
+        results.append(checkpoint(judged) if groups > 1 else judged)
+    return reduce(DataFrame.unionByName, results)
