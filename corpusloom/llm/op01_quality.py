@@ -1,8 +1,14 @@
 """Quality rules: robust multivariate outliers by the minimum covariance determinant.
 
 Each text gives a vector of transformed statistics.  For each pair of language and source the
-minimum-covariance-determinant (MCD) location and scatter are estimated from that group's rows,
-and a document is rejected when its Mahalanobis distance exceeds a chi-square quantile.
+minimum-covariance-determinant (MCD) location and scatter are estimated from that group's rows, and a
+document is rejected when its Mahalanobis distance exceeds a chi-square quantile.  A group of fewer than
+``MIN_GROUP`` passing rows is judged by the estimate of its language, and where the language has fewer
+too, by the estimate of the whole table; every document is judged by some estimate.
+
+The quantile is that of ``TAIL`` = 1e-12, a distance of 8.3.  Statistics of clean texts are far from
+normal (short texts, few symbols), so that the usual 0.975 would reject a tenth of them; rejected texts are
+those whose statistics no regular text of the group comes near.
 
 Everything is DataFrame expressions.  One concentration step is one aggregation: rows are summed by
 group and by a fine logarithmic bin of their squared distance, so that the half set (the share
@@ -11,9 +17,9 @@ group is ever gathered or sorted.  Statistics are integers in 1/256 units, so su
 reruns agree.
 
 Results for special rows: a null or blank text has no words and fails the base rules; a null
-language or source is a group of its own; rows of groups with fewer than ``min_group`` documents
-have no estimate and are judged by the base rules alone; repeated rows are judged each; an empty
-table gives an empty result; further input columns are not read.
+language or source is a group of its own; a group none of whose rows passes the base rules needs no
+estimate; repeated rows are judged each; whole texts are counted whatever their length; an empty table
+gives an empty result; further input columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import char_count, let, words
-from corpusloom.runtime import checkpoint
+from corpusloom.runtime import checkpoint, stored
 
 #: Statistics are stored in this many steps a unit.
 UNIT = 256
@@ -37,6 +43,13 @@ DIMS = list(FLOORS)
 #: Estimates are broadcast up to this many groups (about 300 bytes each); beyond it Spark joins them by shuffle.
 BROADCAST_GROUPS = 20_000
 CONCENTRATION_STEPS = 4
+H_SHARE = 0.6
+#: Passing rows that a group needs for an estimate of its own.
+MIN_GROUP = 8
+#: The share of a normal sample beyond the largest accepted distance.
+TAIL = 1e-12
+#: The group of the whole table.
+WHOLE = "*"
 
 
 def _repeat_words(hashes: Column) -> Column:
@@ -104,10 +117,10 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     ).drop("_upper", "_marks", "_lines")
 
 
-def group_key(lang: str = "lang", source: str = "source") -> Column:
-    """One string for each pair of language and source, null unlike any text."""
+def group_keys(lang: str = "lang", source: str = "source") -> list[Column]:
+    """``grp``, one string for each pair of language and source, and ``pool``, one for each language; null is unlike any text."""
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~"))
-    return F.concat_ws("\x01", part(lang), part(source))
+    return [F.concat(part(lang), F.lit("\x01"), part(source)).alias("grp"), part(lang).alias("pool")]
 
 
 def _chi2_even_cdf(x: float, df: int) -> float:
@@ -199,14 +212,13 @@ def _join(rows: DataFrame, estimates: DataFrame, few: bool, how: str = "inner")
     return rows.join(F.broadcast(estimates) if few else estimates, "grp", how)
 
 
-def estimate(features: DataFrame, h_share: float = 0.6, min_group: int = 8) -> DataFrame:
+def estimate(features: DataFrame, h_share: float = H_SHARE) -> DataFrame:
     """The reweighted MCD estimate of each group of ``features`` (columns ``grp`` and the vector).
 
-    ``features`` is read about eight times; pass a checkpointed table.
+    ``features`` is read about eight times; pass a stored table.
     """
-    sizes = checkpoint(features.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") >= min_group))
-    few = sizes.count() <= BROADCAST_GROUPS
-    rows = _join(features.select("grp", *DIMS), sizes.select("grp"), few)
+    few = features.select("grp").distinct().count() <= BROADCAST_GROUPS
+    rows = features.select("grp", *DIMS)
     current = checkpoint(_starts(rows))
     for _ in range(CONCENTRATION_STEPS):
         binned = _distance(_join(rows, current, few)).groupBy("grp", "start", _bin().alias("bin")).agg(*_moment_sums())
@@ -223,29 +235,47 @@ def estimate(features: DataFrame, h_share: float = 0.6, min_group: int = 8) -> D
     return checkpoint(final.select("grp", *ESTIMATE))
 
 
-def judge(rows: DataFrame, estimates: DataFrame, tail: float = 1e-12) -> DataFrame:
-    """``rows`` (statistics and ``grp``) with ``d2`` and ``kept``; rows of unestimated groups have a null ``d2``."""
+def estimates_of(passing: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+    """The estimate that each group of ``passing`` (``grp``, ``pool`` and the vector) is judged by.
+
+    Pools are estimated from all their rows, and only those that a small group needs.
+    """
+    sizes = passing.groupBy("grp", "pool").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("pool_n", F.sum("n").over(Window.partitionBy("pool")))
+    judged_by = F.when(F.col("n") >= min_group, F.col("grp")).when(F.col("pool_n") >= min_group, F.col("pool")).otherwise(F.lit(WHOLE))
+    groups = checkpoint(sizes.select("grp", "pool", judged_by.alias("judge")))
+    few = groups.count() <= BROADCAST_GROUPS
+    own = _join(passing, groups.filter("judge = grp").select("grp"), few).select("grp", *DIMS)
+    pools = groups.filter("judge = pool").select("pool").distinct()
+    pooled = passing.join(F.broadcast(pools) if few else pools, "pool").select(F.col("pool").alias("grp"), *DIMS)
+    parts = own if pools.isEmpty() else own.unionByName(pooled)
+    if not groups.filter(F.col("judge") == WHOLE).isEmpty():
+        parts = parts.unionByName(passing.select(F.lit(WHOLE).alias("grp"), *DIMS))
+    found = estimate(parts).withColumnRenamed("grp", "judge")
+    return checkpoint(groups.select("grp", "judge").join(found, "judge").drop("judge"))
+
+
+def judge(rows: DataFrame, estimates: DataFrame, tail: float = TAIL) -> DataFrame:
+    """``rows`` (statistics and ``grp``) with ``d2`` and ``kept``; only groups without a passing row have a null ``d2``."""
     few = estimates.count() <= BROADCAST_GROUPS
     judged = _distance(_join(rows, estimates, few, "left"))
-    limit = chi2_quantile(1 - tail, P)
-    # One comparison: the optimizer would push a condition on base_failed below the join, and count each text once more.
-    distance = F.greatest(F.col("base_failed").cast("double") * 1e300, F.coalesce(F.col("d2"), F.lit(0.0)))
-    return judged.withColumn("kept", distance <= limit).drop(*ESTIMATE)
+    near = F.coalesce(F.col("d2") <= chi2_quantile(1 - tail, P), F.lit(False))
+    return judged.withColumn("kept", ~F.col("base_failed") & near).drop(*ESTIMATE)
 
 
 def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The counts and the verdict for each document, texts not carried."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), group_key(lang, source).alias("grp"))
-    rows = checkpoint(statistics(rows).drop("text"))
-    return judge(rows, estimate(rows.filter(~F.col("base_failed"))))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *group_keys(lang, source))
+    rows = stored(statistics(rows).drop("text"))
+    return judge(rows, estimates_of(rows.filter(~F.col("base_failed"))))
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` that pass, with their columns.
 
-    Texts are scanned twice, for the estimates and for the verdicts, and never shuffled.
+    Texts are counted once and stored beside their statistics, which alone are read for the estimates;
+    they are never shuffled.
     """
     every = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    rows = statistics(docs.select(every, F.col(text).alias("text"), group_key(lang, source).alias("grp")))
-    fit = checkpoint(rows.select("grp", "base_failed", *DIMS)).filter(~F.col("base_failed"))
-    return judge(rows, estimate(fit)).filter("kept").select("_row.*")
+    rows = stored(statistics(docs.select(every, F.col(text).alias("text"), *group_keys(lang, source))).drop("text"))
+    return judge(rows, estimates_of(rows.filter(~F.col("base_failed")))).filter("kept").select("_row.*")

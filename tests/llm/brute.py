@@ -185,3 +185,62 @@ def label_marginals(nodes, field, op):
         for i, y in enumerate(labels):
             out[i, y] += math.exp(score - top)
     return out / out.sum(1, keepdims=True)
+
+
+def license_digest(text: str | None) -> str | None:
+    """The digest of a text's canonical form, line by line and word by word."""
+    openings = [
+        "permission is hereby granted", "permission to use", "redistribution and use", "this software is provided", "permission is granted", "licensed under",
+        "this is free and unencumbered", "all rights reserved",
+    ]
+    any_opening = "|".join(openings)
+    lines = (text or "").lower().split("\n")
+    marks = r"(copyright|\(c\)|©)"
+    lines = [re.sub(rf"{marks}[^a-z]*(\(c\)|©|\d{{4}}).{{0,200}}?[^a-z0-9]({any_opening})", r" \3", x, flags=re.ASCII) for x in lines]
+    lines = [re.sub(rf"all rights reserved[^a-z0-9]*({any_opening})", r" \1", x) for x in lines]
+    lines = ["" if re.match(rf"[^a-z0-9]*{marks}[^a-z]*(\(c\)|©|[0-9]{{4}}|by[^a-z0-9])", x) or re.fullmatch("[^a-z0-9]*all rights reserved[^a-z0-9]*", x) else x for x in lines]
+    form = "".join(c if c.isalpha() or c.isnumeric() else " " for c in "\n".join(lines))
+    form = " ".join(form.split())
+    for a, b in (
+        ("licenc", "licens"), ("copyright owner", "copyright holder"), ("copyright holders", "copyright holder"), ("isation", "ization"), ("authoris", "authoriz"),
+        ("organis", "organiz"), ("recognis", "recogniz"), ("utilis", "utiliz"), ("realis", "realiz"), ("favour", "favor"), ("labour", "labor"), ("colour", "color"),
+        ("honour", "honor"), ("fulfill", "fulfil"), ("acknowledgement", "acknowledgment"), ("per cent", "percent"), ("non commercial", "noncommercial"),
+        ("merchantibility", "merchantability"), ("whilst", "while"), ("https ", "http "),
+    ):
+        form = form.replace(a, b)
+    return hashlib.sha256(form.encode()).hexdigest() if form else None
+
+
+def mcd(vectors, floors: list[float], unit: int, share: float, steps: int, width: int):
+    """The reweighted MCD estimate (location, scatter) of one group by plain matrices, with the operator's starts and bins."""
+    import numpy as np
+
+    from corpusloom.llm.op01_quality import BINS, STEPS, _consistency, chi2_quantile
+
+    x = np.array(vectors, float)
+    n, p = x.shape
+    floor = np.array(floors) * unit
+
+    def fit(part, factor):
+        m = part.mean(0)
+        return m, factor * ((part - m).T @ (part - m) / len(part)) + np.diag(floor**2)
+
+    def distance(m, c):
+        return np.einsum("ij,ij->i", x - m, np.linalg.solve(c, (x - m).T).T)
+
+    def at(column, q):
+        cells = np.sort(np.floor(column / width))
+        return (cells[np.flatnonzero(np.arange(1, n + 1) >= q * n)[0]] + 0.5) * width
+
+    middle = np.array([at(x[:, j], 0.5) for j in range(p)])
+    spread = np.maximum([(at(x[:, j], 0.75) - at(x[:, j], 0.25)) / 1.349 for j in range(p)], floor)
+    m, c = fit(x, 1.0)
+    found = []
+    for m, c in ((middle, np.diag(spread**2)), (m, np.diag(np.diag(np.linalg.cholesky(c)) ** 2))):
+        for _ in range(steps):
+            bins = np.minimum(BINS, np.floor(np.log2(1 + distance(m, c)) * STEPS))
+            before = np.array([(bins < b).sum() for b in bins])
+            m, c = fit(x[before < share * n], _consistency(share, p))
+        found.append((np.linalg.slogdet(c)[1], len(found), m, c))
+    _, _, m, c = min(found, key=lambda f: f[:2])
+    return fit(x[distance(m, c) <= chi2_quantile(0.975, p)], _consistency(0.975, p))

@@ -77,6 +77,38 @@ def test_quality_rejects_outliers_of_its_group(spark):
     assert sorted(r["doc_id"] for r in op01_quality.keep_good(df).collect()) == sorted(d for d in kept if kept[d])
 
 
+def test_quality_verdicts_match_brute_force(spark):
+    """Distances by plain matrices: of groups, of a language's pool for a small group, of the whole table for a small language."""
+    rng = random.Random(2)
+    rows = []
+    for k in range(400):
+        lang, source = ("en", f"s{k % 3}") if k < 300 else ("de", "s0") if k < 380 else ("de", f"few{k % 9}") if k < 395 else ("it", None)
+        text = " ".join(w + rng.choice(["", "", "!", "#"]) for w in prose(rng, rng.randint(12, 90)).split())
+        rows.append((k, text.upper() if k % 37 == 0 else text, lang, source, 0))
+    rows += [rows[5], (500, None, None, None, None)]
+    df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("x") for c in ("grp", "pool", "judge", "d2", "kept")})
+    got = op01_quality.quality(df).collect()
+    by: dict = {}
+    for r in got:
+        if not r["base_failed"]:
+            v = [r[c] for c in op01_quality.DIMS]
+            for key in (r["grp"], r["pool"], op01_quality.WHOLE):
+                by.setdefault(key, []).append(v)
+    limit = op01_quality.chi2_quantile(1 - op01_quality.TAIL, op01_quality.P)
+    used = set()
+    for r in got:
+        if r["base_failed"]:
+            assert not r["kept"]
+            continue
+        key = next(k for k in (r["grp"], r["pool"], op01_quality.WHOLE) if k == op01_quality.WHOLE or len(by[k]) >= op01_quality.MIN_GROUP)
+        used.add(len(key.split("\x01")) if key != op01_quality.WHOLE else 0)
+        m, c = brute.mcd(by[key], list(op01_quality.FLOORS.values()), op01_quality.UNIT, op01_quality.H_SHARE, op01_quality.CONCENTRATION_STEPS, op01_quality.UNIT // 8)
+        x = np.array([r[d] for d in op01_quality.DIMS]) - m
+        want = float(x @ np.linalg.solve(c, x))
+        assert r["d2"] == pytest.approx(want, rel=1e-6, abs=1e-6) and r["kept"] == (want <= limit)
+    assert used == {0, 1, 2} and len(got) == len(rows)
+
+
 def test_chi_square_quantiles():
     assert op01_quality.chi2_quantile(0.95, 2) == pytest.approx(5.9915, abs=1e-3)
     assert op01_quality.chi2_quantile(0.975, 6) == pytest.approx(14.449, abs=1e-3)
@@ -192,11 +224,14 @@ def url_brute(url):
 
 
 def test_url_rules_and_exact_membership(spark):
-    urls = URLS + [f"http://h{k}.net/p" for k in range(3000)]
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit("x"))
+    urls = URLS + [f"http://h{k}.net/p" for k in range(3000)] + [f"http://{'long.' * 20_000}net/{'p' * 100_000}", "http://h7.net/q"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({c: F.lit("x") for c in ("host", "fit", "listed", "rule")})
+    pages = pages.unionByName(pages.filter("page_id = 20"))
     listed = F.substring(F.md5(F.col("host").cast("binary")), 1, 1).isin("0", "1")
-    for bound in (op05_urls.MAX_FILTER_BYTES, 10):
-        rows = {r["page_id"]: r for r in op05_urls.filter_urls(pages, listed, max_filter_bytes=bound).collect()}
+    for bound in (op05_urls.MAX_FILTER_BYTES, 200):
+        found = op05_urls.filter_urls(pages, listed, max_filter_bytes=bound).collect()
+        assert len(found) == len(urls) + 1
+        rows = {r["page_id"]: r for r in found}
         import hashlib
 
         for k, url in enumerate(urls):
@@ -244,6 +279,29 @@ def test_license_files_as_found(spark):
     assert got == {k: name for k, (_, name) in enumerate(rows)}
 
 
+def test_licenses_match_brute_force(docs, spark):
+    mit = dict(op06_licenses.KNOWN)["MIT"]
+    rows = [(d, t) for d, t, *_ in corpus()] + op06_licenses.known_texts()[::3]
+    rows = [(k, t) for k, (_, t) in enumerate(rows)]
+    rows += [(1, mit), (1, mit), (None, mit), (2, "word " * 200_000 + mit), (3, "© 2020 Élan\n\n“Whilst” the COLOUR — 3½ per cent"), (4, "(c) (c) 2001 x\nAll Rights Reserved.\nall rights reserved\nbody")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumns({c: F.lit("x") for c in ("digest", "license", "name")})
+    names: dict = {}
+    for name, text in op06_licenses.known_texts():
+        key = brute.license_digest(text)
+        names[key] = min(name, names.get(key, name))
+    want = [(d, key, names.get(key)) for d, key in ((d, brute.license_digest(t)) for d, t in rows)]
+    assert brute.counted([tuple(r) for r in op06_licenses.scan_licenses(df).collect()]) == brute.counted(want)
+    assert sum(name is not None for *_, name in want) > 20
+
+
+def test_licenses_of_equal_digests_and_a_long_table(spark, monkeypatch):
+    monkeypatch.setattr(op06_licenses, "BROADCAST_LICENSES", 1)
+    known = spark.createDataFrame([("b", "Some licence."), ("a", "some LICENSE"), ("c", "other"), ("d", None)], "name string, text string")
+    df = spark.createDataFrame([(1, "Some licence"), (2, "other words"), (3, None), (4, "Other!"), (4, "Other!")], "doc_id long, text string")
+    got = [(r["doc_id"], r["license"]) for r in op06_licenses.scan_licenses(df, known).collect()]
+    assert brute.counted(got) == brute.counted([(1, "a"), (2, None), (3, None), (4, "c"), (4, "c")])
+
+
 def test_substrings_match_brute_force(docs):
     rows = [(d, t) for d, t, *_ in corpus()]
     assert brute.counted(list(map(tuple, remove_repeats(docs).collect()))) == brute.counted(brute.removed(rows))
