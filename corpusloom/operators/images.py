@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import imghash, pixels
-from corpusloom.operators import dedup, filters
+from corpusloom.operators import decoding, dedup, filters
 from corpusloom.runtime import ship
 
 Filter = Callable[[DataFrame], DataFrame]
@@ -30,8 +30,7 @@ def hash_png(data: bytes | None, algorithm: str) -> str | None:
 def downsample(max_pixels: int, pil_resample: int = 1) -> Filter:
     """Bring single images of more than ``max_pixels`` down; their bytes become PNG.
 
-    One kernel (area averaging) serves all kinds of resampling.  Images in formats without a decoder
-    here keep their bytes and get the new size.
+    One kernel (area averaging) serves all kinds of resampling.  Images that cannot be decoded stay as they are.
     """
     if pil_resample not in RESAMPLING:
         raise ValueError(f"unknown resampling {pil_resample}")
@@ -50,10 +49,11 @@ def downsample(max_pixels: int, pil_resample: int = 1) -> Filter:
         first = F.get("images", F.lit(0))
         width, height = filters.scaled(first["width"].cast("long"), first["height"].cast("long"), max_pixels)
         over = filters.is_single_image() & (first["width"].cast("long") * first["height"] > max_pixels)
-        small = df.filter(over).withColumns({"_w": width.cast("int"), "_h": height.cast("int"), "_b": first["bytes"], "_f": first["format"]})
-        small = small.withColumn("_b", shrink("_b", "_w", "_h"))
-        image = F.array(F.struct(F.col("_b").alias("bytes"), F.col("_f").alias("format"), F.col("_w").alias("width"), F.col("_h").alias("height")))
-        return df.filter(~F.coalesce(over, F.lit(False))).unionByName(small.withColumn("images", image).drop("_w", "_h", "_b", "_f"))
+        small = df.filter(over).withColumns({"_w": width.cast("int"), "_h": height.cast("int"), "_b": first["bytes"]})
+        small = decoding.as_png(small, "_b").withColumn("_b", shrink("_b", "_w", "_h"))
+        scaled = F.array(F.struct(F.col("_b").alias("bytes"), F.lit("png").alias("format"), F.col("_w").alias("width"), F.col("_h").alias("height")))
+        image = F.when(F.col("_b").isNotNull(), scaled).otherwise(F.col("images"))
+        return df.filter(~F.coalesce(over, F.lit(False))).unionByName(small.withColumn("images", image).drop("_w", "_h", "_b"))
 
     return apply
 
@@ -68,7 +68,8 @@ def with_image_hash(df: DataFrame, algorithm: str) -> DataFrame:
     def hashed(data: pd.Series) -> pd.Series:
         return data.map(lambda d: None if d is None else hash_png(d, algorithm))
 
-    return df.withColumn("img_hash", hashed(F.when(filters.is_single_image(), F.get("images", F.lit(0))["bytes"])))
+    single = df.withColumn("_b", F.when(filters.is_single_image(), F.get("images", F.lit(0))["bytes"]))
+    return decoding.as_png(single, "_b").withColumn("img_hash", hashed("_b")).drop("_b")
 
 
 def deduplication(db_path: str | None = None, algorithm: str = "phash") -> Filter:

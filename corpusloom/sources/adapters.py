@@ -15,13 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import imghash, pixels, text
+from corpusloom.operators.decoding import as_png
 from corpusloom.operators.dedup import last_wins
 from corpusloom.operators.folds import gate_frames
 from corpusloom.operators.ordinals import dense_ids
 from corpusloom.runtime import ship
 from corpusloom.schema import as_samples
 from corpusloom.sources import files
-from corpusloom.sources.archives import read_members
+from corpusloom.sources.archives import read_csv_member, read_members
 
 Adapter = Callable[..., DataFrame]
 ADAPTERS: dict[str, Adapter] = {}
@@ -187,11 +188,12 @@ def nct_crc_he(spark: SparkSession, zip_path: str, dataset_id: str = "nct_crc_he
 
 
 @adapter("NihChestXray")
-def nih_chest_xray(spark: SparkSession, zip_path: str, csv_path: str, dataset_id: str = "nih_chest_xray", **_: object) -> DataFrame:
-    """The record table lies beside the archive (``csv_path``)."""
-    records = spark.read.csv(csv_path, header=True)
-    caption = text.xray_caption(F.col("Finding Labels"), F.col("Patient Age"), F.col("Patient Gender"), F.col("View Position"))
-    lookup = records.select(F.trim("Image Index").alias("name"), caption.alias("caption")).dropDuplicates(["name"])
+def nih_chest_xray(spark: SparkSession, zip_path: str, dataset_id: str = "nih_chest_xray", **_: object) -> DataFrame:
+    """The record table is a member of the archive; of several records of an image the last one counts."""
+    cell = lambda name: F.try_element_at("row", F.lit(name))
+    caption = text.xray_caption(*(cell(c) for c in ("Finding Labels", "Patient Age", "Patient Gender", "View Position")))
+    records = read_csv_member(spark, zip_path, "Data_Entry_2017.csv").select("n", F.trim(cell("Image Index")).alias("name"), caption.alias("caption"))
+    lookup = last_wins(records, "name", "n", "caption")
     rows = read_members(spark, zip_path, lambda p: p.lower().endswith(".png")).withColumn("name", text.basename(F.col("path")))
     return _captioned(decoded(numbered(rows.join(lookup, "name"), "archive", "ord")), dataset_id, False)
 
@@ -211,7 +213,8 @@ def medicat(spark: SparkSession, tar_path: str, dataset_id: str = "medicat", cac
 @adapter("MedMax")
 def medmax(spark: SparkSession, data_dir: str, image_only: bool, cache_file: str | None = None, **_: object) -> DataFrame:
     """Captions of the training file override those of the validation file."""
-    part = lambda name, k: spark.read.json(f"{data_dir}/{name}.jsonl").select("image_path", "text", "task", "source", F.lit(k).alias("ord"))
+    fields = ("image_path", "text", "task", "source")
+    part = lambda name, k: files.in_file_order(spark.read.json(f"{data_dir}/{name}.jsonl"), exact=False).select(*fields, F.struct(F.lit(k), "_place").alias("ord"))
     lookup = last_wins(part("validation", 0).unionByName(part("train", 1)), "image_path", "ord", "text", "task", "source")
     if cache_file:
         lookup = files.materialised(spark, lookup, cache_file)
@@ -223,8 +226,8 @@ def medmax(spark: SparkSession, data_dir: str, image_only: bool, cache_file: str
 
 @adapter("MedTrinityFull")
 def medtrinity_full(spark: SparkSession, data_dir: str, image_only: bool, cache_file: str | None = None, **_: object) -> DataFrame:
-    table = spark.read.parquet(f"{data_dir}/*.parquet").select("file_name", "caption", "source").filter(F.col("source").isin(*TRINITY_SOURCES))
-    lookup = last_wins(table.withColumn("ord", F.monotonically_increasing_id()), "file_name", "ord", "caption", "source")
+    table = files.in_file_order(spark.read.parquet(f"{data_dir}/*.parquet")).filter(F.col("source").isin(*TRINITY_SOURCES))
+    lookup = last_wins(table, "file_name", "_place", "caption", "source")
     if cache_file:
         lookup = files.materialised(spark, lookup, cache_file)
     rows = read_members(spark, f"{data_dir}/*.tar.zst").withColumn("file_name", text.basename(F.col("path")))
@@ -235,16 +238,16 @@ def medtrinity_full(spark: SparkSession, data_dir: str, image_only: bool, cache_
 @adapter("MedTrinityDemo")
 def medtrinity_demo(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
     """The first 10,000 rows of a downloaded folder."""
-    rows = spark.read.parquet(data_dir).select(F.col("image.bytes").alias("content"), F.col("image.path").alias("path"), F.monotonically_increasing_id().alias("ord"))
-    rows = files.with_size(numbered(rows.orderBy("ord").limit(10_000), "ord"))
+    rows = files.in_file_order(spark.read.parquet(data_dir)).select(F.col("image.bytes").alias("content"), F.col("image.path").alias("path"), "_place")
+    rows = files.with_size(numbered(rows.orderBy("_place").limit(10_000), "_place"))
     return as_samples(decoded(rows), "medtrinity_demo", "image", images=image_of())
 
 
 @adapter("PMCOA")
 def pmcoa(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
     """Ids are places in the whole listing of the archive."""
-    records = spark.read.json(f"{data_dir}/pmc_oa.jsonl").select(F.concat(F.lit(PMC_FOLDER + "/"), "image").alias("path"), "caption", F.monotonically_increasing_id().alias("n"))
-    lookup = last_wins(records, "path", "n", "caption")
+    records = files.in_file_order(spark.read.json(f"{data_dir}/pmc_oa.jsonl"), exact=False)
+    lookup = last_wins(records.select(F.concat(F.lit(PMC_FOLDER + "/"), "image").alias("path"), "caption", "_place"), "path", "_place", "caption")
     rows = read_members(spark, f"{data_dir}/images.zip").withColumnRenamed("ord", "sample_id").join(lookup, "path")
     return _captioned(decoded(rows), "pmc_oa", False)
 
@@ -266,7 +269,7 @@ def laion_aesthetics(spark: SparkSession, data_dir: str, **_: object) -> DataFra
 def _nested_rows(spark: SparkSession, data_dir: str) -> DataFrame:
     """A saved dataset with conversations and modalities, as Parquet or as Arrow streams."""
     schema = "conversations array<struct<role:string,content:string>>, modalities array<struct<type:string,value:struct<bytes:binary>>>"
-    return spark.read.parquet(data_dir) if _has_parquet(spark, data_dir) else files.read_arrow_dataset(spark, data_dir, schema)
+    return files.in_file_order(spark.read.parquet(data_dir)) if _has_parquet(spark, data_dir) else files.read_arrow_dataset(spark, data_dir, schema)
 
 
 def _has_parquet(spark: SparkSession, path: str) -> bool:
@@ -276,7 +279,7 @@ def _has_parquet(spark: SparkSession, path: str) -> bool:
 
 @adapter("Meditron")
 def meditron(spark: SparkSession, dataset_id: str, data_dir: str, image_only: bool, **_: object) -> DataFrame:
-    rows = numbered(_nested_rows(spark, data_dir).withColumn("_o", F.monotonically_increasing_id()), "_o")
+    rows = numbered(_nested_rows(spark, data_dir), "_place")
     pictures = F.transform(F.filter("modalities", lambda m: m["type"] == "image"), lambda m: m["value"]["bytes"])
     rows = rows.withColumn("pictures", pictures).filter("size(pictures) > 0")
     single = files.with_size(rows.select("sample_id", "conversations", F.posexplode("pictures").alias("k", "content")).withColumn("path", F.lit("")))
@@ -291,7 +294,7 @@ def meditron(spark: SparkSession, dataset_id: str, data_dir: str, image_only: bo
 
 @adapter("MultiCaRe")
 def multicare(spark: SparkSession, data_dir: str, dataset_id: str = "multicare", **_: object) -> DataFrame:
-    rows = numbered(spark.read.parquet(data_dir).select("image", "caption").withColumn("_o", F.monotonically_increasing_id()), "_o")
+    rows = numbered(files.in_file_order(spark.read.parquet(data_dir)).select("image", "caption", "_place"), "_place")
     rows = rows.filter("image IS NOT NULL AND caption IS NOT NULL AND caption != ''").select("sample_id", "caption", F.col("image.bytes").alias("content"), F.coalesce(F.col("image.path").cast("string"), F.lit("")).alias("path"))
     return _captioned(decoded(files.with_size(rows)), dataset_id, False)
 
@@ -300,8 +303,8 @@ def multicare(spark: SparkSession, data_dir: str, dataset_id: str = "multicare",
 def scin(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
     """Ids number the images that exist, row by row; a resumed run filters on them."""
     cells = F.posexplode(F.array("image_1_path", "image_2_path", "image_3_path"))
-    table = spark.read.parquet(data_dir).select("image_1_path", "image_2_path", "image_3_path", F.monotonically_increasing_id().alias("_o"))
-    rows = numbered(table.select("_o", cells.alias("k", "image")).filter("image IS NOT NULL"), "_o", "k")
+    table = files.in_file_order(spark.read.parquet(data_dir))
+    rows = numbered(table.select("_place", cells.alias("k", "image")).filter("image IS NOT NULL"), "_place", "k")
     rows = rows.select("sample_id", F.col("image.bytes").alias("content"), F.coalesce(F.col("image.path").cast("string"), F.lit("")).alias("path"))
     return as_samples(decoded(files.with_size(rows)), "scin", "image", images=image_of())
 
@@ -313,24 +316,32 @@ def medmnist(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
     return as_samples(rows, "medmnist", "image", images=image_of(form=F.lit("png")), data=fields)
 
 
+#: The folder in the archive of the same name, with its table (fixed values).
+ISIC_FOLDER = "ISIC_2024_Permissive_Training_Input"
+
+
 @adapter("ISIC")
-def isic(spark: SparkSession, data_dir: str, archive: str = "images.zip", **_: object) -> DataFrame:
-    table = spark.read.csv(f"{data_dir}/metadata.csv", header=True).withColumn("_o", F.monotonically_increasing_id())
-    table = numbered(table, "_o").drop("_o")
-    fields = table.select("sample_id", "isic_id", F.to_json(F.struct(*[c for c in table.columns if c != "sample_id"])).alias("row"))
+def isic(spark: SparkSession, data_dir: str, archive: str = f"{ISIC_FOLDER}.zip", **_: object) -> DataFrame:
+    """The table is a member of the archive; ids are its lines."""
+    table = read_csv_member(spark, f"{data_dir}/{archive}", "metadata.csv")
+    fields = table.select(F.col("n").alias("sample_id"), F.try_element_at("row", F.lit("isic_id")).alias("isic_id"), F.to_json("row").alias("row"))
     images = read_members(spark, f"{data_dir}/{archive}", lambda p: p.lower().endswith(".jpg")).withColumn("isic_id", text.stem(F.col("path")))
-    return as_samples(decoded(fields.join(images, "isic_id")), "isic", "image", images=image_of(), data=F.create_map(F.lit("row"), F.col("row")))
+    data = F.create_map(F.lit("dataset_id"), F.lit("isic"), F.lit("patient_info"), F.col("row"))
+    return as_samples(decoded(fields.join(images, "isic_id")), "isic", "image", images=image_of(), data=data)
 
 
 @adapter("UWF")
 def uwf(spark: SparkSession, data_dir: str, table: str = "table.csv", **_: object) -> DataFrame:
     """Images of the two sizes in use, brought to 1300 x 1024; another size is an error."""
-    records = numbered(files.read_table(spark, f"{data_dir}/{table}").withColumn("_o", F.monotonically_increasing_id()), "_o")
+    records = files.read_table(spark, f"{data_dir}/{table}")
+    records = numbered(files.in_file_order(records, exact=False) if table.endswith(".csv") else records.withColumn("_place", F.monotonically_increasing_id()), "_place")
     key = F.concat_ws("/", F.col("Diagnosis"), F.regexp_replace("`Image ID `", r"\.[^.]*$", ""))
     images = files.read_images(spark, [f"{data_dir}/Original UWF Image"], ("jpg", "jpeg", "png"))
     images = images.withColumn("_key", F.concat_ws("/", F.element_at(F.split("path", "/"), -2), text.stem(F.col("path"))))
     joined = records.withColumn("_key", key).join(images, "_key")
-    return as_samples(resized(joined, 1300, 1024, ((3900, 3072), (2600, 2048))), "uwf", "image", images=image_of())
+    fields = ("Image ID ", "Patient ID", "Eye category", "Age", "Sex", "Diagnosis")
+    data = F.create_map(F.lit("dataset_id"), F.lit("uwf"), *(x for c in fields for x in (F.lit(c.strip().lower().replace(" ", "_")), F.col(f"`{c}`").cast("string"))))
+    return as_samples(resized(joined, 1300, 1024, ((3900, 3072), (2600, 2048))), "uwf", "image", images=image_of(), data=data)
 
 
 @adapter("RFMiD2")
@@ -348,11 +359,7 @@ def slide(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
 
 
 def resized(rows: DataFrame, width: int, height: int, allowed: tuple[tuple[int, int], ...]) -> DataFrame:
-    """Rows with the target size noted; sizes other than the allowed ones end the run.
-
-    Pixels of PNG files are resampled; other formats keep their bytes, as no decoder for them is
-    part of the engine, and carry the target size for the consumer.
-    """
+    """Rows with images brought to the target size, as PNG; sizes other than the allowed ones end the run."""
     ship(rows.sparkSession)
 
     fits = F.lit(False)
@@ -363,13 +370,16 @@ def resized(rows: DataFrame, width: int, height: int, allowed: tuple[tuple[int,
 
     @F.pandas_udf("binary")
     def small(column: pd.Series) -> pd.Series:
-        def shrink(data: bytes) -> bytes:
-            decoded_pixels = pixels.decode_png(data)
-            return data if decoded_pixels is None else pixels.encode_png(pixels.resize(decoded_pixels, width, height))
+        def shrink(data: bytes | None) -> bytes | None:
+            image = pixels.decode_png(data)
+            return None if image is None else pixels.encode_png(pixels.resize(image, width, height))
 
         return column.map(shrink)
 
-    return checked.filter("width > 0").withColumn("content", small("content")).withColumns({"width": F.lit(width), "height": F.lit(height)})
+    found = as_png(checked.filter("width > 0"), "content").withColumn("content", small("content"))
+    message = F.concat(F.lit("cannot decode "), F.col("path"))
+    found = found.withColumn("content", F.coalesce("content", F.raise_error(message).cast("binary")))
+    return found.withColumns({"width": F.lit(width), "height": F.lit(height), "path": F.concat("path", F.lit(".png"))})
 
 
 @adapter("MedPix")

@@ -1,28 +1,43 @@
 """Archive members as rows: zip, tar, gzipped and zstandard tars, zips inside zips.
 
-Archives come through Spark's ``binaryFile`` reader, so they may lie in any store it reads; archives
-of 2 GB and more, which that reader refuses, are streamed from a mounted path by the ``archive``
-data source.  A member's payload is read only where its name is wanted.
+Spark's ``binaryFile`` reader lists the archives, so they may lie in any store it reads; tasks open them
+where they lie and read what they need, so an archive may have any size.  The entries of a zip are listed
+in one task and read in many, each a stretch of the file; tars and zips inside zips are streamed by one
+task each.  An inner archive that is stored is read in place, a compressed one by way of the task's disk.
+A member's payload is read only where its name is wanted; one member must fit in a value of 2 GB.
+
+Stores that only Spark's readers know are read through ``binaryFile`` content, archives below 2 GB.
 """
 
 from __future__ import annotations
 
+import csv
+import fnmatch
 import glob
 import io
 import tarfile
+import tempfile
 import warnings
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from typing import IO, Any
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpusloom.functions.pixels import image_size
 from corpusloom.runtime import ship
 
 MEMBERS = "archive string, ord long, path string, content binary, width int, height int"
+ENTRIES = "archive string, ord long, path string, offset long, size long, method int"
+#: Schemes that tasks can open by themselves; others go through Spark's reader.
+OPENED = ("file", "hdfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
+#: Bytes of a zip that one task reads in a row, and bytes and rows of a batch of members.
+STRETCH, BATCH_BYTES, BATCH_ROWS = 64 << 20, 32 << 20, 64
 Want = Callable[[str], bool]
 
 
@@ -30,6 +45,59 @@ def everything(path: str) -> bool:
     return True
 
 
+def _errors() -> tuple[type[Exception], ...]:
+    """What a damaged archive raises."""
+    import zstandard
+
+    return zipfile.BadZipFile, tarfile.TarError, EOFError, OSError, zlib.error, zstandard.ZstdError, NotImplementedError
+
+
+def scheme_of(path: str) -> str:
+    head, colon, _ = path.partition(":")
+    return head if colon and "/" not in head else "file"
+
+
+def open_file(path: str) -> IO[bytes]:
+    """A seekable file of the local system or of a store that Arrow reads."""
+    scheme = scheme_of(path)
+    if scheme == "file":
+        system, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+    else:
+        system, inner = fs.FileSystem.from_uri("s3" + path.removeprefix("s3a") if scheme == "s3a" else path)
+    file = system.open_input_file(inner)
+    return io.BufferedReader(_Stretch(file, 0, file.size()), 1 << 20)
+
+
+class _Stretch(io.RawIOBase):
+    """A part of a file as a file."""
+
+    def __init__(self, file: IO[bytes], start: int, size: int):
+        self.file, self.start, self.size, self.at = file, start, size, 0
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        at = offset + {io.SEEK_SET: 0, io.SEEK_CUR: self.at, io.SEEK_END: self.size}[whence]
+        if at < 0:
+            raise OSError("before the start of the file")
+        self.at = at
+        return at
+
+    def readinto(self, buffer: Any) -> int:
+        self.file.seek(self.start + self.at)
+        data = self.file.read(max(0, min(len(buffer), self.size - self.at)))
+        buffer[: len(data)] = data
+        self.at += len(data)
+        return len(data)
+
+
 def iter_members(file: IO[bytes], name: str, want: Want = everything, nested: bool = False) -> Iterator[tuple[int, str, bytes]]:
     """(ordinal, path, content) of wanted members; ordinals count all entries in archive order.
 
@@ -40,24 +108,44 @@ def iter_members(file: IO[bytes], name: str, want: Want = everything, nested: bo
             yield from _zip_members(file, want, nested)
         else:
             yield from _tar_members(file, name, want)
-    except (zipfile.BadZipFile, tarfile.TarError, EOFError) as error:
+    except _errors() as error:
         warnings.warn(f"{name}: {error}", stacklevel=2)
 
 
+def _data_start(file: IO[bytes], offset: int) -> int:
+    """Where the data of a zip's entry begins, from its local header."""
+    file.seek(offset)
+    header = file.read(30)
+    if header[:4] != b"PK\3\4":
+        raise zipfile.BadZipFile("no entry where the directory says")
+    return offset + 30 + int.from_bytes(header[26:28], "little") + int.from_bytes(header[28:30], "little")
+
+
 def _zip_members(file: IO[bytes], want: Want, nested: bool) -> Iterator[tuple[int, str, bytes]]:
     with zipfile.ZipFile(file) as z:
         for k, info in enumerate(z.infolist()):
             if info.is_dir():
                 continue
             if nested and info.filename.endswith(".zip"):
-                with z.open(info) as inner:
-                    inside = io.BytesIO(inner.read())
-                for j, path, content in iter_members(inside, info.filename, lambda p, outer=info.filename: want(f"{outer}/{p}")):
+                for j, path, content in _inner_members(file, z, info, want):
                     yield (k << 32) + j, f"{info.filename}/{path}", content
             elif want(info.filename):
                 yield (k << 32 if nested else k), info.filename, z.read(info)
 
 
+def _inner_members(file: IO[bytes], z: zipfile.ZipFile, info: zipfile.ZipInfo, want: Want) -> Iterator[tuple[int, str, bytes]]:
+    wanted = lambda p: want(f"{info.filename}/{p}")
+    if info.compress_type == zipfile.ZIP_STORED:
+        inside = io.BufferedReader(_Stretch(file, _data_start(file, info.header_offset), info.file_size), 1 << 20)
+        yield from iter_members(inside, info.filename, wanted)
+        return
+    with tempfile.TemporaryFile() as spooled, z.open(info) as inner:
+        while piece := inner.read(8 << 20):
+            spooled.write(piece)
+        spooled.seek(0)
+        yield from iter_members(spooled, info.filename, wanted)
+
+
 def _tar_members(file: IO[bytes], name: str, want: Want) -> Iterator[tuple[int, str, bytes]]:
     if name.endswith(".zst"):
         import zstandard
@@ -75,34 +163,103 @@ def _row(archive: str, k: int, path: str, content: bytes) -> tuple[Any, ...]:
     return archive, k, path, content, *(size or (None, None))
 
 
-def read_members(spark: SparkSession, path: str, want: Want = everything, nested: bool = False, rows_per_batch: int = 64) -> DataFrame:
+def _batched(rows: Iterator[tuple[Any, ...]]) -> Iterator[pa.RecordBatch]:
+    """Batches of MEMBERS, bounded in rows and in bytes."""
+    names = [c.split()[0] for c in MEMBERS.split(", ")]
+    types = [pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.int32()]
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+    waiting: list[tuple[Any, ...]] = []
+    held = 0
+    for row in rows:
+        if waiting and held + len(row[3]) > BATCH_BYTES:
+            yield batch(waiting)
+            waiting, held = [], 0
+        waiting.append(row)
+        held += len(row[3])
+        if len(waiting) == BATCH_ROWS:
+            yield batch(waiting)
+            waiting, held = [], 0
+    if waiting:
+        yield batch(waiting)
+
+
+def _listed(batches: Iterator[pa.RecordBatch], want: Want) -> Iterator[pa.RecordBatch]:
+    """The wanted entries of zips, by ENTRIES."""
+    for batch in batches:
+        for archive in batch.column(0).to_pylist():
+            rows = []
+            try:
+                with open_file(archive) as file, zipfile.ZipFile(file) as z:
+                    for k, info in enumerate(z.infolist()):
+                        if not info.is_dir() and want(info.filename):
+                            rows.append((archive, k, info.filename, info.header_offset, info.compress_size, info.compress_type))
+            except _errors() as error:
+                warnings.warn(f"{archive}: {error}", stacklevel=2)
+            types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split()[0] for c in ENTRIES.split(", ")])
+
+
+def _entry(file: IO[bytes], path: str, offset: int, size: int, method: int) -> bytes:
+    start = _data_start(file, offset)
+    if method == zipfile.ZIP_STORED or method == zipfile.ZIP_DEFLATED:
+        file.seek(start)
+        data = file.read(size)
+        return zlib.decompress(data, -15) if method == zipfile.ZIP_DEFLATED else data
+    with zipfile.ZipFile(file) as z:
+        return z.read(path)
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple[Any, ...]]:
+        opened, file = None, None
+        for batch in batches:
+            for archive, k, path, offset, size, method in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                try:
+                    if opened != archive:
+                        opened, file = archive, open_file(archive)
+                    yield _row(archive, k, path, _entry(file, path, offset, size, method))
+                except _errors() as error:
+                    warnings.warn(f"{archive}: {path}: {error}", stacklevel=2)
+
+    yield from _batched(rows())
+
+
+def read_members(spark: SparkSession, path: str, want: Want = everything, nested: bool = False) -> DataFrame:
     """The wanted members of the archives at ``path`` (a file, a folder's glob, or a list's common glob)."""
     ship(spark)
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    here = scheme_of(path) in OPENED
+    files = spark.read.format("binaryFile").load(path).select("path", *([] if here else ["content"]))
+    if here and not nested and path.endswith(".zip"):
+        entries = files.mapInArrow(lambda batches: _listed(batches, want), ENTRIES)
+        dealt = entries.repartition("archive", F.floor(F.col("offset") / STRETCH)).sortWithinPartitions("archive", "offset")
+        return dealt.mapInArrow(_entries, MEMBERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in MEMBERS.split(", ")]
-        types = [pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.int32()]
-
-        def batch(rows: list[tuple[Any, ...]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-
-        for source in batches:
-            for archive, content in zip(source.column(0).to_pylist(), source.column(1), strict=True):
-                rows = []
-                for k, member, payload in iter_members(io.BytesIO(content.as_buffer()), archive, want, nested):
-                    rows.append(_row(archive, k, member, payload))
-                    if len(rows) == rows_per_batch:
-                        yield batch(rows)
-                        rows = []
-                if rows:
-                    yield batch(rows)
+        for batch in batches:
+            for k, archive in enumerate(batch.column(0).to_pylist()):
+                with open_file(archive) if here else io.BytesIO(batch.column(1)[k].as_buffer()) as file:
+                    yield from _batched(_row(archive, *member) for member in iter_members(file, archive, want, nested))
 
     return files.mapInArrow(run, MEMBERS)
 
 
+def read_csv_member(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The lines of the CSV member ``name`` of the archive at ``path``: their number ``n`` and a map ``row`` by header."""
+    members = read_members(spark, path, lambda p: p == name or p.endswith("/" + name))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                lines = csv.DictReader(io.TextIOWrapper(io.BytesIO(content.as_buffer()), "utf-8-sig", newline=""))
+                rows = [[(k, v) for k, v in line.items() if k is not None and isinstance(v, str)] for line in lines]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.map_(pa.string(), pa.string()))], ["n", "row"])
+
+    return members.select("content").mapInArrow(run, "n long, row map<string,string>")
+
+
 class ArchiveSource(DataSource):
-    """``spark.read.format("archive").option("suffixes", "png,jpg").load(glob)`` over mounted paths."""
+    """``spark.read.format("archive").option("suffixes", "png,jpg").load(glob)`` over stores that tasks can open."""
 
     @classmethod
     def name(cls) -> str:
@@ -123,11 +280,16 @@ class _ArchiveReader(DataSourceReader):
         self.nested = options.get("nested", "false") == "true"
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in sorted(glob.glob(self.pattern))]
+        if scheme_of(self.pattern) == "file":
+            return [InputPartition(p) for p in sorted(glob.glob(self.pattern.removeprefix("file:")))]
+        folder, _, names = self.pattern.rpartition("/")
+        system, inner = fs.FileSystem.from_uri(folder)
+        found = [i.base_name for i in system.get_file_info(fs.FileSelector(inner)) if i.type == fs.FileType.File]
+        return [InputPartition(f"{folder}/{n}") for n in sorted(found) if fnmatch.fnmatch(n, names)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple[Any, ...]]:
         want = lambda p: p.startswith(self.prefix) and (not self.suffixes or p.lower().endswith(self.suffixes))
-        with open(partition.value, "rb") as file:
+        with open_file(partition.value) as file:
             for k, path, content in iter_members(file, partition.value, want, self.nested):
                 yield _row(partition.value, k, path, content)
 

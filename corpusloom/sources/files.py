@@ -27,6 +27,15 @@ def with_size(df: DataFrame, content: str = "content") -> DataFrame:
     return df.withColumn("_size", sized(content)).withColumns({"width": F.col("_size.width"), "height": F.col("_size.height")}).drop("_size")
 
 
+def in_file_order(rows: DataFrame, exact: bool = True) -> DataFrame:
+    """``rows`` of a file source with ``_place``, which sorts by file name, then by the row's place in its file.
+
+    ``exact`` sources number their rows (Parquet); of others a line's place is its block's and its order in it.
+    """
+    inside = [F.col("_metadata.row_index")] if exact else [F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    return rows.select("*", F.struct(F.col("_metadata.file_path"), *inside).alias("_place"))
+
+
 def read_images(spark: SparkSession, paths: list[str], extensions: tuple[str, ...]) -> DataFrame:
     """path, content, width, height of the image files below ``paths``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "content")
@@ -71,17 +80,21 @@ def read_web_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_arrow_dataset(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The rows of Arrow IPC stream files below ``path``, as a saved dataset holds them."""
+    """The rows of Arrow IPC stream files below ``path``, as a saved dataset holds them, with ``_place`` by file name and row."""
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(1):
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                row = 0
                 with pa.ipc.open_stream(content.as_buffer()) as reader:
-                    yield from reader
+                    for part in reader:
+                        places = pa.StructArray.from_arrays([pa.array([name] * len(part)), pa.array(range(row, row + len(part)), pa.int64())], ["file_path", "row_index"])
+                        yield pa.RecordBatch.from_arrays([*part.columns, places], [*part.schema.names, "_place"])
+                        row += len(part)
 
-    return files.mapInArrow(run, schema)
+    return files.mapInArrow(run, schema + ", _place struct<file_path:string,row_index:bigint>")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
