@@ -2,15 +2,16 @@
 
 Vectors are compared as integers, ``floor(scale * x)``, so scores are exact.  They are rotated by
 the right singular vectors of the whole table (from its second-moment matrix), which moves most of
-their length into the first coordinates.  Candidates are taken in segments of descending length,
-each four times the one before.  A query's k-th best score so far is its bar: a candidate is dropped
-as soon as the inner product of the first coordinates plus the product of the residual lengths
-(Cauchy-Schwarz) stays below the bar; survivors are scored in full.  A query block is done when the
-product of lengths alone bounds the next segment.
+their length into the first coordinates.  Candidates are stored by descending length, then by id, with
+their number in that order, and taken in segments of it, each four times as far as the one before.  A query's bar
+is its k-th best candidate so far, by score and id: a candidate is dropped as soon as the inner product of
+the first coordinates plus the product of the residual lengths (Cauchy-Schwarz) stays below the bar's score;
+survivors are scored in full, and pass only if they beat the bar, ties by the smaller id.  A query block is
+done when the product of lengths alone bounds the next segment.
 
-Queries go to executors in blocks of bounded size (``QUERY_BYTES``); each block scans the segments
-it needs.  A task keeps k candidates for each query of the block, so what is shuffled is bounded by
-k times queries times tasks, and mostly far less thanks to the bar.
+Queries go to executors in blocks of bounded size (``QUERY_BYTES``); each block reads the segments
+it needs, which are ranges of the stored files.  A task keeps k candidates for each query of the block, so what is
+shuffled is bounded by k times queries times the tasks of a segment, and mostly far less thanks to the bar.
 
 Results for special rows: vectors that are null or hold null or non-finite components take no part,
 neither do rows with a null id; shorter vectors count as padded with zeros; empty vectors score 0;
@@ -28,13 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.runtime import checkpoint, release, ship
+from corpusloom.runtime import checkpoint, release, ship, stored
 
 SCALE, TOP = 64, 20
 #: A block of queries, as broadcast to executors.
 QUERY_BYTES = 32 << 20
-#: Candidates in the first segment; each further one is GROWTH times larger.
-FIRST_SEGMENT, GROWTH = 4096, 4
+#: Candidates in the first segment; each further one ends GROWTH times later.
+FIRST_SEGMENT, GROWTH = 512, 4
 #: Rows of candidates and of queries compared at once inside a task.
 ROWS, QUERIES = 2048, 512
 #: Share of the second moment that the first coordinates hold.
@@ -132,11 +133,16 @@ def _rotation(moments: np.ndarray) -> tuple[np.ndarray, int]:
 class _Best:
     """The best ``top`` candidates of each query: score descending, then id ascending."""
 
-    def __init__(self, bars: np.ndarray, top: int):
-        self.bars, self.top = bars.copy(), top
+    def __init__(self, bars: np.ndarray, bar_ids: np.ndarray, top: int):
+        self.bars, self.bar_ids, self.top = bars.copy(), bar_ids.copy(), top
         self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.waiting = 0
 
+    def beaten(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Which candidates are before the k-th best of their queries."""
+        bars = self.bars[query]
+        return (scores > bars) | (scores == bars) & (ids < self.bar_ids[query])
+
     def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         self.found.append((query, ids, scores))
         self.waiting += len(query)
@@ -151,8 +157,9 @@ class _Best:
         query, ids, scores = query[order], ids[order], scores[order]
         first = np.searchsorted(query, query)
         rank = np.arange(len(query)) - first
-        full = rank == self.top - 1
-        self.bars[query[full]] = np.maximum(self.bars[query[full]], scores[full])
+        full = np.flatnonzero(rank == self.top - 1)
+        full = full[self.beaten(query[full], ids[full], scores[full])]
+        self.bars[query[full]], self.bar_ids[query[full]] = scores[full], ids[full]
         kept = rank < self.top
         self.found = [(query[kept], ids[kept], scores[kept])]
         self.waiting = int(kept.sum())
@@ -161,10 +168,10 @@ class _Best:
 
 def _searcher(block: object, top: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, queries, bars, rotation, head = block.value
+        query_ids, queries, bars, bar_ids, rotation, head = block.value
         turned = queries @ rotation
         near, rest = turned[:, :head], np.linalg.norm(turned[:, head:], axis=1)
-        best = _Best(bars, top)
+        best = _Best(bars, bar_ids, top)
         slack = 1e-9 * (1 + np.linalg.norm(queries, axis=1))
         for batch in batches:
             ids_all = batch.column(0).to_numpy()
@@ -186,16 +193,27 @@ def _searcher(block: object, top: int) -> Callable[[Iterator[pa.RecordBatch]], I
                     else:
                         scores = np.einsum("ij,ij->i", queries[part][q], vectors[c])
                     scores = np.rint(scores).astype(np.int64)
-                    over = scores >= best.bars[part][q]
+                    over = best.beaten(q + low, ids[c], scores)
                     best.add(q[over] + low, ids[c[over]], scores[over])
         query, ids, scores = best.cut()
-        over = scores >= best.bars[query]
-        arrays = [pa.array(query_ids[query[over]], pa.int64()), pa.array(ids[over], pa.int64()), pa.array(scores[over], pa.int64())]
+        arrays = [pa.array(query_ids[query], pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
     return run
 
 
+def _segments(sorted_: DataFrame, n: int) -> list[int]:
+    """Where segments end: the places of the rows of rank FIRST_SEGMENT, GROWTH times that, and so on."""
+    sizes = sorted_.groupBy(F.shiftright("place", 33).alias("part")).count().orderBy("part").collect()
+    before = np.concatenate([[0], np.cumsum([r["count"] for r in sizes])]).astype(np.int64)
+    ends, rank = [], FIRST_SEGMENT
+    while rank < n:
+        k = int(np.searchsorted(before, rank, "right")) - 1
+        ends.append((sizes[k]["part"] << 33) + rank - int(before[k]))
+        rank *= GROWTH
+    return ends
+
+
 def _ranked(found: DataFrame, top: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
@@ -212,15 +230,13 @@ def top_inner_products(vectors: DataFrame, is_query: Column, top: int = TOP, vec
     dims = max(1, len(moments))
     rotation, head = _rotation(moments) if len(moments) else (np.eye(1), 1)
     ready = rows.mapInArrow(_prepared(dims), "vec_id long, norm2 long, v binary")
-    sorted_ = checkpoint(ready.repartitionByRange(F.col("norm2").desc(), "vec_id").sortWithinPartitions(F.col("norm2").desc(), "vec_id"))
+    longest = [F.col("norm2").desc(), F.col("vec_id")]
+    # The last key parts rows that share length and id.
+    ranged = ready.repartitionByRange(*longest, F.rand(1)).sortWithinPartitions(*longest)
+    sorted_ = stored(ranged.withColumn("place", F.monotonically_increasing_id()))
     release(spark)
-    # Segments end at lengths, not at exact ranks: approximate ranks do.
-    shares, size = [], FIRST_SEGMENT
-    while size < n:
-        shares.append(1 - size / n)
-        size *= GROWTH
-    ends = sorted_.agg(F.percentile_approx("norm2", F.array(*map(F.lit, shares)), F.lit(10_000))).first()[0] if shares else []
-    ends = [*sorted({int(e) for e in ends}, reverse=True), -1]
+    ends = _segments(sorted_, n)
+    norms = {r["place"]: r["norm2"] for r in sorted_.filter(F.col("place").isin(ends)).select("place", "norm2").collect()} if ends else {}
     queries = sorted_.filter(is_query)
     total = queries.count()
     per_block = max(1, QUERY_BYTES // (8 * dims))
@@ -230,24 +246,25 @@ def top_inner_products(vectors: DataFrame, is_query: Column, top: int = TOP, vec
         own = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).select("vec_id", "v").collect()
         if not own:
             continue
-        own.sort(key=lambda r: (r["vec_id"], bytes(r["v"])))
         ids = np.array([r["vec_id"] for r in own], np.int64)
-        matrix = np.frombuffer(b"".join(bytes(r["v"]) for r in own), np.int64).reshape(len(own), -1).astype(np.float64)
-        ids, once = np.unique(ids, return_index=True)
-        matrix = matrix[once]
-        bars = np.full(len(ids), np.iinfo(np.int64).min // 2, np.int64)
-        best, above = None, None
-        for end in ends:
-            if above is not None and (np.linalg.norm(matrix, axis=1) * np.sqrt(above) + 1 < bars).all():
+        matrix = np.frombuffer(b"".join(bytes(r["v"]) for r in own), np.int64).reshape(len(own), -1)
+        order = np.lexsort((*matrix.T[::-1], ids))
+        ids, once = np.unique(ids[order], return_index=True)
+        matrix = matrix[order][once].astype(np.float64)
+        bars, bar_ids = np.full(len(ids), np.iinfo(np.int64).min // 2, np.int64), np.full(len(ids), np.iinfo(np.int64).max, np.int64)
+        best, start = None, None
+        for end in [*ends, None]:
+            if start is not None and (np.linalg.norm(matrix, axis=1) * np.sqrt(norms[start]) + 1 < bars).all():
                 break
-            segment = sorted_.filter(F.col("norm2") > end)
-            segment = segment if above is None else segment.filter(F.col("norm2") <= above)
-            block = spark.sparkContext.broadcast((ids, matrix, bars, rotation, head))
-            found = segment.mapInArrow(_searcher(block, top), "query_id long, vec_id long, score long")
+            segment = sorted_ if start is None else sorted_.filter(F.col("place") >= start)
+            segment = segment if end is None else segment.filter(F.col("place") < end)
+            block = spark.sparkContext.broadcast((ids, matrix, bars, bar_ids, rotation, head))
+            found = segment.select("vec_id", "norm2", "v").mapInArrow(_searcher(block, top), "query_id long, vec_id long, score long")
             best = checkpoint(_ranked(found if best is None else found.unionByName(best.drop("rank")), top))
-            for row in best.filter(F.col("rank") == top).select("query_id", "score").toLocalIterator():
-                bars[np.searchsorted(ids, row["query_id"])] = row["score"]
-            above = end
+            for row in best.filter(F.col("rank") == top).select("query_id", "vec_id", "score").collect():
+                at = np.searchsorted(ids, row["query_id"])
+                bars[at], bar_ids[at] = row["score"], row["vec_id"]
+            start = end
         results.append(best)
     if not results:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
