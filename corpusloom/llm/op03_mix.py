@@ -7,9 +7,10 @@ a document is emitted once for each integer that its step crosses.  Equal steps
 length spread the sample over short and long documents alike, so the words taken stay near the
 target.
 
-The order is cut into cells (length class and first digit of the digest).  A cell's number of
-documents before it comes from sums over cells; only inside a cell are rows numbered.  No source is
-gathered in one task, however large, and texts are read once and never shuffled.
+The order is cut into cells (length class and first digits of the digest, as many as keep a cell to about
+``CELL_ROWS`` documents).  A cell's number of documents before it comes from sums over cells; only inside a
+cell are rows numbered.  No source is gathered in one task, however large, and texts are read once and
+never shuffled.  Sources may be many, too: their order and their sums are made from ranges.
 
 Results for special rows: a null text has size 0 and, like every text without words, takes 0 words
 in as many copies as its source's rate says; a null source comes last in the order of weights;
@@ -28,6 +29,23 @@ from corpusloom.runtime import checkpoint
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 SEED = "mix-1"
+#: Documents of a cell, about; a cell is numbered in one task.
+CELL_ROWS = 100_000
+
+
+def _with_sums_before(rows: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """``rows`` with, under each name, the sum of an expression over the rows before in ``order``.
+
+    Sums inside ranges are added to those of the ranges before; no task gets more than a range.
+    """
+    parts = checkpoint(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    whole = parts.groupBy("_part").agg(*(F.expr(f"sum({e}) AS _all_{n}") for n, e in sums.items()))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = whole.select("_part", *(F.coalesce(F.sum(f"_all_{n}").over(earlier), F.lit(0)).alias(f"_ahead_{n}") for n in sums))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    found = parts.withColumns({n: F.coalesce(F.sum(F.expr(e)).over(inside), F.lit(0)) for n, e in sums.items()})
+    found = found.join(F.broadcast(ahead), "_part")
+    return found.withColumns({n: F.col(n) + F.col(f"_ahead_{n}") for n in sums}).select(*rows.columns, *sums)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -36,22 +54,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     The rows are sources, one each.  Targets are ``least(most * size, level * weight)``; the level
     that spends the whole is found by filling sources in the order in which they saturate.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    cycle = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    rows = sizes.withColumn("weight", cycle.cast("long")).withColumn("cap", most * F.col("source_size"))
-    filling = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    upto = filling.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    rows = rows.withColumns(
-        {
-            "full": F.coalesce(F.sum("cap").over(upto), F.lit(0)),
-            "open": F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(upto), F.lit(0)),
-            "whole": F.sum("source_size").over(everything),
-        }
-    )
-    rows = rows.withColumn("level", (F.col("whole") - F.col("full")).cast("double") / F.col("open"))
+    named = _with_sums_before(sizes, [F.col("source").asc_nulls_last()], {"place": "1"})
+    cycle = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    rows = named.select("source", "source_size", cycle.cast("long").alias("weight"), (most * F.col("source_size")).alias("cap"))
+    filling = [F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()]
+    rows = checkpoint(_with_sums_before(rows, filling, {"full": "cap", "used": "weight"}))
+    totals = rows.agg(F.sum("weight").alias("weights"), F.sum("source_size").alias("whole"))
+    rows = rows.crossJoin(F.broadcast(totals)).withColumn("level", (F.col("whole") - F.col("full")).cast("double") / (F.col("weights") - F.col("used")))
+    peak = rows.agg(F.max("level").alias("peak"))
     # The level rises while the next source saturates below it and falls after: its peak spends the whole.
-    target = F.least(F.col("cap").cast("double"), F.max("level").over(everything) * F.col("weight"))
+    rows = rows.crossJoin(F.broadcast(peak))
+    target = F.least(F.col("cap").cast("double"), F.col("peak") * F.col("weight"))
     rate = F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(F.lit(0.0))
     return rows.select("source", "source_size", target.alias("target"), rate.alias("rate"))
 
@@ -78,18 +91,21 @@ def copies_of(sizes: DataFrame, keys: list[str], weights: tuple[int, ...] = WEIG
     ``sizes`` needs ``doc_id``, ``source`` and ``size``; it is read three times and should be a
     checkpointed table.  ``keys`` names its columns to carry.
     """
-    cell = ["src", "class", "digit"]
+    cell = ["src", "class", "digits"]
     rows = sizes.withColumns(
         {
             "src": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~")),
             "class": length_class(F.col("size")),
             "digest": _digest(F.coalesce(F.col("doc_id").cast("string"), F.lit("~"))),
         }
-    ).withColumn("digit", F.substring("digest", 1, 1))
+    )
+    largest = rows.groupBy("src", "class").count().agg(F.max("count")).first()[0] or 0
+    digits = next(d for d in range(1, 33) if CELL_ROWS * 16**d >= largest)
+    rows = rows.withColumn("digits", F.substring("digest", 1, digits))
     cells = checkpoint(rows.groupBy("source", *cell).agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     sources = cells.groupBy("source", "src").agg(F.sum("words").alias("source_size"))
     targets = source_targets(sources.select("source", "source_size"), weights, most)
-    before = Window.partitionBy("src").orderBy("class", "digit").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("src").orderBy("class", "digits").rowsBetween(Window.unboundedPreceding, -1)
     starts = cells.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
     starts = starts.alias("c").join(targets.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source")))
     starts = starts.select(*(F.col(f"c.{k}").alias(k) for k in cell), "ahead", "t.source_size", "t.target", "t.rate")
