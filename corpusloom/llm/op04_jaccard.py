@@ -3,16 +3,16 @@
 The join links documents whose sets of five-word shingles have a Jaccard similarity of at least the
 threshold.  Documents with equal sets form one class first, so copies are never compared.
 
-The forest has ``TREES`` tries.  A class's key in a trie is ``DEPTH`` minimum hashes, stored so that
-any prefix of it can be taken; classes that share a prefix of the length for the threshold in any
-trie are candidates.  That length is the longest that reaches the target recall for pairs at the
-threshold itself, whatever other pairs the table holds.  Candidates are star edges to the least
-class of a trie node, linear in the number of classes; their connected components hold every
-candidate pair.
+The forest has ``TREES`` tries.  A class's key in a trie is ``DEPTH`` minimum hashes, of which any prefix
+can be taken; classes that share a prefix of the length for the threshold in any trie are candidates,
+those below one node of the trie.  Matched prefixes are shortened to the length that is the longest to reach
+the target recall for pairs at the threshold itself, whatever other pairs the table holds.
 
-Each component is verified exactly, all against all, in blocks of bounded size: intersections of
-shingle sets are counted by matrix products inside a task, which returns for each class its number
-of links and one edge to its part of the block, never the pairs.  Verified edges give the groups.
+Candidates are verified inside trie nodes, never beyond them.  Nodes of different tries with the same
+classes are one.  The classes of a node are dealt into blocks of bounded size, and two blocks meet in a task:
+intersections of shingle sets are counted by matrix products there, and a pair counts in the first trie that
+shares its prefix only, so that each is counted once.  The task returns for each class its number of links and
+one edge to its part of the block, never the pairs.  Verified edges alone are closed to groups.
 
 Results for special rows: null and blank texts have no shingles, are linked to nothing and stand
 alone; a text under five words has one shingle of all its words; repeated rows are copies, each
@@ -38,8 +38,8 @@ from corpusloom.runtime import checkpoint, release, ship
 SHINGLE = 5
 TREES, DEPTH = 18, 8
 THRESHOLD, RECALL = 0.8, 0.999
-#: A block of a component holds at most about this many classes and shingles.
-BLOCK_CLASSES, BLOCK_SHINGLES = 512, 750_000
+#: A block of a trie node holds at most about this many classes and shingles.
+BLOCK_CLASSES, BLOCK_SHINGLES = 256, 750_000
 #: Shingles of at most so many classes are counted pair by pair, others by matrix products.
 RARE = 12
 #: Ids are broadcast up to this many (8 bytes each), and joined by shuffle beyond.
@@ -105,18 +105,19 @@ def least_depth(threshold: float, recall: float) -> int:
     return max([d for d in range(1, DEPTH + 1) if found_share(threshold, d) >= recall], default=1)
 
 
-def star_edges(nodes: DataFrame, depth: int) -> DataFrame:
-    """Edges (a, b) from each class to the least class that shares a prefix with it, for each trie."""
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    keys = nodes.select("node", "sig", tree)
-    keys = keys.select("node", F.xxhash64("tree", F.expr(f"substring(sig, tree * {4 * DEPTH} + 1, {4 * depth})")).alias("key"))
-    hubs = checkpoint(keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).filter("c > 1").select("key", "hub"))
-    return keys.join(hubs, "key").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+def memberships(nodes: DataFrame, depth: int) -> DataFrame:
+    """Each class with its prefixes, and one row for each trie (tree, key) it is in."""
+    prefix = F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(sig, t * {4 * DEPTH} + 1, {4 * depth})))")
+    return nodes.select("node", "n", prefix.alias("keys")).select("node", "n", "keys", F.posexplode("keys").alias("tree", "key"))
 
 
-def candidate_edges(nodes: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Star edges at the longest prefix that reaches the recall for pairs at the threshold itself."""
-    return checkpoint(star_edges(nodes, least_depth(threshold, recall)))
+def trie_nodes(found: DataFrame) -> DataFrame:
+    """The trie nodes of several classes: key, tree and number of blocks; of nodes with the same classes, that of the first trie."""
+    who = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"who{k}") for k in range(2)]
+    every = found.groupBy("key").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"), F.min("tree").alias("tree"), *who).filter("classes > 1")
+    first = every.groupBy("who0", "who1", "classes").agg(F.min_by(F.struct("key", "tree", "shingles"), "tree").alias("f")).select("classes", "f.*")
+    blocks = F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    return checkpoint(first.select("key", F.col("tree").alias("first"), blocks.alias("blocks")))
 
 
 def _intersections(rows: np.ndarray, shingles: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -159,6 +160,8 @@ def _verifier(threshold: float) -> Callable[[pa.Table], pa.Table]:
         low, high = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         nodes = table.column("node").to_pylist()
         block = table.column("block").to_numpy()
+        tree = table.column("first")[0].as_py()
+        keys = np.array(table.column("keys").to_pylist(), np.int64)
         copies = table.column("m").to_numpy()
         sets = [np.frombuffer(s, U64) for s in table.column("shingles").to_pylist()]
         sizes = np.array([len(s) for s in sets], np.int64)
@@ -177,6 +180,8 @@ def _verifier(threshold: float) -> Callable[[pa.Table], pa.Table]:
             shared = _intersections(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), left, right)
             p, q = ratio.numerator, ratio.denominator
             linked = shared * (p + q) >= p * (sizes[left][:, None] + sizes[right][None, :])
+            for earlier in range(tree):
+                linked &= keys[left, earlier][:, None] != keys[right, earlier][None, :]
             if left is right:
                 np.fill_diagonal(linked, False)
                 links[left] = linked @ copies[left]
@@ -197,7 +202,7 @@ def _verifier(threshold: float) -> Callable[[pa.Table], pa.Table]:
 
 
 def _sets_of(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (node, cls, and others) with their shingles, from the texts of their class ids.
+    """node and shingles of ``members`` (node, cls), from the texts of their class ids.
 
     Classes without an id take theirs from the rows without one, each class once.
     """
@@ -212,7 +217,7 @@ def _sets_of(rows: DataFrame, members: DataFrame) -> DataFrame:
         bare = F.broadcast(bare) if n_bare <= BROADCAST_IDS else bare
         lost = rows.filter("doc_id IS NULL").select("doc_id", "text").mapInArrow(_sets, shape)
         sets = sets.unionByName(lost.join(bare, "node", "left_semi").dropDuplicates(["node"]))
-    return members.join(sets, "node").dropDuplicates(["node"])
+    return sets.join(members.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -228,17 +233,18 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = features.filter("node IS NOT NULL").groupBy("node")
     nodes = checkpoint(nodes.agg(F.count("*").alias("m"), F.min("doc_id").alias("cls"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     release(spark)
-    near = components(candidate_edges(nodes, threshold, recall))
-    members = near.join(nodes.select("node", "m", "cls", "n"), "node")
-    sizes = members.groupBy("label").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    members = checkpoint(members.join(sizes.filter("classes > 1").select("label", blocks.alias("blocks")), "label"))
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    found = memberships(nodes, least_depth(threshold, recall))
+    shared = trie_nodes(found)
+    # A node of a later trie with the same classes shares its key with none that was kept.
+    members = checkpoint(found.join(shared, "key").select("node", "keys", "key", "first", "blocks"))
     release(spark)
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    classes = checkpoint(members.select("node").distinct().join(nodes.select("node", "m", "cls"), "node"))
+    sets = _sets_of(rows, classes.select("node", "cls")).join(classes.select("node", "m"), "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    paired = _sets_of(rows, members).select("label", "node", "m", "shingles", "block", other)
+    paired = members.join(sets, "node").select("key", "first", "keys", "node", "m", "shingles", "block", other)
     paired = paired.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
-    verified = paired.groupBy("label", "i", "j").applyInArrow(_verifier(threshold), "node binary, links long, top binary")
+    verified = paired.groupBy("key", "i", "j").applyInArrow(_verifier(threshold), "node binary, links long, top binary")
     verified = checkpoint(verified)
     release(spark)
     groups = components(verified.select(F.col("node").alias("a"), F.col("top").alias("b")))
