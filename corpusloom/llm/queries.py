@@ -85,4 +85,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_systematic": sql.MIX, "op5_url_cascade": sql.URLS, "op6_license_digests": sql.licenses()}
+    return {
+        "op2_topk_norms": sql.TOP_PRODUCTS,
+        "op3_mix_systematic": sql.MIX,
+        "op4_jaccard_forest": sql.JACCARD,
+        "op5_url_cascade": sql.URLS,
+        "op6_license_digests": sql.licenses(),
+        "op7_substrings": sql.SUBSTRINGS,
+    }

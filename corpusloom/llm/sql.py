@@ -79,3 +79,62 @@ k AS (SELECT {digest} AS digest, min(name) AS license FROM known GROUP BY 1),
 d AS (SELECT doc_id, {digest} AS digest FROM documents)
 SELECT d.doc_id, d.digest, k.license FROM d LEFT JOIN k ON d.digest = k.digest
 """
+
+
+TOP_PRODUCTS = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+JACCARD = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS k FROM d, unnest(range(1, greatest(len(w) - 3, 2))) t(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(k, '' ORDER BY k)) AS whole FROM s GROUP BY doc_id
+), c AS (
+  SELECT doc_id, n, min(doc_id) OVER (PARTITION BY whole) AS copy_id FROM n
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 9 * count(*) >= 4 * (na.n + nb.n)
+), g AS (
+  SELECT doc_id, doc_id AS near FROM d
+  UNION
+  SELECT g.doc_id, p.b FROM g JOIN p ON p.a = g.near
+), m AS (
+  SELECT doc_id, min(near) AS class_id FROM g GROUP BY doc_id
+), l AS (
+  SELECT a AS doc_id, count(*) AS n_links FROM p GROUP BY a
+)
+SELECT d.doc_id, coalesce(c.copy_id, d.doc_id) AS copy_id, m.class_id, coalesce(l.n_links, 0)::BIGINT AS n_links
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id LEFT JOIN l ON l.doc_id = d.doc_id
+"""
+
+SUBSTRINGS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), v AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM d, unnest(range(1, len(w) - 11)) t(i)
+), f AS (
+  SELECT k, min(doc_id) AS first FROM v GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM v JOIN f USING (k), unnest(range(i, i + 13)) u(p) WHERE first < doc_id
+), words AS (
+  SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) t(p)
+), kept AS (
+  SELECT words.doc_id, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (WHERE gone.p IS NULL) AS left_text
+  FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY words.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(left_text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

@@ -116,7 +116,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def top_products(vectors: list[tuple[int, list[float]]], k: int = 20, every: int = 20) -> list[tuple[int, int, int, int]]:
     whole = [(i, [math.floor(64 * x) for x in v]) for i, v in vectors]
     out = []
-    for q, a in whole:
+    for q, a in {i: min(v for j, v in whole if j == i) for i, _ in whole}.items():
         if q % every == 0:
             scored = sorted((-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in whole if i != q)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]

@@ -124,6 +124,20 @@ def test_top_products_match_brute_force(spark):
     assert got == brute.top_products([*vectors, (420, [0.5, 0.5] + [0.0] * 6)])
 
 
+def test_top_products_of_repeated_ids_and_ties(spark, monkeypatch):
+    """An id stored twice is searched once, by its least vector, and found twice; equal vectors beyond the first segment tie by id."""
+    from corpusloom.llm import op02_topk
+
+    monkeypatch.setattr(op02_topk, "FIRST_SEGMENT", 16)
+    rng = np.random.default_rng(3)
+    vectors = [(k, [float(x) for x in rng.normal(size=6)]) for k in range(120)]
+    vectors += [(200 + k, [3.0] * 6) for k in range(90)]
+    vectors += [(40, [0.5] * 6), (40, vectors[40][1]), (7, vectors[7][1]), (7, [-2.0] * 6), (260, [3.0] * 6), (None, [9.0] * 6)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumns({c: F.lit(1) for c in ("norm2", "place", "v", "rank")}).repartition(5)
+    got = sorted(map(tuple, top_inner_products(df, F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score").collect()))
+    assert got == brute.top_products([v for v in vectors if v[0] is not None])
+
+
 def test_top_products_of_little(spark):
     schema = "vec_id long, embedding array<float>"
     assert top_inner_products(spark.createDataFrame([], schema), F.col("vec_id") % 20 == 0).count() == 0
@@ -150,6 +164,15 @@ def test_mix_targets_and_copies(docs):
     assert len(rows) == len(corpus())
 
 
+def test_mix_cells_of_any_size(docs, monkeypatch):
+    """Finer cells number the same order."""
+    from corpusloom.llm import op03_mix
+
+    want = brute.counted(map(tuple, mix(docs).collect()))
+    monkeypatch.setattr(op03_mix, "CELL_ROWS", 1)
+    assert brute.counted(map(tuple, mix(docs).collect())) == want
+
+
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 1, "c": 1}, {"a": 5}, {"a": 1, "b": 1, "c": 1000, "d": 3}, {"b": 7, None: 2, "a": 0}])
 def test_water_filling(spark, sizes):
     from corpusloom.llm.op03_mix import source_targets
@@ -170,7 +193,7 @@ def test_jaccard_matches_brute_force(docs):
     assert kept.columns == docs.columns
 
 
-def test_jaccard_splits_large_components(docs, monkeypatch):
+def test_jaccard_splits_large_trie_nodes(docs, monkeypatch):
     monkeypatch.setattr(op04_jaccard, "BLOCK_CLASSES", 4)
     groups, counts = brute.links([(d, t) for d, t, *_ in corpus()])
     rows = op04_jaccard.jaccard_groups(docs).collect()
