@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from corpusloom.llm.op03_mix import copies_of
 from corpusloom.llm.op04_jaccard import keep_one
 from corpusloom.llm.op08_pii import redact_documents
 from corpusloom.llm.op09_bpe import default_tokenizer, encode_documents, read_tokenizer
-from corpusloom.runtime import checkpoint, checkpoint_dir, table
+from corpusloom.runtime import checkpoint, scratch_folder, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,40 +23,52 @@ BROADCAST_COPIES = 200_000
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules; rejected ones go."""
+    """Documents that pass the quality rules; rejected ones go.
+
+    Null and blank texts have no words and go; a null language or source is a group of its own; repeated
+    rows are judged each and stay or go together; an empty table stays empty; further columns are left out.
+    """
     return keep_good(docs.select(*COLUMNS))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the least id."""
+    """One document of each near-duplicate group, the one with the least id.
+
+    Rows without an id stay, and so do null and blank texts, which are like no other; of rows that share an
+    id one stays; an empty table stays empty; further columns are left out.
+    """
     return keep_one(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with personal data replaced by its kind."""
+    """Every document, with personal data and secrets replaced by their kinds, and ``n_chars`` of the new text.
+
+    Null texts stay null, with their ``n_chars``; repeated rows stay equal; an empty table stays empty;
+    further columns are left out.
+    """
     return redact_documents(docs.select(*COLUMNS))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once, or several times.
 
-    Rows that share an id are told apart by their source and size; such rows that agree in both, yet
-    not in copies, are emitted with the smallest number of copies among them.
+    Rows are stored with a key and their size first, so that repeated rows and rows without an id are
+    documents of their own, each with its own copies.  Texts without words have size 0 and the copies of
+    their source's rate; an empty table stays empty; further columns are left out.
     """
-    size = word_count(F.col("text"))
-    sizes = checkpoint(docs.select("doc_id", "source", size.alias("size")))
-    copies = copies_of(sizes, ["doc_id", "source", "size"])
-    copies = checkpoint(copies.groupBy("doc_id", "source", "size").agg(F.min("copies").alias("copies")).filter("copies > 0"))
-    few = copies.count() <= BROADCAST_COPIES
-    taken = (F.broadcast(copies) if few else copies).alias("c")
-    rows = docs.select(*COLUMNS).withColumn("size", size).alias("d")
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("doc_id", "source", "size")]
-    joined = rows.join(taken, same[0] & same[1] & same[2])
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*(f"d.{c}" for c in COLUMNS))
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_key"), word_count(F.col("text")).alias("_size")))
+    sizes = rows.select("_key", "doc_id", "source", F.col("_size").alias("size"))
+    copies = checkpoint(copies_of(sizes, ["_key"]).filter("copies > 0").select("_key", "copies"))
+    taken = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
+    joined = rows.join(taken, "_key")
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each row's text, with their number and the digests of ids and decoded text."""
+    """The ids of each row's text, with their number and the digests of ids and decoded text.
+
+    A null text is an empty one; each row has its own; an empty table stays empty; other columns are left out.
+    """
     return encode_documents(docs, read_tokenizer(default_tokenizer()), with_ids=True)
 
 
@@ -77,7 +88,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what lies between them is Parquet in the shared checkpoint folder."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES[:-1]):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
