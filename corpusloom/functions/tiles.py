@@ -29,7 +29,8 @@ def tiles_of(spark: SparkSession, box: tuple[float, float, float, float] = DEFAU
 def sample_tiles(tiles: DataFrame, ratio: float, seed: int = 0) -> DataFrame:
     """``int(n * ratio)`` tiles in a fixed pseudo-random choice, in the order of x and y."""
     n = int(tiles.count() * ratio)
-    return tiles.orderBy(F.xxhash64("x", "y", F.lit(seed)), "x", "y").limit(n).orderBy("x", "y")
+    drawn = F.md5(F.concat_ws("/", "x", "y", F.lit(seed)).cast("binary"))
+    return tiles.orderBy(drawn, "x", "y").limit(n).orderBy("x", "y")
 
 
 def slice_names(spark: SparkSession, box: tuple[int, int, int, int], step: int) -> DataFrame:

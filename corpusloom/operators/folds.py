@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: The cap on image bytes of one written chunk (fixed value).
@@ -17,29 +19,37 @@ def gate_frames(
     """The frames of each video that pass, in order, stride, sharpness and near-duplicate gates.
 
     A frame is looked at only if it lies more than ``sample_rate`` after the last kept one; its
-    ``sharp`` flag must hold; its ``bits`` (a string of 0 and 1) must differ in at least
+    ``sharp`` flag must hold; its ``bits`` (a string of at most 64 zeros and ones) must differ in at least
     ``tolerance`` places from every kept frame's.  The gates share their state, so they run in one
-    pass over a video's rows, which carry hashes and flags and no pixels.
+    pass over a video's sorted rows, which carry hashes and flags and no pixels; a task holds the
+    hashes of one video's kept frames, and its rows batch by batch.
     """
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(index, kind="stable")
-        last, kept_bits, keep = None, [], []
-        flags = rows[sharp].tolist() if sharp else [True] * len(rows)
-        hashes = [int(b, 2) for b in rows[bits]] if bits else [0] * len(rows)
-        for i, flag, h in zip(rows[index].tolist(), flags, hashes, strict=True):
-            ok = bool(flag)
-            if sample_rate is not None and last is not None and last + sample_rate >= i:
-                ok = False
-            if ok and bits and any((h ^ k).bit_count() < tolerance for k in reversed(kept_bits)):
-                ok = False
-            if ok:
-                last = i
-                kept_bits.append(h)
-            keep.append(ok)
-        return rows[pd.Series(keep, index=rows.index, dtype=bool)]
-
-    return frames.groupBy(video).applyInPandas(run, frames.schema)
+    at = {c: k for k, c in enumerate(frames.columns)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, last, kept, seen = object(), None, 0, np.zeros(64, np.uint64)
+        for batch in batches:
+            n = batch.num_rows
+            flags = batch.column(at[sharp]).to_pylist() if sharp else [True] * n
+            hashes = [int(b, 2) for b in batch.column(at[bits]).to_pylist()] if bits else [0] * n
+            keep = []
+            for name, i, flag, h in zip(batch.column(at[video]).to_pylist(), batch.column(at[index]).to_pylist(), flags, hashes, strict=True):
+                if name != current:
+                    current, last, kept = name, None, 0
+                ok = bool(flag) and not (sample_rate is not None and last is not None and last + sample_rate >= i)
+                if ok and bits and kept:
+                    ok = int(np.bitwise_count(seen[:kept] ^ np.uint64(h)).min()) >= tolerance
+                if ok:
+                    last = i
+                    if bits:
+                        if kept == len(seen):
+                            seen = np.concatenate([seen, np.zeros_like(seen)])
+                        seen[kept] = h
+                        kept += 1
+                keep.append(ok)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return frames.repartition(video).sortWithinPartitions(video, index).mapInArrow(run, frames.schema)
 
 
 def byte_shards(chunks: DataFrame, dataset: str, order: str, size: str, target: int) -> DataFrame:

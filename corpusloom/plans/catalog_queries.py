@@ -65,12 +65,12 @@ def dedup_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.against_store(rows, store, "h", ["doc_id"]).select("doc_id", "h")
 
 
-@query("dedup_streaming", "SELECT count(DISTINCT md5(text)) AS hashes FROM documents")
+@query("dedup_streaming", "SELECT md5(text) AS h, count(*) AS passed FROM (SELECT DISTINCT text FROM documents) GROUP BY 1")
 def dedup_streaming(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct hashes of a stream over the files of ``documents``, state in the checkpoint folder."""
+    """What a streaming dedup over the files of ``documents`` lets through, its state in the checkpoint folder."""
     from corpusloom.streaming.runner import distinct_stream
 
-    return distinct_stream(spark, f"{sf.rstrip('/')}/documents.parquet", F.md5("text"))
+    return distinct_stream(spark, f"{sf.rstrip('/')}/documents.parquet", F.md5("text")).groupBy("h").agg(F.count("*").alias("passed"))
 
 
 @query(
@@ -91,9 +91,16 @@ def diff_hash_bits(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", imghash.difference_bits(F.col("embedding")).alias("bits"))
 
 
-@query("phash_bits")
+@query(
+    "phash_bits",
+    """WITH c AS (SELECT vec_id, u, v, sum(4 * cos(pi() * u * (2 * i + 1) / 16) * cos(pi() * v * (2 * j + 1) / 16) * embedding[i * 8 + j + 1]::DOUBLE) AS x
+      FROM embeddings, range(8) a(u), range(8) b(v), range(8) c(i), range(8) d(j) GROUP BY 1, 2, 3),
+    m AS (SELECT vec_id, median(x) AS m FROM c GROUP BY 1),
+    n AS (SELECT vec_id, (u * 8 + v) // 4 AS k, sum(CASE WHEN x > m THEN 8 >> ((u * 8 + v) % 4)::INTEGER ELSE 0 END)::INTEGER AS nibble FROM c JOIN m USING (vec_id) GROUP BY 1, 2)
+    SELECT vec_id, string_agg(substr('0123456789abcdef', nibble + 1, 1), '' ORDER BY k) AS bits FROM n GROUP BY 1""",
+)
 def phash_bits(spark: SparkSession, sf: str) -> DataFrame:
-    """Cosine-transform hashes of 8 x 8 grids, in Arrow batches (ties of floats keep SQL from comparing)."""
+    """Cosine-transform hashes of 8 x 8 grids, in Arrow batches."""
     ship(spark)
 
     @F.pandas_udf("string")
@@ -105,7 +112,7 @@ def phash_bits(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "hamming_pairs",
-    f"""WITH b AS (SELECT * FROM ({_DIFF_SQL}) WHERE vec_id < 120)
+    f"""WITH b AS (SELECT * FROM ({_DIFF_SQL}))
     SELECT x.vec_id AS a, y.vec_id AS b, hamming(x.bits, y.bits)::BIGINT AS distance
     FROM b x JOIN b y ON x.label = y.label AND x.vec_id < y.vec_id WHERE hamming(x.bits, y.bits) < 20""",
 )
@@ -459,7 +466,14 @@ def tile_enumerate(spark: SparkSession, sf: str) -> DataFrame:
     return tiles.tiles_of(spark)
 
 
-@query("tile_sample")
+@query(
+    "tile_sample",
+    """WITH b AS (SELECT floor((120.0 + 180) / 360 * 4096)::BIGINT AS x0, floor((122.0 + 180) / 360 * 4096)::BIGINT AS x1,
+      floor((1 - asinh(tan(radians(25.0 + 18.0 / 60))) / pi()) / 2 * 4096)::BIGINT AS y0, floor((1 - asinh(tan(radians(21.0 + 53.0 / 60))) / pi()) / 2 * 4096)::BIGINT AS y1),
+    t AS (SELECT x, y FROM b, LATERAL (SELECT unnest(generate_series(x0, x1)) AS x), LATERAL (SELECT unnest(generate_series(y0, y1)) AS y)),
+    r AS (SELECT x, y, row_number() OVER (ORDER BY md5(x || '/' || y || '/0'), x, y) AS place, count(*) OVER () AS n FROM t)
+    SELECT 12 AS zoom, x, y FROM r WHERE place <= floor(n * 0.5)""",
+)
 def tile_sample(spark: SparkSession, sf: str) -> DataFrame:
     """A seeded choice of half the tiles of the default box at zoom 12."""
     return tiles.sample_tiles(tiles.tiles_of(spark, zoom=12), 0.5)

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from corpusloom.runtime import checkpoint_dir
+from corpusloom.runtime import scratch_folder
 
 
 def run_folder(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return scratch_folder(spark, "stream")
 
 
 def drain(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -40,8 +38,8 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int = 64) -> Da
 
 
 def distinct_stream(spark: SparkSession, path: str, key: Column) -> DataFrame:
-    """The number of distinct keys that pass a streaming dedup over a table's files."""
+    """The keys (``h``) that pass a streaming dedup over a table's files."""
     folder = run_folder(spark)
     kept = file_stream(spark, path).select(key.alias("h")).dropDuplicates(["h"])
     drain(kept, overwrite_by_batch(f"{folder}/out"), f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/out").agg(F.count("h").alias("hashes"))
+    return spark.read.parquet(f"{folder}/out").select("h")
