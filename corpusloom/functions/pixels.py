@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 
@@ -40,6 +41,15 @@ def image_size(data: bytes | None) -> tuple[int, int] | None:
     return None
 
 
+def loadable_size(data: bytes | None) -> tuple[int, int] | None:
+    """The size of an image whose file is not cut short; None for other data."""
+    if data and data[:8] == PNG_MAGIC and b"IEND" not in data[-64:]:
+        return None
+    if data and data[:2] == b"\xff\xd8" and b"\xff\xd9" not in data[-65536:]:
+        return None
+    return image_size(data)
+
+
 def _tiff_size(data: bytes) -> tuple[int, int] | None:
     """Width and height of a TIFF file's first image."""
     order = "<" if data[:2] == b"II" else ">"
@@ -136,19 +146,49 @@ def to_gray(rgb: np.ndarray) -> np.ndarray:
     return ((299 * r + 587 * g + 114 * b + 500) // 1000).astype(np.uint8)
 
 
-def resize(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
-    """Area averaging when shrinking, linear interpolation otherwise."""
-    out = pixels.astype(float)
-    for axis, size in ((0, height), (1, width)):
-        out = np.moveaxis(np.tensordot(_weights(out.shape[axis], size), out, axes=(1, axis)), 0, axis)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+def _sinc(x: np.ndarray) -> np.ndarray:
+    return np.sinc(x)
+
+
+#: Resampling kernels by name: how far each reaches, and its value at a distance.
+KERNELS: dict[str, tuple[float, Callable[[np.ndarray], np.ndarray]]] = {
+    "box": (0.5, lambda x: ((x > -0.5) & (x <= 0.5)).astype(float)),
+    "bilinear": (1.0, lambda x: np.maximum(0.0, 1 - np.abs(x))),
+    "hamming": (1.0, lambda x: np.where(np.abs(x) < 1, _sinc(x) * (0.54 + 0.46 * np.cos(np.pi * x)), 0.0)),
+    "bicubic": (2.0, lambda x: _cubic(np.abs(x))),
+    "lanczos": (3.0, lambda x: np.where(np.abs(x) < 3, _sinc(x) * _sinc(x / 3), 0.0)),
+}
+
+
+def _cubic(x: np.ndarray, a: float = -0.5) -> np.ndarray:
+    near = ((a + 2) * x - (a + 3)) * x * x + 1
+    far = a * (((x - 5) * x + 8) * x - 4)
+    return np.where(x < 1, near, np.where(x < 2, far, 0.0))
+
+
+def resize(pixels: np.ndarray, width: int, height: int, kind: str = "lanczos") -> np.ndarray:
+    """Resampled first along rows, then along columns; kernels widen with the scale when shrinking."""
+    if kind == "nearest":
+        y, x = (((np.arange(n) + 0.5) * old / n).astype(int) for n, old in ((height, pixels.shape[0]), (width, pixels.shape[1])))
+        return pixels[y][:, x]
+    out = pixels
+    for axis, size in ((1, width), (0, height)):
+        if out.shape[axis] != size:
+            wide = np.moveaxis(np.tensordot(_weights(out.shape[axis], size, kind), out.astype(float), axes=(1, axis)), 0, axis)
+            out = np.clip(np.floor(wide + 0.5), 0, 255).astype(np.uint8)
+    return out
 
 
-def _weights(old: int, new: int) -> np.ndarray:
+def _weights(old: int, new: int, kind: str) -> np.ndarray:
+    """What each of ``old`` pixels contributes to each of ``new``."""
+    reach, kernel = KERNELS[kind]
     scale = old / new
-    reach = max(scale, 1.0)
-    centre = (np.arange(new) + 0.5) * scale - 0.5
-    w = np.maximum(0, 1 - np.abs(np.arange(old)[None, :] - centre[:, None]) / reach)
+    stretch = max(scale, 1.0)
+    centre = (np.arange(new)[:, None] + 0.5) * scale
+    place = np.arange(old)[None, :]
+    first = np.maximum(0, np.floor(centre - reach * stretch + 0.5))
+    end = np.minimum(old, np.floor(centre + reach * stretch + 0.5))
+    w = np.where((place >= first) & (place < end), kernel((place - centre + 0.5) / stretch), 0.0)
     return w / w.sum(1, keepdims=True)
 
 

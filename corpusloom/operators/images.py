@@ -30,10 +30,11 @@ def hash_png(data: bytes | None, algorithm: str) -> str | None:
 def downsample(max_pixels: int, pil_resample: int = 1) -> Filter:
     """Bring single images of more than ``max_pixels`` down; their bytes become PNG.
 
-    One kernel (area averaging) serves all kinds of resampling.  Images that cannot be decoded stay as they are.
+    Images that cannot be decoded stay as they are.
     """
     if pil_resample not in RESAMPLING:
         raise ValueError(f"unknown resampling {pil_resample}")
+    kind = RESAMPLING[pil_resample]
 
     def apply(df: DataFrame) -> DataFrame:
         ship(df.sparkSession)
@@ -43,7 +44,7 @@ def downsample(max_pixels: int, pil_resample: int = 1) -> Filter:
             out = []
             for d, w, h in zip(data, width, height, strict=True):
                 image = None if d is None else pixels.decode_png(d)
-                out.append(d if image is None or (image.shape[1], image.shape[0]) == (w, h) else pixels.encode_png(pixels.resize(image, int(w), int(h))))
+                out.append(d if image is None or (image.shape[1], image.shape[0]) == (w, h) else pixels.encode_png(pixels.resize(image, int(w), int(h), kind)))
             return pd.Series(out)
 
         first = F.get("images", F.lit(0))

@@ -2,8 +2,9 @@
 
 The configuration has ``adapters`` and ``filters`` (lists of entries with an ``id``), ``writer`` (with
 a ``type``) and ``pipeline`` (``log_file``, ``manifest_db``, ``checkpoint_db``, ``num_workers``,
-``batch_size``).  Datasets run one after another; complete ones are skipped, others resume after their last sample.  State is committed
-after the sink, so a run that dies repeats its last dataset and loses nothing.
+``batch_size``, and ``commit_batches``, the batches between two commits).  Datasets run one after another; complete ones are
+skipped, others resume after their last sample.  State is committed after the sink of each stretch of batches, so a run that
+dies repeats the last stretch at most and loses nothing.
 """
 
 from __future__ import annotations
@@ -12,19 +13,21 @@ import json
 import logging
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import images as image_filters
 from corpusloom.operators.filters import match_all
-from corpusloom.runtime import checkpoint
+from corpusloom.runtime import stored
 from corpusloom.sinks.shards import WRITERS
 from corpusloom.sources import adapters
 from corpusloom.state.tables import HashStore, Manifest, Progress
 
 LOG_FORMAT = "%(asctime)s %(levelname)s [%(name)s] %(message)s"
+#: Batches that are written and committed together, unless the configuration says otherwise.
+COMMIT_BATCHES = 1000
 REQUIRED = ("log_file", "manifest_db", "checkpoint_db", "num_workers", "batch_size")
 
 
@@ -64,6 +67,13 @@ def checked(config: dict) -> dict:
     return {"filters": [], **config}
 
 
+def stretches(low: int | None, newest: int | None, size: int) -> Iterator[tuple[int, int, bool]]:
+    """First and last id of each stretch of ``size`` ids, and whether it is the last one."""
+    for first in range(low, newest + 1, size) if low is not None and newest is not None else ():
+        end = min(first + size - 1, newest)
+        yield first, end, end == newest
+
+
 def run(spark: SparkSession, config: dict, debug: bool = False, source: Callable[..., DataFrame] = adapters.build) -> dict[str, dict[str, int]]:
     """Run all datasets and return processed and passed counts by dataset.
 
@@ -90,17 +100,21 @@ def run(spark: SparkSession, config: dict, debug: bool = False, source: Callable
             samples = samples.filter(F.col("sample_id") > last)
         if debug:
             samples = samples.orderBy("src_ord").limit(int(options["batch_size"]))
-        samples = checkpoint(samples)
-        kept = checkpoint(samples.transform(apply))
+        samples = stored(samples)
+        kept = stored(samples.transform(apply))
         processed, passed = samples.count(), kept.count()
-        newest = samples.agg(F.max("sample_id")).first()[0]
-        if passed:
-            write(kept, batch_size=int(options["batch_size"]), **writer)
-            manifest.add(kept)
-            for path, algorithm in stores:
-                owners = image_filters.with_image_hash(kept, algorithm).filter("img_hash IS NOT NULL")
-                HashStore(spark, path).add(owners)
-        progress.update(name, newest if newest is not None else last, completed=not debug)
+        low, newest = samples.agg(F.min("sample_id"), F.max("sample_id")).first()
+        for first, end, final in stretches(low, newest, int(options["batch_size"]) * int(options.get("commit_batches", COMMIT_BATCHES))):
+            part = kept.filter(F.col("sample_id").between(first, end))
+            if not part.isEmpty():
+                write(part, batch_size=int(options["batch_size"]), **writer)
+                manifest.add(part)
+                for path, algorithm in stores:
+                    owners = image_filters.with_image_hash(part, algorithm).filter("img_hash IS NOT NULL")
+                    HashStore(spark, path).add(owners)
+            progress.update(name, end, completed=final and not debug)
+        if newest is None:
+            progress.update(name, last, completed=not debug)
         out[name] = {"processed": processed, "passed": passed}
         log.info("%s: %d of %d samples passed", name, passed, processed)
     return out

@@ -151,14 +151,15 @@ def write_arrow(samples: DataFrame, output_dir: str, target_shard_bytes: int, in
     """Arrow shards below ``output_dir/<dataset>`` with loader metadata and running totals."""
     spark = samples.sparkSession
     names = [r[0] for r in samples.select("dataset_id").distinct().collect()]
-    start = {d: len(listed(spark, f"{output_dir}/{d}", ".arrow")) for d in names}
+    # Files beyond those of the totals are of a run that died before its commit: they are written again.
+    start = {d: _stats(spark, f"{output_dir}/{d}").get("files", 0) for d in names}
     written = checkpoint(arrow_files(samples, output_dir, target_shard_bytes, batch_size, include_caption, start))
-    for row in written.groupBy("dataset_id").agg(F.sum("samples").alias("samples"), F.sum("bytes").alias("bytes")).collect():
+    for row in written.groupBy("dataset_id").agg(F.sum("samples").alias("samples"), F.sum("bytes").alias("bytes"), F.count("*").alias("files")).collect():
         folder = f"{output_dir}/{row['dataset_id']}"
         old = _stats(spark, folder)
-        total = {"total_bytes": old.get("total_bytes", 0) + row["bytes"], "total_samples": old.get("total_samples", 0) + row["samples"]}
+        total = {"total_bytes": old.get("total_bytes", 0) + row["bytes"], "total_samples": old.get("total_samples", 0) + row["samples"], "files": old.get("files", 0) + row["files"]}
         put(spark, f"{folder}/.stats.json", json.dumps(total).encode())
-        for name, content in loader_metadata(listed(spark, folder, ".arrow"), total, include_caption).items():
+        for name, content in loader_metadata([f"data-{k:05d}.arrow" for k in range(total["files"])], total, include_caption).items():
             put(spark, f"{folder}/{name}", json.dumps(content, indent=2).encode())
 
 
@@ -179,14 +180,14 @@ def loader_metadata(files: list[str], total: dict[str, int], include_caption: bo
 def write_tars(samples: DataFrame, output_dir: str, maxcount: int = 10_000, **_: object) -> None:
     """Tar shards in ``output_dir`` with running totals by dataset."""
     spark = samples.sparkSession
-    start = len(listed(spark, output_dir, ".tar"))
-    checkpoint(tar_files(samples, output_dir, maxcount, start))
-    counts = {r["dataset_id"]: r["n"] for r in samples.filter("sample_type != 'text'").groupBy("dataset_id").agg(F.count("*").alias("n")).collect()}
     old = _stats(spark, output_dir)
+    start = old.get("files", 0)
+    files = start + checkpoint(tar_files(samples, output_dir, maxcount, start)).count()
+    counts = {r["dataset_id"]: r["n"] for r in samples.filter("sample_type != 'text'").groupBy("dataset_id").agg(F.count("*").alias("n")).collect()}
     datasets = {**old.get("dataset_samples", {})}
     for name, n in counts.items():
         datasets[name] = datasets.get(name, 0) + n
-    put(spark, f"{output_dir}/.stats.json", json.dumps({"total_samples": sum(datasets.values()), "dataset_samples": datasets}).encode())
+    put(spark, f"{output_dir}/.stats.json", json.dumps({"total_samples": sum(datasets.values()), "dataset_samples": datasets, "files": files}).encode())
 
 
 def _stats(spark: SparkSession, folder: str) -> dict:

@@ -21,7 +21,7 @@ from corpusloom.operators.folds import gate_frames
 from corpusloom.operators.ordinals import dense_ids
 from corpusloom.runtime import ship
 from corpusloom.schema import as_samples
-from corpusloom.sources import files
+from corpusloom.sources import files, web
 from corpusloom.sources.archives import read_csv_member, read_members
 
 Adapter = Callable[..., DataFrame]
@@ -372,7 +372,7 @@ def resized(rows: DataFrame, width: int, height: int, allowed: tuple[tuple[int,
     def small(column: pd.Series) -> pd.Series:
         def shrink(data: bytes | None) -> bytes | None:
             image = pixels.decode_png(data)
-            return None if image is None else pixels.encode_png(pixels.resize(image, width, height))
+            return None if image is None else pixels.encode_png(pixels.resize(image, width, height, "bicubic"))
 
         return column.map(shrink)
 
@@ -464,8 +464,17 @@ def _frames(spark: SparkSession, data_dir: str, dataset_id: str, stride: int | N
 
 
 @adapter("MMC4")
-def mmc4(spark: SparkSession, **_: object) -> DataFrame:
-    raise NotImplementedError("MMC4 needs to fetch images from the web and is disabled")
+def mmc4(spark: SparkSession, data_dir: str = "", enabled: bool = False, in_flight: int = 32, download_timeout: float = web.TIMEOUT, **_: object) -> DataFrame:
+    """Images named by documents of JSON lines in zips inside zips, fetched from the web; disabled unless asked for.
+
+    Ids number the addresses, so a fetch that fails leaves a gap.
+    """
+    if not enabled:
+        raise NotImplementedError("MMC4 fetches images from the web and is disabled; set enabled to run it")
+    documents = web.json_lines(read_members(spark, f"{data_dir}/mmc4_*.zip", lambda p: p.endswith(".jsonl"), nested=True))
+    urls = numbered(web.image_addresses(documents), "archive", "ord", "line_no", "k")
+    fetched = files.with_size(web.fetch(urls.select("sample_id", "url"), in_flight=in_flight, timeout=download_timeout))
+    return as_samples(decoded(fetched.withColumn("path", F.col("url"))), "mmc4", "image", images=image_of(), data=F.create_map(F.lit("url"), F.col("url")))
 
 
 def build(spark: SparkSession, config: dict[str, object], position: int = 0) -> DataFrame:

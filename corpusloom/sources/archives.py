@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from corpusloom.functions.pixels import image_size
+from corpusloom.functions.pixels import loadable_size
 from corpusloom.runtime import ship
 
 MEMBERS = "archive string, ord long, path string, content binary, width int, height int"
@@ -159,7 +159,7 @@ def _tar_members(file: IO[bytes], name: str, want: Want) -> Iterator[tuple[int,
 
 
 def _row(archive: str, k: int, path: str, content: bytes) -> tuple[Any, ...]:
-    size = image_size(content)
+    size = loadable_size(content)
     return archive, k, path, content, *(size or (None, None))
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.pixels import encode_png, image_size, to_rgb
+from corpusloom.functions.pixels import encode_png, loadable_size, to_rgb
 from corpusloom.runtime import ship
 from corpusloom.sources.archives import read_members
 
@@ -22,7 +22,7 @@ def with_size(df: DataFrame, content: str = "content") -> DataFrame:
 
     @F.pandas_udf("width int, height int")
     def sized(column: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([image_size(c) or (None, None) for c in column], columns=["width", "height"]).astype("Int32")
+        return pd.DataFrame([loadable_size(c) or (None, None) for c in column], columns=["width", "height"]).astype("Int32")
 
     return df.withColumn("_size", sized(content)).withColumns({"width": F.col("_size.width"), "height": F.col("_size.height")}).drop("_size")
 
