@@ -1,7 +1,8 @@
 """Sharded outputs: Arrow IPC streams by bytes, tars by count, Parquet.
 
-Each shard is one group, made and written by one task under a name and with contents that a repeated
-task makes again, so lost executors leave no doubles.  Shards are bounded by their target size.
+Each shard is written by one task under a name and with contents that a repeated task makes again, so
+lost executors leave no doubles.  A task streams its sorted rows into files, batch by batch, and never
+holds a shard; a file gets its name when it is whole.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ import os
 import re
 import tarfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,15 +32,96 @@ FILES = "dataset_id string, name string, samples long, bytes long"
 _NAMES = [c.split()[0] for c in FILES.split(", ")]
 
 
-def place(folder: str, name: str, content: bytes) -> None:
-    """Write a file to a shared folder, a path or any URI that Arrow's file systems know, as a whole."""
-    uri = re.sub(r"^file:/(?!/)", "file:///", folder) if ":" in folder else "file://" + os.path.abspath(folder)
-    store, path = pafs.FileSystem.from_uri(uri)
-    store.create_dir(path, recursive=True)
-    part = f"{path}/.{name}.{uuid.uuid4().hex}"
-    with store.open_output_stream(part) as out:
-        out.write(content)
-    store.move(part, f"{path}/{name}")
+class _File:
+    """A file of a shared folder (a path or any URI that Arrow's file systems know), named when it is closed."""
+
+    def __init__(self, folder: str, name: str):
+        uri = re.sub(r"^file:/(?!/)", "file:///", folder) if ":" in folder else "file://" + os.path.abspath(folder)
+        self.store, path = pafs.FileSystem.from_uri(uri)
+        self.store.create_dir(path, recursive=True)
+        self.final, self.part = f"{path}/{name}", f"{path}/.{name}.{uuid.uuid4().hex}"
+        self.name, self.samples, self.bytes = name, 0, 0
+        self.out = self.store.open_output_stream(self.part)
+
+    def finish(self) -> None:
+        self.out.close()
+        self.store.move(self.part, self.final)
+
+
+class _ArrowFile(_File):
+    """An Arrow stream of single-image samples."""
+
+    def __init__(self, folder: str, name: str, include_caption: bool):
+        super().__init__(folder, name)
+        fields = [("dataset_id", pa.string()), ("sample_id", pa.int64()), ("image", pa.struct([("bytes", pa.binary()), ("path", pa.string())]))]
+        self.schema = pa.schema(fields + [("caption", pa.string())] * include_caption)
+        self.stream = pa.ipc.new_stream(self.out, self.schema)
+
+    def write(self, rows: pa.RecordBatch) -> None:
+        data = pc.struct_field(pc.list_element(rows.column("images"), 0), "bytes").cast(pa.binary())
+        image = pa.StructArray.from_arrays([data, pa.nulls(len(data), pa.string())], fields=list(self.schema.field("image").type))
+        columns = {"dataset_id": rows.column("dataset_id"), "sample_id": rows.column("sample_id"), "image": image, "caption": rows.column("caption")}
+        self.stream.write_batch(pa.RecordBatch.from_arrays([columns[f.name] for f in self.schema], schema=self.schema))
+        self.samples += rows.num_rows
+        self.bytes += pc.sum(pc.binary_length(data)).as_py() or 0
+
+    def finish(self) -> None:
+        self.stream.close()
+        super().finish()
+
+
+class _TarFile(_File):
+    """A tar of images and texts."""
+
+    def __init__(self, folder: str, name: str):
+        super().__init__(folder, name)
+        self.tar = tarfile.open(fileobj=self.out, mode="w|")  # noqa: SIM115  closed by finish
+
+    def write(self, rows: pa.RecordBatch) -> None:
+        for key, kind, images, body in zip(*(rows.column(c).to_pylist() for c in ("key", "sample_type", "images", "body")), strict=True):
+            members = []
+            for i, image in enumerate(images, 1):
+                ext = file_extension(image["format"])
+                members.append((f"{key}.img{i}.{ext}" if kind == "multi_image_text" else f"{key}.{ext}", image["bytes"]))
+                self.bytes += len(image["bytes"])
+            for name, data in [*members, (f"{key}.txt", body.encode("utf-8"))]:
+                info = tarfile.TarInfo(name)
+                info.size = len(data)
+                self.tar.addfile(info, io.BytesIO(data))
+        self.samples += rows.num_rows
+
+    def finish(self) -> None:
+        self.tar.close()
+        super().finish()
+
+
+def _streamed(rows: DataFrame, keys: list[str], order: str, opened: Callable[..., _File]) -> DataFrame:
+    """Write the rows of each key to the file that ``opened(*key)`` gives, in order; one row of FILES for each file.
+
+    The first key is the dataset, empty where a file holds several.
+    """
+
+    def done(key: tuple, file: _File) -> pa.RecordBatch:
+        file.finish()
+        types = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+        values = [key[0] if len(key) > 1 else "", file.name, file.samples, file.bytes]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], _NAMES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, file = None, None
+        for batch in batches:
+            found = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+            starts = [k for k in range(len(found)) if k == 0 or found[k] != found[k - 1]]
+            for start, end in zip(starts, [*starts[1:], len(found)], strict=True):
+                if found[start] != key:
+                    if file is not None:
+                        yield done(key, file)
+                    key, file = found[start], opened(*found[start])
+                file.write(batch.slice(start, end - start))
+        if file is not None:
+            yield done(key, file)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, order).mapInArrow(run, FILES)
 
 
 def file_extension(form: str | None) -> str:
@@ -70,26 +154,10 @@ def arrow_files(samples: DataFrame, output_dir: str, target_shard_bytes: int, ba
     placed = placed.select("dataset_id", "shard", "_ord", "sample_id", "images", F.coalesce("text", F.lit("")).alias("caption"))
     start = first_index or {}
 
-    def write(table: pd.DataFrame) -> pd.DataFrame:
-        table = table.sort_values("_ord", kind="stable")
-        dataset, shard = table["dataset_id"].iloc[0], int(table["shard"].iloc[0])
-        data = [x[0]["bytes"] for x in table["images"]]
-        columns = {
-            "dataset_id": pa.array(table["dataset_id"], pa.string()),
-            "sample_id": pa.array(table["sample_id"], pa.int64()),
-            "image": pa.array([{"bytes": b, "path": None} for b in data], pa.struct([("bytes", pa.binary()), ("path", pa.string())])),
-        }
-        if include_caption:
-            columns["caption"] = pa.array(table["caption"], pa.string())
-        out = io.BytesIO()
-        arrow = pa.table(columns)
-        with pa.ipc.new_stream(out, arrow.schema) as stream:
-            stream.write_table(arrow)
-        name = f"data-{start.get(dataset, 0) + shard:05d}.arrow"
-        place(f"{output_dir}/{dataset}", name, out.getvalue())
-        return pd.DataFrame([(dataset, name, len(table), sum(map(len, data)))], columns=_NAMES)
-
-    return placed.groupBy("dataset_id", "shard").applyInPandas(write, FILES)
+    def opened(dataset: str, shard: int) -> _File:
+        return _ArrowFile(f"{output_dir}/{dataset}", f"data-{start.get(dataset, 0) + shard:05d}.arrow", include_caption)
+
+    return _streamed(placed, ["dataset_id", "shard"], "_ord", opened)
 
 
 def tar_files(samples: DataFrame, output_dir: str, maxcount: int = 10_000, first_index: int = 0) -> DataFrame:
@@ -104,25 +172,7 @@ def tar_files(samples: DataFrame, output_dir: str, maxcount: int = 10_000, first
     body = F.when(F.col("sample_type") == "multi_image_text", text.ensure_tokens(body, F.size("images"))).otherwise(body)
     rows = rows.select("dataset_id", "sample_type", "images", "_ord", body.alias("body"), text.record_key(F.col("dataset_id"), F.col("sample_id")).alias("key"), F.floor(F.col("_ord") / maxcount).alias("shard"))
 
-    def write(table: pd.DataFrame) -> pd.DataFrame:
-        table = table.sort_values("_ord", kind="stable")
-        out, total = io.BytesIO(), 0
-        with tarfile.open(fileobj=out, mode="w") as tar:
-            for key, kind, images, body in table[["key", "sample_type", "images", "body"]].itertuples(index=False):
-                members = []
-                for i, image in enumerate(images, 1):
-                    ext = file_extension(image["format"])
-                    members.append((f"{key}.img{i}.{ext}" if kind == "multi_image_text" else f"{key}.{ext}", image["bytes"]))
-                    total += len(image["bytes"])
-                for name, data in [*members, (f"{key}.txt", body.encode("utf-8"))]:
-                    info = tarfile.TarInfo(name)
-                    info.size = len(data)
-                    tar.addfile(info, io.BytesIO(data))
-        name = f"part-{first_index + int(table['shard'].iloc[0]):06d}.tar"
-        place(output_dir, name, out.getvalue())
-        return pd.DataFrame([("", name, len(table), total)], columns=_NAMES)
-
-    return rows.groupBy("shard").applyInPandas(write, FILES)
+    return _streamed(rows, ["shard"], "_ord", lambda shard: _TarFile(output_dir, f"part-{first_index + shard:06d}.tar"))
 
 
 def listed(spark: SparkSession, folder: str, suffix: str) -> list[str]:
