@@ -229,6 +229,14 @@ def _extensions(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
+def _runs_of(starts: np.ndarray) -> list[dict[str, int]]:
+    """The maximal repeats that windows at these words make: runs of windows one word apart, as ranges of words."""
+    if not len(starts):
+        return []
+    parts = np.split(starts, np.flatnonzero(np.diff(starts) != 1) + 1)
+    return [{"start": int(p[0]), "end": int(p[-1]) + WINDOW} for p in parts]
+
+
 def _removals(spans: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -245,14 +253,15 @@ def _removals(spans: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             for k in range(batch.num_rows):
                 low, high = words.first[k], words.first[k + 1]
                 own = kept[low:high]
+                repeats = _runs_of(gone[np.searchsorted(gone, low) : np.searchsorted(gone, high)] - low) if spans else []
                 if copies[k] and wholes[k] in np.frombuffer(b"".join(copies[k]), U64):
-                    own = np.zeros(high - low, bool)
+                    own, repeats = np.zeros(high - low, bool), [{"start": 0, "end": int(high - low)}]
                 left = words.text(k, None if own.all() else own)
-                rows.append((int(high - low), int(high - low - own.sum()), hashlib.sha256(left).hexdigest(), *([left.decode("utf-8")] if spans else [])))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * (3 + spans)
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+                rows.append((int(high - low), int(high - low - own.sum()), hashlib.sha256(left).hexdigest(), *([left.decode("utf-8"), repeats] if spans else [])))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * (3 + 2 * spans)
+            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: 1 + len(arrays)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "repeats"][: 1 + len(arrays)])
 
     return run
 
@@ -275,7 +284,7 @@ def _repeated_windows(rows: DataFrame, seeds: DataFrame, buckets: int) -> DataFr
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_sha256 of each row; with ``kept_text`` if asked.
+    """doc_id, n_words, n_removed and kept_sha256 of each row; with ``kept_text`` and ``repeats``, its maximal repeats as ranges of words, if asked.
 
     Between the passes nothing refers to their plans any more, so Spark drops their shuffle files.
     """
@@ -287,5 +296,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     release(spark, wait=True)
     told = _repeated_windows(rows, seeds, buckets)
     release(spark, wait=True)
-    out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string, repeats array<struct<start:bigint,end:bigint>>" * with_text
     return rows.join(told, "doc_id", "left").select("doc_id", "text", "windows", "copies").mapInArrow(_removals(with_text), out)
