@@ -46,6 +46,25 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def check_tokenizer(spec: dict[str, Any]) -> None:
+    """Raise if a tokenizer file asks for steps that this codec does not take, and whose ids would be others."""
+    model, before, after = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("post_processor")
+    wrong = [f"model.{k}" for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    if model.get("type", "BPE") != "BPE":
+        wrong.append("model.type")
+    if spec.get("normalizer") is not None:
+        wrong.append("normalizer")
+    if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        wrong.append("pre_tokenizer")
+    if after is not None and after.get("type") != "ByteLevel":
+        wrong.append("post_processor")
+    if (spec.get("decoder") or {}).get("type") != "ByteLevel":
+        wrong.append("decoder")
+    wrong += [f"added token {t['content']!r}" for t in spec.get("added_tokens", ()) if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]
+    if wrong:
+        raise ValueError(f"this tokenizer file needs more than byte-level BPE: {', '.join(wrong)}")
+
+
 class _Pieces(dict):
     """Ids, as little-endian 32-bit bytes, by piece of text; filled on demand."""
 
@@ -65,6 +84,7 @@ class ByteBpe:
 
     def __init__(self, contents: bytes):
         spec = json.loads(contents)
+        check_tokenizer(spec)
         alphabet = byte_alphabet()
         vocab: dict[str, int] = spec["model"]["vocab"]
         raw = {token: bytes(map(alphabet.__getitem__, token)) for token in vocab if all(c in alphabet for c in token)}
@@ -167,8 +187,9 @@ def _digest(value: bytes) -> str:
 def encode_documents(docs: DataFrame, contents: bytes, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document; with its ``ids`` if asked.
 
-    ``contents`` is the tokenizer file.  Ids are one binary value, little-endian unsigned 32-bit.
+    ``contents`` is the tokenizer file; one that needs other steps than byte-level BPE is an error.  Ids are one binary value, little-endian unsigned 32-bit.
     """
+    check_tokenizer(json.loads(contents))
     ship(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(contents)
 

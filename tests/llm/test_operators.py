@@ -339,6 +339,24 @@ def test_substrings_chunks_and_null_ids(spark, monkeypatch):
     assert brute.counted(list(map(tuple, remove_repeats(df).collect()))) == brute.counted(brute.removed(rows))
 
 
+def test_substrings_maximal_repeats(docs):
+    """Texts and ranges: a repeat ends where one more word on either side is no repeat any more."""
+    rows = [(d, t) for d, t, *_ in corpus()]
+    first: dict = {}
+    for d, t in rows:
+        w = brute.words(t)
+        for p in range(len(w) - 12):
+            first[tuple(w[p : p + 13])] = min(d, first.get(tuple(w[p : p + 13]), d))
+    text_of = dict(rows)
+    for r in remove_repeats(docs, with_text=True).collect():
+        w, d = brute.words(text_of[r["doc_id"]]), r["doc_id"]
+        again = [p for p in range(len(w) - 12) if first[tuple(w[p : p + 13])] < d]
+        runs = [p for p in again if p - 1 not in again], [p + 13 for p in again if p + 1 not in again]
+        assert [(x["start"], x["end"]) for x in r["repeats"]] == list(zip(*runs, strict=True)), d
+        gone = {k for x in r["repeats"] for k in range(x["start"], x["end"])}
+        assert r["kept_text"] == " ".join(x for k, x in enumerate(w) if k not in gone) and r["n_removed"] == len(gone)
+
+
 def test_substrings_of_adjacent_rows(spark):
     rng = random.Random(6)
     rows: list[tuple] = []
@@ -469,6 +487,13 @@ def test_bpe_equals_the_library(codec):
         assert codec.decode(ids) == text == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_bpe_refuses_other_tokenizers(spark):
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="normalizer, pre_tokenizer, decoder"):
+        encode_documents(spark.createDataFrame([], DOCS), read_tokenizer(public_tokenizers.path("word_bpe_49k.json")))
+
+
 def test_bpe_cuts_are_certain(codec):
     fragments = list(codec.fragments("naïve漢字zq".encode()))
     assert b"".join(fragments) == "naïve漢字zq".encode()
