@@ -32,7 +32,7 @@ FILES = "dataset_id string, name string, samples long, bytes long"
 _NAMES = [c.split()[0] for c in FILES.split(", ")]
 
 
-class _File:
+class SharedFile:
     """A file of a shared folder (a path or any URI that Arrow's file systems know), named when it is closed."""
 
     def __init__(self, folder: str, name: str):
@@ -48,7 +48,7 @@ class _File:
         self.store.move(self.part, self.final)
 
 
-class _ArrowFile(_File):
+class _ArrowFile(SharedFile):
     """An Arrow stream of single-image samples."""
 
     def __init__(self, folder: str, name: str, include_caption: bool):
@@ -70,7 +70,7 @@ class _ArrowFile(_File):
         super().finish()
 
 
-class _TarFile(_File):
+class _TarFile(SharedFile):
     """A tar of images and texts."""
 
     def __init__(self, folder: str, name: str):
@@ -95,13 +95,13 @@ class _TarFile(_File):
         super().finish()
 
 
-def _streamed(rows: DataFrame, keys: list[str], order: str, opened: Callable[..., _File]) -> DataFrame:
+def _streamed(rows: DataFrame, keys: list[str], order: str, opened: Callable[..., SharedFile]) -> DataFrame:
     """Write the rows of each key to the file that ``opened(*key)`` gives, in order; one row of FILES for each file.
 
     The first key is the dataset, empty where a file holds several.
     """
 
-    def done(key: tuple, file: _File) -> pa.RecordBatch:
+    def done(key: tuple, file: SharedFile) -> pa.RecordBatch:
         file.finish()
         types = [pa.string(), pa.string(), pa.int64(), pa.int64()]
         values = [key[0] if len(key) > 1 else "", file.name, file.samples, file.bytes]
@@ -154,7 +154,7 @@ def arrow_files(samples: DataFrame, output_dir: str, target_shard_bytes: int, ba
     placed = placed.select("dataset_id", "shard", "_ord", "sample_id", "images", F.coalesce("text", F.lit("")).alias("caption"))
     start = first_index or {}
 
-    def opened(dataset: str, shard: int) -> _File:
+    def opened(dataset: str, shard: int) -> SharedFile:
         return _ArrowFile(f"{output_dir}/{dataset}", f"data-{start.get(dataset, 0) + shard:05d}.arrow", include_caption)
 
     return _streamed(placed, ["dataset_id", "shard"], "_ord", opened)
