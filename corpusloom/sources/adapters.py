@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from corpusloom.operators.ordinals import dense_ids
 from corpusloom.runtime import ship
 from corpusloom.schema import as_samples
 from corpusloom.sources import files, web
-from corpusloom.sources.archives import read_csv_member, read_members
+from corpusloom.sources.archives import open_file, read_csv_member, read_members
 
 Adapter = Callable[..., DataFrame]
 ADAPTERS: dict[str, Adapter] = {}
@@ -429,11 +430,52 @@ def holoassist(
 
 
 @adapter("EgoExo4D")
-def egoexo4d(spark: SparkSession, data_dir: str, laplacian_threshold: float, imagehash_tolerance: int, **_: object) -> DataFrame:
-    return _frames(spark, data_dir, "egoexo4d", None, None, laplacian_threshold, imagehash_tolerance, "dhash")
-
+def egoexo4d(
+    spark: SparkSession, data_dir: str, laplacian_threshold: float, imagehash_tolerance: int, aria_map_x_path: str | None = None, aria_map_y_path: str | None = None, size: int | None = None, **_: object
+) -> DataFrame:
+    """From a table of decoded frames, straightened by two maps of places and brought to ``size``, where these are given.
 
-def _frames(spark: SparkSession, data_dir: str, dataset_id: str, stride: int | None, least: float | None, mean: float, tolerance: int, kind: str) -> DataFrame:
+    Videos are those of ``takes.json`` in ``data_dir``, in its order; all of the table where there is none.
+    """
+    maps = None
+    if aria_map_x_path and aria_map_y_path:
+        with open_file(aria_map_x_path) as x, open_file(aria_map_y_path) as y:
+            maps = np.load(x), np.load(y)
+
+    def prepare(image: np.ndarray) -> np.ndarray:
+        if maps is not None:
+            image = pixels.remap(image, *maps)
+        return image if size is None else pixels.resize(image, size, size)
+
+    return _frames(spark, data_dir, "egoexo4d", None, None, laplacian_threshold, imagehash_tolerance, "dhash", prepare if maps is not None or size else None, _takes(spark, data_dir))
+
+
+def _takes(spark: SparkSession, data_dir: str) -> DataFrame | None:
+    """The video of each take (video, take), None without a list; a take without just one rgb video of its glasses is an error."""
+    lists = spark.read.format("binaryFile").option("pathGlobFilter", "takes.json").load(data_dir).select(F.col("content").cast("string").alias("json"))
+    if lists.isEmpty():
+        return None
+    kind = "array<struct<take_name:string,root_dir:string,frame_aligned_videos:map<string,map<string,struct<relative_path:string>>>>>"
+    takes = lists.select(F.posexplode(F.from_json("json", kind)).alias("take", "t")).select("take", "t.*")
+    worn = F.filter(F.map_entries("frame_aligned_videos"), lambda e: F.lower(e["key"]).contains("aria"))
+    rgb = F.try_element_at(F.get(worn, F.lit(0))["value"], F.lit("rgb"))["relative_path"]
+    wrong = F.raise_error(F.concat(F.lit("no single rgb video of the glasses in "), F.coalesce("take_name", F.lit("a take")))).cast("string")
+    video = F.concat_ws("/", "root_dir", rgb)
+    return takes.select("take", F.when((F.size(worn) == 1) & rgb.isNotNull(), video).otherwise(wrong).alias("video"))
+
+
+def _frames(
+    spark: SparkSession,
+    data_dir: str,
+    dataset_id: str,
+    stride: int | None,
+    least: float | None,
+    mean: float,
+    tolerance: int,
+    kind: str,
+    prepare: Callable[[np.ndarray], np.ndarray] | None = None,
+    takes: DataFrame | None = None,
+) -> DataFrame:
     ship(spark)
 
     @F.pandas_udf("sharp boolean, bits string, width int, height int")
@@ -444,6 +486,7 @@ def _frames(spark: SparkSession, data_dir: str, dataset_id: str, stride: int | N
             if rgb is None:
                 rows.append((False, "0" * 64, None, None))
                 continue
+            rgb = rgb if prepare is None else prepare(rgb)
             gray = pixels.to_gray(rgb)
             if kind == "phash":
                 low, average = pixels.grid_sharpness(gray)
@@ -455,10 +498,19 @@ def _frames(spark: SparkSession, data_dir: str, dataset_id: str, stride: int | N
             rows.append((sharp, f"{int(code, 16):064b}", rgb.shape[1], rgb.shape[0]))
         return pd.DataFrame(rows, columns=["sharp", "bits", "width", "height"]).astype({"width": "Int32", "height": "Int32"})
 
-    frames = spark.read.parquet(data_dir)
+    @F.pandas_udf("binary")
+    def prepared(column: pd.Series) -> pd.Series:
+        return column.map(lambda data: pixels.encode_png(prepare(pixels.decode_png(data))))
+
+    frames = spark.read.option("pathGlobFilter", "*.parquet").parquet(data_dir)
+    if takes is not None:
+        frames = frames.join(F.broadcast(takes), "video")
     flags = frames.select("video", "frame_index", looked("pixels").alias("l")).select("video", "frame_index", "l.*").filter("width IS NOT NULL")
     kept = gate_frames(flags, "video", "frame_index", stride, "sharp", "bits", tolerance)
-    rows = numbered(kept.join(frames.withColumnRenamed("pixels", "content"), ["video", "frame_index"]), "video", "frame_index")
+    rows = kept.join(frames.withColumnRenamed("pixels", "content"), ["video", "frame_index"])
+    rows = numbered(rows, *(["take"] if takes is not None else []), "video", "frame_index")
+    if prepare is not None:
+        rows = rows.withColumn("content", prepared("content"))
     fields = F.create_map(F.lit("video"), F.col("video"), F.lit("frame_index"), F.col("frame_index").cast("string"))
     return as_samples(rows, dataset_id, "image", images=image_of(form=F.lit("png")), data=fields)
 

@@ -133,3 +133,22 @@ def test_images_named_by_documents_are_fetched_on_request(spark, tmp_path):
     (row,) = adapters.build(spark, {"id": "MMC4", "data_dir": str(tmp_path), "enabled": True}).collect()
     assert row["sample_id"] == 1 and row["images"][0]["width"] == 12 and row["data"]["url"] == f"{base}/ok1"
     server.shutdown()
+
+
+def test_frames_are_straightened_in_the_order_of_takes(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    frames = [(f"takes/{v}/videos/rgb.mp4", k, pixels.encode_png(rng.integers(0, 255, (24, 32, 3), np.uint8))) for v in ("b", "a", "unused") for k in range(2)]
+    spark.createDataFrame(frames, "video string, frame_index long, pixels binary").coalesce(1).write.parquet(str(tmp_path / "d"))
+    take = lambda v: {"take_name": v, "root_dir": f"takes/{v}", "frame_aligned_videos": {"aria01": {"rgb": {"relative_path": "videos/rgb.mp4"}, "slam": {"relative_path": "x"}}, "cam1": {"0": {"relative_path": "y"}}}}
+    (tmp_path / "d" / "takes.json").write_text(json.dumps([take("b"), take("a")]))
+    y, x = np.mgrid[0:20, 0:20].astype(np.float32)
+    for name, grid in (("x", x + 5), ("y", y + 2)):
+        np.save(tmp_path / f"{name}.npy", grid)
+    config = {"id": "EgoExo4D", "data_dir": str(tmp_path / "d"), "laplacian_threshold": 1.0, "imagehash_tolerance": 1}
+    rows = adapters.build(spark, config | {"aria_map_x_path": str(tmp_path / "x.npy"), "aria_map_y_path": str(tmp_path / "y.npy"), "size": 20}).orderBy("sample_id").collect()
+    assert [(r["data"]["video"].split("/")[1], r["data"]["frame_index"]) for r in rows] == [("b", "0"), ("b", "1"), ("a", "0"), ("a", "1")]
+    want = {(v, k): pixels.decode_png(p)[2:22, 5:25] for v, k, p in frames}
+    assert all((pixels.decode_png(bytes(r["images"][0]["bytes"])) == want[r["data"]["video"], int(r["data"]["frame_index"])]).all() for r in rows)
+    (tmp_path / "d" / "takes.json").write_text(json.dumps([take("b") | {"frame_aligned_videos": {"cam1": {}}}]))
+    with pytest.raises(Exception, match="no single rgb video"):
+        adapters.build(spark, config).collect()
