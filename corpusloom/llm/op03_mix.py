@@ -59,12 +59,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     rows = named.select("source", "source_size", cycle.cast("long").alias("weight"), (most * F.col("source_size")).alias("cap"))
     filling = [F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()]
     rows = checkpoint(_with_sums_before(rows, filling, {"full": "cap", "used": "weight"}))
-    totals = rows.agg(F.sum("weight").alias("weights"), F.sum("source_size").alias("whole"))
-    rows = rows.crossJoin(F.broadcast(totals)).withColumn("level", (F.col("whole") - F.col("full")).cast("double") / (F.col("weights") - F.col("used")))
-    peak = rows.agg(F.max("level").alias("peak"))
+    weight, whole = (x or 0 for x in rows.agg(F.sum("weight"), F.sum("source_size")).first())
+    rows = rows.withColumn("level", (F.lit(whole) - F.col("full")).cast("double") / (F.lit(weight) - F.col("used")))
     # The level rises while the next source saturates below it and falls after: its peak spends the whole.
-    rows = rows.crossJoin(F.broadcast(peak))
-    target = F.least(F.col("cap").cast("double"), F.col("peak") * F.col("weight"))
+    peak = rows.agg(F.max("level")).first()[0] or 0.0
+    target = F.least(F.col("cap").cast("double"), F.lit(peak) * F.col("weight"))
     rate = F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(F.lit(0.0))
     return rows.select("source", "source_size", target.alias("target"), rate.alias("rate"))
 
