@@ -109,6 +109,14 @@ def test_quality_verdicts_match_brute_force(spark):
     assert used == {0, 1, 2} and len(got) == len(rows)
 
 
+def test_quality_agrees_with_labels(spark):
+    """Of labelled documents that pass the base rules, most of low quality go and nearly all of high quality stay."""
+    found = op01_quality.quality(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("NOT base_failed")
+    labelled = found.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
+    share = {r["quality"]: r["s"] for r in labelled.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("s")).collect()}
+    assert share[0] <= 0.15 and share[1] >= 0.98
+
+
 def test_chi_square_quantiles():
     assert op01_quality.chi2_quantile(0.95, 2) == pytest.approx(5.9915, abs=1e-3)
     assert op01_quality.chi2_quantile(0.975, 6) == pytest.approx(14.449, abs=1e-3)
