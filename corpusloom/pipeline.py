@@ -113,6 +113,7 @@ def run(spark: SparkSession, config: dict, debug: bool = False, source: Callable
                     owners = image_filters.with_image_hash(part, algorithm).filter("img_hash IS NOT NULL")
                     HashStore(spark, path).add(owners)
             progress.update(name, end, completed=final and not debug)
+            log.info("%s: committed up to sample %d of %d", name, end, newest)
         if newest is None:
             progress.update(name, last, completed=not debug)
         out[name] = {"processed": processed, "passed": passed}

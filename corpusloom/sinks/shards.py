@@ -14,6 +14,7 @@ import re
 import tarfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import pandas as pd
 import pyarrow as pa
@@ -255,4 +256,15 @@ def write_parquet(samples: DataFrame, output_dir: str, **_: object) -> None:
     samples.write.mode("append").partitionBy("dataset_id").parquet(output_dir)
 
 
-WRITERS = {"huggingface": write_arrow, "webdataset": write_tars, "parquet": write_parquet}
+class Writer(Protocol):
+    """A sink: places ``samples`` below ``output_dir``, whole or not at all; further options are its configuration's."""
+
+    def __call__(self, samples: DataFrame, output_dir: str, **options: object) -> None: ...
+
+
+WRITERS: dict[str, Writer] = {"huggingface": write_arrow, "webdataset": write_tars, "parquet": write_parquet}
+
+
+def register(name: str, writer: Writer) -> None:
+    """Make a sink known to configurations under ``name``."""
+    WRITERS[name] = writer

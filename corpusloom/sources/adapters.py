@@ -328,7 +328,9 @@ def isic(spark: SparkSession, data_dir: str, archive: str = f"{ISIC_FOLDER}.zip"
     fields = table.select(F.col("n").alias("sample_id"), F.try_element_at("row", F.lit("isic_id")).alias("isic_id"), F.to_json("row").alias("row"))
     images = read_members(spark, f"{data_dir}/{archive}", lambda p: p.lower().endswith(".jpg")).withColumn("isic_id", text.stem(F.col("path")))
     data = F.create_map(F.lit("dataset_id"), F.lit("isic"), F.lit("patient_info"), F.col("row"))
-    return as_samples(decoded(fields.join(images, "isic_id")), "isic", "image", images=image_of(), data=data)
+    missing = F.raise_error(F.concat(F.lit("no image of "), F.coalesce("isic_id", F.lit("a line without an id")))).cast("int")
+    rows = fields.join(images, "isic_id", "left").withColumn("width", F.when(F.col("content").isNull(), missing).otherwise(F.col("width")))
+    return as_samples(decoded(rows), "isic", "image", images=image_of(), data=data)
 
 
 @adapter("UWF")
@@ -339,7 +341,7 @@ def uwf(spark: SparkSession, data_dir: str, table: str = "table.csv", **_: objec
     key = F.concat_ws("/", F.col("Diagnosis"), F.regexp_replace("`Image ID `", r"\.[^.]*$", ""))
     images = files.read_images(spark, [f"{data_dir}/Original UWF Image"], ("jpg", "jpeg", "png"))
     images = images.withColumn("_key", F.concat_ws("/", F.element_at(F.split("path", "/"), -2), text.stem(F.col("path"))))
-    joined = records.withColumn("_key", key).join(images, "_key")
+    joined = records.withColumn("_key", key).join(images, "_key", "left")  # a record without its image has no size, which is an error
     fields = ("Image ID ", "Patient ID", "Eye category", "Age", "Sex", "Diagnosis")
     data = F.create_map(F.lit("dataset_id"), F.lit("uwf"), *(x for c in fields for x in (F.lit(c.strip().lower().replace(" ", "_")), F.col(f"`{c}`").cast("string"))))
     return as_samples(resized(joined, 1300, 1024, ((3900, 3072), (2600, 2048))), "uwf", "image", images=image_of(), data=data)

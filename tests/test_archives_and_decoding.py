@@ -102,11 +102,14 @@ def test_tables_inside_archives(spark, tmp_path):
     assert [r["data"]["file_path"] if r["data"] else None for r in rows] == [None, None] and [r["sample_id"] for r in rows] == [0, 1]
     assert "AP" in rows[0]["text"] or "nodule" in rows[0]["text"].lower()
     folder = adapters.ISIC_FOLDER
-    data = 'isic_id,note\nI2,"a, ""quoted""\nline"\nI1,b\nI9,c\n'
+    data = 'isic_id,note\nI2,"a, ""quoted""\nline"\nI1,b\n'
     make_zip(tmp_path / f"{folder}.zip", [(f"{folder}/metadata.csv", data.encode()), (f"{folder}/I1.jpg", jpeg(spark, 20, 10)), (f"{folder}/I2.jpg", jpeg(spark, 30, 10))])
     rows = adapters.build(spark, {"id": "ISIC", "data_dir": str(tmp_path)}).orderBy("sample_id").collect()
     assert [(r["sample_id"], r["images"][0]["width"]) for r in rows] == [(0, 30), (1, 20)]
     assert "quoted" in rows[0]["data"]["patient_info"]
+    make_zip(tmp_path / "lost.zip", [("x/metadata.csv", b"isic_id\nI9\n"), ("x/I1.jpg", jpeg(spark, 20, 10))])
+    with pytest.raises(Exception, match="no image of I9"):
+        adapters.build(spark, {"id": "ISIC", "data_dir": str(tmp_path), "archive": "lost.zip"}).collect()
 
 
 def test_other_formats_as_png(spark):
@@ -145,6 +148,9 @@ def test_resized_adapters_decode_jpeg(spark, tmp_path):
     (tmp_path / "table.csv").write_text("Image ID ,Patient ID,Eye category,Age,Sex,Diagnosis\n7.jpg,p1,OD,50,F,DR\n")
     (row,) = adapters.build(spark, {"id": "UWF", "data_dir": str(tmp_path)}).collect()
     assert decode_png(bytes(row["images"][0]["bytes"])).shape == (1024, 1300, 3) and row["data"]["patient_id"] == "p1"
+    (tmp_path / "table.csv").write_text("Image ID ,Patient ID,Eye category,Age,Sex,Diagnosis\n8.jpg,p1,OD,50,F,DR\n")
+    with pytest.raises(Exception, match="unexpected image size"):
+        adapters.build(spark, {"id": "UWF", "data_dir": str(tmp_path)}).collect()
 
 
 def test_last_lookup_wins_by_file_and_line(spark, tmp_path):
