@@ -329,7 +329,9 @@ def isic(spark: SparkSession, data_dir: str, archive: str = f"{ISIC_FOLDER}.zip"
     images = read_members(spark, f"{data_dir}/{archive}", lambda p: p.lower().endswith(".jpg")).withColumn("isic_id", text.stem(F.col("path")))
     data = F.create_map(F.lit("dataset_id"), F.lit("isic"), F.lit("patient_info"), F.col("row"))
     missing = F.raise_error(F.concat(F.lit("no image of "), F.coalesce("isic_id", F.lit("a line without an id")))).cast("int")
-    rows = fields.join(images, "isic_id", "left").withColumn("width", F.when(F.col("content").isNull(), missing).otherwise(F.col("width")))
+    # No condition may be false for rows without an image before that is found an error: the height gets a stand-in.
+    width, height = F.when(F.col("content").isNull(), missing).otherwise(F.col("width")), F.coalesce("height", F.lit(1))
+    rows = fields.join(images, "isic_id", "left").withColumns({"width": width, "height": height})
     return as_samples(decoded(rows), "isic", "image", images=image_of(), data=data)
 
 
