@@ -18,6 +18,9 @@ from corpusloom.llm.op07_substrings import remove_repeats
 from corpusloom.llm.op08_pii import find_personal_data
 from corpusloom.llm.op09_bpe import default_tokenizer, encode_documents, read_tokenizer
 from corpusloom.llm.op10_html import extract_pages
+from corpusloom.llm.op11_shards import shard_rows
+from corpusloom.llm.op12_whitening import whiten
+from corpusloom.llm.op13_repair import repair
 from corpusloom.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +72,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of equal weight, and where a ninth would take rows."""
+    out = shard_rows(table(spark, sf_dir, "documents"))
+    return out.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(spark, table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_mcd": op1_quality_mcd,
@@ -81,6 +98,9 @@ def queries() -> dict[str, Query]:
         "op8_personal_data": op8_personal_data,
         "op9_bpe": op9_bpe,
         "op10_html_text": op10_html_text,
+        "op11_rendezvous": op11_rendezvous,
+        "op12_whitening": op12_whitening,
+        "op13_repair": op13_repair,
     }
 
 
@@ -92,4 +112,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_cascade": sql.URLS,
         "op6_license_digests": sql.licenses(),
         "op7_substrings": sql.SUBSTRINGS,
+        "op11_rendezvous": sql.shards(),
+        "op13_repair": sql.repairs(),
     }

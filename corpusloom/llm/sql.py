@@ -138,3 +138,96 @@ WITH d AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(left_text, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
+
+#: The 256 values of CRC-32 (reversed polynomial 0xEDB88320), by eight halvings each, as one list.
+_CRC_TABLE = r"""
+crc_steps(k, c, n) AS (
+  SELECT k, k, 0 FROM range(256) t(k)
+  UNION ALL
+  SELECT k, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n + 1 FROM crc_steps WHERE n < 8
+), crc_table AS (
+  SELECT list(c ORDER BY k) AS crcs FROM crc_steps WHERE n = 8
+)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, with ``crcs`` in scope."""
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), {step}), 4294967295)"
+
+
+def shards() -> str:
+    """Draws of nine shards by digest, the highest of eight and of all, and places inside each shard."""
+    return f"""
+WITH RECURSIVE {_CRC_TABLE}, d AS (
+  SELECT doc_id, coalesce('=' || doc_id::VARCHAR, '~') AS key, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+    {_crc32("coalesce(text, '')")}::BIGINT AS text_crc32
+  FROM documents, crc_table
+), w AS (
+  SELECT *, list_transform(range(9), lambda s: -1 / ln((('0x' || substr(md5(key || ':' || s::VARCHAR), 1, 13))::BIGINT + 0.5::DOUBLE) / pow(16::DOUBLE, 13))) AS draws FROM d
+), p AS (
+  SELECT *, list_position(draws[1:8], list_max(draws[1:8])) - 1 AS shard, list_position(draws, list_max(draws)) - 1 AS grown FROM w
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+  (row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1)::BIGINT AS slot, grown::INTEGER AS grown_shard
+FROM p
+"""
+
+
+def _edit(value: str, cost: str, letter: str, item: str = "''") -> str:
+    """A repair with an edit before it."""
+    return f"struct_pack(c := {value}.c + {cost}, l := '{letter}' || {value}.l, t := {item} || {value}.t)"
+
+
+def repairs() -> str:
+    """Rows taken from the last to the first, with the least (cost, letters, text) for each state behind them."""
+    states = {"e": ("u", "user"), "s": ("u", "user"), "u": ("a", "assistant"), "a": ("u", "user")}
+    keeps = {"e": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    own, whole = [], []
+    for q, (following, role) in states.items():
+        kept = " ".join(f"WHEN first = '{i}' THEN {_edit('v.' + to, 'short', 'K', 'item')}" for i, to in keeps[q].items())
+        rerole = _edit(f"v.{following}", "2 + short", "R", f"'{role}:' || text || chr(10)")
+        own.append(f"list_min([{_edit('v.' + q, '3', 'D')}, CASE WHEN goes THEN NULL {kept} END, CASE WHEN NOT goes THEN {rerole} END]) AS o_{q}")
+        insert = _edit(f"o_{following}", "2", "I", f"'{role}:' || chr(10)")
+        whole.append(f"list_min([o_{q}, {insert}]) AS {q}")
+    end = lambda c, l, t: f"struct_pack(c := {c}, l := '{l}', t := {t})"  # noqa: E731, E741
+    ends = ", ".join([end(0, "", "''"), end(1000000, "", "''"), end(2, "I", "'assistant:' || chr(10)"), end(0, "", "''")])
+    return rf"""
+WITH RECURSIVE {_CRC_TABLE}, d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations, crc_table
+), h AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM d, unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) WHERE fault <> 0
+), i AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS g,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, substr(text, 1, 32), md5(text)) AS i, substr(role, 1, 1) AS first
+  FROM h
+), f AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, role || ':' || text || chr(10) AS item,
+    row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again, regexp_matches(text, '[^.!?\x20\x09-\x0D][\x20\x09-\x0D]*$') AS open,
+    i > 1 AND lag(first) OVER (PARTITION BY g ORDER BY i) || first NOT IN ('su', 'ua', 'au') AS illegal
+  FROM i
+), r AS (
+  SELECT *, blank OR again AS goes, (open AND NOT blank AND NOT again)::INTEGER AS short FROM f
+), c AS (
+  SELECT g, any_value(conv_id) AS conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, sum(short) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM r GROUP BY g
+), v(g, i, e, s, u, a) AS (
+  SELECT g, n, {ends} FROM c
+  UNION ALL
+  SELECT g, i - 1, {", ".join(whole)} FROM (
+    SELECT v.g, v.i, {", ".join(own)} FROM v JOIN r ON r.g = v.g AND r.i = v.i
+  )
+), b AS (
+  SELECT c.*, v.e FROM c JOIN v ON v.g = c.g AND v.i = 0
+)
+SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.c, 0)::BIGINT AS cost, coalesce(e.l, '') AS audit,
+  sha256(coalesce(e.t[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN b ON k.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
