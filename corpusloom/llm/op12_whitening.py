@@ -2,7 +2,7 @@
 
 Vectors become integers (``floor(64 * c)``).  The fit list holds each distinct vector once; Spark makes it by a
 grouping with partial aggregation, so a vector that holds a third of the rows is merged before the shuffle.  Tasks
-add sums, and then products of centred rows, to one small matrix each, which Spark sums by entry: what reaches
+add sums, and then products of centred rows, to one small matrix each, which few tasks add up: what reaches
 the driver has the size of the dimension squared, whatever the number of rows.  There the scatter is
 factored as ``L L'`` with the largest remaining diagonal first, and columns of L are rotated in pairs until they
 are orthogonal: their squared norms are the scatter's eigenvalues, and the columns at length one its eigenvectors.
@@ -40,6 +40,8 @@ RANK_TOLERANCE = 1e-13
 ORTHOGONAL = 1e-15
 SWEEPS = 60
 _LOW_BITS = 26
+#: Tasks that add the matrices of all others.
+SUMMING_TASKS = 16
 
 
 def integer_vectors(rows: DataFrame, vec_id: str, embedding: str, scale: float = SCALE) -> tuple[DataFrame, int]:
@@ -59,22 +61,28 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def _partial(batches: Iterator[pa.RecordBatch], dim: int, add) -> Iterator[pa.RecordBatch]:
-    """The sum of ``add(rows)`` over a task, as (k, value)."""
+def _partial(batches: Iterator[pa.RecordBatch], dim: int, add, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """The sum of ``add(rows)`` over a task, as one array, in one row; none from a task without rows."""
     total = None
     for batch in batches:
         if batch.num_rows:
             part = add(_matrix(batch.column(0), dim))
             total = part if total is None else total + part
     if total is not None:
-        yield pa.RecordBatch.from_pydict({"k": pa.array(range(len(total)), pa.int32()), "value": pa.array(total)})
+        yield pa.RecordBatch.from_pydict({"y": pa.array([total], pa.list_(kind))})
 
 
-def _summed(fit: DataFrame, dim: int, add, kind: str) -> list:
-    """The sum of ``add`` over all rows, by entry."""
-    parts = fit.select("y").mapInArrow(partial(_partial, dim=dim, add=add), f"k int, value {kind}")
-    total = F.sum(F.col("value").cast("decimal(38,0)") if kind == "long" else F.col("value"))
-    return [r["total"] for r in parts.groupBy("k").agg(total.alias("total")).orderBy("k").collect()]
+def _summed(fit: DataFrame, dim: int, add, kind: str) -> np.ndarray:
+    """The sum of ``add`` over all rows: by task, then by ``SUMMING_TASKS`` tasks, whose arrays the driver adds."""
+    arrow = pa.int64() if kind == "long" else pa.float64()
+    parts = fit.select("y").mapInArrow(partial(_partial, dim=dim, add=add, kind=arrow), f"y array<{kind}>")
+    size = len(add(np.zeros((1, dim), np.int64)))
+    merged = parts.repartition(SUMMING_TASKS).mapInArrow(partial(_partial, dim=size, add=_add_rows, kind=arrow), f"y array<{kind}>")
+    return np.sum([r["y"] for r in merged.collect()], axis=0)
+
+
+def _add_rows(rows: np.ndarray) -> np.ndarray:
+    return rows.sum(axis=0)
 
 
 def _add_sums(y: np.ndarray) -> np.ndarray:
