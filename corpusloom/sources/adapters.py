@@ -23,7 +23,7 @@ from corpusloom.operators.ordinals import dense_ids
 from corpusloom.runtime import ship
 from corpusloom.schema import as_samples
 from corpusloom.sources import files, web
-from corpusloom.sources.archives import open_file, read_csv_member, read_members
+from corpusloom.sources.archives import list_members, open_file, place, read_csv_member, read_members, with_payload_arrays, with_payloads
 
 Adapter = Callable[..., DataFrame]
 ADAPTERS: dict[str, Adapter] = {}
@@ -74,10 +74,10 @@ class ClassMap:
         )
 
     def read(self, spark: SparkSession, **config: object) -> DataFrame:
-        members = read_members(spark, str(config[self.archive]), self.wants)
+        members = list_members(spark, str(config[self.archive]), self.wants)
         key = text.prefix_class(text.stem(F.col("path")), list(self.captions)) if self.by_prefix else text.path_part(F.col("path"), self.class_part)
         rows = members.withColumn("caption", text.class_caption(key, self.captions)).filter("caption IS NOT NULL")
-        rows = decoded(numbered(rows, "archive", "ord"))
+        rows = decoded(with_payloads(numbered(rows, "archive", "ord")))
         data = F.create_map(F.lit("file_path"), F.col("path"))
         return as_samples(rows, str(config.get("dataset_id", self.dataset_id)), "multi_image_text", text=F.concat(F.lit("<|img1|>\n"), F.col("caption")), images=image_of(), data=data)
 
@@ -183,9 +183,9 @@ def _captioned(rows: DataFrame, dataset_id: str, image_only: bool, data: Column
 @adapter("NctCrcHe")
 def nct_crc_he(spark: SparkSession, zip_path: str, dataset_id: str = "nct_crc_he", **_: object) -> DataFrame:
     want = lambda p: p.split("/")[-1].lower().endswith((".tif", ".tiff", ".png", ".jpg", ".jpeg")) and any(f"{z}/" in p for z in NCT_INNER)
-    rows = read_members(spark, zip_path, want, nested=True)
+    rows = list_members(spark, zip_path, want, nested=True)
     rows = rows.withColumn("caption", text.class_caption(F.element_at(F.split("path", "/"), -2), NCT_CAPTIONS)).filter("caption IS NOT NULL")
-    return _captioned(decoded(numbered(rows, "path")), dataset_id, False)
+    return _captioned(decoded(with_payloads(numbered(rows, "path"))), dataset_id, False)
 
 
 @adapter("NihChestXray")
@@ -195,8 +195,8 @@ def nih_chest_xray(spark: SparkSession, zip_path: str, dataset_id: str = "nih_ch
     caption = text.xray_caption(*(cell(c) for c in ("Finding Labels", "Patient Age", "Patient Gender", "View Position")))
     records = read_csv_member(spark, zip_path, "Data_Entry_2017.csv").select("n", F.trim(cell("Image Index")).alias("name"), caption.alias("caption"))
     lookup = last_wins(records, "name", "n", "caption")
-    rows = read_members(spark, zip_path, lambda p: p.lower().endswith(".png")).withColumn("name", text.basename(F.col("path")))
-    return _captioned(decoded(numbered(rows.join(lookup, "name"), "archive", "ord")), dataset_id, False)
+    rows = list_members(spark, zip_path, lambda p: p.lower().endswith(".png")).withColumn("name", text.basename(F.col("path")))
+    return _captioned(decoded(with_payloads(numbered(rows.join(lookup, "name"), "archive", "ord"))), dataset_id, False)
 
 
 @adapter("MediCaT")
@@ -207,8 +207,8 @@ def medicat(spark: SparkSession, tar_path: str, dataset_id: str = "medicat", cac
     lookup = last_wins(fields, "name", "n", "caption").filter("caption IS NOT NULL AND caption != ''")
     if cache_file:
         lookup = files.materialised(spark, lookup, cache_file)
-    rows = read_members(spark, tar_path, lambda p: p.lower().endswith((".png", ".jpg", ".jpeg"))).withColumn("name", text.basename(F.col("path")))
-    return _captioned(decoded(numbered(rows.join(lookup, "name"), "archive", "ord")), dataset_id, False)
+    rows = list_members(spark, tar_path, lambda p: p.lower().endswith((".png", ".jpg", ".jpeg"))).withColumn("name", text.basename(F.col("path")))
+    return _captioned(decoded(with_payloads(numbered(rows.join(lookup, "name"), "archive", "ord"))), dataset_id, False)
 
 
 @adapter("MedMax")
@@ -219,10 +219,10 @@ def medmax(spark: SparkSession, data_dir: str, image_only: bool, cache_file: str
     lookup = last_wins(part("validation", 0).unionByName(part("train", 1)), "image_path", "ord", "text", "task", "source")
     if cache_file:
         lookup = files.materialised(spark, lookup, cache_file)
-    rows = read_members(spark, f"{data_dir}/*tar.gz", lambda p: p.lower().endswith((".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp")))
+    rows = list_members(spark, f"{data_dir}/*tar.gz", lambda p: p.lower().endswith((".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp")))
     rows = numbered(rows.join(lookup.withColumnRenamed("image_path", "path"), "path"), "archive", "ord").withColumn("caption", F.coalesce("text", F.lit("")))
     fields = F.create_map(F.lit("file_path"), F.col("path"), F.lit("task"), F.coalesce("task", F.lit("")), F.lit("source"), F.coalesce("source", F.lit("")))
-    return _captioned(decoded(rows), "medmax", image_only, fields)
+    return _captioned(decoded(with_payloads(rows)), "medmax", image_only, fields)
 
 
 @adapter("MedTrinityFull")
@@ -231,8 +231,8 @@ def medtrinity_full(spark: SparkSession, data_dir: str, image_only: bool, cache_
     lookup = last_wins(table, "file_name", "_place", "caption", "source")
     if cache_file:
         lookup = files.materialised(spark, lookup, cache_file)
-    rows = read_members(spark, f"{data_dir}/*.tar.zst").withColumn("file_name", text.basename(F.col("path")))
-    rows = decoded(numbered(rows.join(lookup, "file_name"), "archive", "ord"))
+    rows = list_members(spark, f"{data_dir}/*.tar.zst").withColumn("file_name", text.basename(F.col("path")))
+    rows = decoded(with_payloads(numbered(rows.join(lookup, "file_name").withColumnRenamed("source", "of"), "archive", "ord")))
     return _captioned(rows if image_only else rows.filter("caption IS NOT NULL"), "medtrinity_full", image_only)
 
 
@@ -249,20 +249,20 @@ def pmcoa(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
     """Ids are places in the whole listing of the archive."""
     records = files.in_file_order(spark.read.json(f"{data_dir}/pmc_oa.jsonl"), exact=False)
     lookup = last_wins(records.select(F.concat(F.lit(PMC_FOLDER + "/"), "image").alias("path"), "caption", "_place"), "path", "_place", "caption")
-    rows = read_members(spark, f"{data_dir}/images.zip").withColumnRenamed("ord", "sample_id").join(lookup, "path")
-    return _captioned(decoded(rows), "pmc_oa", False)
+    rows = list_members(spark, f"{data_dir}/images.zip").withColumn("sample_id", F.col("ord")).join(lookup, "path")
+    return _captioned(decoded(with_payloads(rows)), "pmc_oa", False)
 
 
 @adapter("OpenPMC18m")
 def open_pmc_18m(spark: SparkSession, data_dir: str, image_only: bool = True, **_: object) -> DataFrame:
-    rows = numbered(files.read_web_records(spark, f"{data_dir}/*.tar"), "archive", "ord")
+    rows = files.read_web_records(spark, f"{data_dir}/*.tar", numbered)
     rows = decoded(rows.withColumns({"content": F.col("jpg"), "path": F.concat("key", F.lit(".jpg")), "caption": F.coalesce(F.get_json_object("json", "$.caption"), F.lit(""))}))
     return _captioned(rows, "open_pmc_18m", image_only)
 
 
 @adapter("LAIONAesthetics")
 def laion_aesthetics(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
-    rows = numbered(files.read_web_records(spark, f"{data_dir}/*.tar"), "archive", "ord")
+    rows = files.read_web_records(spark, f"{data_dir}/*.tar", numbered)
     rows = decoded(rows.withColumns({"content": F.col("jpg"), "path": F.concat("key", F.lit(".jpg"))}))
     return as_samples(rows, "laion-aesthetics", "image", images=image_of(), data=F.create_map(F.lit("json"), F.col("json")))
 
@@ -326,12 +326,12 @@ def isic(spark: SparkSession, data_dir: str, archive: str = f"{ISIC_FOLDER}.zip"
     """The table is a member of the archive; ids are its lines."""
     table = read_csv_member(spark, f"{data_dir}/{archive}", "metadata.csv")
     fields = table.select(F.col("n").alias("sample_id"), F.try_element_at("row", F.lit("isic_id")).alias("isic_id"), F.to_json("row").alias("row"))
-    images = read_members(spark, f"{data_dir}/{archive}", lambda p: p.lower().endswith(".jpg")).withColumn("isic_id", text.stem(F.col("path")))
+    images = list_members(spark, f"{data_dir}/{archive}", lambda p: p.lower().endswith(".jpg")).withColumn("isic_id", text.stem(F.col("path")))
     data = F.create_map(F.lit("dataset_id"), F.lit("isic"), F.lit("patient_info"), F.col("row"))
     missing = F.raise_error(F.concat(F.lit("no image of "), F.coalesce("isic_id", F.lit("a line without an id")))).cast("int")
     # No condition may be false for rows without an image before that is found an error: the height gets a stand-in.
     width, height = F.when(F.col("content").isNull(), missing).otherwise(F.col("width")), F.coalesce("height", F.lit(1))
-    rows = fields.join(images, "isic_id", "left").withColumns({"width": width, "height": height})
+    rows = with_payloads(fields.join(images, "isic_id", "left"), optional=True).withColumns({"width": width, "height": height})
     return as_samples(decoded(rows), "isic", "image", images=image_of(), data=data)
 
 
@@ -358,9 +358,9 @@ def rfmid2(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
 @adapter("SLIDE")
 def slide(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
     """Three archives in the order test, train, val; 2559 x 1957 images brought to 768 x 584."""
-    rows = read_members(spark, f"{data_dir}/*.zip", lambda p: p.lower().endswith(".jpg"))
+    rows = list_members(spark, f"{data_dir}/*.zip", lambda p: p.lower().endswith(".jpg"))
     rows = numbered(rows.filter(F.col("archive").rlike(r"/(test|train|val)\.zip$")), "archive", "ord")
-    return as_samples(resized(rows, 768, 584, ((2559, 1957),)), "slide", "image", images=image_of())
+    return as_samples(resized(with_payloads(rows), 768, 584, ((2559, 1957),)), "slide", "image", images=image_of())
 
 
 def resized(rows: DataFrame, width: int, height: int, allowed: tuple[tuple[int, int], ...]) -> DataFrame:
@@ -393,13 +393,18 @@ def medpix(spark: SparkSession, dataset_id: str, zip_path: str, **_: object) ->
     cases = numbered(topics, "_o").withColumn("ids", F.concat(F.coalesce("TAC", F.array()), F.coalesce("MRI", F.array())))
     notes = _json_member(spark, zip_path, "Descriptions.json", "image string, Description map<string,string>")
     notes = last_wins(notes, "image", "_o", "Description")
-    images = decoded(read_members(spark, zip_path, lambda p: p.lower().endswith((".png", ".jpg", ".jpeg")), nested=True)).withColumn("image", text.stem(F.col("path")))
+    images = list_members(spark, zip_path, lambda p: p.lower().endswith((".png", ".jpg", ".jpeg")), nested=True).withColumn("image", text.stem(F.col("path")))
     each = cases.select("sample_id", F.posexplode("ids").alias("k", "image")).join(images, "image").join(notes, "image", "left")
     part = lambda c: F.coalesce(F.try_element_at("Description", F.lit(c)), F.lit(""))
     meta = F.concat_ws(", ", F.nullif(part("Modality"), F.lit("")), F.nullif(part("Plane"), F.lit("")))
     line = F.concat(F.when(meta != "", F.concat(F.lit(" ["), meta, F.lit("]"))).otherwise(F.lit("")), F.when(part("Caption") != "", F.concat(F.lit(" "), part("Caption"))).otherwise(F.lit("")))
-    picture = F.struct("k", line.alias("line"), image_of()[0].alias("image"))
-    grouped = each.groupBy("sample_id").agg(F.array_sort(F.collect_list(picture)).alias("p")).join(cases, "sample_id")
+    form = F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))
+    listed = each.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("k", line.alias("line"), form.alias("format"), place(images).alias("place")))).alias("listed"))
+    listed = listed.withColumn("places", F.transform("listed", lambda p: p["place"])).join(cases, "sample_id")
+    read = with_payload_arrays(listed, "places")
+    entry = lambda i: F.get("listed", i)
+    pictures = F.transform("payloads", lambda x, i: F.struct(entry(i)["line"].alias("line"), F.struct(x["content"].alias("bytes"), entry(i)["format"].alias("format"), x["width"], x["height"]).alias("image")))
+    grouped = read.withColumn("p", F.filter(pictures, lambda p: (p["image"]["width"] > 0) & (p["image"]["height"] > 0))).filter("size(p) > 0")
     case, topic = (lambda c: F.try_element_at("Case", F.lit(c))), (lambda c: F.try_element_at("Topic", F.lit(c)))
     body = F.concat_ws(
         "\n",

@@ -1,10 +1,12 @@
 """Archive members as rows: zip, tar, gzipped and zstandard tars, zips inside zips.
 
 Spark's ``binaryFile`` reader lists the archives, so they may lie in any store it reads; tasks open them
-where they lie and read what they need, so an archive may have any size.  The entries of a zip are listed
-in one task and read in many, each a stretch of the file; tars and zips inside zips are streamed by one
-task each.  An inner archive that is stored is read in place, a compressed one by way of the task's disk.
-A member's payload is read only where its name is wanted; one member must fit in a value of 2 GB.
+where they lie and read what they need, so an archive may have any size.  A scan has two phases: ``list_members``
+gives the place of each wanted member without its payload, and ``with_payloads`` reads payloads.  What lies
+between them (predicates, lookups, ids) moves rows of a few bytes, and a payload is read once, by the task that
+passes it on.  Members of zips, plain tars and stored inner zips are read at their place, in many tasks, each a
+stretch of the file; those of compressed tars by streaming the archive again, in one task each, and those of
+compressed inner zips by way of the task's disk.  One member must fit in a value of 2 GB.
 
 Stores that only Spark's readers know are read through ``binaryFile`` content, archives below 2 GB.
 """
@@ -25,19 +27,25 @@ from typing import IO, Any
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom.functions.pixels import loadable_size
 from corpusloom.runtime import ship
 
 MEMBERS = "archive string, ord long, path string, content binary, width int, height int"
-ENTRIES = "archive string, ord long, path string, offset long, size long, method int"
+PLACES = "archive string, ord long, path string, offset long, size long, method int"
+PLACE_COLUMNS = [c.split()[0] for c in PLACES.split(", ")]
+_PAYLOAD = T.StructType([T.StructField("content", T.BinaryType()), T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
 #: Schemes that tasks can open by themselves; others go through Spark's reader.
 OPENED = ("file", "hdfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
 #: Bytes of a zip that one task reads in a row, and bytes and rows of a batch of members.
 STRETCH, BATCH_BYTES, BATCH_ROWS = 64 << 20, 32 << 20, 64
+#: Tasks that read payloads, at most (a task then reads several stretches), and listed rows of a batch.
+MOST_TASKS, LISTED_ROWS = 100_000, 10_000
 Want = Callable[[str], bool]
 
 
@@ -103,11 +111,30 @@ def iter_members(file: IO[bytes], name: str, want: Want = everything, nested: bo
 
     A damaged archive gives a warning and no further members.
     """
+    for k, path, _, read in walk(file, name, want, nested):
+        try:
+            yield k, path, read()
+        except _errors() as error:
+            warnings.warn(f"{name}: {error}", stacklevel=2)
+            return
+
+
+#: Where a payload lies: offset, bytes there, and how they are read (a zip's method, or one of the two below).
+Place = tuple[int, int, int]
+#: Bytes as they are at the offset; a member that is found by its ordinal only.
+RAW, BY_ORDINAL = -1, -2
+
+
+def walk(file: IO[bytes], name: str, want: Want = everything, nested: bool = False, base: int = 0) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
+    """(ordinal, path, place, a function that reads the payload while the walk stands there) of wanted members.
+
+    ``base`` is where ``file`` begins in the outermost archive.
+    """
     try:
         if name.endswith(".zip"):
-            yield from _zip_members(file, want, nested)
+            yield from _zip_members(file, want, nested, base)
         else:
-            yield from _tar_members(file, name, want)
+            yield from _tar_members(file, name, want, base)
     except _errors() as error:
         warnings.warn(f"{name}: {error}", stacklevel=2)
 
@@ -121,41 +148,54 @@ def _data_start(file: IO[bytes], offset: int) -> int:
     return offset + 30 + int.from_bytes(header[26:28], "little") + int.from_bytes(header[28:30], "little")
 
 
-def _zip_members(file: IO[bytes], want: Want, nested: bool) -> Iterator[tuple[int, str, bytes]]:
+def _zip_members(file: IO[bytes], want: Want, nested: bool, base: int) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
     with zipfile.ZipFile(file) as z:
         for k, info in enumerate(z.infolist()):
             if info.is_dir():
                 continue
             if nested and info.filename.endswith(".zip"):
-                for j, path, content in _inner_members(file, z, info, want):
-                    yield (k << 32) + j, f"{info.filename}/{path}", content
+                for j, path, place, read in _inner_members(file, z, info, want, base):
+                    yield (k << 32) + j, f"{info.filename}/{path}", place, read
             elif want(info.filename):
-                yield (k << 32 if nested else k), info.filename, z.read(info)
+                known = base >= 0 and info.compress_type in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED)
+                place = (base + info.header_offset if known else 0, info.compress_size, info.compress_type if known else BY_ORDINAL)
+                yield (k << 32 if nested else k), info.filename, place, lambda info=info: z.read(info)
 
 
-def _inner_members(file: IO[bytes], z: zipfile.ZipFile, info: zipfile.ZipInfo, want: Want) -> Iterator[tuple[int, str, bytes]]:
+def _inner_members(file: IO[bytes], z: zipfile.ZipFile, info: zipfile.ZipInfo, want: Want, base: int) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
     wanted = lambda p: want(f"{info.filename}/{p}")
     if info.compress_type == zipfile.ZIP_STORED:
-        inside = io.BufferedReader(_Stretch(file, _data_start(file, info.header_offset), info.file_size), 1 << 20)
-        yield from iter_members(inside, info.filename, wanted)
+        start = _data_start(file, info.header_offset)
+        inside = io.BufferedReader(_Stretch(file, start, info.file_size), 1 << 20)
+        yield from walk(inside, info.filename, wanted, base=base + start if base >= 0 else -1)
         return
-    with tempfile.TemporaryFile() as spooled, z.open(info) as inner:
+    with _spooled(z, info) as spooled:
+        yield from walk(spooled, info.filename, wanted, base=-1)
+
+
+def _spooled(z: zipfile.ZipFile, info: zipfile.ZipInfo) -> IO[bytes]:
+    """A compressed inner archive on the task's disk."""
+    spooled = tempfile.TemporaryFile()  # noqa: SIM115  closed by the caller
+    with z.open(info) as inner:
         while piece := inner.read(8 << 20):
             spooled.write(piece)
-        spooled.seek(0)
-        yield from iter_members(spooled, info.filename, wanted)
+    spooled.seek(0)
+    return spooled
 
 
-def _tar_members(file: IO[bytes], name: str, want: Want) -> Iterator[tuple[int, str, bytes]]:
+def _tar_members(file: IO[bytes], name: str, want: Want, base: int) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
+    plain = base >= 0 and not name.endswith((".zst", ".gz", ".tgz"))
     if name.endswith(".zst"):
         import zstandard
 
         file = zstandard.ZstdDecompressor().stream_reader(file)
-    mode = "r|gz" if name.endswith((".gz", ".tgz")) else "r|"
+    mode = "r:" if plain else "r|gz" if name.endswith((".gz", ".tgz")) else "r|"
     with tarfile.open(fileobj=file, mode=mode) as t:
         for k, member in enumerate(t):
             if member.isfile() and want(member.name):
-                yield k, member.name, t.extractfile(member).read()
+                known = plain and not member.issparse()
+                place = (base + member.offset_data if known else 0, member.size, RAW if known else BY_ORDINAL)
+                yield k, member.name, place, lambda member=member: t.extractfile(member).read()
 
 
 def _row(archive: str, k: int, path: str, content: bytes) -> tuple[Any, ...]:
@@ -183,57 +223,198 @@ def _batched(rows: Iterator[tuple[Any, ...]]) -> Iterator[pa.RecordBatch]:
         yield batch(waiting)
 
 
-def _listed(batches: Iterator[pa.RecordBatch], want: Want) -> Iterator[pa.RecordBatch]:
-    """The wanted entries of zips, by ENTRIES."""
-    for batch in batches:
-        for archive in batch.column(0).to_pylist():
+def _listed(batches: Iterator[pa.RecordBatch], want: Want, nested: bool) -> Iterator[pa.RecordBatch]:
+    """The places of wanted members, by PLACES."""
+    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
+
+    def batch(rows: list[tuple[Any, ...]]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], PLACE_COLUMNS)
+
+    for archives in batches:
+        for archive in archives.column(0).to_pylist():
             rows = []
-            try:
-                with open_file(archive) as file, zipfile.ZipFile(file) as z:
-                    for k, info in enumerate(z.infolist()):
-                        if not info.is_dir() and want(info.filename):
-                            rows.append((archive, k, info.filename, info.header_offset, info.compress_size, info.compress_type))
-            except _errors() as error:
-                warnings.warn(f"{archive}: {error}", stacklevel=2)
-            types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split()[0] for c in ENTRIES.split(", ")])
-
-
-def _entry(file: IO[bytes], path: str, offset: int, size: int, method: int) -> bytes:
-    start = _data_start(file, offset)
-    if method == zipfile.ZIP_STORED or method == zipfile.ZIP_DEFLATED:
-        file.seek(start)
-        data = file.read(size)
-        return zlib.decompress(data, -15) if method == zipfile.ZIP_DEFLATED else data
-    with zipfile.ZipFile(file) as z:
-        return z.read(path)
+            with open_file(archive) as file:
+                for k, path, place, _ in walk(file, archive, want, nested):
+                    rows.append((archive, k, path, *place))
+                    if len(rows) == LISTED_ROWS:
+                        yield batch(rows)
+                        rows = []
+            yield batch(rows)
+
+
+class Payloads:
+    """Reads payloads by their places; keeps the archive of the last one open, and a streamed one where it stands."""
+
+    def __init__(self) -> None:
+        self.archive: str | None = None
+        self.file: IO[bytes] | None = None
+        self.inner: tuple[str, IO[bytes]] | None = None
+        self.at, self.last, self.stream = -1, None, None
+
+    def read(self, archive: str, k: int, path: str, offset: int, size: int, method: int) -> bytes | None:
+        """The payload; None, with a warning, where the archive is damaged."""
+        try:
+            if archive != self.archive:
+                self.close()
+                self.archive, self.file = archive, open_file(archive)
+            if method == BY_ORDINAL:
+                return self._member(k, path) if archive.endswith(".zip") else self._streamed(k)
+            self.file.seek(offset if method == RAW else _data_start(self.file, offset))
+            data = self.file.read(size)
+            if len(data) < size:
+                raise EOFError("cut short")
+            return zlib.decompress(data, -15) if method == zipfile.ZIP_DEFLATED else data
+        except _errors() as error:
+            warnings.warn(f"{archive}: {path}: {error}", stacklevel=2)
+            return None
+
+    def _member(self, k: int, path: str) -> bytes:
+        """A member of a zip, or of a compressed zip inside it, by its place in the listing."""
+        with zipfile.ZipFile(self.file) as z:
+            entries = z.infolist()
+            if k < len(entries) and entries[k].filename == path:
+                return z.read(entries[k])
+            outer = entries[k >> 32]
+            if outer.filename == path:
+                return z.read(outer)
+            if self.inner is None or self.inner[0] != outer.filename:
+                if self.inner is not None:
+                    self.inner[1].close()
+                self.inner = (outer.filename, _spooled(z, outer))
+        with zipfile.ZipFile(self.inner[1]) as z:
+            return z.read(z.infolist()[k & 0xFFFFFFFF])
+
+    def _streamed(self, k: int) -> bytes | None:
+        """A member of a compressed tar: the stream goes on to it, or starts again where it lies behind."""
+        if k == self.at:
+            return self.last
+        if self.stream is None or k < self.at:
+            self.file.seek(0)
+            self.stream, self.at = walk(self.file, self.archive), -1
+        for at, _, _, read in self.stream:
+            if at == k:
+                self.at, self.last = k, read()
+                return self.last
+        return None
+
+    def close(self) -> None:
+        for file in (self.file, self.inner and self.inner[1]):
+            if file:
+                file.close()
+        self.archive, self.file, self.inner, self.stream, self.at, self.last = None, None, None, None, -1, None
+
+
+def _filled(batches: Iterator[pa.RecordBatch], schema: pa.Schema, places: list[int], optional: bool) -> Iterator[pa.RecordBatch]:
+    """Rows with their payloads and sizes, in batches bounded by bytes; without ``optional`` rows whose payload cannot be read go."""
+    source = Payloads()
+
+    def out(batch: pa.RecordBatch, rows: list[int], contents: list[bytes | None], sizes: list[tuple]) -> pa.RecordBatch:
+        columns = batch.take(pa.array(rows)).columns
+        added = [contents, [w for w, _ in sizes], [h for _, h in sizes]]
+        return pa.RecordBatch.from_arrays([*columns, *(pa.array(c, t) for c, t in zip(added, schema.types[-3:], strict=True))], schema.names)
+
+    for batch in batches:
+        rows, contents, sizes, held = [], [], [], 0
+        for k, place in enumerate(zip(*(batch.column(c).to_pylist() for c in places), strict=True)):
+            content = None if place[0] is None else source.read(*place)
+            if content is None and not optional:
+                continue
+            if rows and (held + len(content or b"") > BATCH_BYTES or len(rows) == BATCH_ROWS):
+                yield out(batch, rows, contents, sizes)
+                rows, contents, sizes, held = [], [], [], 0
+            rows.append(k)
+            contents.append(content)
+            sizes.append(loadable_size(content) or (None, None) if content is not None else (None, None))
+            held += len(content or b"")
+        if rows:
+            yield out(batch, rows, contents, sizes)
+    source.close()
+
+
+def _arrays_filled(batches: Iterator[pa.RecordBatch], column: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows with ``payloads``, an array of content, width and height for each place of an array of places."""
+    source = Payloads()
+    kind = pa.list_(pa.struct([("content", pa.binary()), ("width", pa.int32()), ("height", pa.int32())]))
+    for batch in batches:
+        for k, places in enumerate(batch.column(column).to_pylist()):
+            found = []
+            for p in places or []:
+                content = None if p is None or p["archive"] is None else p["content"] if "content" in p else source.read(*(p[c] for c in PLACE_COLUMNS))
+                width, height = (loadable_size(content) or (None, None)) if content is not None else (None, None)
+                found.append({"content": content, "width": width, "height": height})
+            yield pa.RecordBatch.from_arrays([*batch.slice(k, 1).columns, pa.array([found], kind)], [*names, "payloads"])
+    source.close()
+
+
+def _archives(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
+    """The archives at ``path``, and whether tasks can open them; where they cannot, their content comes along."""
+    ship(spark)
+    here = scheme_of(path) in OPENED
+    return spark.read.format("binaryFile").load(path).select("path", *([] if here else ["content"])), here
+
 
+def list_members(spark: SparkSession, path: str, want: Want = everything, nested: bool = False) -> DataFrame:
+    """The wanted members of the archives at ``path`` (a file, a folder's glob, or a list's common glob), by PLACES.
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple[Any, ...]]:
-        opened, file = None, None
+    From stores that only Spark's readers know, members come with their payloads.
+    """
+    files, here = _archives(spark, path)
+    if here:
+        return files.mapInArrow(lambda batches: _listed(batches, want, nested), PLACES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for archive, k, path, offset, size, method in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                try:
-                    if opened != archive:
-                        opened, file = archive, open_file(archive)
-                    yield _row(archive, k, path, _entry(file, path, offset, size, method))
-                except _errors() as error:
-                    warnings.warn(f"{archive}: {path}: {error}", stacklevel=2)
+            for k, archive in enumerate(batch.column(0).to_pylist()):
+                with io.BytesIO(batch.column(1)[k].as_buffer()) as file:
+                    yield from _batched(_row(archive, *member) for member in iter_members(file, archive, want, nested))
+
+    members = files.mapInArrow(run, MEMBERS)
+    return members.withColumns({"offset": F.lit(0).cast("long"), "size": F.lit(0).cast("long"), "method": F.lit(BY_ORDINAL)})
+
 
-    yield from _batched(rows())
+def place(members: DataFrame) -> Column:
+    """The place of a listed member as one value, for ``with_payload_arrays``; with its payload where that came along."""
+    return F.struct(*PLACE_COLUMNS, *(["content"] if "content" in members.columns else []))
+
+
+def _dealt(rows: DataFrame, archive: Column, offset: Column, size: Column, streamed: Column, order: list[Column]) -> DataFrame:
+    """``rows``, which hold places only, in tasks of about STRETCH bytes of payload; a streamed archive in one."""
+    tasks = int((rows.agg(F.sum(size)).first()[0] or 0) // STRETCH) + 1
+    return rows.repartition(min(tasks, MOST_TASKS), archive, F.when(~streamed, F.floor(offset / STRETCH))).sortWithinPartitions(*order)
+
+
+def with_payloads(rows: DataFrame, optional: bool = False) -> DataFrame:
+    """``rows`` (with the columns of PLACES) with content, width and height.
+
+    The rows are shuffled as they are, without payloads.  A row whose payload cannot be read goes, with a warning;
+    with ``optional`` it stays, as does a row without a place, with nulls.
+    """
+    if "content" in rows.columns:
+        return rows
+    rows = rows.drop("width", "height")
+    at = [F.col(c) for c in ("archive", "offset", "size")]
+    dealt = _dealt(rows, *at, F.col("method") == BY_ORDINAL, [F.col("archive"), F.col("offset"), F.col("ord")])
+    kind = T.StructType([*rows.schema.fields, *_PAYLOAD.fields])
+    places, schema = [rows.columns.index(c) for c in PLACE_COLUMNS], to_arrow_schema(kind)
+    return dealt.mapInArrow(lambda batches: _filled(batches, schema, places, optional), kind)
+
+
+def with_payload_arrays(rows: DataFrame, places: str) -> DataFrame:
+    """``rows`` with ``payloads``, an array of structs (content, width, height) beside the array ``places`` of places."""
+    first = F.get(places, F.lit(0))
+    size = F.aggregate(places, F.lit(0).cast("long"), lambda total, p: total + F.coalesce(p["size"], F.lit(0)))
+    dealt = _dealt(rows, first["archive"], first["offset"], size, first["method"] == BY_ORDINAL, [first["archive"], first["offset"], first["ord"]])
+    kind = T.StructType([*rows.schema.fields, T.StructField("payloads", T.ArrayType(_PAYLOAD))])
+    column, names = rows.columns.index(places), rows.columns
+    return dealt.mapInArrow(lambda batches: _arrays_filled(batches, column, names), kind)
 
 
 def read_members(spark: SparkSession, path: str, want: Want = everything, nested: bool = False) -> DataFrame:
-    """The wanted members of the archives at ``path`` (a file, a folder's glob, or a list's common glob)."""
-    ship(spark)
-    here = scheme_of(path) in OPENED
-    files = spark.read.format("binaryFile").load(path).select("path", *([] if here else ["content"]))
+    """The wanted members of the archives at ``path`` with their payloads, for members that need no numbering."""
+    files, here = _archives(spark, path)
     if here and not nested and path.endswith(".zip"):
-        entries = files.mapInArrow(lambda batches: _listed(batches, want), ENTRIES)
-        dealt = entries.repartition("archive", F.floor(F.col("offset") / STRETCH)).sortWithinPartitions("archive", "offset")
-        return dealt.mapInArrow(_entries, MEMBERS)
+        return with_payloads(list_members(spark, path, want)).select(*(c.split()[0] for c in MEMBERS.split(", ")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

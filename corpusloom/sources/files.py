@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.pixels import encode_png, loadable_size, to_rgb
 from corpusloom.runtime import ship
-from corpusloom.sources.archives import read_members
+from corpusloom.sources.archives import list_members, place, with_payload_arrays
 
 
 def with_size(df: DataFrame, content: str = "content") -> DataFrame:
@@ -65,18 +65,20 @@ def read_npz(spark: SparkSession, paths: list[str], splits: tuple[str, ...]) ->
     return files.mapInArrow(run, "file string, split string, block int, ord long, content binary, width int, height int")
 
 
-def read_web_records(spark: SparkSession, path: str) -> DataFrame:
+def read_web_records(spark: SparkSession, path: str, numbered: Callable[..., DataFrame] | None = None) -> DataFrame:
     """One row for each key of webdataset tars: archive, ord, key, jpg, json, width, height.
 
-    Shards are ordered by name, which makes ordinals the same everywhere.
+    Shards are ordered by name, which makes ordinals the same everywhere.  Keys are grouped, and given ids by
+    ``numbered``, by the places of their members; payloads are read last.
     """
-    members = read_members(spark, path, lambda p: p.lower().endswith((".jpg", ".jpeg", ".json")))
+    members = list_members(spark, path, lambda p: p.lower().endswith((".jpg", ".jpeg", ".json")))
     extension = F.regexp_extract(F.lower("path"), r"\.([a-z]+)$", 1)
-    rows = members.withColumns({"key": F.regexp_replace("path", r"\.[^./]*$", ""), "ext": F.when(extension == "json", "json").otherwise("jpg")})
-    picked = lambda c, e: F.first(F.when(F.col("ext") == e, F.col(c)), ignorenulls=True)
-    return rows.groupBy("archive", "key").agg(
-        F.min("ord").alias("ord"), picked("content", "jpg").alias("jpg"), picked("content", "json").cast("string").alias("json"), picked("width", "jpg").alias("width"), picked("height", "jpg").alias("height")
-    )
+    rows = members.withColumns({"key": F.regexp_replace("path", r"\.[^./]*$", ""), "ext": F.when(extension == "json", "json").otherwise("jpg"), "place": place(members)})
+    picked = lambda e: F.min_by(F.when(F.col("ext") == e, F.col("place")), F.when(F.col("ext") == e, F.col("ord")))
+    keys = rows.groupBy("archive", "key").agg(F.min("ord").alias("ord"), F.array(picked("jpg"), picked("json")).alias("places"))
+    keys = with_payload_arrays(keys if numbered is None else numbered(keys, "archive", "ord"), "places")
+    jpg, text = F.get("payloads", F.lit(0)), F.get("payloads", F.lit(1))
+    return keys.select(*(c for c in keys.columns if c not in ("places", "payloads")), jpg["content"].alias("jpg"), text["content"].cast("string").alias("json"), jpg["width"].alias("width"), jpg["height"].alias("height"))
 
 
 def read_arrow_dataset(spark: SparkSession, path: str, schema: str) -> DataFrame:
