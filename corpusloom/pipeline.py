@@ -3,8 +3,8 @@
 The configuration has ``adapters`` and ``filters`` (lists of entries with an ``id``), ``writer`` (with
 a ``type``) and ``pipeline`` (``log_file``, ``manifest_db``, ``checkpoint_db``, ``num_workers``,
 ``batch_size``, and ``commit_batches``, the batches between two commits).  Datasets run one after another; complete ones are
-skipped, others resume after their last sample.  State is committed after the sink of each stretch of batches, so a run that
-dies repeats the last stretch at most and loses nothing.
+skipped, others resume after their last sample.  Each stretch of batches is one commit of files, totals, manifest, hash
+owners and progress (``state.commits``): a run that dies leaves each sample once, and repeats the work of one stretch at most.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import json
 import logging
 import os
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import images as image_filters
 from corpusloom.operators.filters import match_all
-from corpusloom.runtime import stored
-from corpusloom.sinks.shards import WRITERS
+from corpusloom.runtime import discard, stored
+from corpusloom.sinks.shards import STAGING, WRITERS
 from corpusloom.sources import adapters
+from corpusloom.state.commits import CommitLog, names_in, remove
 from corpusloom.state.tables import HashStore, Manifest, Progress
 
 LOG_FORMAT = "%(asctime)s %(levelname)s [%(name)s] %(message)s"
@@ -82,11 +84,18 @@ def run(spark: SparkSession, config: dict, debug: bool = False, source: Callable
     config = checked(config)
     options = config["pipeline"]
     log = logger_for(options["log_file"])
+    log_of = CommitLog(spark, options["checkpoint_db"])
     manifest, progress = Manifest(spark, options["manifest_db"]), Progress(spark, options["checkpoint_db"])
     writer = dict(config["writer"])
-    write = WRITERS[writer.pop("type", "huggingface")]
+    sink = WRITERS[writer.pop("type", "huggingface")]
     apply = match_all([image_filters.build(f) for f in config["filters"]])
-    stores = [(f["db_path"], f.get("algorithm", "phash")) for f in config["filters"] if f["id"] == "ImageDeduplication" and f.get("db_path")]
+    stores = [(HashStore(spark, f["db_path"]), f.get("algorithm", "phash")) for f in config["filters"] if f["id"] == "ImageDeduplication" and f.get("db_path")]
+    log_of.recover()
+    for table in (manifest, progress, *(s for s, _ in stores)):
+        table.sweep()
+    for name in names_in(spark, writer["output_dir"]):
+        if name.startswith(STAGING):
+            remove(spark, f"{writer['output_dir']}/{name}")
     out: dict[str, dict[str, int]] = {}
     for position, entry in enumerate(config["adapters"]):
         samples = source(spark, entry, position)
@@ -101,23 +110,28 @@ def run(spark: SparkSession, config: dict, debug: bool = False, source: Callable
         if debug:
             samples = samples.orderBy("src_ord").limit(int(options["batch_size"]))
         samples = stored(samples)
-        kept = stored(samples.transform(apply))
-        processed, passed = samples.count(), kept.count()
-        low, newest = samples.agg(F.min("sample_id"), F.max("sample_id")).first()
+        kept = stored(samples.transform(apply)) if config["filters"] else samples
+        processed, low, newest = samples.agg(F.count("*"), F.min("sample_id"), F.max("sample_id")).first()
+        passed = kept.count()
         for first, end, final in stretches(low, newest, int(options["batch_size"]) * int(options.get("commit_batches", COMMIT_BATCHES))):
             part = kept.filter(F.col("sample_id").between(first, end))
+            moves, puts, staging = [], {}, f"{writer['output_dir']}/{STAGING}{uuid.uuid4().hex}"
             if not part.isEmpty():
-                write(part, batch_size=int(options["batch_size"]), **writer)
-                manifest.add(part)
-                for path, algorithm in stores:
-                    owners = image_filters.with_image_hash(part, algorithm).filter("img_hash IS NOT NULL")
-                    HashStore(spark, path).add(owners)
-            progress.update(name, end, completed=final and not debug)
+                staged = sink.stage(part, staging=staging, batch_size=int(options["batch_size"]), **writer)
+                moves, puts = staged.moves, staged.puts
+                moves.append(manifest.add(part, staged=True))
+                for store, algorithm in stores:
+                    moves.append(store.add(image_filters.with_image_hash(part, algorithm).filter("img_hash IS NOT NULL"), staged=True))
+            moves.append(progress.update(name, end, completed=final and not debug, staged=True))
+            log_of.publish(log_of.commit(moves, puts, dataset=name, first=first, end=end))
+            remove(spark, staging)
             log.info("%s: committed up to sample %d of %d", name, end, newest)
         if newest is None:
             progress.update(name, last, completed=not debug)
         out[name] = {"processed": processed, "passed": passed}
         log.info("%s: %d of %d samples passed", name, passed, processed)
+        for rows in {id(samples): samples, id(kept): kept}.values():
+            discard(rows)
     return out
 
 

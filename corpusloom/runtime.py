@@ -77,6 +77,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(rows: DataFrame) -> None:
+    """Delete the folder of a table that ``stored`` has written, once nobody reads it any more."""
+    for folder in {f.rpartition("/rows/")[0] for f in rows.inputFiles() if "/stored-" in f}:
+        path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Bytes of a batch that goes to a Python worker, unless the session says otherwise: rows can be long.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"

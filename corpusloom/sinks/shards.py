@@ -1,20 +1,25 @@
 """Sharded outputs: Arrow IPC streams by bytes, tars by count, Parquet.
 
-Each shard is written by one task under a name and with contents that a repeated task makes again, so
-lost executors leave no doubles.  A task streams its sorted rows into files, batch by batch, and never
-holds a shard; a file gets its name when it is whole.
+Shards are laid out by light rows (order and bytes); a sample then finds its shard among the first keys of
+shards, and its images are shuffled once, to the task that writes them.  The writing is a data source of its own,
+``corpusloom_shards``: a task streams its sorted rows into files below a staging folder, batch by batch, and never
+holds a shard; the job's commit lists the files of the tasks that succeeded, an abort deletes them.  A sink
+returns the moves that bring staged files to their names, with the metadata beside them, for the run's one
+commit record (``state.commits``); called as a function it makes them itself.
 """
 
 from __future__ import annotations
 
+import bisect
 import io
 import json
 import os
 import re
 import tarfile
 import uuid
-from collections.abc import Callable, Iterator
-from typing import Protocol
+from collections.abc import Iterator
+from dataclasses import dataclass
+from typing import Any, Protocol
 
 import pandas as pd
 import pyarrow as pa
@@ -22,23 +27,28 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from corpusloom.functions import text
 from corpusloom.operators import folds
 from corpusloom.operators.filters import GATED_TYPES
 from corpusloom.operators.ordinals import dense_ids
 from corpusloom.runtime import checkpoint, ship
+from corpusloom.state.commits import Move, files_below, publish, read_text, remove
 
-FILES = "dataset_id string, name string, samples long, bytes long"
-_NAMES = [c.split()[0] for c in FILES.split(", ")]
+
+def _store(folder: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    uri = re.sub(r"^file:/(?!/)", "file:///", folder) if ":" in folder else "file://" + os.path.abspath(folder)
+    return pafs.FileSystem.from_uri(uri)
 
 
 class SharedFile:
     """A file of a shared folder (a path or any URI that Arrow's file systems know), named when it is closed."""
 
     def __init__(self, folder: str, name: str):
-        uri = re.sub(r"^file:/(?!/)", "file:///", folder) if ":" in folder else "file://" + os.path.abspath(folder)
-        self.store, path = pafs.FileSystem.from_uri(uri)
+        self.store, path = _store(folder)
         self.store.create_dir(path, recursive=True)
         self.final, self.part = f"{path}/{name}", f"{path}/.{name}.{uuid.uuid4().hex}"
         self.name, self.samples, self.bytes = name, 0, 0
@@ -96,33 +106,102 @@ class _TarFile(SharedFile):
         super().finish()
 
 
-def _streamed(rows: DataFrame, keys: list[str], order: str, opened: Callable[..., SharedFile]) -> DataFrame:
-    """Write the rows of each key to the file that ``opened(*key)`` gives, in order; one row of FILES for each file.
+def _opened(kind: str, folder: str, settings: dict[str, Any], key: tuple) -> SharedFile:
+    """The staged file of a shard: of one dataset (Arrow) or of all (tar)."""
+    if kind == "arrow":
+        dataset, shard = key
+        return _ArrowFile(f"{folder}/{dataset}", f"data-{settings['start'].get(dataset, 0) + shard:05d}.arrow", settings["include_caption"])
+    return _TarFile(folder, f"part-{settings['start'] + key[0]:06d}.tar")
 
-    The first key is the dataset, empty where a file holds several.
-    """
 
-    def done(key: tuple, file: SharedFile) -> pa.RecordBatch:
-        file.finish()
-        types = [pa.string(), pa.string(), pa.int64(), pa.int64()]
-        values = [key[0] if len(key) > 1 else "", file.name, file.samples, file.bytes]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], _NAMES)
+@dataclass
+class _Written(WriterCommitMessage):
+    """The files of one task: dataset ("" where a file holds several), name, samples, bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, file = None, None
-        for batch in batches:
-            found = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+    files: list[tuple[str, str, int, int]]
+
+
+class ShardSink(DataSource):
+    """``df.write.format("corpusloom_shards")``: files of rows that come sorted by their keys, below a staging folder."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "corpusloom_shards"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return _ShardWriter(dict(self.options))
+
+
+FILE_LIST = "_files.json"
+
+
+class _ShardWriter(DataSourceArrowWriter):
+    def __init__(self, options: dict[str, str]):
+        self.kind, self.folder = options["kind"], options["path"]
+        self.settings, self.keys = json.loads(options["settings"]), json.loads(options["keys"])
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
+        key, file, files = None, None, []
+
+        def finish() -> None:
+            file.finish()
+            files.append((key[0] if len(key) > 1 else "", file.name, file.samples, file.bytes))
+
+        for batch in iterator:
+            found = list(zip(*(batch.column(k).to_pylist() for k in self.keys), strict=True))
             starts = [k for k in range(len(found)) if k == 0 or found[k] != found[k - 1]]
             for start, end in zip(starts, [*starts[1:], len(found)], strict=True):
                 if found[start] != key:
                     if file is not None:
-                        yield done(key, file)
-                    key, file = found[start], opened(*found[start])
+                        finish()
+                    key, file = found[start], _opened(self.kind, self.folder, self.settings, found[start])
                 file.write(batch.slice(start, end - start))
         if file is not None:
-            yield done(key, file)
+            finish()
+        return _Written(files)
+
+    def commit(self, messages: list[_Written | None]) -> None:
+        store, path = _store(self.folder)
+        store.create_dir(path, recursive=True)
+        files = sorted(f for m in messages if m is not None for f in m.files)
+        with store.open_output_stream(f"{path}/{FILE_LIST}") as out:
+            out.write(json.dumps(files).encode())
+
+    def abort(self, messages: list[_Written | None]) -> None:
+        store, path = _store(self.folder)
+        for dataset, name, *_ in (f for m in messages if m is not None for f in m.files):
+            file = f"{path}/{dataset}/{name}" if dataset else f"{path}/{name}"
+            if store.get_file_info(file).type == pafs.FileType.File:
+                store.delete_file(file)
+
+
+def _written(rows: DataFrame, keys: list[str], order: list[str], kind: str, staging: str, settings: dict[str, Any]) -> list[list]:
+    """Write the rows of each key to its file, in order; the list of files."""
+    spark = rows.sparkSession
+    spark.dataSource.register(ShardSink)
+    options = {"kind": kind, "settings": json.dumps(settings), "keys": json.dumps(keys)}
+    rows.repartition(*keys).sortWithinPartitions(*keys, *order).write.format("corpusloom_shards").mode("append").options(**options).save(staging)
+    return json.loads(read_text(spark, f"{staging}/{FILE_LIST}") or "[]")
+
+
+def _placed(rows: DataFrame, keys: list[str], starts: list[tuple], name: str = "shard") -> DataFrame:
+    """``rows`` with the number of the last of ``starts`` (values of ``keys`` and a number, sorted) that is not beyond its keys.
+
+    There is one start for each file that the job writes.
+    """
+    firsts, numbers = [_sortable(s[:-1]) for s in starts], [s[-1] for s in starts]
+    at = [rows.columns.index(k) for k in keys]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [numbers[max(0, bisect.bisect_right(firsts, _sortable(k)) - 1)] for k in zip(*(batch.column(c).to_pylist() for c in at), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], [*batch.schema.names, name])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())]))
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys, order).mapInArrow(run, FILES)
+
+def _sortable(key: tuple) -> tuple:
+    return tuple((v is not None, v) if v is not None else (False,) for v in key)
 
 
 def file_extension(form: str | None) -> str:
@@ -130,88 +209,124 @@ def file_extension(form: str | None) -> str:
     return {"": "png", "jpeg": "jpg"}.get((form or "").lower(), (form or "").lower())
 
 
-def arrow_files(samples: DataFrame, output_dir: str, target_shard_bytes: int, batch_size: int = 1000, include_caption: bool = False, first_index: dict[str, int] | None = None) -> DataFrame:
-    """Write Arrow stream files of the single-image samples; one row for each file.
+ORDER = ["adapter_pos", "src_ord"]
+
+
+def arrow_layout(samples: DataFrame, target_shard_bytes: int, batch_size: int = 1000) -> list[tuple]:
+    """The first (dataset, adapter_pos, src_ord) of each Arrow shard with its number, in order.
 
     A shard ends with the chunk (the accepted part of a batch, split at 1.5e9 bytes) that brings it
     to the target.
     """
-    ship(samples.sparkSession)
-    rows = samples.filter(F.col("sample_type").isin(*GATED_TYPES))
-    rows = dense_ids(rows, ["dataset_id"], ["adapter_pos", "src_ord"], "_ord").withColumn("_bytes", F.length(F.get("images", F.lit(0))["bytes"]).cast("long"))
-    rows = checkpoint(rows.withColumn("_batch", F.floor(F.col("_ord") / batch_size).cast("long")))
+    light = samples.select("dataset_id", *ORDER, F.coalesce(F.length(F.get("images", F.lit(0))["bytes"]), F.lit(0)).cast("long").alias("_bytes"))
+    light = dense_ids(light, ["dataset_id"], ORDER, "_ord").withColumn("_batch", F.floor(F.col("_ord") / batch_size).cast("long"))
 
     def chunk(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("_ord", kind="stable")
         return batch.assign(_chunk=folds.chunked(batch["_bytes"].tolist()))
 
-    light = rows.select("dataset_id", "_batch", "_ord", "_bytes")
-    chunks = light.groupBy("dataset_id", "_batch").applyInPandas(chunk, "dataset_id string, _batch long, _ord long, _bytes long, _chunk long")
-    chunks = checkpoint(chunks)
-    totals = chunks.groupBy("dataset_id", "_batch", "_chunk").agg(F.sum("_bytes").alias("_size"))
-    totals = totals.withColumn("_seq", F.col("_batch") * 1_000_000 + F.col("_chunk"))
-    shards = folds.byte_shards(totals, "dataset_id", "_seq", "_size", target_shard_bytes).select("dataset_id", "_batch", "_chunk", "shard")
-    placed = rows.join(chunks.select("dataset_id", "_ord", "_chunk"), ["dataset_id", "_ord"]).join(shards, ["dataset_id", "_batch", "_chunk"])
-    placed = placed.select("dataset_id", "shard", "_ord", "sample_id", "images", F.coalesce("text", F.lit("")).alias("caption"))
-    start = first_index or {}
+    schema = "dataset_id string, adapter_pos int, src_ord long, _bytes long, _ord long, _batch long, _chunk long"
+    chunks = light.groupBy("dataset_id", "_batch").applyInPandas(chunk, schema)
+    totals = chunks.groupBy("dataset_id", "_batch", "_chunk").agg(F.sum("_bytes").alias("_size"), F.min(F.struct("_ord", *ORDER)).alias("_first"))
+    totals = checkpoint(totals.withColumn("_seq", F.col("_batch") * 1_000_000 + F.col("_chunk")))
+    shards = folds.byte_shards(totals, "dataset_id", "_seq", "_size", target_shard_bytes)
+    firsts = shards.groupBy("dataset_id", "shard").agg(F.min("_first").alias("f")).select("dataset_id", *(f"f.{c}" for c in ORDER), "shard")
+    return sorted(map(tuple, firsts.collect()))
 
-    def opened(dataset: str, shard: int) -> SharedFile:
-        return _ArrowFile(f"{output_dir}/{dataset}", f"data-{start.get(dataset, 0) + shard:05d}.arrow", include_caption)
 
-    return _streamed(placed, ["dataset_id", "shard"], "_ord", opened)
+def arrow_files(samples: DataFrame, staging: str, target_shard_bytes: int, batch_size: int = 1000, include_caption: bool = False, first_index: dict[str, int] | None = None) -> list[list]:
+    """Write Arrow stream files of the single-image samples below ``staging``; dataset, name, samples and bytes of each."""
+    ship(samples.sparkSession)
+    rows = samples.filter(F.col("sample_type").isin(*GATED_TYPES))
+    rows = rows.select("dataset_id", *ORDER, "sample_id", "images", F.coalesce("text", F.lit("")).alias("caption"))
+    placed = _placed(rows, ["dataset_id", *ORDER], arrow_layout(rows, target_shard_bytes, batch_size))
+    settings = {"start": first_index or {}, "include_caption": include_caption}
+    return _written(placed, ["dataset_id", "shard"], ORDER, "arrow", staging, settings)
 
 
-def tar_files(samples: DataFrame, output_dir: str, maxcount: int = 10_000, first_index: int = 0) -> DataFrame:
-    """Write tar files of all samples with images; one row for each file.  Text samples are left out.
+def tar_files(samples: DataFrame, staging: str, maxcount: int = 10_000, first_index: int = 0) -> list[list]:
+    """Write tar files of all samples with images below ``staging``.  Text samples are left out.
 
     Members are ``{key}.{ext}`` or ``{key}.img{i}.{ext}``, and ``{key}.txt`` with a token for each image.
     """
     ship(samples.sparkSession)
-    rows = samples.filter("sample_type != 'text'").withColumn("_all", F.lit(0))
-    rows = dense_ids(rows, ["_all"], ["adapter_pos", "dataset_id", "src_ord"], "_ord")
+    order = ["adapter_pos", "dataset_id", "src_ord"]
+    rows = samples.filter("sample_type != 'text'")
+    light = dense_ids(rows.select(*order).withColumn("_all", F.lit(0)), ["_all"], order, "_ord")
+    starts = sorted(map(tuple, light.filter(F.col("_ord") % maxcount == 0).select(*order, F.floor(F.col("_ord") / maxcount).alias("shard")).collect()), key=lambda s: s[-1])
     body = F.coalesce("text", F.lit(""))
     body = F.when(F.col("sample_type") == "multi_image_text", text.ensure_tokens(body, F.size("images"))).otherwise(body)
-    rows = rows.select("dataset_id", "sample_type", "images", "_ord", body.alias("body"), text.record_key(F.col("dataset_id"), F.col("sample_id")).alias("key"), F.floor(F.col("_ord") / maxcount).alias("shard"))
+    rows = rows.select(*order, "sample_type", "images", body.alias("body"), text.record_key(F.col("dataset_id"), F.col("sample_id")).alias("key"))
+    return _written(_placed(rows, order, starts), ["shard"], order, "tar", staging, {"start": first_index})
 
-    return _streamed(rows, ["shard"], "_ord", lambda shard: _TarFile(output_dir, f"part-{first_index + shard:06d}.tar"))
 
+@dataclass
+class Staged:
+    """What a sink has made and not yet shown: moves of files to their places, and metadata to put there after."""
 
-def listed(spark: SparkSession, folder: str, suffix: str) -> list[str]:
-    """The names of files with a suffix in a folder, sorted; none where there is no folder."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().endswith(suffix))
+    moves: list[Move]
+    puts: dict[str, str]
 
 
-def put(spark: SparkSession, path: str, content: bytes) -> None:
-    """Write a file through Hadoop's file systems, under a temporary name first."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    final, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".part")
-    fs = final.getFileSystem(conf)
-    out = fs.create(part, True)
-    out.write(bytearray(content))
-    out.close()
-    fs.delete(final, False)
-    fs.rename(part, final)
+class Sink(Protocol):
+    """Places samples below ``output_dir`` by way of a staging folder; further options are its configuration's."""
 
+    def stage(self, samples: DataFrame, output_dir: str, staging: str, **options: Any) -> Staged: ...
 
-def write_arrow(samples: DataFrame, output_dir: str, target_shard_bytes: int, include_caption: bool = False, batch_size: int = 1000, **_: object) -> None:
+
+class _Sink:
+    def __call__(self, samples: DataFrame, output_dir: str, **options: Any) -> None:
+        """Stage and publish, for use outside a run."""
+        staging = f"{output_dir}/{STAGING}{uuid.uuid4().hex}"
+        staged = self.stage(samples, output_dir, staging, **options)
+        publish(samples.sparkSession, staged.moves, staged.puts)
+        remove(samples.sparkSession, staging)
+
+
+#: Folders that begin with this hold what is not committed.
+STAGING = ".staging-"
+
+
+class ArrowSink(_Sink):
     """Arrow shards below ``output_dir/<dataset>`` with loader metadata and running totals."""
-    spark = samples.sparkSession
-    names = [r[0] for r in samples.select("dataset_id").distinct().collect()]
-    # Files beyond those of the totals are of a run that died before its commit: they are written again.
-    start = {d: _stats(spark, f"{output_dir}/{d}").get("files", 0) for d in names}
-    written = checkpoint(arrow_files(samples, output_dir, target_shard_bytes, batch_size, include_caption, start))
-    for row in written.groupBy("dataset_id").agg(F.sum("samples").alias("samples"), F.sum("bytes").alias("bytes"), F.count("*").alias("files")).collect():
-        folder = f"{output_dir}/{row['dataset_id']}"
-        old = _stats(spark, folder)
-        total = {"total_bytes": old.get("total_bytes", 0) + row["bytes"], "total_samples": old.get("total_samples", 0) + row["samples"], "files": old.get("files", 0) + row["files"]}
-        put(spark, f"{folder}/.stats.json", json.dumps(total).encode())
-        for name, content in loader_metadata([f"data-{k:05d}.arrow" for k in range(total["files"])], total, include_caption).items():
-            put(spark, f"{folder}/{name}", json.dumps(content, indent=2).encode())
+
+    def stage(self, samples: DataFrame, output_dir: str, staging: str, *, target_shard_bytes: int, include_caption: bool = False, batch_size: int = 1000, **_: Any) -> Staged:
+        spark = samples.sparkSession
+        names = [r[0] for r in samples.select("dataset_id").distinct().collect()]
+        old = {d: _stats(spark, f"{output_dir}/{d}") for d in names}
+        files = arrow_files(samples, staging, target_shard_bytes, batch_size, include_caption, {d: t.get("files", 0) for d, t in old.items()})
+        staged = Staged([[f"{staging}/{d}/{n}", f"{output_dir}/{d}/{n}"] for d, n, _, _ in files], {})
+        for dataset in names:
+            own = [f for f in files if f[0] == dataset]
+            if own:
+                total = {k: old[dataset].get(k, 0) + v for k, v in (("total_bytes", sum(f[3] for f in own)), ("total_samples", sum(f[2] for f in own)), ("files", len(own)))}
+                shown = loader_metadata([f"data-{k:05d}.arrow" for k in range(total["files"])], total, include_caption)
+                staged.puts |= {f"{output_dir}/{dataset}/{n}": json.dumps(c, indent=2) for n, c in shown.items()}
+                staged.puts[f"{output_dir}/{dataset}/.stats.json"] = json.dumps(total)
+        return staged
+
+
+class TarSink(_Sink):
+    """Tar shards in ``output_dir`` with running totals by dataset."""
+
+    def stage(self, samples: DataFrame, output_dir: str, staging: str, *, maxcount: int = 10_000, **_: Any) -> Staged:
+        spark = samples.sparkSession
+        old = _stats(spark, output_dir)
+        files = tar_files(samples, staging, maxcount, old.get("files", 0))
+        counts = {r["dataset_id"]: r["n"] for r in samples.filter("sample_type != 'text'").groupBy("dataset_id").agg(F.count("*").alias("n")).collect()}
+        datasets = dict(old.get("dataset_samples", {}))
+        for name, n in counts.items():
+            datasets[name] = datasets.get(name, 0) + n
+        total = {"total_samples": sum(datasets.values()), "dataset_samples": datasets, "files": old.get("files", 0) + len(files)}
+        return Staged([[f"{staging}/{n}", f"{output_dir}/{n}"] for _, n, _, _ in files], {f"{output_dir}/.stats.json": json.dumps(total)})
+
+
+class ParquetSink(_Sink):
+    """Parquet files in a folder for each dataset."""
+
+    def stage(self, samples: DataFrame, output_dir: str, staging: str, **_: Any) -> Staged:
+        samples.write.partitionBy("dataset_id").parquet(staging)
+        return Staged([[f"{staging}/{f}", f"{output_dir}/{f}"] for f in files_below(samples.sparkSession, staging, ".parquet")], {})
 
 
 def loader_metadata(files: list[str], total: dict[str, int], include_caption: bool) -> dict[str, object]:
@@ -228,43 +343,14 @@ def loader_metadata(files: list[str], total: dict[str, int], include_caption: bo
     return {"state.json": state, "dataset_info.json": {"features": features, "splits": {"train": split}}}
 
 
-def write_tars(samples: DataFrame, output_dir: str, maxcount: int = 10_000, **_: object) -> None:
-    """Tar shards in ``output_dir`` with running totals by dataset."""
-    spark = samples.sparkSession
-    old = _stats(spark, output_dir)
-    start = old.get("files", 0)
-    files = start + checkpoint(tar_files(samples, output_dir, maxcount, start)).count()
-    counts = {r["dataset_id"]: r["n"] for r in samples.filter("sample_type != 'text'").groupBy("dataset_id").agg(F.count("*").alias("n")).collect()}
-    datasets = {**old.get("dataset_samples", {})}
-    for name, n in counts.items():
-        datasets[name] = datasets.get(name, 0) + n
-    put(spark, f"{output_dir}/.stats.json", json.dumps({"total_samples": sum(datasets.values()), "dataset_samples": datasets, "files": files}).encode())
-
-
 def _stats(spark: SparkSession, folder: str) -> dict:
-    if ".stats.json" not in listed(spark, folder, ".stats.json"):
-        return {}
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.stats.json")  # Spark's readers pass over such names
-    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
-    try:
-        return json.loads(bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
-    finally:
-        stream.close()
-
-
-def write_parquet(samples: DataFrame, output_dir: str, **_: object) -> None:
-    samples.write.mode("append").partitionBy("dataset_id").parquet(output_dir)
-
-
-class Writer(Protocol):
-    """A sink: places ``samples`` below ``output_dir``, whole or not at all; further options are its configuration's."""
-
-    def __call__(self, samples: DataFrame, output_dir: str, **options: object) -> None: ...
+    return json.loads(read_text(spark, f"{folder}/.stats.json") or "{}")
 
 
-WRITERS: dict[str, Writer] = {"huggingface": write_arrow, "webdataset": write_tars, "parquet": write_parquet}
+write_arrow, write_tars, write_parquet = ArrowSink(), TarSink(), ParquetSink()
+WRITERS: dict[str, Sink] = {"huggingface": write_arrow, "webdataset": write_tars, "parquet": write_parquet}
 
 
-def register(name: str, writer: Writer) -> None:
+def register(name: str, writer: Sink) -> None:
     """Make a sink known to configurations under ``name``."""
     WRITERS[name] = writer

@@ -1,4 +1,8 @@
-"""State that outlives a run: manifest, progress, hash owners; Parquet in folders by run."""
+"""State that outlives a run: manifest, progress, hash owners; Parquet in folders by run.
+
+Readers look at folders ``run-*`` only.  ``add`` and ``update`` show their rows at once; with ``staged`` they leave
+them in a pending folder and return the move that shows them, for a commit record.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.dedup import insert_distinct
+from corpusloom.state.commits import Move, move, names_in, remove
 
 
 class _Table:
@@ -16,19 +21,25 @@ class _Table:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _exists(self) -> bool:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
     def read(self) -> DataFrame:
-        if not self._exists():
+        if not any(n.startswith("run-") for n in names_in(self.spark, self.path)):
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/*")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/run-*")
+
+    def append(self, rows: DataFrame, staged: bool = False) -> Move:
+        """Add rows as one folder."""
+        name = uuid.uuid4().hex
+        made = [f"{self.path}/.pending-{name}", f"{self.path}/run-{name}"]
+        rows.write.parquet(made[0])
+        if not staged:
+            move(self.spark, *made)
+        return made
 
-    def append(self, rows: DataFrame) -> None:
-        """Add rows as one folder; a run that dies before its commit leaves nothing to read."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/run-{uuid.uuid4().hex}")
+    def sweep(self) -> None:
+        """Delete what runs that died have left pending."""
+        for name in names_in(self.spark, self.path):
+            if name.startswith(".pending-"):
+                remove(self.spark, f"{self.path}/{name}")
 
 
 class Manifest(_Table):
@@ -36,8 +47,8 @@ class Manifest(_Table):
 
     schema = "dataset_id string, sample_id long"
 
-    def add(self, samples: DataFrame) -> None:
-        self.append(insert_distinct(self.read(), samples.select("dataset_id", "sample_id"), ["dataset_id", "sample_id"]))
+    def add(self, samples: DataFrame, staged: bool = False) -> Move:
+        return self.append(insert_distinct(self.read(), samples.select("dataset_id", "sample_id"), ["dataset_id", "sample_id"]), staged)
 
     def exists(self, dataset_id: str, sample_id: int) -> bool:
         return not self.read().filter((F.col("dataset_id") == dataset_id) & (F.col("sample_id") == sample_id)).isEmpty()
@@ -62,9 +73,9 @@ class Progress(_Table):
         row = self.current().filter(F.col("dataset_id") == dataset_id).first()
         return (row["last_sample_id"], row["completed"]) if row else (None, False)
 
-    def update(self, dataset_id: str, last_sample_id: int | None, completed: bool = False) -> None:
+    def update(self, dataset_id: str, last_sample_id: int | None, completed: bool = False, staged: bool = False) -> Move:
         version = (self.read().agg(F.max("version")).first()[0] or 0) + 1
-        self.append(self.spark.createDataFrame([(dataset_id, last_sample_id, completed, version)], self.schema))
+        return self.append(self.spark.createDataFrame([(dataset_id, last_sample_id, completed, version)], self.schema).coalesce(1), staged)
 
     def completed(self) -> DataFrame:
         return self.current().filter("completed").select("dataset_id")
@@ -75,5 +86,5 @@ class HashStore(_Table):
 
     schema = "img_hash string, dataset_id string, sample_id long"
 
-    def add(self, owners: DataFrame) -> None:
-        self.append(insert_distinct(self.read(), owners.select("img_hash", "dataset_id", "sample_id"), ["img_hash"]))
+    def add(self, owners: DataFrame, staged: bool = False) -> Move:
+        return self.append(insert_distinct(self.read(), owners.select("img_hash", "dataset_id", "sample_id"), ["img_hash"]), staged)

@@ -3,21 +3,25 @@
 import http.server
 import io
 import json
+import os
 import random
 import tarfile
 import threading
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import pipeline
 from corpusloom.functions import pixels
 from corpusloom.operators import folds
+from corpusloom.runtime import discard, stored
 from corpusloom.sinks import shards
 from corpusloom.sources import adapters
-from corpusloom.state.tables import Manifest, Progress
+from corpusloom.state import commits
+from corpusloom.state.tables import HashStore, Manifest, Progress
 from tests.test_sources_and_sinks import make_zip, png
 
 
@@ -52,13 +56,81 @@ def test_truncated_images_have_no_size():
     assert pixels.loadable_size(head) is None and pixels.loadable_size(head + b"\xff\xd9") == (7, 5)
 
 
-@pytest.mark.parametrize("writer", ["webdataset", "huggingface"])
-def test_a_run_that_dies_repeats_its_last_stretch_only(spark, tmp_path, monkeypatch, writer):
+#: Where a run dies in its second stretch: after a step has done its work, before the commit, or in the publishing after it.
+DEATHS = ["files staged", "manifest staged", "owners staged", "progress staged", "not committed", "committed", "moved 1", "moved 3", "moved all"]
+
+
+def die(m, step, sink):
+    """Let the second stretch die at a step."""
+    calls = {"n": 0}
+
+    def after(owner, name, at=2):
+        real = getattr(owner, name)
+
+        def call(*args, **kwargs):
+            out = real(*args, **kwargs)
+            calls["n"] += 1
+            if calls["n"] == at:
+                raise RuntimeError("lost")
+            return out
+
+        m.setattr(owner, name, call)
+
+    if step == "files staged":
+        after(type(sink), "stage")
+    elif step == "manifest staged":
+        after(Manifest, "add")
+    elif step == "owners staged":
+        after(HashStore, "add")
+    elif step == "progress staged":
+        after(Progress, "update")
+    elif step == "committed":
+        after(commits.CommitLog, "commit")
+    elif step == "moved all":
+        real = commits.put
+
+        def put(spark, path, content):
+            calls["n"] += "/commits/" not in path
+            if calls["n"] > PUTS[sink]:
+                raise RuntimeError("lost")
+            real(spark, path, content)
+
+        m.setattr(commits, "put", put)
+    elif step == "not committed":
+        real_commit, n = commits.CommitLog.commit, {"n": 0}
+
+        def refuse(*args, **kwargs):
+            n["n"] += 1
+            if n["n"] == 2:
+                raise RuntimeError("lost")
+            return real_commit(*args, **kwargs)
+
+        m.setattr(commits.CommitLog, "commit", refuse)
+    else:
+        real_publish, n = commits.CommitLog.publish, {"n": 0}
+
+        def some(self, record):
+            n["n"] += 1
+            if n["n"] == 2:
+                commits.publish(self.spark, record["moves"][: int(step.split()[1])], {})
+                raise RuntimeError("lost")
+            real_publish(self, record)
+
+        m.setattr(commits.CommitLog, "publish", some)
+
+
+#: Metadata files that the first stretch puts.
+PUTS = {shards.write_tars: 1, shards.write_arrow: 3, shards.write_parquet: 0}
+
+
+@pytest.mark.parametrize(("writer", "step"), [*(("webdataset", d) for d in DEATHS), ("huggingface", "moved all"), ("parquet", "committed")])
+def test_a_run_that_dies_anywhere_leaves_each_sample_once(spark, tmp_path, monkeypatch, step, writer):
     make_zip(tmp_path / "mri.zip", [(f"Training/glioma/{k}.png", png(k)) for k in range(10)])
     entry = {"id": "BrainTumorMRI", "zip_path": str(tmp_path / "mri.zip")}
-    options = {"output_dir": str(tmp_path / "out")} | ({"maxcount": 2} if writer == "webdataset" else {"target_shard_bytes": 1})
+    options = {"output_dir": str(tmp_path / "out")} | {"webdataset": {"maxcount": 2}, "huggingface": {"target_shard_bytes": 1}, "parquet": {}}[writer]
     config = {
         "adapters": [entry],
+        "filters": [{"id": "ImageDeduplication", "db_path": str(tmp_path / "h")}],
         "writer": {"type": writer, **options},
         "pipeline": {"log_file": "", "manifest_db": str(tmp_path / "m"), "checkpoint_db": str(tmp_path / "c"), "num_workers": 2, "batch_size": 2, "commit_batches": 2},
     }
@@ -67,33 +139,46 @@ def test_a_run_that_dies_repeats_its_last_stretch_only(spark, tmp_path, monkeypa
         rows = adapters.build(session, options, position)
         return rows.withColumn("sample_type", F.lit("image_text"))
 
-    write, calls = shards.WRITERS[writer], []
-
-    def dying(samples, **kwargs):
-        calls.append(sorted(r[0] for r in samples.select("sample_id").collect()))
-        if len(calls) == 2:  # the files of the second stretch are there, but its totals are not
-            with monkeypatch.context() as m:
-                m.setattr(shards, "put", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
-                write(samples, **kwargs)
-        write(samples, **kwargs)
-
-    monkeypatch.setitem(shards.WRITERS, writer, dying)
-    with pytest.raises(RuntimeError, match="lost"):
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost"):
+        die(m, step, shards.WRITERS[writer])
         pipeline.run(spark, config, source=as_image)
-    assert Progress(spark, str(tmp_path / "c")).get("brain_tumor_mri") == (3, False)
-    monkeypatch.setitem(shards.WRITERS, writer, write)
-    assert pipeline.run(spark, config, source=as_image)["brain_tumor_mri"]["processed"] == 6
-    assert calls == [[0, 1, 2, 3], [4, 5, 6, 7]]
+    committed = step in ("committed", "moved 1", "moved 3", "moved all")
+    assert len(commits.CommitLog(spark, str(tmp_path / "c")).numbers()) == 1 + committed
+    assert pipeline.run(spark, config, source=as_image)["brain_tumor_mri"]["processed"] == (2 if committed else 6)
+    assert Progress(spark, str(tmp_path / "c")).get("brain_tumor_mri") == (9, True)
     assert [r["sample_id"] for r in Manifest(spark, str(tmp_path / "m")).dataset("brain_tumor_mri").collect()] == list(range(10))
+    assert sorted(r["sample_id"] for r in HashStore(spark, str(tmp_path / "h")).read().collect()) == list(range(10))
+    left = [p for p in tmp_path.rglob("*") if p.name.startswith((".pending-", ".staging-", "_files.json"))]
+    assert left == []
+    out = tmp_path / "out"
     if writer == "webdataset":
         keys = []
-        for path in sorted((tmp_path / "out").glob("*.tar")):
+        for path in sorted(out.glob("*.tar")):
             keys += [n for n in tarfile.open(path).getnames() if n.endswith(".txt")]
         assert keys == [f"brain_tumor_mri__{k:08d}.txt" for k in range(10)]
+        assert json.loads((out / ".stats.json").read_text()) == {"total_samples": 10, "dataset_samples": {"brain_tumor_mri": 10}, "files": 5}
+    elif writer == "huggingface":
+        state = json.loads((out / "brain_tumor_mri" / "state.json").read_text())
+        info = json.loads((out / "brain_tumor_mri" / "dataset_info.json").read_text())
+        names = [f["filename"] for f in state["_data_files"]]
+        assert info["splits"]["train"]["num_examples"] == 10 and names == sorted(p.name for p in (out / "brain_tumor_mri").glob("*.arrow"))
+        ids = [i for n in names for i in pa.ipc.open_stream((out / "brain_tumor_mri" / n).read_bytes()).read_all()["sample_id"].to_pylist()]
+        assert ids == list(range(10))
     else:
-        state = json.loads((tmp_path / "out" / "brain_tumor_mri" / "state.json").read_text())
-        info = json.loads((tmp_path / "out" / "brain_tumor_mri" / "dataset_info.json").read_text())
-        assert info["splits"]["train"]["num_examples"] == 10 and len(state["_data_files"]) == len(set(f["filename"] for f in state["_data_files"])) == 5
+        assert sorted(r["sample_id"] for r in spark.read.parquet(str(out)).collect()) == list(range(10))
+
+
+def test_images_are_shuffled_once_by_a_sink(spark, tmp_path, monkeypatch):
+    """The layout reads no image column but its length; what is written passes one exchange."""
+    make_zip(tmp_path / "mri.zip", [(f"Training/glioma/{k}.png", png(k)) for k in range(6)])
+    rows = stored(adapters.build(spark, {"id": "BrainTumorMRI", "zip_path": str(tmp_path / "mri.zip")}))
+    seen = []
+    monkeypatch.setattr(shards, "_written", lambda placed, keys, order, *rest: seen.append(placed.repartition(*keys).sortWithinPartitions(*keys, *order)) or [])
+    shards.tar_files(rows, str(tmp_path / "s"), 2)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    discard(rows)
+    assert not rows.inputFiles() or not any(os.path.exists(f.removeprefix("file://")) for f in rows.inputFiles())
 
 
 def test_gates_equal_a_plain_fold(spark):
