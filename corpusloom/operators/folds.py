@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from corpusloom.operators.resets import BEFORE, REACHING, reset_sums
+
 #: The cap on image bytes of one written chunk (fixed value).
 CHUNK_BYTES = 1_500_000_000
 
@@ -53,36 +54,10 @@ def gate_frames(
 
 
 def byte_shards(chunks: DataFrame, dataset: str, order: str, size: str, target: int) -> DataFrame:
-    """``chunks`` (one row each) with ``shard``: a shard ends with the chunk that brings it to ``target``.
-
-    Rows are chunks of many samples, so a dataset's rows are few; its samples are not gathered.
-    """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema) + ", shard long"
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        shard, held, out = 0, 0, []
-        for n in rows[size].tolist():
-            out.append(shard)
-            held += n
-            if held >= target:
-                shard, held = shard + 1, 0
-        return rows.assign(shard=pd.Series(out, index=rows.index, dtype="int64"))
-
-    return chunks.groupBy(dataset).applyInPandas(run, schema)
-
-
-def chunked(sizes: list[int], cap: int = CHUNK_BYTES) -> list[int]:
-    """The chunk of each sample of a batch: one for a batch under the cap, else filled greedily."""
-    if sum(sizes) < cap:
-        return [0] * len(sizes)
-    chunk, held, out = 0, 0, []
-    for n in sizes:
-        if held + n > cap and held:
-            chunk, held = chunk + 1, 0
-        held += n
-        out.append(chunk)
-    return out
+    """``chunks`` with ``shard``: a shard ends with the chunk that brings it to ``target``."""
+    return reset_sums(chunks, [dataset], [order], size, target, REACHING, "shard")
 
 
-Fold = Callable[[pd.DataFrame], pd.DataFrame]
+def capped_chunks(samples: DataFrame, batch: list[str], order: str, size: str, cap: int = CHUNK_BYTES, name: str = "chunk") -> DataFrame:
+    """``samples`` with the chunk of each in its batch: a sample that would bring a chunk over ``cap`` opens the next."""
+    return reset_sums(samples, batch, [order], size, cap, BEFORE, name)

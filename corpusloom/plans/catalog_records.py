@@ -177,14 +177,8 @@ def split_ranges(spark: SparkSession, sf: str) -> DataFrame:
 )
 def capped_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Samples of a batch (here a source) in chunks under a cap of bytes, filled in order."""
-    ship(spark)
-
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("doc_id")
-        return rows.append_column("chunk", pa.array(folds.chunked(rows.column("n_chars").to_pylist(), 20_000), pa.int64()))
-
     rows = table(spark, sf, "documents").select("source", "doc_id", "n_chars")
-    chunks = rows.groupBy("source").applyInArrow(run, "source string, doc_id long, n_chars long, chunk long")
+    chunks = folds.capped_chunks(rows, ["source"], "doc_id", "n_chars", 20_000)
     return chunks.groupBy("source", "chunk").agg(F.count("*").alias("samples"), F.sum("n_chars").alias("bytes"))
 
 

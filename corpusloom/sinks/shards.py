@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any, Protocol
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
@@ -221,12 +220,7 @@ def arrow_layout(samples: DataFrame, target_shard_bytes: int, batch_size: int =
     light = samples.select("dataset_id", *ORDER, F.coalesce(F.length(F.get("images", F.lit(0))["bytes"]), F.lit(0)).cast("long").alias("_bytes"))
     light = dense_ids(light, ["dataset_id"], ORDER, "_ord").withColumn("_batch", F.floor(F.col("_ord") / batch_size).cast("long"))
 
-    def chunk(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values("_ord", kind="stable")
-        return batch.assign(_chunk=folds.chunked(batch["_bytes"].tolist()))
-
-    schema = "dataset_id string, adapter_pos int, src_ord long, _bytes long, _ord long, _batch long, _chunk long"
-    chunks = light.groupBy("dataset_id", "_batch").applyInPandas(chunk, schema)
+    chunks = folds.capped_chunks(light, ["dataset_id", "_batch"], "_ord", "_bytes", name="_chunk")
     totals = chunks.groupBy("dataset_id", "_batch", "_chunk").agg(F.sum("_bytes").alias("_size"), F.min(F.struct("_ord", *ORDER)).alias("_first"))
     totals = checkpoint(totals.withColumn("_seq", F.col("_batch") * 1_000_000 + F.col("_chunk")))
     shards = folds.byte_shards(totals, "dataset_id", "_seq", "_size", target_shard_bytes)

@@ -1,11 +1,13 @@
 """Functions against values taken from their definitions."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import imghash, pixels, text, tiles
-from corpusloom.operators import dedup, folds, ordinals, verify
+from corpusloom.operators import dedup, ordinals, resets, verify
 from corpusloom.streaming import runner
 
 
@@ -91,9 +93,61 @@ def test_dedup_and_store(spark):
     assert sorted(r["i"] for r in dedup.against_store(df, store, "h", ["i"]).collect()) == [2, 3, 4]
 
 
-def test_folds():
-    assert folds.chunked([5, 5], 11) == [0, 0]
-    assert folds.chunked([5, 7, 2, 20, 1], 12) == [0, 0, 1, 2, 3]
+def plain_shards(sizes, limit, rule):
+    """Shards of one group by one pass."""
+    shard, held, out = 0, 0, []
+    for n in sizes:
+        if rule == resets.BEFORE and held and held + n > limit:
+            shard, held = shard + 1, 0
+        out.append(shard)
+        held += n
+        if rule == resets.REACHING and held >= limit:
+            shard, held = shard + 1, 0
+    return out, held
+
+
+@pytest.mark.parametrize("rule", [resets.REACHING, resets.BEFORE])
+def test_sums_with_reset_compose(rule):
+    """A group cut anywhere: the pieces' functions, one after another, lead where a single pass does."""
+    rng = random.Random(3)
+    for _ in range(300):
+        sizes = [rng.choice([0, 1, 2, 3, 5, 30]) for _ in range(rng.randint(1, 40))]
+        limit = rng.choice([1, 4, 9, 40])
+        want, end = plain_shards(sizes, limit, rule)
+        cuts = sorted(rng.sample(range(len(sizes) + 1), min(3, len(sizes))))
+        held, shard, got = 0, 0, []
+        for a, b in zip([0, *cuts], [*cuts, len(sizes)], strict=True):
+            if a == b:
+                continue
+            piece = np.array(sizes[a:b])
+            opens = resets.openings(piece, held, limit, rule)
+            got += [shard + sum(o <= k for o in opens) for k in range(b - a)]
+            state = resets.exit_state(piece, held, limit, rule)
+            assert state == resets.apply_transfer(resets.transfer(piece, limit, rule), int(piece.sum()), b - a, held, limit, rule)
+            shard, held = shard + state[0], state[1]
+        assert got == want and held == end
+    assert plain_shards([5, 7, 2, 20, 1], 12, resets.BEFORE)[0] == [0, 0, 1, 2, 3]
+
+
+def test_one_dataset_over_many_tasks(spark):
+    rng = random.Random(4)
+    rows = [(g, k, rng.choice([None, 0, 1, 7, 50]) if g else 3) for g, n in (("a", 2000), (None, 300), ("b", 5)) for k in range(n)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "g string, k int, n int").repartition(7).withColumn("extra", F.lit("x"))
+        for rule, limit in ((resets.REACHING, 60), (resets.BEFORE, 60), (resets.REACHING, 10**6), (resets.BEFORE, 4)):
+            got = resets.reset_sums(df, ["g"], ["k"], "n", limit, rule, "s")
+            assert got.columns == ["g", "k", "n", "extra", "s"]
+            found = {(r["g"], r["k"]): r["s"] for r in got.collect()}
+            for group in ("a", "b", None):
+                own = sorted((k, n or 0) for g, k, n in rows if g == group)
+                assert [found[group, k] for k, _ in own] == plain_shards([n for _, n in own], limit, rule)[0]
+        assert resets.reset_sums(df.limit(0), ["g"], ["k"], "n", 5).collect() == []
+        assert len(resets._entries(df.repartitionByRange("g", "k").sortWithinPartitions("g", "k").withColumn("_part", F.spark_partition_id()), ["g"], "n", 60, resets.REACHING)) > 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    with pytest.raises(ValueError):
+        resets.reset_sums(df, ["g"], ["k"], "n", 5, "sometimes")
 
 
 def test_cache_verification(spark, tmp_path):
