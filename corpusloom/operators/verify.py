@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import basename, dataset_name
+from corpusloom.operators.resets import reset_sums
+from corpusloom.runtime import ship
+from corpusloom.sources.archives import OPENED, open_file, scheme_of, system_of
 
 
 def is_hash(name: Column) -> Column:
@@ -19,19 +25,57 @@ def blob_status(name: Column, digest: Column) -> Column:
     return F.when(~F.coalesce(is_hash(name), F.lit(False)), "skipped").when(digest.isNull(), "error").when(name == digest, "valid").otherwise("invalid")
 
 
+#: Bytes of blobs that one task reads, about, and of a piece that it reads at once.
+TASK_BYTES, PIECE_BYTES = 4 << 30, 8 << 20
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """path and size of the files in every folder ``blobs``, at any depth below the given ones."""
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            system, inner = system_of(folder)
+            prefix = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
+            found = [i for i in system.get_file_info(fs.FileSelector(inner, recursive=True)) if i.type != fs.FileType.Directory and i.path.split("/")[-2] == "blobs"]
+            columns = [pa.array([prefix + i.path for i in found], pa.string()), pa.array([i.size or 0 for i in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "size"])
+
+
+def stream_digest(path: str) -> str | None:
+    """SHA-256 of a file of any size, read piece by piece; None where it cannot be read."""
+    digest = hashlib.sha256()
+    try:
+        with open_file(path) as file:
+            while piece := file.read(PIECE_BYTES):
+                digest.update(piece)
+    except OSError:
+        return None
+    return digest.hexdigest()
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([stream_digest(path)], pa.string())], ["path", "digest"])
+
+
 def cache_blobs(spark: SparkSession, cache_dir: str, dataset: str | None = None) -> DataFrame:
-    """path, dataset, name and content digest of the blobs of a cache (one task per group of files).
+    """path, dataset, name and content digest of the blobs of a cache, null where one cannot be read.
 
-    Spark's file scans pass over empty files, so those come from the listing.
+    The driver lists the folders of datasets; tasks walk them, and read blobs in packs of about ``TASK_BYTES``.
+    In stores that only Spark's readers know, blobs lie one folder deep and have less than 2 GB.
     """
+    ship(spark)
     folder = "datasets--*" if dataset is None else "datasets--" + dataset.replace("/", "--")
-    pattern = f"{cache_dir.rstrip('/')}/hub/{folder}/blobs/*"
-    files = spark.read.format("binaryFile").load(pattern).select("path", F.sha2("content", 256).alias("digest"))
-    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    listed = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or []
-    empty = [(s.getPath().toString(), hashlib.sha256().hexdigest()) for s in listed if s.isFile() and s.getLen() == 0]
-    if empty:
-        files = files.unionByName(spark.createDataFrame(empty, "path string, digest string"))
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{cache_dir.rstrip('/')}/hub/{folder}")
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if scheme_of(cache_dir) in OPENED:
+        folders = [(s.getPath().toString(),) for s in system.globStatus(top) or [] if s.isDirectory()]
+        listed = spark.createDataFrame(folders, "path string").repartition(max(1, min(len(folders), 1000)), "path").mapInArrow(_walked, "path string, size long")
+        packs = reset_sums(listed.withColumn("all", F.lit(0)), ["all"], ["path"], "size", TASK_BYTES, name="pack")
+        n = (packs.agg(F.max("pack")).first()[0] or 0) + 1
+        files = packs.repartition(n, "pack").select("path").mapInArrow(_digested, "path string, digest string")
+    else:
+        files = spark.read.format("binaryFile").load(f"{top.toString()}/blobs/*").select("path", F.sha2("content", 256).alias("digest"))
     return files.select("path", dataset_name(F.regexp_extract("path", r"/hub/([^/]+)/", 1)).alias("dataset"), basename(F.col("path")).alias("name"), "digest")
 
 

@@ -312,7 +312,7 @@ def scin(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
 
 @adapter("MedMNIST")
 def medmnist(spark: SparkSession, data_dir: str, **_: object) -> DataFrame:
-    rows = numbered(files.read_npz(spark, [f"{data_dir}/{s}_224.npz" for s in MNIST_SUBSETS], MNIST_SPLITS), "block", "ord")
+    rows = files.read_npz(spark, [f"{data_dir}/{s}_224.npz" for s in MNIST_SUBSETS], MNIST_SPLITS, ids="sample_id")
     fields = F.create_map(F.lit("subset"), F.regexp_replace("file", "_224.npz$", ""), F.lit("split"), F.col("split"))
     return as_samples(rows, "medmnist", "image", images=image_of(form=F.lit("png")), data=fields)
 

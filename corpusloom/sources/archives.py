@@ -42,6 +42,8 @@ PLACE_COLUMNS = [c.split()[0] for c in PLACES.split(", ")]
 _PAYLOAD = T.StructType([T.StructField("content", T.BinaryType()), T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
 #: Schemes that tasks can open by themselves; others go through Spark's reader.
 OPENED = ("file", "hdfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
+#: Names of zips.
+ZIPS = (".zip", ".npz")
 #: Bytes of a zip that one task reads in a row, and bytes and rows of a batch of members.
 STRETCH, BATCH_BYTES, BATCH_ROWS = 64 << 20, 32 << 20, 64
 #: Tasks that read payloads, at most (a task then reads several stretches), and listed rows of a batch.
@@ -65,13 +67,17 @@ def scheme_of(path: str) -> str:
     return head if colon and "/" not in head else "file"
 
 
-def open_file(path: str) -> IO[bytes]:
-    """A seekable file of the local system or of a store that Arrow reads."""
+def system_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The local system or a store that Arrow reads, and the path in it."""
     scheme = scheme_of(path)
     if scheme == "file":
-        system, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
-    else:
-        system, inner = fs.FileSystem.from_uri("s3" + path.removeprefix("s3a") if scheme == "s3a" else path)
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+    return fs.FileSystem.from_uri("s3" + path.removeprefix("s3a") if scheme == "s3a" else path)
+
+
+def open_file(path: str) -> IO[bytes]:
+    """A seekable file of the local system or of a store that Arrow reads."""
+    system, inner = system_of(path)
     file = system.open_input_file(inner)
     return io.BufferedReader(_Stretch(file, 0, file.size()), 1 << 20)
 
@@ -131,7 +137,7 @@ def walk(file: IO[bytes], name: str, want: Want = everything, nested: bool = Fal
     ``base`` is where ``file`` begins in the outermost archive.
     """
     try:
-        if name.endswith(".zip"):
+        if name.endswith(ZIPS):
             yield from _zip_members(file, want, nested, base)
         else:
             yield from _tar_members(file, name, want, base)
@@ -139,7 +145,7 @@ def walk(file: IO[bytes], name: str, want: Want = everything, nested: bool = Fal
         warnings.warn(f"{name}: {error}", stacklevel=2)
 
 
-def _data_start(file: IO[bytes], offset: int) -> int:
+def data_start(file: IO[bytes], offset: int) -> int:
     """Where the data of a zip's entry begins, from its local header."""
     file.seek(offset)
     header = file.read(30)
@@ -165,7 +171,7 @@ def _zip_members(file: IO[bytes], want: Want, nested: bool, base: int) -> Iterat
 def _inner_members(file: IO[bytes], z: zipfile.ZipFile, info: zipfile.ZipInfo, want: Want, base: int) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
     wanted = lambda p: want(f"{info.filename}/{p}")
     if info.compress_type == zipfile.ZIP_STORED:
-        start = _data_start(file, info.header_offset)
+        start = data_start(file, info.header_offset)
         inside = io.BufferedReader(_Stretch(file, start, info.file_size), 1 << 20)
         yield from walk(inside, info.filename, wanted, base=base + start if base >= 0 else -1)
         return
@@ -259,8 +265,8 @@ class Payloads:
                 self.close()
                 self.archive, self.file = archive, open_file(archive)
             if method == BY_ORDINAL:
-                return self._member(k, path) if archive.endswith(".zip") else self._streamed(k)
-            self.file.seek(offset if method == RAW else _data_start(self.file, offset))
+                return self._member(k, path) if archive.endswith(ZIPS) else self._streamed(k)
+            self.file.seek(offset if method == RAW else data_start(self.file, offset))
             data = self.file.read(size)
             if len(data) < size:
                 raise EOFError("cut short")
@@ -347,14 +353,14 @@ def _arrays_filled(batches: Iterator[pa.RecordBatch], column: int, names: list[s
     source.close()
 
 
-def _archives(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
+def _archives(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, bool]:
     """The archives at ``path``, and whether tasks can open them; where they cannot, their content comes along."""
     ship(spark)
-    here = scheme_of(path) in OPENED
+    here = scheme_of(path if isinstance(path, str) else path[0]) in OPENED
     return spark.read.format("binaryFile").load(path).select("path", *([] if here else ["content"])), here
 
 
-def list_members(spark: SparkSession, path: str, want: Want = everything, nested: bool = False) -> DataFrame:
+def list_members(spark: SparkSession, path: str | list[str], want: Want = everything, nested: bool = False) -> DataFrame:
     """The wanted members of the archives at ``path`` (a file, a folder's glob, or a list's common glob), by PLACES.
 
     From stores that only Spark's readers know, members come with their payloads.

@@ -14,7 +14,7 @@ from corpusloom.functions.pixels import decode_png, encode_png
 from corpusloom.operators import images
 from corpusloom.operators.decoding import as_png
 from corpusloom.schema import as_samples
-from corpusloom.sources import adapters, archives
+from corpusloom.sources import adapters, archives, files
 from tests.test_sources_and_sinks import make_zip, png
 
 
@@ -169,3 +169,68 @@ def test_last_lookup_wins_by_file_and_line(spark, tmp_path):
     (row,) = adapters.build(spark, {"id": "MedTrinityFull", "data_dir": str(tmp_path), "image_only": False}).collect()
     assert row["text"].endswith("late2")
     assert encode_png(np.zeros((2, 2, 3), np.uint8))[:4] == b"\x89PNG"
+
+
+def sparse_npz(path, arrays):
+    """Stored arrays of zeros but for some rows, of any size, as holes in a file; ``arrays`` has name, shape and rows that are not zero."""
+    with open(path, "wb") as f, zipfile.ZipFile(f, "w", zipfile.ZIP_STORED, allowZip64=True) as z:
+        for name, shape, rows in arrays:
+            header = io.BytesIO()
+            np.lib.format.write_array_header_1_0(header, {"descr": "|u1", "fortran_order": False, "shape": shape})
+            row = int(np.prod(shape[1:]))
+            info = zipfile.ZipInfo(f"{name}.npy")
+            info.CRC, info.file_size = 0, len(header.getvalue()) + row * shape[0]
+            info.compress_size = info.file_size
+            info.header_offset = f.tell()
+            f.write(info.FileHeader(zip64=True) + header.getvalue())
+            start = f.tell()
+            for k, value in rows.items():
+                f.seek(start + k * row)
+                f.write(np.full(row, value, np.uint8).tobytes())
+            f.seek(start + row * shape[0])
+            z.filelist.append(info)
+            z.NameToInfo[info.filename] = info
+            z.start_dir = f.tell()
+            z._didModify = True
+
+
+def test_npz_beyond_two_gigabytes_is_read_by_ranges(spark, tmp_path):
+    big = (2_300, 1000, 1000)  # 2.3 GB of zeros, a hole
+    sparse_npz(tmp_path / "a.npz", [("train_images", big, {0: 7, 2_299: 9}), ("test_images", (2, 5, 5, 3), {1: 4})])
+    np.savez_compressed(tmp_path / "b.npz", train_images=np.arange(3 * 4 * 4, dtype=np.uint8).reshape(3, 4, 4), other=np.zeros(3))
+    rows = files.read_npz(spark, [str(tmp_path / "a.npz"), str(tmp_path / "b.npz")], ("train", "test"), ids="id")
+    ends = rows.filter("block = 0 AND ord IN (0, 2299) OR block > 0").orderBy("id").collect()
+    assert [(r["id"], r["file"], r["split"], r["ord"]) for r in ends] == [(0, "a.npz", "train", 0), (2299, "a.npz", "train", 2299), (2300, "a.npz", "test", 0), (2301, "a.npz", "test", 1), *((2302 + k, "b.npz", "train", k) for k in range(3))]
+    assert (decode_png(bytes(ends[0]["content"])) == 7).all() and (decode_png(bytes(ends[1]["content"])) == 9).all() and (decode_png(bytes(ends[3]["content"])) == 4).all()
+    assert decode_png(bytes(ends[5]["content"]))[0, 0, 0] == 16
+    stretches = rows._jdf.queryExecution().toRdd().getNumPartitions()
+    assert stretches > 20
+
+
+def test_blobs_of_any_size_and_depth(spark, tmp_path):
+    import hashlib
+
+    from corpusloom.operators import verify
+
+    flat, deep = tmp_path / "hub" / "datasets--o--d" / "blobs", tmp_path / "hub" / "datasets--o--e" / "x" / "y" / "blobs"
+    for folder in (flat, deep, tmp_path / "hub" / "datasets--o--e" / "refs"):
+        folder.mkdir(parents=True)
+    (tmp_path / "hub" / "datasets--o--e" / "refs" / ("0" * 64)).write_bytes(b"no blob")
+    (deep / hashlib.sha256(b"deep").hexdigest()).write_bytes(b"deep")
+    (deep / hashlib.sha256().hexdigest()).write_bytes(b"")
+    (flat / "notes.txt").write_bytes(b"x")
+    size, digest = 2_200_000_000, hashlib.sha256()
+    for at in range(0, size, 1 << 24):
+        digest.update(bytes(min(1 << 24, size - at)))
+    with open(flat / digest.hexdigest(), "wb") as f:
+        f.truncate(size)
+    (flat / ("1" * 64)).write_bytes(b"soon gone")
+    (flat / ("2" * 64)).write_bytes(b"changed")
+    blobs = verify.cache_blobs(spark, str(tmp_path))
+    (flat / ("1" * 64)).unlink()  # listed, and not there any more: an error row, and no dead job
+    tally, bad = verify.verify_cache(blobs)
+    assert {r["status"]: r["n"] for r in tally.collect()} == {"valid": 3, "skipped": 1, "error": 1, "invalid": 1}
+    assert {r["name"]: r["status"] for r in bad.collect()} == {"1" * 64: "error", "2" * 64: "invalid"}
+    assert {r["dataset"]: r["n"] for r in verify.blobs_by_dataset(blobs).collect()} == {"o/d": 4, "o/e": 2}
+    assert verify.cache_blobs(spark, str(tmp_path), "o/e").count() == 2
+    assert verify.cache_blobs(spark, str(tmp_path / "none")).count() == 0
