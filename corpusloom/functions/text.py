@@ -130,9 +130,19 @@ def listed_names(csv: Column) -> Column:
     return F.filter(F.transform(F.split(csv, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
+#: Retries that wait; further ones do not happen (fixed value).
+MOST_RETRIES = 5
+
+
 def retry_delays(factor: float, retries: int) -> list[float]:
     """Seconds before each of the first five retries at most."""
-    return [factor * 2**i for i in range(min(retries, 5))]
+    return [factor * 2**i for i in range(min(retries, MOST_RETRIES))]
+
+
+def retry_waits(failures: Column, factor: float) -> Column:
+    """The seconds before each retry of a request that fails so often, as an array."""
+    n = F.least(failures.cast("int"), F.lit(MOST_RETRIES))
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.lit(factor) * F.pow(F.lit(2.0), i))).otherwise(F.array().cast("array<double>"))
 
 
 def valid_bucket_uri(uri: Column) -> Column:

@@ -330,17 +330,25 @@ def skip_take(spark: SparkSession, sf: str) -> DataFrame:
     return ordinals.skip_take(table(spark, sf, "documents").select("doc_id", "lang"), ["doc_id"], 100, 100)
 
 
+_SPEC_SQL = """SELECT c_custkey, lower(c_mktsegment) || CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN '[:' || c_custkey || ']' WHEN 2 THEN '[' || c_custkey || ':' || 2 * c_custkey || ']'
+      WHEN 3 THEN '[' || c_custkey || ':]' ELSE '[:10%]' END AS s FROM customer"""
+
+
 @query(
     "parse_split",
-    r"""SELECT s AS spec, CASE WHEN f THEN regexp_extract(s, '^(\w+)(?:\[(\d*):(\d*)\])?$', 1) ELSE s END AS name,
+    rf"""SELECT c_custkey, s AS spec, CASE WHEN f THEN regexp_extract(s, '^(\w+)(?:\[(\d*):(\d*)\])?$', 1) ELSE s END AS name,
       CASE WHEN f THEN nullif(regexp_extract(s, '^(\w+)(?:\[(\d*):(\d*)\])?$', 2), '')::BIGINT END AS first_row,
       CASE WHEN f THEN nullif(regexp_extract(s, '^(\w+)(?:\[(\d*):(\d*)\])?$', 3), '')::BIGINT END AS end_row
-    FROM (SELECT s, regexp_matches(s, '^(\w+)(?:\[(\d*):(\d*)\])?$') AS f FROM (VALUES ('train'), ('train[:100]'), ('train[100:200]'), ('train[100:]'), ('train[:10%]')) v(s))""",
+    FROM (SELECT *, regexp_matches(s, '^(\w+)(?:\[(\d*):(\d*)\])?$') AS f FROM ({_SPEC_SQL}))""",
 )
 def parse_split(spark: SparkSession, sf: str) -> DataFrame:
-    specs = spark.createDataFrame([(s,) for s in ("train", "train[:100]", "train[100:200]", "train[100:]", "train[:10%]")], "spec string")
+    """Split specifications of all five forms, from customers' segments and numbers."""
+    key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 5
+    rows = F.when(kind == 0, "").when(kind == 1, F.concat(F.lit("[:"), key, F.lit("]"))).when(kind == 2, F.concat(F.lit("["), key, F.lit(":"), (2 * F.col("c_custkey")).cast("string"), F.lit("]")))
+    rows = rows.when(kind == 3, F.concat(F.lit("["), key, F.lit(":]"))).otherwise("[:10%]")
+    specs = table(spark, sf, "customer").select("c_custkey", F.concat(F.lower("c_mktsegment"), rows).alias("spec"))
     name, first, end = text.split_parts(F.col("spec"))
-    return specs.select("spec", name.alias("name"), first.alias("first_row"), end.alias("end_row"))
+    return specs.select("c_custkey", "spec", name.alias("name"), first.alias("first_row"), end.alias("end_row"))
 
 
 @query(
@@ -398,10 +406,11 @@ def record_keys(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", text.record_key(F.col("source"), F.col("doc_id")).alias("key"))
 
 
-@query("manifest_counts", "SELECT source AS dataset_id, count(DISTINCT doc_id) AS n FROM documents GROUP BY 1")
+@query("manifest_counts", "SELECT source AS dataset_id, count(DISTINCT doc_id) AS n FROM documents WHERE doc_id % 3 <> 0 GROUP BY 1")
 def manifest_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a second insert adds to a manifest that holds a third of the rows already."""
     rows = table(spark, sf, "documents").select(F.col("source").alias("dataset_id"), F.col("doc_id").alias("sample_id"))
-    fresh = dedup.insert_distinct(rows.limit(0), rows.unionByName(rows), ["dataset_id", "sample_id"])
+    fresh = dedup.insert_distinct(rows.filter("sample_id % 3 = 0"), rows.unionByName(rows), ["dataset_id", "sample_id"])
     return fresh.groupBy("dataset_id").agg(F.count("*").alias("n"))
 
 
@@ -430,14 +439,20 @@ def verify_hashes(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(blob_status(named, F.sha2(body, 256)).alias("status")).groupBy("status").agg(F.count("*").alias("n"))
 
 
+_HUB_NAME_SQL = "CASE c_custkey % 3 WHEN 0 THEN 'org/' || lower(c_name) WHEN 1 THEN lower(c_mktsegment) || '/da--ta' || c_custkey ELSE lower(c_name) END"
+
+
 @query(
     "cache_names",
-    "SELECT n AS name, 'datasets--' || replace(n, '/', '--') AS folder, n AS restored FROM (VALUES ('org/data'), ('org/da--ta'), ('plain')) v(n)",
+    rf"""SELECT c_custkey, name, folder, regexp_replace(regexp_replace(folder, '^datasets--', ''), '^(.*?)--', '\1/') AS restored
+    FROM (SELECT *, 'datasets--' || replace(name, '/', '--') AS folder FROM (SELECT c_custkey, {_HUB_NAME_SQL} AS name FROM customer))""",
 )
 def cache_names(spark: SparkSession, sf: str) -> DataFrame:
-    names = spark.createDataFrame([("org/data",), ("org/da--ta",), ("plain",)], "name string")
+    """Names with a namespace, with a double hyphen of their own, and without either."""
+    kind, name = F.col("c_custkey") % 3, F.lower("c_name")
+    name = F.when(kind == 0, F.concat(F.lit("org/"), name)).when(kind == 1, F.concat(F.lower("c_mktsegment"), F.lit("/da--ta"), F.col("c_custkey").cast("string"))).otherwise(name)
     folder = text.cache_name(F.col("name"))
-    return names.select("name", folder.alias("folder"), text.dataset_name(folder).alias("restored"))
+    return table(spark, sf, "customer").select("c_custkey", name.alias("name")).select("*", folder.alias("folder"), text.dataset_name(folder).alias("restored"))
 
 
 @query("truncate_preview", "SELECT doc_id, CASE WHEN length(text) > 100 THEN substr(text, 1, 97) || '...' ELSE text END AS preview FROM documents ORDER BY doc_id LIMIT 3")
@@ -458,35 +473,47 @@ def tile_coords(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "tile_enumerate",
-    """WITH b AS (SELECT floor((120.0 + 180) / 360 * 256)::BIGINT AS x0, floor((122.0 + 180) / 360 * 256)::BIGINT AS x1,
-      floor((1 - asinh(tan(radians(25.0 + 18.0 / 60))) / pi()) / 2 * 256)::BIGINT AS y0, floor((1 - asinh(tan(radians(21.0 + 53.0 / 60))) / pi()) / 2 * 256)::BIGINT AS y1)
-    SELECT 8 AS zoom, x, y FROM b, LATERAL (SELECT unnest(generate_series(x0, x1)) AS x), LATERAL (SELECT unnest(generate_series(y0, y1)) AS y)""",
+    """WITH b AS (SELECT s_suppkey, (s_suppkey * 37 % 340 - 170)::DOUBLE AS lon, (s_suppkey * 13 % 120 - 60)::DOUBLE AS lat FROM supplier),
+    t AS (SELECT s_suppkey, floor((lon + 180) / 360 * 256)::BIGINT AS x0, floor((lon + 2 + 180) / 360 * 256)::BIGINT AS x1,
+      floor((1 - asinh(tan(radians(lat + 3))) / pi()) / 2 * 256)::BIGINT AS y0, floor((1 - asinh(tan(radians(lat))) / pi()) / 2 * 256)::BIGINT AS y1 FROM b)
+    SELECT s_suppkey, x, y FROM t, LATERAL (SELECT unnest(generate_series(x0, x1)) AS x), LATERAL (SELECT unnest(generate_series(y0, y1)) AS y)""",
 )
 def tile_enumerate(spark: SparkSession, sf: str) -> DataFrame:
-    return tiles.tiles_of(spark)
+    """All tiles of a box around each supplier."""
+    lon, lat = ((F.col("s_suppkey") * a % m - m // 2).cast("double") for a, m in ((37, 340), (13, 120)))
+    return tiles.tiles_in(table(spark, sf, "supplier").select("s_suppkey", lon.alias("lon"), lat.alias("lat")), (F.col("lon"), F.col("lat"), F.col("lon") + 2, F.col("lat") + 3)).select("s_suppkey", "x", "y")
 
 
 @query(
     "tile_sample",
-    """WITH b AS (SELECT floor((120.0 + 180) / 360 * 4096)::BIGINT AS x0, floor((122.0 + 180) / 360 * 4096)::BIGINT AS x1,
-      floor((1 - asinh(tan(radians(25.0 + 18.0 / 60))) / pi()) / 2 * 4096)::BIGINT AS y0, floor((1 - asinh(tan(radians(21.0 + 53.0 / 60))) / pi()) / 2 * 4096)::BIGINT AS y1),
-    t AS (SELECT x, y FROM b, LATERAL (SELECT unnest(generate_series(x0, x1)) AS x), LATERAL (SELECT unnest(generate_series(y0, y1)) AS y)),
+    """WITH t AS (SELECT c_custkey, floor((lon + 180.0) / 360.0 * 256)::BIGINT AS x, floor((1.0 - asinh(tan(radians(lat))) / pi()) / 2.0 * 256)::BIGINT AS y
+      FROM (SELECT c_custkey, (c_custkey % 360 - 180)::DOUBLE + 0.25 AS lon, (c_custkey % 160 - 80)::DOUBLE + 0.25 AS lat FROM customer)),
     r AS (SELECT x, y, row_number() OVER (ORDER BY md5(x || '/' || y || '/0'), x, y) AS place, count(*) OVER () AS n FROM t)
-    SELECT 12 AS zoom, x, y FROM r WHERE place <= floor(n * 0.5)""",
+    SELECT x, y, count(*) AS n FROM r WHERE place <= floor(n * 0.5) GROUP BY 1, 2""",
 )
 def tile_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """A seeded choice of half the tiles of the default box at zoom 12."""
-    return tiles.sample_tiles(tiles.tiles_of(spark, zoom=12), 0.5)
+    """A seeded choice of half the customers' tiles; a tile may be there several times."""
+    return tiles.sample_tiles(tile_coords(spark, sf), 0.5).groupBy("x", "y").agg(F.count("*").alias("n"))
 
 
-@query(
-    "slice_grid",
-    """SELECT w, s, least(w + 2, 126)::BIGINT AS e, least(s + 2, 27)::BIGINT AS n, printf('slice_%d_%d_%d_%d.pbf', w, s, least(w + 2, 126), least(s + 2, 27)) AS name
-    FROM range(119, 126, 2) a(w), range(21, 27, 2) b(s)""",
-)
+_SLICES_SQL = """SELECT s_suppkey, w, s, least(w + 2, w0 + 7) AS e, least(s + 2, s0 + 6) AS n
+    FROM (SELECT s_suppkey, s_suppkey % 100 AS w0, s_suppkey % 40 AS s0 FROM supplier), LATERAL (SELECT unnest(range(w0, w0 + 7, 2)) AS w), LATERAL (SELECT unnest(range(s0, s0 + 6, 2)) AS s)"""
+
+
+@query("slice_grid", f"SELECT *, printf('slice_%d_%d_%d_%d.pbf', w, s, e, n) AS name FROM ({_SLICES_SQL})")
 def slice_grid(spark: SparkSession, sf: str) -> DataFrame:
-    out = tiles.slice_names(spark, (119, 21, 126, 27), 2)
-    return out.select("w", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"), F.col("n").cast("long").alias("n"), "name")
+    """The grid cells of a box for each supplier, with their file names."""
+    w, s = F.col("s_suppkey") % 100, F.col("s_suppkey") % 40
+    return tiles.slices_in(table(spark, sf, "supplier").select("s_suppkey"), (w, s, w + 7, s + 6), 2)
+
+
+@query("sorted_slices", f"SELECT row_number() OVER (ORDER BY w, s, e, n)::BIGINT AS place, w, s, printf('slice_%d_%d_%d_%d.pbf', w, s, e, n) AS name FROM (SELECT DISTINCT w, s, e, n FROM ({_SLICES_SQL}))")
+def sorted_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """File names of slices in the order of their bounds as numbers."""
+    bound = lambda k, n: F.get(tiles.parsed_slice(F.col("name")), F.lit(k)).alias(n)
+    names = slice_grid(spark, sf).select("name").distinct().select("name", F.lit(0).alias("d"), *(bound(k, n) for k, n in enumerate("wsen")))
+    rows = ordinals.dense_ids(names, ["d"], ["w", "s", "e", "n"])
+    return rows.select((F.col("sample_id") + 1).alias("place"), "w", "s", "name")
 
 
 @query(
@@ -508,9 +535,11 @@ def progress_counters(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").groupBy(F.col("source").alias("dataset_id")).agg(F.count("*").alias("processed"), passed, F.sum("n_chars").alias("total_bytes"))
 
 
-@query("retry_backoff", "SELECT i::INTEGER AS attempt, 1.5 * 2 ** i AS seconds FROM range(5) r(i)")
+@query("retry_backoff", "SELECT event_id, least(event_id % 8, 5)::INTEGER AS waits, 1.5 * (2 ** least(event_id % 8, 5) - 1) AS seconds FROM events")
 def retry_backoff(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(text.retry_delays(1.5, 8))), "attempt int, seconds double")
+    """How often and how long a request waits that fails as often as its event's number says."""
+    waits = text.retry_waits(F.col("event_id") % 8, 1.5)
+    return table(spark, sf, "events").select("event_id", F.size(waits).alias("waits"), F.aggregate(waits, F.lit(0.0), lambda a, x: a + x).alias("seconds"))
 
 
 @query(

@@ -63,10 +63,15 @@ def composite_keys(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", name.alias("name"), text.record_key(name, F.col("doc_id")).alias("key"))
 
 
-@query("snake_names", "SELECT n AS name, 'org___' || s AS folder FROM (VALUES ('MyDataset', 'my_dataset'), ('HTMLPages2Text', 'html_pages2_text'), ('plain', 'plain'), ('ABC', 'abc')) v(n, s)")
+@query(
+    "snake_names",
+    r"""SELECT p_partkey, name, 'org___' || lower(regexp_replace(regexp_replace(name, '([A-Z]+)([A-Z][a-z])', '\1_\2', 'g'), '([a-z\d])([A-Z])', '\1_\2', 'g')) AS folder
+    FROM (SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), '') || p_type || 'Text' || p_size || upper(p_brand[1:2]) AS name FROM part)""",
+)
 def snake_names(spark: SparkSession, sf: str) -> DataFrame:
-    names = spark.createDataFrame([("MyDataset",), ("HTMLPages2Text",), ("plain",), ("ABC",)], "name string")
-    return names.select("name", text.snake_cache_name(F.lit("org"), F.col("name")).alias("folder"))
+    """Names in camel case with runs of capitals and digits."""
+    name = F.concat(F.replace(F.initcap("p_name"), F.lit(" "), F.lit("")), "p_type", F.lit("Text"), F.col("p_size").cast("string"), F.upper(F.substring("p_brand", 1, 2)))
+    return table(spark, sf, "part").select("p_partkey", name.alias("name")).select("*", text.snake_cache_name(F.lit("org"), F.col("name")).alias("folder"))
 
 
 @query(
@@ -245,12 +250,14 @@ def manifest_state(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.counts()
 
 
-@query("progress_state", "SELECT * FROM (VALUES ('a', 7::BIGINT, true), ('b', 12::BIGINT, false)) v(dataset_id, last_sample_id, completed)")
+@query("progress_state", "SELECT event_type AS dataset_id, max(event_id) AS last_sample_id, max(event_id) % 2 = 0 AS completed FROM events GROUP BY 1")
 def progress_state(spark: SparkSession, sf: str) -> DataFrame:
-    """The newest entry of each dataset counts."""
+    """Two runs over the events of each type, the first over half of them; the newest entry of each counts."""
     progress = Progress(spark, f"{scratch_folder(spark, 'state')}/progress")
-    for name, last, completed in (("a", 3, False), ("b", 12, False), ("a", 7, True)):
-        progress.update(name, last, completed)
+    events = table(spark, sf, "events").withColumnRenamed("event_type", "dataset_id")
+    for rows in (events.filter("event_id % 2 = 1"), events):
+        last = rows.groupBy("dataset_id").agg(F.max("event_id").alias("last_sample_id"))
+        progress.record(last.withColumn("completed", F.col("last_sample_id") % 2 == 0))
     return progress.current().select("dataset_id", "last_sample_id", "completed")
 
 
@@ -281,17 +288,6 @@ def concat_arrays(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("conv_id", F.concat("r", F.reverse("r")).alias("roles"))
 
 
-@query(
-    "sorted_slices",
-    """SELECT row_number() OVER (ORDER BY w, s)::BIGINT AS place, w, s, printf('slice_%d_%d_%d_%d.pbf', w, s, w + 1, s + 1) AS name FROM range(8, 12) a(w), range(9, 12) b(s)""",
-)
-def sorted_slices(spark: SparkSession, sf: str) -> DataFrame:
-    """File names of slices in the order of their bounds as numbers."""
-    names = tiles.slice_names(spark, (8, 9, 12, 12), 1).select("name", tiles.parsed_slice(F.col("name")).alias("b"), F.lit(0).alias("d"))
-    rows = ordinals.dense_ids(names.select("name", "d", F.get("b", F.lit(0)).alias("w"), F.get("b", F.lit(1)).alias("s")), ["d"], ["w", "s"])
-    return rows.select((F.col("sample_id") + 1).alias("place"), "w", "s", "name")
-
-
 @query("tile_files", "SELECT c_custkey, printf('%d_%d_%d.png', 8, c_custkey % 256, c_custkey % 199) AS name FROM customer")
 def tile_files(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select("c_custkey", tiles.tile_file(F.lit(8), F.col("c_custkey") % 256, F.col("c_custkey") % 199).alias("name"))

@@ -77,6 +77,11 @@ class Progress(_Table):
         version = (self.read().agg(F.max("version")).first()[0] or 0) + 1
         return self.append(self.spark.createDataFrame([(dataset_id, last_sample_id, completed, version)], self.schema).coalesce(1), staged)
 
+    def record(self, rows: DataFrame) -> Move:
+        """Entries (dataset_id, last_sample_id, completed) of many datasets at once, newer than all before."""
+        version = (self.read().agg(F.max("version")).first()[0] or 0) + 1
+        return self.append(rows.select("dataset_id", "last_sample_id", "completed", F.lit(version).cast("long").alias("version")))
+
     def completed(self) -> DataFrame:
         return self.current().filter("completed").select("dataset_id")
 

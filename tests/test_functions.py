@@ -24,6 +24,27 @@ def test_split_parts(spark, spec, want):
     assert tuple(spark.range(1).select(*parts).first()) == want
 
 
+def test_exact_samples(spark, monkeypatch):
+    """Any number of rows, ties and one draw that half the rows share included; equal to a sort."""
+    from corpusloom.operators import sampling
+
+    rng = random.Random(8)
+    rows = [(rng.randrange(200), k) for k in range(2000)] + [(5, 7)] * 1000
+    df = spark.createDataFrame(rows, "a int, b int").repartition(5)
+    import hashlib
+
+    ordered = sorted(rows, key=lambda r: (hashlib.md5(str(r[0]).encode()).hexdigest(), r[1]))
+    draw = F.md5(F.col("a").cast("string").cast("binary"))
+    for cell_rows in (100_000, 40):
+        monkeypatch.setattr(sampling, "CELL_ROWS", cell_rows)
+        for n in (0, 1, 700, 1500, 2999, 3000, 5000):
+            assert sorted(map(tuple, sampling.exact_sample(df, draw, ["b"], n=n).collect())) == sorted(ordered[:n])
+    assert sampling.exact_sample(df, draw, ["b"], ratio=0.25).count() == 750
+    assert sampling.exact_sample(df.limit(0), draw, ["b"], ratio=0.5).collect() == []
+    with pytest.raises(ValueError):
+        sampling.exact_sample(df, draw, ["b"])
+
+
 def test_paths_and_names(spark):
     assert value(spark, text.stem(F.lit("a/b.c/d.e.png"))) == "d.e"
     assert value(spark, text.prefix_class(F.lit("ab_c_1"), ["ab", "ab_c", "a"])) == "ab_c"
