@@ -93,3 +93,9 @@ class HashStore(_Table):
 
     def add(self, owners: DataFrame, staged: bool = False) -> Move:
         return self.append(insert_distinct(self.read(), owners.select("img_hash", "dataset_id", "sample_id"), ["img_hash"]), staged)
+
+
+class Downloads(_Table):
+    """What each run of a download got of its addresses."""
+
+    schema = "url string, name string, bytes long, etag string, tries int, status string, error string"
