@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import imghash, pixels, text, tiles
-from corpusloom.operators import dedup, ordinals, resets, verify
+from corpusloom.operators import dedup, folds, ordinals, resets, verify
 from corpusloom.streaming import runner
 
 
@@ -24,6 +24,36 @@ def test_split_parts(spark, spec, want):
     assert tuple(spark.range(1).select(*parts).first()) == want
 
 
+def test_near_index_equals_comparing_all():
+    rng = random.Random(2)
+    for below in (0, 1, 3, 8, 20, 70):
+        index, held = folds.NearIndex(below), []
+        for _ in range(400):
+            h = rng.getrandbits(64) if not held or rng.random() < 0.5 else rng.choice(held) ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 9)))
+            h &= (1 << 64) - 1
+            assert index.near(h) == any((h ^ o).bit_count() < below for o in held)
+            index.add(h)
+            held.append(h)
+    index = folds.NearIndex(4)
+    for _ in range(3000):
+        h = rng.getrandbits(64)
+        index.near(h)
+        index.add(h)
+    assert index.compared < 3000 * 3000 / 2 / 1000
+
+
+def test_near_counts_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(imghash, "BLOCK_ROWS", 20)
+    rng = random.Random(6)
+    base = [rng.getrandbits(40) for _ in range(12)]
+    rows = [(k, "a" if k % 3 else "b", f"{rng.choice(base) ^ (1 << rng.randrange(40)):040b}") for k in range(150)] + [(150, None, "0" * 40), (151, "a", None)]
+    got = {r["key"]: (r["n_near"], r["distance"], r["nearest"]) for r in imghash.near_counts(spark.createDataFrame(rows, "k long, l string, b string"), "l", "k", "b", 5).collect()}
+    for k, label, bits in rows:
+        near = sorted((sum(a != b for a, b in zip(bits, o, strict=True)), j) for j, m, o in rows if label and m == label and bits and o and j != k)
+        near = [n for n in near if n[0] < 5]
+        assert got[k] == ((len(near), *near[0]) if near else (0, None, None))
+
+
 def test_exact_samples(spark, monkeypatch):
     """Any number of rows, ties and one draw that half the rows share included; equal to a sort."""
     from corpusloom.operators import sampling
