@@ -1,17 +1,17 @@
 """HTML extraction: parser events, text-to-tag ratios, Gaussian smoothing, threshold clustering.
 
-The standard library's streaming parser turns a page into lines, one for each block of text, with
-the number of characters and of tags of each.  The logarithm of the ratio of text to tags is smoothed
-along the page with a Gaussian and split in two clusters by the threshold that leaves the least sum of
-squares within them.  Each line then weighs its characters times its distance from the threshold:
-lines of the high cluster for, lines of the low cluster against the elements that hold them.  The
-region is the container with the greatest weight, the innermost of equal ones.
-
-Tags and names of elements have two uses.  Lines of page furniture (navigation, headers, footers,
-asides, forms, and elements whose class, id or role names menus, sidebars, notices, adverts or reader
-comments) count a quarter of their ratio and are smoothed among themselves.  Inside the region, lines of
-the low cluster are left out where they are furniture, and kept where they are not, being headings and
-short paragraphs.  Scripts, styles, hidden elements and the like hold no text of the page.
+The standard library's streaming parser turns a page into lines, one for each block of text.  A line's ratio is its
+number of characters outside links to the tags on both sides of it; the logarithms of the ratios are smoothed
+along the page with a Gaussian, whatever the lines are, and split in two clusters by the threshold that leaves the least sum
+of squares within them.  Every line then weighs its distance from the threshold, for or against the elements that
+hold it: a menu of many short lines counts against the page around it more than a long notice counts for it.  The
+region is the container with the greatest weight around the line of the highest ratio, the innermost of equal ones.
+
+Names of elements have two further uses.  Lines of page furniture (navigation, headers, footers, asides, forms, and
+elements whose class, id or role names menus, sidebars, notices, adverts or reader comments) have a quarter of their
+ratio, are not where a region starts, and count a quarter where they count for one.  Inside the region they are left out where
+their own ratio is below the threshold; other lines are kept, being headings and short paragraphs.  Scripts, styles,
+hidden elements and the like hold no text of the page.
 
 Results for special rows: null and empty pages give an empty text; so do pages without content;
 a page whose lines are all alike is its own region; rows are independent, so repeated rows change
@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +57,8 @@ CLOSED_BY_PEER = frozenset("p li dt dd tr td th option".split())
 CLOSES_P = BLOCKS - {"br", "body", "html", "head", "title", "button", "option", "select", "optgroup"}
 
 #: Standard deviation of the Gaussian in lines, and how far it reaches.
-SIGMA, REACH = 1.0, 3
-#: What a line of page furniture counts of its ratio.
+SIGMA, REACH = 3.0, 10
+#: What a line of page furniture counts of its ratio, and of its weight for a region.
 FURNITURE_SHARE = 0.25
 #: Elements wide enough to be a region; the page itself is one.
 CONTAINERS = frozenset("article body center div html main section table td".split())
@@ -83,8 +84,18 @@ def _kind(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
     return hidden and tag not in KEPT_TAGS, named or tag in FURNITURE_TAGS
 
 
+class Line(NamedTuple):
+    """A block's text, the tags since the line before, the number of the element around it, whether it is furniture, and its characters in links."""
+
+    text: str
+    tags: int
+    node: int
+    furniture: bool
+    linked: int
+
+
 class _Lines(HTMLParser):
-    """Lines as (text, tags, number of the element around it, whether furniture)."""
+    """The lines of a page; ``n_tags`` is left with the tags behind the last one."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -92,9 +103,9 @@ class _Lines(HTMLParser):
         self.open: Counter[str] = Counter()
         self.parents: list[int] = [-1]
         self.tags: list[str] = ["html"]
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[Line] = []
         self.buffer: list[str] = []
-        self.n_tags = self.skipped = self.furniture = 0
+        self.n_tags = self.skipped = self.furniture = self.linked = 0
 
     def _node(self) -> int:
         return self.stack[-1][1] if self.stack else 0
@@ -102,8 +113,8 @@ class _Lines(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.buffer).split())
         if text:
-            self.lines.append((text, self.n_tags, self._node(), self.furniture > 0))
-            self.n_tags = 0
+            self.lines.append(Line(text, self.n_tags, self._node(), self.furniture > 0, min(self.linked, len(text))))
+            self.n_tags = self.linked = 0
         self.buffer.clear()
 
     def _pop(self, depth: int) -> None:
@@ -155,25 +166,37 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.skipped:
             self.buffer.append(data)
+            if self.open["a"]:
+                self.linked += len(data.strip())
 
     def unknown_decl(self, data: str) -> None:
         pass
 
 
-def _ratios(lines: list[tuple[str, int, int, bool]]) -> np.ndarray:
-    """The logarithm of each line's ratio of characters to tags; furniture counts a share of it."""
-    plain = np.log1p([len(text) / (tags + 1) for text, tags, _, _ in lines])
-    return plain * np.where([furniture for *_, furniture in lines], FURNITURE_SHARE, 1.0)
+def _ratios(lines: list[Line], behind: int = 0) -> np.ndarray:
+    """Each line's characters outside links to the tags on both sides of it; furniture counts a share of it.
+
+    ``behind`` is the number of tags behind the last line.
+    """
+    before = np.array([line.tags for line in lines], float)
+    after = np.append(before[1:], behind)
+    plain = np.array([len(line.text) - line.linked for line in lines]) / (1 + before + after)
+    return plain * np.where([line.furniture for line in lines], FURNITURE_SHARE, 1.0)
 
 
 def _smoothed(values: np.ndarray) -> np.ndarray:
-    """The Gaussian mean of each value and its neighbours, as far as there are any."""
+    """The Gaussian mean of each value and its neighbours on the page, as far as there are any."""
     steps = np.arange(-REACH, REACH + 1)
     kernel = np.exp(-(steps**2) / (2 * SIGMA * SIGMA))
     middle = slice(REACH, REACH + len(values))
     return np.convolve(values, kernel)[middle] / np.convolve(np.ones(len(values)), kernel)[middle]
 
 
+def _levels(ratios: np.ndarray) -> np.ndarray:
+    """The smoothed logarithms of the ratios; one long paragraph is no cluster of its own."""
+    return _smoothed(np.log1p(ratios))
+
+
 def _threshold(values: np.ndarray) -> float:
     """Between the two clusters of least squares; values that are all alike are high, unless they are zero."""
     v = np.sort(values)
@@ -209,27 +232,27 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    ratios = _ratios(lines)
-    furniture = np.array([f for *_, f in lines])
-    level = ratios.copy()
-    for kind in (furniture, ~furniture):
-        if kind.any():
-            level[kind] = _smoothed(ratios[kind])
+    ratios = _ratios(lines, parser.n_tags)
+    level = _levels(ratios)
     cut = _threshold(level)
-    high = level >= cut
-    if not high.any():
+    if not (level >= cut).any():
         return ""
     weight = [0.0] * len(parser.parents)
-    for (text, _, node, _), distance in zip(lines, (level - cut).tolist(), strict=True):
-        weight[node] += len(text) * distance
+    for line, distance in zip(lines, (level - cut).tolist(), strict=True):
+        weight[line.node] += distance * (FURNITURE_SHARE if line.furniture and distance > 0 else 1.0)
     for node in range(len(weight) - 1, 0, -1):
         weight[parser.parents[node]] += weight[node]
-    region = max((n for n, tag in enumerate(parser.tags) if tag in CONTAINERS), key=lambda n: (weight[n], n))
+    own = [-1.0 if line.furniture else r for line, r in zip(lines, ratios.tolist(), strict=True)]
+    around, node = [], lines[int(np.argmax(own))].node
+    while node >= 0:
+        around.append(node)
+        node = parser.parents[node]
+    region = max((n for n in around if parser.tags[n] in CONTAINERS), key=lambda n: (weight[n], n))
     inside = {region}
     for node in range(region + 1, len(parser.parents)):
         if parser.parents[node] in inside:
             inside.add(node)
-    return " ".join(line[0] for line, h in zip(lines, high.tolist(), strict=True) if line[2] in inside and (h or not line[3]))
+    return " ".join(line.text for line, r in zip(lines, np.log1p(ratios).tolist(), strict=True) if line.node in inside and (r >= cut or not line.furniture))
 
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -137,25 +137,53 @@ def best_cut(values: list[float]) -> float:
     return (v[k - 1] + v[k]) / 2
 
 
-def main_text(html: str, op) -> str:
-    """The text of the best region, by weighing each container by itself; ``op`` gives lines and constants."""
-    page = op._parsed(html)
-    kinds = [f for *_, f in page.lines]
-    ratio = [math.log(1 + len(t) / (n + 1)) * (op.FURNITURE_SHARE if f else 1) for t, n, _, f in page.lines]
+def main_text(html: str) -> str:
+    """The text of the best region of a well-formed page, from its tokens and by weighing each container by itself."""
+    blocks = "article aside body div footer h1 html li main nav p section ul table tr td br".split()
+    tokens = re.findall(r"<[^>]+>|[^<]+", re.sub(r"<head>.*?</head>|<(script|style)>.*?</\1>", lambda m: "<x>" * (m[0].count("<")), html, flags=re.S))
+    lines, path, text, links, before, ids = [], [(0, "html", False)], "", 0, 0, 0
+    before = 0
+
+    def end():
+        nonlocal text, links, before
+        if " ".join(text.split()):
+            lines.append([" ".join(text.split()), before, list(path), min(links, len(" ".join(text.split())))])
+            before = links = 0
+        text = ""
+
+    for token in tokens:
+        name = re.match(r"</?(\w+)", token)
+        if not name:
+            text += entities.unescape(token)
+            links += len(entities.unescape(token).strip()) if any(t == "a" for _, t, _ in path) else 0
+            continue
+        tag = name[1]
+        if tag in blocks:
+            end()
+        before += 1
+        if token.startswith("</"):
+            while path.pop()[1] != tag:
+                pass
+        elif tag not in ("br", "x"):
+            ids += 1
+            words = set(re.findall(r"class=\"?([\w -]+)", token)[0].split()) if "class=" in token else set()
+            path.append((ids, tag, tag in ("nav", "aside", "footer", "form", "header") or bool(words & {"ad", "menu", "sidebar", "footer", "comments"})))
+    end()
+    if not lines:
+        return ""
+    after = [n for _, n, _, _ in lines[1:]] + [before]
+    furniture = [any(f for *_, f in p) for _, _, p, _ in lines]
+    ratio = [(len(t) - k) / (1 + n + m) * (0.25 if f else 1) for (t, n, _, k), m, f in zip(lines, after, furniture, strict=True)]
     level = []
-    for i, kind in enumerate(kinds):
-        same = [j for j, other in enumerate(kinds) if other == kind]
-        at = same.index(i)
-        near = [(math.exp(-((at - k) ** 2) / (2 * op.SIGMA**2)), ratio[j]) for k, j in enumerate(same) if abs(at - k) <= op.REACH]
+    for i in range(len(lines)):
+        near = [(math.exp(-((i - j) ** 2) / 18), math.log(1 + ratio[j])) for j in range(len(lines)) if abs(i - j) <= 10]
         level.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
     cut = best_cut(level)
-
-    def path(node: int) -> list[int]:
-        return [node, *path(page.parents[node])] if node >= 0 else []
-
-    weights = {n: sum(len(t) * (x - cut) for (t, _, m, _), x in zip(page.lines, level, strict=True) if n in path(m)) for n, tag in enumerate(page.tags) if tag in op.CONTAINERS}
-    best = max(weights, key=lambda n: (round(weights[n], 6), n))
-    return " ".join(t for (t, _, m, f), x in zip(page.lines, level, strict=True) if best in path(m) and (x >= cut or not f))
+    start = max(range(len(lines)), key=lambda i: (not furniture[i], ratio[i], -i))
+    holders = [e for e in lines[start][2] if e[1] in ("article", "body", "div", "html", "main", "section", "table", "td")]
+    weight = lambda e: sum((x - cut) * (0.25 if f and x > cut else 1) for (_, _, p, _), x, f in zip(lines, level, furniture, strict=True) if e in p)
+    best = max(holders, key=lambda e: (round(weight(e), 6), e[0]))
+    return " ".join(t for (t, _, p, _), r, f in zip(lines, ratio, furniture, strict=True) if best in p and (math.log(1 + r) >= cut or not f))
 
 
 def article_text(html: str) -> str:

@@ -555,7 +555,7 @@ def test_html_regions_with_and_without_names(named):
     assert [k for k, (html, want) in enumerate(pages) if main_text(html) != want] == []
 
 
-@pytest.mark.parametrize(("part", "constant"), [("_ratios", lambda lines: np.ones(len(lines))), ("_threshold", lambda values: 0.0), ("_threshold", lambda values: 1e9)])
+@pytest.mark.parametrize(("part", "constant"), [("_ratios", lambda lines, behind: np.ones(len(lines))), ("_threshold", lambda values: 0.0), ("_threshold", lambda values: 1e9)])
 def test_html_text_comes_from_the_clusters(monkeypatch, part, constant):
     rng = random.Random(12)
     pages = [page(rng, k % 2 == 0) for k in range(100)]
@@ -565,13 +565,31 @@ def test_html_text_comes_from_the_clusters(monkeypatch, part, constant):
 
 def test_html_equals_brute_force():
     rng = random.Random(13)
-    pages = [page(rng, k % 2 == 0)[0] for k in range(40)] + [PAGE]
-    for html in pages:
-        assert main_text(html) == brute.main_text(html, op10_html)
+    for html in [page(rng, k % 2 == 0)[0] for k in range(60)]:
+        assert main_text(html) == brute.main_text(html)
     lone = [float(x) for x in np.random.default_rng(1).normal(size=30)]
     assert op10_html._threshold(np.array(lone)) == pytest.approx(brute.best_cut(lone))
 
 
+def plain(html: str) -> str:
+    """A page with all its named elements as plain ``div``, and without class, id and role."""
+    html = re.sub(r"<(/?)(?:article|nav|header|footer|aside|form|main|section|menu)\b[^>]*>", r"<\1div>", html)
+    return re.sub(r"\s(?:class|id|role)=\"[^\"]*\"", "", html)
+
+
+def test_html_of_pages_without_names(monkeypatch):
+    """Nothing but ratios, smoothing and clusters is left there; a constant threshold does worse."""
+    import pyarrow.parquet as pq
+
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()]
+    share = lambda: sum(main_text(plain(h)) == brute.article_text(h) for h in pages) / len(pages)
+    found = share()
+    assert found >= 0.95
+    for constant in (1.0, 3.0, 4.0):
+        monkeypatch.setattr(op10_html, "_threshold", lambda values, c=constant: c)
+        assert share() < found - 0.25
+
+
 def test_html_of_every_page_of_the_tables():
     import pyarrow.parquet as pq
 
