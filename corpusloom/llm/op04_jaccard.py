@@ -3,10 +3,13 @@
 The join links documents whose sets of five-word shingles have a Jaccard similarity of at least the
 threshold.  Documents with equal sets form one class first, so copies are never compared.
 
-The forest has ``TREES`` tries.  A class's key in a trie is ``DEPTH`` minimum hashes, of which any prefix
-can be taken; classes that share a prefix of the length for the threshold in any trie are candidates,
-those below one node of the trie.  Matched prefixes are shortened to the length that is the longest to reach
-the target recall for pairs at the threshold itself, whatever other pairs the table holds.
+The forest has ``TREES`` tries.  A class's key in a trie is a row of minimum hashes, of which any prefix can be
+taken; classes that share a matched prefix in any trie are candidates, those below one node of the trie.
+The keys of each trie are sorted, by ranges, so that the classes below a node stand together and the number below each of
+its prefixes is the length of a run; runs that cross a border of ranges are summed over it.  The longest prefix looked at
+is the longest that reaches the target recall for pairs at the threshold itself.  From there a matched prefix is
+shortened, node by node, as long as the node above holds no more than ``SPARSE`` classes: crowded nodes stay at the length
+that the target needs, and elsewhere pairs meet under shorter prefixes, which few others share, well above the target.
 
 Candidates are verified inside trie nodes, never beyond them.  Nodes of different tries with the same
 classes are one.  The classes of a node are dealt into blocks of bounded size, and two blocks meet in a task:
@@ -36,8 +39,11 @@ from corpusloom.llm.texthash import U64, Words, mix
 from corpusloom.runtime import checkpoint, release, ship
 
 SHINGLE = 5
+#: Tries, and the most minimum hashes of a key.
 TREES, DEPTH = 18, 8
 THRESHOLD, RECALL = 0.8, 0.999
+#: A prefix is shortened while the node above holds no more classes than this.
+SPARSE = 4
 #: A block of a trie node holds at most about this many classes and shingles.
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 750_000
 #: Shingles of at most so many classes are counted pair by pair, others by matrix products.
@@ -45,7 +51,7 @@ RARE = 12
 #: Ids are broadcast up to this many (8 bytes each), and joined by shuffle beyond.
 BROADCAST_IDS = 200_000
 
-_SEEDS = mix(np.arange(1, TREES * DEPTH + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
+_SEEDS = (mix(np.arange(1, TREES * DEPTH + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)).reshape(TREES, DEPTH)
 
 
 def shingle_sets(words: Words, size: int = SHINGLE) -> list[np.ndarray]:
@@ -61,20 +67,21 @@ def shingle_sets(words: Words, size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    """TREES * DEPTH minimum hashes of 32 bits, big-endian, the keys of the tries one after another."""
-    least = np.full(TREES * DEPTH, 0xFFFFFFFF, U64)
+def signature(shingles: np.ndarray, depth: int = DEPTH) -> bytes:
+    """``TREES * depth`` minimum hashes of 32 bits, big-endian, the keys of the tries one after another."""
+    seeds = _SEEDS[:, :depth].ravel()
+    least = np.full(len(seeds), 0xFFFFFFFF, U64)
     with np.errstate(over="ignore"):
         for start in range(0, len(shingles), 512):
-            most = (shingles[start : start + 512, None] * _SEEDS).max(axis=0)
+            most = (shingles[start : start + 512, None] * seeds).max(axis=0)
             least = np.minimum(least, U64(0xFFFFFFFF) - (most >> U64(32)))
     return least.astype(">u4").tobytes()
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
         sets = shingle_sets(Words(batch.column(1)))
-        columns = [map(_node, sets), map(len, sets), (signature(s) if len(s) else None for s in sets)]
+        columns = [map(_node, sets), map(len, sets), (signature(s, depth) if len(s) else None for s in sets)]
         arrays = [pa.array(list(c), t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.binary()), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "node", "n", "sig"])
 
@@ -105,10 +112,90 @@ def least_depth(threshold: float, recall: float) -> int:
     return max([d for d in range(1, DEPTH + 1) if found_share(threshold, d) >= recall], default=1)
 
 
+def sorted_tries(nodes: DataFrame, depth: int) -> DataFrame:
+    """tree, key (``depth`` words), node and n of each class in each trie, sorted in ranges of tree and key."""
+    key = F.expr(f"substring(sig, tree * {4 * depth} + 1, {4 * depth})")
+    each = nodes.select("node", "n", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select("tree", key.alias("key"), "node", "n")
+    return checkpoint(each.repartitionByRange("tree", "key").sortWithinPartitions("tree", "key"))
+
+
+class _Range:
+    """The sorted keys of one range, and the runs of equal prefixes in it."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], depth: int):
+        kept = [b for b in batches if b.num_rows]
+        self.rows = pa.Table.from_batches(kept) if kept else None
+        self.depth = depth
+        if self.rows is None:
+            return
+        self.tree = self.rows.column("tree").to_numpy()
+        keys = self.rows.column("key").combine_chunks()
+        self.words = np.frombuffer(b"".join(keys.to_pylist()), ">u4").reshape(-1, depth)
+
+    def runs(self) -> Iterator[np.ndarray]:
+        """The first row of each run, for prefixes of one word, of two, and so on."""
+        new = np.concatenate([[True], self.tree[1:] != self.tree[:-1]])
+        for d in range(self.depth):
+            new = new | np.concatenate([[True], self.words[1:, d] != self.words[:-1, d]])
+            yield np.flatnonzero(new)
+
+    def prefix(self, row: int, d: int) -> tuple[int, bytes]:
+        return int(self.tree[row]), self.words[row, :d].tobytes()
+
+
+def _borders(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+    """For each length of prefix the first and the last run of a range, with their numbers of classes."""
+    found = _Range(batches, depth)
+    if found.rows is None:
+        return
+    rows, n = [], found.rows.num_rows
+    for d, starts in enumerate(found.runs(), 1):
+        sizes = np.diff(np.append(starts, n))
+        for k in {0, len(starts) - 1}:
+            rows.append((*found.prefix(starts[k], d), int(sizes[k])))
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.int64()), strict=True)], ["tree", "prefix", "n"])
+
+
+def _matched(batches: Iterator[pa.RecordBatch], depth: int, crossing: dict[tuple[int, bytes], int]) -> Iterator[pa.RecordBatch]:
+    """node, n, tree and matched prefix of the classes that share theirs with others."""
+    found = _Range(batches, depth)
+    if found.rows is None:
+        return
+    n = found.rows.num_rows
+    below = np.zeros((depth, n), np.int64)
+    for d, starts in enumerate(found.runs(), 1):
+        sizes = np.diff(np.append(starts, n))
+        for k in {0, len(starts) - 1}:
+            sizes[k] = crossing.get(found.prefix(starts[k], d), sizes[k])
+        below[d - 1] = np.repeat(sizes, np.diff(np.append(starts, n)))
+    # Sizes fall with the length: the shortest prefix that is sparse, else the longest of all.
+    length = np.minimum((below > SPARSE).sum(axis=0) + 1, depth)
+    shared = np.flatnonzero(below[length - 1, np.arange(n)] > 1)
+    prefixes = [found.words[k, : length[k]].tobytes() for k in shared.tolist()]
+    part = found.rows.take(pa.array(shared)).combine_chunks()
+    columns = [part.column(c).combine_chunks() for c in ("node", "n", "tree")]
+    for start in range(0, len(shared), 10_000):
+        yield pa.RecordBatch.from_arrays([*(c.slice(start, 10_000) for c in columns), pa.array(prefixes[start : start + 10_000], pa.binary())], ["node", "n", "tree", "prefix"])
+
+
 def memberships(nodes: DataFrame, depth: int) -> DataFrame:
-    """Each class with its prefixes, and one row for each trie (tree, key) it is in."""
-    prefix = F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(sig, t * {4 * DEPTH} + 1, {4 * depth})))")
-    return nodes.select("node", "n", prefix.alias("keys")).select("node", "n", "keys", F.posexplode("keys").alias("tree", "key"))
+    """node, n, tree and key (of the trie node) for each class in each trie where it shares its matched prefix.
+
+    Runs that cross a border of ranges come to the driver, two a range and length at most.
+    """
+    tries = sorted_tries(nodes, depth)
+    runs = tries.mapInArrow(lambda batches: _borders(batches, depth), "tree int, prefix binary, n long")
+    spread = runs.groupBy("tree", "prefix").agg(F.sum("n").alias("n"), F.count("*").alias("ranges")).filter("ranges > 1").collect()
+    crossing = {(r["tree"], bytes(r["prefix"])): r["n"] for r in spread}
+    matched = tries.mapInArrow(lambda batches: _matched(batches, depth, crossing), "node binary, n long, tree int, prefix binary")
+    return checkpoint(matched.select("node", "n", "tree", F.xxhash64("tree", "prefix").alias("key")))
+
+
+def with_keys(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``members`` with ``keys``, the trie node of the class in each trie; a number of its own where it shares none."""
+    at = found.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("tree", "key"))).alias("at"))
+    own = lambda t: F.coalesce(F.try_element_at("at", t), F.xxhash64("node", t))
+    return members.join(at.select("node", F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), own).alias("keys")), "node")
 
 
 def trie_nodes(found: DataFrame) -> DataFrame:
@@ -229,14 +316,17 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    features = checkpoint(rows.mapInArrow(_features, "doc_id long, node binary, n long, sig binary"))
+    depth = least_depth(threshold, recall)
+    features = checkpoint(rows.mapInArrow(lambda batches: _features(batches, depth), "doc_id long, node binary, n long, sig binary"))
     nodes = features.filter("node IS NOT NULL").groupBy("node")
     nodes = checkpoint(nodes.agg(F.count("*").alias("m"), F.min("doc_id").alias("cls"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     release(spark)
-    found = memberships(nodes, least_depth(threshold, recall))
+    found = memberships(nodes, depth)
+    release(spark)
     shared = trie_nodes(found)
     # A node of a later trie with the same classes shares its key with none that was kept.
-    members = checkpoint(found.join(shared, "key").select("node", "keys", "key", "first", "blocks"))
+    members = found.join(shared, "key").select("node", "key", "first", "blocks")
+    members = checkpoint(with_keys(members, found).select("node", "keys", "key", "first", "blocks"))
     release(spark)
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     classes = checkpoint(members.select("node").distinct().join(nodes.select("node", "m", "cls"), "node"))
