@@ -42,14 +42,33 @@ def image_size(data: bytes | None) -> tuple[int, int] | None:
 
 
 def loadable_size(data: bytes | None) -> tuple[int, int] | None:
-    """The size of an image whose file is not cut short; None for other data."""
-    if data and data[:8] == PNG_MAGIC and b"IEND" not in data[-64:]:
+    """The size of an image whose file is whole; None for other data.
+
+    Of a PNG, the checksums of the chunks that make its picture are compared; of a JPEG, its end mark is looked for.
+    """
+    if data and data[:8] == PNG_MAGIC and not _whole_png(data):
         return None
     if data and data[:2] == b"\xff\xd8" and b"\xff\xd9" not in data[-65536:]:
         return None
     return image_size(data)
 
 
+def _whole_png(data: bytes) -> bool:
+    """Whether the chunks up to the end are there and the critical ones undamaged."""
+    at, view = 8, memoryview(data)
+    while at + 12 <= len(data):
+        length, kind = int.from_bytes(view[at : at + 4], "big"), bytes(view[at + 4 : at + 8])
+        end = at + 12 + length
+        if end > len(data):
+            return False
+        if kind[:1].isupper() and zlib.crc32(view[at + 4 : end - 4]) != int.from_bytes(view[end - 4 : end], "big"):
+            return False
+        if kind == b"IEND":
+            return True
+        at = end
+    return False
+
+
 def _tiff_size(data: bytes) -> tuple[int, int] | None:
     """Width and height of a TIFF file's first image."""
     order = "<" if data[:2] == b"II" else ">"

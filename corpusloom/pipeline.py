@@ -16,7 +16,7 @@ import sys
 import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import images as image_filters
@@ -109,10 +109,13 @@ def run(spark: SparkSession, config: dict, debug: bool = False, source: Callable
             samples = samples.filter(F.col("sample_id") > last)
         if debug:
             samples = samples.orderBy("src_ord").limit(int(options["batch_size"]))
-        samples = stored(samples)
-        kept = stored(samples.transform(apply)) if config["filters"] else samples
-        processed, low, newest = samples.agg(F.count("*"), F.min("sample_id"), F.max("sample_id")).first()
-        passed = kept.count()
+        # Both are counted while they are written.
+        read, left = Observation(), Observation()
+        samples = stored(samples.observe(read, F.count(F.lit(1)).alias("n"), F.min("sample_id").alias("low"), F.max("sample_id").alias("newest")))
+        processed, low, newest = (read.get[c] for c in ("n", "low", "newest"))
+        log.info("%s: read %d samples", name, processed)
+        kept = stored(samples.transform(apply).observe(left, F.count(F.lit(1)).alias("n"))) if config["filters"] else samples
+        passed = left.get["n"] if config["filters"] else processed
         for first, end, final in stretches(low, newest, int(options["batch_size"]) * int(options.get("commit_batches", COMMIT_BATCHES))):
             part = kept.filter(F.col("sample_id").between(first, end))
             moves, puts, staging = [], {}, f"{writer['output_dir']}/{STAGING}{uuid.uuid4().hex}"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.pixels import encode_png, loadable_size, to_rgb
 from corpusloom.runtime import checkpoint, ship
-from corpusloom.sources.archives import MOST_TASKS, PLACE_COLUMNS, STRETCH, data_start, list_members, open_file, place, with_payload_arrays
+from corpusloom.sources.archives import MOST_TASKS, OPENED, PLACE_COLUMNS, STRETCH, data_start, list_members, open_file, place, scheme_of, with_payload_arrays
 
 
 def with_size(df: DataFrame, content: str = "content") -> DataFrame:
@@ -142,15 +142,17 @@ def read_web_records(spark: SparkSession, path: str, numbered: Callable[..., Dat
 
 
 def read_arrow_dataset(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The rows of Arrow IPC stream files below ``path``, as a saved dataset holds them, with ``_place`` by file name and row."""
+    """The rows of Arrow IPC stream files below ``path``, of any size, with ``_place`` by file name and row."""
     ship(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").option("recursiveFileLookup", "true").load(path)
+    here = scheme_of(path) in OPENED
+    files = files.select("path", *([] if here else ["content"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for k, name in enumerate(batch.column(0).to_pylist()):
                 row = 0
-                with pa.ipc.open_stream(content.as_buffer()) as reader:
+                with open_file(name) if here else pa.BufferReader(batch.column(1)[k].as_buffer()) as file, pa.ipc.open_stream(file) as reader:
                     for part in reader:
                         places = pa.StructArray.from_arrays([pa.array([name] * len(part)), pa.array(range(row, row + len(part)), pa.int64())], ["file_path", "row_index"])
                         yield pa.RecordBatch.from_arrays([*part.columns, places], [*part.schema.names, "_place"])
