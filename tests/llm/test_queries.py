@@ -83,3 +83,13 @@ def test_mixing_stage_copies_equal_the_operator(spark):
     for r in mix(docs).select("doc_id", "copies").collect():
         want[r["doc_id"]] += r["copies"]
     assert got == +want
+
+
+def test_the_whole_pipeline_runs(spark, tmp_path):
+    """All stages in a row over a table and over an empty one."""
+    out = corpus_pipeline.run(spark, SF)
+    rows = out.collect()
+    assert len(rows) > 20 and {r["doc_id"] for r in rows} <= {r["doc_id"] for r in table(spark, SF, "documents").select("doc_id").collect()}
+    assert all(len(r["ids"]) == 4 * r["n_tokens"] for r in rows)
+    spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
