@@ -93,6 +93,7 @@ def run(spark: SparkSession, config: dict, debug: bool = False, source: Callable
     log_of.recover()
     for table in (manifest, progress, *(s for s, _ in stores)):
         table.sweep()
+        table.compact()
     for name in names_in(spark, writer["output_dir"]):
         if name.startswith(STAGING):
             remove(spark, f"{writer['output_dir']}/{name}")

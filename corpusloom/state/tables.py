@@ -1,18 +1,24 @@
 """State that outlives a run: manifest, progress, hash owners; Parquet in folders by run.
 
-Readers look at folders ``run-*`` only.  ``add`` and ``update`` show their rows at once; with ``staged`` they leave
-them in a pending folder and return the move that shows them, for a commit record.
+Readers look at folders ``run=*`` only.  ``add`` and ``update`` show their rows at once; with ``staged`` they leave
+them in a pending folder and return the move that shows them, for a commit record.  ``compact`` folds the folders into
+one, which names those it replaces: readers pass these over from the moment it is shown, whether they are
+deleted yet or not.  The hash store lies in buckets by hash, and an addition reads those alone that it touches.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.dedup import insert_distinct
-from corpusloom.state.commits import Move, move, names_in, remove
+from corpusloom.state.commits import Move, move, names_in, put, read_text, remove
+
+#: Folders of a table that are folded into one when a run begins, and the file that names those replaced.
+MOST_RUNS, REPLACES = 16, "_replaces"
 
 
 class _Table:
@@ -21,16 +27,39 @@ class _Table:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
+    def _runs(self) -> tuple[list[str], set[str]]:
+        """The folders that count, and those that another has replaced."""
+        names = [n for n in names_in(self.spark, self.path) if n.startswith("run=")]
+        replaced = {old for n in names for old in json.loads(read_text(self.spark, f"{self.path}/{n}/{REPLACES}") or "[]")}
+        return [n for n in names if n not in replaced], replaced & set(names)
+
     def read(self) -> DataFrame:
-        if not any(n.startswith("run-") for n in names_in(self.spark, self.path)):
+        runs, _ = self._runs()
+        if not runs:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/run-*")
+        rows = self.spark.read.schema(f"{self.schema}, run string").option("basePath", self.path)
+        return rows.parquet(*(f"{self.path}/{n}" for n in runs)).drop("run")
+
+    def compact(self, most: int = MOST_RUNS) -> None:
+        """Fold the table's folders into one where there are more than ``most``; not while an addition is staged."""
+        runs, _ = self._runs()
+        if len(runs) > most:
+            name = uuid.uuid4().hex
+            pending = f"{self.path}/.pending-{name}"
+            self._written(self.read(), pending)
+            put(self.spark, f"{pending}/{REPLACES}", json.dumps(runs))
+            move(self.spark, pending, f"{self.path}/run={name}")
+        for old in self._runs()[1]:
+            remove(self.spark, f"{self.path}/{old}")
+
+    def _written(self, rows: DataFrame, path: str) -> None:
+        rows.write.parquet(path)
 
     def append(self, rows: DataFrame, staged: bool = False) -> Move:
         """Add rows as one folder."""
         name = uuid.uuid4().hex
-        made = [f"{self.path}/.pending-{name}", f"{self.path}/run-{name}"]
-        rows.write.parquet(made[0])
+        made = [f"{self.path}/.pending-{name}", f"{self.path}/run={name}"]
+        self._written(rows, made[0])
         if not staged:
             move(self.spark, *made)
         return made
@@ -87,12 +116,17 @@ class Progress(_Table):
 
 
 class HashStore(_Table):
-    """The owner of each perceptual hash."""
+    """The owner of each perceptual hash, in 256 buckets by hash."""
 
-    schema = "img_hash string, dataset_id string, sample_id long"
+    schema = "img_hash string, dataset_id string, sample_id long, bucket string"
 
     def add(self, owners: DataFrame, staged: bool = False) -> Move:
-        return self.append(insert_distinct(self.read(), owners.select("img_hash", "dataset_id", "sample_id"), ["img_hash"]), staged)
+        rows = owners.select("img_hash", "dataset_id", "sample_id", F.substring(F.md5("img_hash"), 1, 2).alias("bucket"))
+        touched = [r[0] for r in rows.select("bucket").distinct().collect()]
+        return self.append(insert_distinct(self.read().filter(F.col("bucket").isin(touched)), rows, ["img_hash"]), staged)
+
+    def _written(self, rows: DataFrame, path: str) -> None:
+        rows.repartition("bucket").write.partitionBy("bucket").parquet(path)
 
 
 class Downloads(_Table):

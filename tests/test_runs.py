@@ -174,6 +174,29 @@ def test_a_run_that_dies_anywhere_leaves_each_sample_once(spark, tmp_path, monke
         assert sorted(r["sample_id"] for r in spark.read.parquet(str(out)).collect()) == list(range(10))
 
 
+def test_tables_are_folded_and_additions_read_their_buckets_only(spark, tmp_path, monkeypatch):
+    from corpusloom.state import tables
+
+    store = HashStore(spark, str(tmp_path / "h"))
+    hashes = lambda a, b: spark.createDataFrame([(f"{k:016x}", "d", k) for k in range(a, b)], "img_hash string, dataset_id string, sample_id long")
+    for k in range(3):
+        store.add(hashes(5 * k, 5 * k + 10))
+    want = sorted((f"{k:016x}", k) for k in range(20))
+    rows = lambda: sorted((r["img_hash"], r["sample_id"]) for r in store.read().collect())
+    assert rows() == want and len(store._runs()[0]) == 3
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(tables, "remove", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        store.compact(2)  # dies after the new folder is shown, before the old ones go
+    assert rows() == want and len(store._runs()[0]) == 1 and len(store._runs()[1]) == 3
+    store.compact(2)
+    assert rows() == want and len(commits.names_in(spark, store.path)) == 1
+    store.add(hashes(19, 21))
+    assert rows() == [*want, (f"{20:016x}", 20)] and store.read().filter("img_hash IS NULL").count() == 0
+    bucket = store.read().first()["bucket"]
+    plan = store.read().filter(F.col("bucket").isin([bucket]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan or "PartitionFilters: [bucket" in plan, plan
+
+
 def test_images_are_shuffled_once_by_a_sink(spark, tmp_path, monkeypatch):
     """The layout reads no image column but its length; what is written passes one exchange."""
     make_zip(tmp_path / "mri.zip", [(f"Training/glioma/{k}.png", png(k)) for k in range(6)])
