@@ -5,8 +5,10 @@ where they lie and read what they need, so an archive may have any size.  A scan
 gives the place of each wanted member without its payload, and ``with_payloads`` reads payloads.  What lies
 between them (predicates, lookups, ids) moves rows of a few bytes, and a payload is read once, by the task that
 passes it on.  Members of zips, plain tars and stored inner zips are read at their place, in many tasks, each a
-stretch of the file; those of compressed tars by streaming the archive again, in one task each, and those of
-compressed inner zips by way of the task's disk.  One member must fit in a value of 2 GB.
+stretch of the file.  Compressed tars are listed by streaming them once; a payload is then read from the start of the
+frame (of zstandard) or member (of gzip) that holds its first byte, so an archive of many frames is read by many
+tasks and one of a single frame by one.  Members of compressed inner zips go by way of the task's disk.  One member
+must fit in a value of 2 GB.
 
 Stores that only Spark's readers know are read through ``binaryFile`` content, archives below 2 GB.
 """
@@ -22,6 +24,7 @@ import tempfile
 import warnings
 import zipfile
 import zlib
+from collections import deque
 from collections.abc import Callable, Iterator
 from typing import IO, Any
 
@@ -37,7 +40,7 @@ from corpusloom.functions.pixels import loadable_size
 from corpusloom.runtime import ship
 
 MEMBERS = "archive string, ord long, path string, content binary, width int, height int"
-PLACES = "archive string, ord long, path string, offset long, size long, method int"
+PLACES = "archive string, ord long, path string, offset long, size long, method int, skip long"
 PLACE_COLUMNS = [c.split()[0] for c in PLACES.split(", ")]
 _PAYLOAD = T.StructType([T.StructField("content", T.BinaryType()), T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
 #: Schemes that tasks can open by themselves; others go through Spark's reader.
@@ -125,10 +128,118 @@ def iter_members(file: IO[bytes], name: str, want: Want = everything, nested: bo
             return
 
 
-#: Where a payload lies: offset, bytes there, and how they are read (a zip's method, or one of the two below).
-Place = tuple[int, int, int]
-#: Bytes as they are at the offset; a member that is found by its ordinal only.
-RAW, BY_ORDINAL = -1, -2
+#: Where a payload lies: offset, bytes there, how they are read (a zip's method, or one of those below), and unpacked bytes
+#: between the start of the frame at the offset and the payload.
+Place = tuple[int, int, int, int]
+#: Bytes as they are at the offset; a member that is found by its ordinal only; bytes of a compressed stream, from the frame at the offset.
+RAW, BY_ORDINAL, FRAME = -1, -2, -3
+#: Compressed bytes that are unpacked at a time (a frame of zeros grows by thousands), and unpacked bytes of a gzip member at a time.
+PIECE, UNPACKED = 8 << 10, 1 << 20
+#: Endings of compressed tars.
+GZIPPED, ZSTANDARD = (".gz", ".tgz"), (".zst",)
+
+
+class Frames(io.RawIOBase):
+    """The unpacked bytes of a gzip or zstandard file from the frame at ``start`` on, in one direction.
+
+    ``began`` holds (unpacked, packed) starts of the frames read so far, the unpacked ones counted from ``start``.
+    Zeros between gzip members are padding; other bytes after a frame that begin none end the file, as skippable
+    frames do not.
+    """
+
+    def __init__(self, file: IO[bytes], zstandard: bool, start: int = 0):
+        self.file, self.zstandard, self.packed, self.unpacked = file, zstandard, start, 0
+        self.began: deque[tuple[int, int]] = deque()
+        self.left, self.out, self.at, self.frame, self.over = b"", b"", 0, None, False
+        file.seek(start)
+
+    def readable(self) -> bool:
+        return True
+
+    def _opened(self) -> bool:
+        """Begin the frame at the present place; False at the end of the file."""
+        while True:
+            if not self.zstandard:
+                rest = self.left.lstrip(b"\0")
+                self.packed, self.left = self.packed + len(self.left) - len(rest), rest
+            if len(self.left) >= 4:
+                break
+            more = self.file.read(PIECE)
+            if not more:
+                break
+            self.left += more
+        if self.zstandard:
+            import zstandard
+
+            skippable = self.left[1:4] == b"\x2a\x4d\x18" and self.left[0] >> 4 == 5
+            begins = self.left[:4] == zstandard.FRAME_HEADER or skippable
+        else:
+            begins = self.left[:2] == b"\x1f\x8b"
+        if not begins:
+            if self.packed == 0 and self.left:
+                raise OSError("not a compressed file")
+            return False
+        self.frame = zstandard.ZstdDecompressor().decompressobj() if self.zstandard else zlib.decompressobj(31)
+        self.began.append((self.unpacked, self.packed))
+        return True
+
+    def _more(self) -> bytes:
+        """The next unpacked bytes; none at the end."""
+        while not self.over:
+            if self.frame is None and not self._opened():
+                self.over = True
+                break
+            given = self.left or self.file.read(PIECE)
+            if not given:
+                raise EOFError("compressed file cut short")
+            out = self.frame.decompress(given) if self.zstandard else self.frame.decompress(given, UNPACKED)
+            self.left = self.frame.unused_data if self.frame.eof else b"" if self.zstandard else self.frame.unconsumed_tail
+            self.packed += len(given) - len(self.left)
+            self.unpacked += len(out)
+            if self.frame.eof:
+                self.frame = None
+            if out:
+                return out
+        return b""
+
+    def readinto(self, buffer: Any) -> int:
+        if self.at == len(self.out):
+            self.out, self.at = self._more(), 0
+        data = memoryview(self.out)[self.at : self.at + len(buffer)]
+        buffer[: len(data)] = data
+        self.at += len(data)
+        return len(data)
+
+    @property
+    def given(self) -> int:
+        """Unpacked bytes handed out so far."""
+        return self.unpacked - len(self.out) + self.at
+
+    def pass_by(self, count: int) -> None:
+        while count:
+            if self.at == len(self.out):
+                self.out, self.at = self._more(), 0
+                if not self.out:
+                    raise EOFError("cut short")
+            step = min(count, len(self.out) - self.at)
+            self.at, count = self.at + step, count - step
+
+    def take(self, size: int) -> bytes:
+        data = bytearray(size)
+        view, have = memoryview(data), 0
+        while have < size:
+            step = self.readinto(view[have:])
+            if not step:
+                raise EOFError("cut short")
+            have += step
+        return bytes(data)
+
+    def place_of(self, at: int) -> tuple[int, int]:
+        """The packed start of the frame that holds unpacked byte ``at``, and the bytes between; ``at`` may only grow from call to call."""
+        while len(self.began) > 1 and self.began[1][0] <= at:
+            self.began.popleft()
+        unpacked, packed = self.began[0]
+        return packed, at - unpacked
 
 
 def walk(file: IO[bytes], name: str, want: Want = everything, nested: bool = False, base: int = 0) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
@@ -164,7 +275,7 @@ def _zip_members(file: IO[bytes], want: Want, nested: bool, base: int) -> Iterat
                     yield (k << 32) + j, f"{info.filename}/{path}", place, read
             elif want(info.filename):
                 known = base >= 0 and info.compress_type in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED)
-                place = (base + info.header_offset if known else 0, info.compress_size, info.compress_type if known else BY_ORDINAL)
+                place = (base + info.header_offset if known else 0, info.compress_size, info.compress_type if known else BY_ORDINAL, 0)
                 yield (k << 32 if nested else k), info.filename, place, lambda info=info: z.read(info)
 
 
@@ -190,17 +301,14 @@ def _spooled(z: zipfile.ZipFile, info: zipfile.ZipInfo) -> IO[bytes]:
 
 
 def _tar_members(file: IO[bytes], name: str, want: Want, base: int) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
-    plain = base >= 0 and not name.endswith((".zst", ".gz", ".tgz"))
-    if name.endswith(".zst"):
-        import zstandard
-
-        file = zstandard.ZstdDecompressor().stream_reader(file)
-    mode = "r:" if plain else "r|gz" if name.endswith((".gz", ".tgz")) else "r|"
-    with tarfile.open(fileobj=file, mode=mode) as t:
+    frames = Frames(file, name.endswith(ZSTANDARD)) if name.endswith((*GZIPPED, *ZSTANDARD)) else None
+    with tarfile.open(fileobj=frames and io.BufferedReader(frames, 1 << 20) or file, mode="r|" if frames or base < 0 else "r:") as t:
         for k, member in enumerate(t):
             if member.isfile() and want(member.name):
-                known = plain and not member.issparse()
-                place = (base + member.offset_data if known else 0, member.size, RAW if known else BY_ORDINAL)
+                place = (0, member.size, BY_ORDINAL, 0)
+                if base >= 0 and not member.issparse():
+                    offset, skip = frames.place_of(member.offset_data) if frames else (base + member.offset_data, 0)
+                    place = (offset, member.size, FRAME if frames else RAW, skip)
                 yield k, member.name, place, lambda member=member: t.extractfile(member).read()
 
 
@@ -231,7 +339,7 @@ def _batched(rows: Iterator[tuple[Any, ...]]) -> Iterator[pa.RecordBatch]:
 
 def _listed(batches: Iterator[pa.RecordBatch], want: Want, nested: bool) -> Iterator[pa.RecordBatch]:
     """The places of wanted members, by PLACES."""
-    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
+    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
     def batch(rows: list[tuple[Any, ...]]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
@@ -257,8 +365,9 @@ class Payloads:
         self.file: IO[bytes] | None = None
         self.inner: tuple[str, IO[bytes]] | None = None
         self.at, self.last, self.stream = -1, None, None
+        self.frames: Frames | None = None
 
-    def read(self, archive: str, k: int, path: str, offset: int, size: int, method: int) -> bytes | None:
+    def read(self, archive: str, k: int, path: str, offset: int, size: int, method: int, skip: int) -> bytes | None:
         """The payload; None, with a warning, where the archive is damaged."""
         try:
             if archive != self.archive:
@@ -266,6 +375,8 @@ class Payloads:
                 self.archive, self.file = archive, open_file(archive)
             if method == BY_ORDINAL:
                 return self._member(k, path) if archive.endswith(ZIPS) else self._streamed(k)
+            if method == FRAME:
+                return self._unpacked(offset, size, skip)
             self.file.seek(offset if method == RAW else data_start(self.file, offset))
             data = self.file.read(size)
             if len(data) < size:
@@ -273,6 +384,7 @@ class Payloads:
             return zlib.decompress(data, -15) if method == zipfile.ZIP_DEFLATED else data
         except _errors() as error:
             warnings.warn(f"{archive}: {path}: {error}", stacklevel=2)
+            self.frames = None
             return None
 
     def _member(self, k: int, path: str) -> bytes:
@@ -291,6 +403,16 @@ class Payloads:
         with zipfile.ZipFile(self.inner[1]) as z:
             return z.read(z.infolist()[k & 0xFFFFFFFF])
 
+    def _unpacked(self, offset: int, size: int, skip: int) -> bytes:
+        """Bytes of a compressed stream: it goes on where it stands, or begins at the frame where that is behind or nearer."""
+        known = self.frames and next((u for u, p in self.frames.began if p == offset), None)
+        ahead = -1 if known is None else known + skip - self.frames.given
+        if ahead < 0:
+            self.frames = Frames(self.file, self.archive.endswith(ZSTANDARD), offset)
+            ahead = skip
+        self.frames.pass_by(ahead)
+        return self.frames.take(size)
+
     def _streamed(self, k: int) -> bytes | None:
         """A member of a compressed tar: the stream goes on to it, or starts again where it lies behind."""
         if k == self.at:
@@ -309,6 +431,7 @@ class Payloads:
             if file:
                 file.close()
         self.archive, self.file, self.inner, self.stream, self.at, self.last = None, None, None, None, -1, None
+        self.frames = None
 
 
 def _filled(batches: Iterator[pa.RecordBatch], schema: pa.Schema, places: list[int], optional: bool) -> Iterator[pa.RecordBatch]:

@@ -62,7 +62,7 @@ def _npz_stretches(batches: Iterator[pa.RecordBatch], names: list[str], splits:
     types = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string()]
     for batch in batches:
         rows = []
-        for archive, _, path, offset, _, method in zip(*(batch.column(c).to_pylist() for c in PLACE_COLUMNS), strict=True):
+        for archive, _, path, offset, _, method, _ in zip(*(batch.column(c).to_pylist() for c in PLACE_COLUMNS), strict=True):
             split, name = path.removesuffix("_images.npy"), archive.rsplit("/", 1)[-1]
             stored = method == zipfile.ZIP_STORED
             with open_file(archive) as file:

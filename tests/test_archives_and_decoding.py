@@ -234,3 +234,65 @@ def test_blobs_of_any_size_and_depth(spark, tmp_path):
     assert {r["dataset"]: r["n"] for r in verify.blobs_by_dataset(blobs).collect()} == {"o/d": 4, "o/e": 2}
     assert verify.cache_blobs(spark, str(tmp_path), "o/e").count() == 2
     assert verify.cache_blobs(spark, str(tmp_path / "none")).count() == 0
+
+
+def framed_tar(members: list[tuple[str, bytes]], pack, step: int) -> bytes:
+    """A tar in frames of ``step`` bytes, each packed by itself."""
+    plain = io.BytesIO()
+    with tarfile.open(fileobj=plain, mode="w") as t:
+        for name, data in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            t.addfile(info, io.BytesIO(data))
+    data = plain.getvalue()
+    return b"".join(pack(data[k : k + step]) for k in range(0, len(data), step))
+
+
+@pytest.mark.parametrize("kind", ["tar.zst", "tar.gz", "skippable", "padded"])
+def test_compressed_tars_of_many_frames_are_read_by_many_tasks(spark, tmp_path, monkeypatch, kind):
+    import zstandard
+
+    monkeypatch.setattr(archives, "STRETCH", 2000)
+    rng = np.random.default_rng(5)
+    members = [(f"p/{'long' * 40 if k == 7 else ''}{k}.bin", rng.bytes(int(rng.integers(0, 3000)))) for k in range(40)]
+    pack = gzip.compress if kind in ("tar.gz", "padded") else zstandard.ZstdCompressor().compress
+    data = framed_tar(members, pack, 5000)
+    if kind == "skippable":
+        data = b"\x50\x2a\x4d\x18\x04\0\0\0note" + data + b"\x5e\x2a\x4d\x18\x00\0\0\0"
+    if kind == "padded":
+        data = data + bytes(700)
+    name = "a.tar.gz" if kind in ("tar.gz", "padded") else "a.tar.zst"
+    (tmp_path / name).write_bytes(data)
+    (tmp_path / f"one-{name}").write_bytes(framed_tar(members, pack, 1 << 30))
+    for file, frames in ((name, True), (f"one-{name}", False)):
+        listed = archives.list_members(spark, str(tmp_path / file))
+        assert [r["path"] for r in listed.orderBy("ord").collect()] == [n for n, _ in members]
+        assert (listed.select("offset").distinct().count() > 5) == frames
+        rows = archives.with_payloads(listed).withColumn("task", F.spark_partition_id()).orderBy("ord").collect()
+        assert [(r["path"], bytes(r["content"])) for r in rows] == members
+        assert (len({r["task"] for r in rows}) > 1) == frames
+
+
+def test_frames_cut_short_or_damaged_lose_what_lies_behind_only(spark, tmp_path):
+    import zstandard
+
+    members = [(f"{k}.bin", bytes([k]) * 2000) for k in range(20)]
+    data = framed_tar(members, zstandard.ZstdCompressor(write_checksum=True).compress, 5000)
+    (tmp_path / "cut.tar.zst").write_bytes(data[: len(data) // 2])
+    (tmp_path / "empty.tar.zst").write_bytes(b"")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        rows = archives.with_payloads(archives.list_members(spark, str(tmp_path / "cut.tar.zst"))).orderBy("ord").collect()
+        assert 0 < len(rows) < 20 and all((r["path"], bytes(r["content"])) == members[r["ord"]] for r in rows)
+        assert archives.list_members(spark, str(tmp_path / "empty.tar.zst")).count() == 0
+
+
+def test_zeros_grow_in_pieces():
+    import zstandard
+
+    for pack, zstd in ((gzip.compress, False), (zstandard.ZstdCompressor().compress, True)):
+        source = archives.Frames(io.BytesIO(pack(bytes(50_000_000)) + pack(b"end")), zstd)
+        total, last = 0, b""
+        while piece := source._more():
+            total, last = total + len(piece), piece
+        assert total == 50_000_003 and last[-3:] == b"end" and source.began[-1][0] == 50_000_000
