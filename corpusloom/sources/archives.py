@@ -19,6 +19,7 @@ import csv
 import fnmatch
 import glob
 import io
+import os
 import tarfile
 import tempfile
 import warnings
@@ -33,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom.functions.pixels import loadable_size
@@ -115,12 +116,16 @@ class _Stretch(io.RawIOBase):
         return len(data)
 
 
-def iter_members(file: IO[bytes], name: str, want: Want = everything, nested: bool = False) -> Iterator[tuple[int, str, bytes]]:
+#: Where the outermost entries of a zip begin that a walk takes: from one byte to before another.
+Range = tuple[int, int]
+
+
+def iter_members(file: IO[bytes], name: str, want: Want = everything, nested: bool = False, within: Range | None = None) -> Iterator[tuple[int, str, bytes]]:
     """(ordinal, path, content) of wanted members; ordinals count all entries in archive order.
 
     A damaged archive gives a warning and no further members.
     """
-    for k, path, _, read in walk(file, name, want, nested):
+    for k, path, _, read in walk(file, name, want, nested, within=within):
         try:
             yield k, path, read()
         except _errors() as error:
@@ -242,14 +247,14 @@ class Frames(io.RawIOBase):
         return packed, at - unpacked
 
 
-def walk(file: IO[bytes], name: str, want: Want = everything, nested: bool = False, base: int = 0) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
+def walk(file: IO[bytes], name: str, want: Want = everything, nested: bool = False, base: int = 0, within: Range | None = None) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
     """(ordinal, path, place, a function that reads the payload while the walk stands there) of wanted members.
 
-    ``base`` is where ``file`` begins in the outermost archive.
+    ``base`` is where ``file`` begins in the outermost archive.  Of a zip ``within`` takes the entries that begin there.
     """
     try:
         if name.endswith(ZIPS):
-            yield from _zip_members(file, want, nested, base)
+            yield from _zip_members(file, want, nested, base, within)
         else:
             yield from _tar_members(file, name, want, base)
     except _errors() as error:
@@ -265,10 +270,10 @@ def data_start(file: IO[bytes], offset: int) -> int:
     return offset + 30 + int.from_bytes(header[26:28], "little") + int.from_bytes(header[28:30], "little")
 
 
-def _zip_members(file: IO[bytes], want: Want, nested: bool, base: int) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
+def _zip_members(file: IO[bytes], want: Want, nested: bool, base: int, within: Range | None) -> Iterator[tuple[int, str, Place, Callable[[], bytes]]]:
     with zipfile.ZipFile(file) as z:
         for k, info in enumerate(z.infolist()):
-            if info.is_dir():
+            if info.is_dir() or within and not within[0] <= info.header_offset < within[1]:
                 continue
             if nested and info.filename.endswith(".zip"):
                 for j, path, place, read in _inner_members(file, z, info, want, base):
@@ -568,8 +573,30 @@ def read_csv_member(spark: SparkSession, path: str, name: str) -> DataFrame:
     return members.select("content").mapInArrow(run, "n long, row map<string,string>")
 
 
+def list_archives(pattern: str) -> list[tuple[str, int]]:
+    """Path and size of the files whose names fit ``pattern``, by path; hidden names (``.`` or ``_`` first) are left out."""
+    if scheme_of(pattern) == "file":
+        found = [(p, os.path.getsize(p)) for p in glob.glob(pattern.removeprefix("file:")) if os.path.isfile(p)]
+    else:
+        folder, _, names = pattern.rpartition("/")
+        system, inner = system_of(folder)
+        files = [i for i in system.get_file_info(fs.FileSelector(inner)) if i.type == fs.FileType.File]
+        found = [(f"{folder}/{i.base_name}", i.size) for i in files if fnmatch.fnmatch(i.base_name, names)]
+    return sorted((p, size) for p, size in found if p.rpartition("/")[2][:1] not in (".", "_"))
+
+
+def stretches(path: str, start: int, stop: int) -> list[tuple[str, Range | None]]:
+    """What tasks read of bytes ``start`` to ``stop`` of an archive: stretches of a zip, any other one whole."""
+    if not path.endswith(ZIPS):
+        return [(path, None)]
+    return [(path, (at, min(at + STRETCH, stop))) for at in range(start, stop, STRETCH)]
+
+
 class ArchiveSource(DataSource):
-    """``spark.read.format("archive").option("suffixes", "png,jpg").load(glob)`` over stores that tasks can open."""
+    """``spark.read.format("archive").option("suffixes", "png,jpg").load(glob)`` over stores that tasks can open.
+
+    With ``readStream`` a stream over a folder that grows; see ``archive_stream``.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -581,27 +608,31 @@ class ArchiveSource(DataSource):
     def reader(self, schema: Any) -> DataSourceReader:
         return _ArchiveReader(dict(self.options))
 
+    def streamReader(self, schema: Any) -> DataSourceStreamReader:
+        from corpusloom.sources.archive_stream import ArchiveStream
+
+        return ArchiveStream(dict(self.options))
+
+
+class MemberReader:
+    """Reads the members that the options ``suffixes``, ``prefix`` and ``nested`` ask for."""
 
-class _ArchiveReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.pattern = options["path"]
         self.suffixes = tuple(s for s in options.get("suffixes", "").lower().split(",") if s)
         self.prefix = options.get("prefix", "")
         self.nested = options.get("nested", "false") == "true"
 
-    def partitions(self) -> list[InputPartition]:
-        if scheme_of(self.pattern) == "file":
-            return [InputPartition(p) for p in sorted(glob.glob(self.pattern.removeprefix("file:")))]
-        folder, _, names = self.pattern.rpartition("/")
-        system, inner = fs.FileSystem.from_uri(folder)
-        found = [i.base_name for i in system.get_file_info(fs.FileSelector(inner)) if i.type == fs.FileType.File]
-        return [InputPartition(f"{folder}/{n}") for n in sorted(found) if fnmatch.fnmatch(n, names)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple[Any, ...]]:
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         want = lambda p: p.startswith(self.prefix) and (not self.suffixes or p.lower().endswith(self.suffixes))
-        with open_file(partition.value) as file:
-            for k, path, content in iter_members(file, partition.value, want, self.nested):
-                yield _row(partition.value, k, path, content)
+        path, within = partition.value
+        with open_file(path) as file:
+            yield from _batched(_row(path, *member) for member in iter_members(file, path, want, self.nested, within))
+
+
+class _ArchiveReader(MemberReader, DataSourceReader):
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(part) for path, size in list_archives(self.pattern) for part in stretches(path, 0, size)]
 
 
 def register(spark: SparkSession) -> None:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from corpusloom.runtime import scratch_folder
+from corpusloom.sources.archive_stream import BATCH
+from corpusloom.sources.archives import register
 
 
 def run_folder(spark: SparkSession) -> str:
@@ -22,6 +24,24 @@ def drain(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def drain_by_steps(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """As ``drain``, for a source that sets the size of its batches itself (``availableNow`` would take one of them only)."""
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def archive_stream(spark: SparkSession, path: str, log: str, batch_bytes: int = BATCH, **options: str) -> DataFrame:
+    """A stream over the members of the archives that arrive at ``path`` (a glob), about ``batch_bytes`` of archives a batch.
+
+    ``log`` is a folder of this stream alone; ``options`` are ``suffixes``, ``prefix`` and ``nested``.
+    """
+    register(spark)
+    return spark.readStream.format("archive").options(**options, log=log, maxBytesPerTrigger=batch_bytes).load(path)
+
+
 def overwrite_by_batch(folder: str) -> Callable[[DataFrame, int], None]:
     """A Parquet sink with one folder for each batch."""
 
