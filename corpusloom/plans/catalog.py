@@ -48,4 +48,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-from corpusloom.plans import catalog_queries, catalog_records  # noqa: E402, F401  (registers the queries)
+from corpusloom.plans import catalog_archives, catalog_queries, catalog_records  # noqa: E402, F401  (registers the queries)

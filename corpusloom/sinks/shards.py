@@ -106,10 +106,14 @@ class _TarFile(SharedFile):
 
 
 def _opened(kind: str, folder: str, settings: dict[str, Any], key: tuple) -> SharedFile:
-    """The staged file of a shard: of one dataset (Arrow) or of all (tar)."""
+    """The staged file of a shard: of one dataset (Arrow), of all (tar), or an archive by its name."""
+    from corpusloom.sinks import packing
+
     if kind == "arrow":
         dataset, shard = key
         return _ArrowFile(f"{folder}/{dataset}", f"data-{settings['start'].get(dataset, 0) + shard:05d}.arrow", settings["include_caption"])
+    if kind == "packed":
+        return packing.PACKERS[packing.ending(key[0])](folder, key[0])
     return _TarFile(folder, f"part-{settings['start'] + key[0]:06d}.tar")
 
 
@@ -174,7 +178,7 @@ class _ShardWriter(DataSourceArrowWriter):
                 store.delete_file(file)
 
 
-def _written(rows: DataFrame, keys: list[str], order: list[str], kind: str, staging: str, settings: dict[str, Any]) -> list[list]:
+def written(rows: DataFrame, keys: list[str], order: list[str], kind: str, staging: str, settings: dict[str, Any]) -> list[list]:
     """Write the rows of each key to its file, in order; the list of files."""
     spark = rows.sparkSession
     spark.dataSource.register(ShardSink)
@@ -235,7 +239,7 @@ def arrow_files(samples: DataFrame, staging: str, target_shard_bytes: int, batch
     rows = rows.select("dataset_id", *ORDER, "sample_id", "images", F.coalesce("text", F.lit("")).alias("caption"))
     placed = _placed(rows, ["dataset_id", *ORDER], arrow_layout(rows, target_shard_bytes, batch_size))
     settings = {"start": first_index or {}, "include_caption": include_caption}
-    return _written(placed, ["dataset_id", "shard"], ORDER, "arrow", staging, settings)
+    return written(placed, ["dataset_id", "shard"], ORDER, "arrow", staging, settings)
 
 
 def tar_files(samples: DataFrame, staging: str, maxcount: int = 10_000, first_index: int = 0) -> list[list]:
@@ -251,7 +255,7 @@ def tar_files(samples: DataFrame, staging: str, maxcount: int = 10_000, first_in
     body = F.coalesce("text", F.lit(""))
     body = F.when(F.col("sample_type") == "multi_image_text", text.ensure_tokens(body, F.size("images"))).otherwise(body)
     rows = rows.select(*order, "sample_type", "images", body.alias("body"), text.record_key(F.col("dataset_id"), F.col("sample_id")).alias("key"))
-    return _written(_placed(rows, order, starts), ["shard"], order, "tar", staging, {"start": first_index})
+    return written(_placed(rows, order, starts), ["shard"], order, "tar", staging, {"start": first_index})
 
 
 @dataclass

@@ -20,6 +20,7 @@ import fnmatch
 import glob
 import io
 import os
+import re
 import tarfile
 import tempfile
 import warnings
@@ -576,7 +577,7 @@ def read_csv_member(spark: SparkSession, path: str, name: str) -> DataFrame:
 def list_archives(pattern: str) -> list[tuple[str, int]]:
     """Path and size of the files whose names fit ``pattern``, by path; hidden names (``.`` or ``_`` first) are left out."""
     if scheme_of(pattern) == "file":
-        found = [(p, os.path.getsize(p)) for p in glob.glob(pattern.removeprefix("file:")) if os.path.isfile(p)]
+        found = [(p, os.path.getsize(p)) for p in glob.glob(re.sub("^file:/*", "/", pattern)) if os.path.isfile(p)]
     else:
         folder, _, names = pattern.rpartition("/")
         system, inner = system_of(folder)

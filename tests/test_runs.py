@@ -202,7 +202,7 @@ def test_images_are_shuffled_once_by_a_sink(spark, tmp_path, monkeypatch):
     make_zip(tmp_path / "mri.zip", [(f"Training/glioma/{k}.png", png(k)) for k in range(6)])
     rows = stored(adapters.build(spark, {"id": "BrainTumorMRI", "zip_path": str(tmp_path / "mri.zip")}))
     seen = []
-    monkeypatch.setattr(shards, "_written", lambda placed, keys, order, *rest: seen.append(placed.repartition(*keys).sortWithinPartitions(*keys, *order)) or [])
+    monkeypatch.setattr(shards, "written", lambda placed, keys, order, *rest: seen.append(placed.repartition(*keys).sortWithinPartitions(*keys, *order)) or [])
     shards.tar_files(rows, str(tmp_path / "s"), 2)
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
