@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.plans.catalog import query
 from corpusloom.runtime import scratch_folder, table
+from corpusloom.schema import as_samples
+from corpusloom.sinks import shards
 from corpusloom.sinks.packing import pack
 from corpusloom.sources import archives, files, web
 from corpusloom.streaming import runner
@@ -109,3 +111,40 @@ def streamed_archives(spark: SparkSession, sf: str) -> DataFrame:
     stream = runner.archive_stream(spark, f"{folder}/*.zip", f"{run}/log", BATCH_BYTES, prefix="keep/")
     runner.drain_by_steps(_digests(stream), runner.overwrite_by_batch(f"{run}/out"), f"{run}/checkpoint")
     return spark.read.parquet(f"{run}/out").drop("batch")
+
+
+#: Bytes of an Arrow shard and samples of a tar shard in the queries of written shards.
+SHARD_BYTES, SHARD_SAMPLES = 64 << 20, 400
+
+
+def _image_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as samples of one image (the bytes of the text) with a caption, a dataset for each source."""
+    docs = table(spark, sf, "documents").withColumn("sample_id", F.col("doc_id"))
+    image = F.struct(F.coalesce("text", F.lit("")).cast("binary").alias("bytes"), F.lit("jpeg").alias("format"), F.lit(1).alias("width"), F.lit(1).alias("height"))
+    samples = as_samples(docs.withColumn("image", image), "", "image_text", text=F.col("lang"), images=F.array("image"), data=F.create_map(F.lit("source"), F.col("source")))
+    return samples.withColumn("dataset_id", F.concat(F.lit("d_"), F.col("data")["source"]))
+
+
+@query(
+    "arrow_shards_written",
+    "SELECT 'd_' || source AS dataset_id, doc_id AS sample_id, md5(coalesce(text, '')) AS image, lang AS caption FROM documents",
+)
+def arrow_shards_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples through the Arrow sink and back through the reader of Arrow datasets."""
+    folder = scratch_folder(spark, "arrow")
+    shards.ArrowSink()(_image_samples(spark, sf), folder, target_shard_bytes=SHARD_BYTES, include_caption=True)
+    rows = files.read_arrow_dataset(spark, folder, "dataset_id string, sample_id bigint, image struct<bytes:binary,path:string>, caption string")
+    return rows.select("dataset_id", "sample_id", F.md5("image.bytes").alias("image"), "caption")
+
+
+@query(
+    "tar_shards_written",
+    f"""WITH s AS (SELECT *, printf('d_%s__%08d', source, doc_id) AS key, row_number() OVER (ORDER BY 'd_' || source, doc_id) - 1 AS n FROM documents),
+    m AS (SELECT n, 0 AS k, key || '.jpg' AS path, coalesce(text, '') AS body FROM s UNION ALL SELECT n, 1, key || '.txt', lang FROM s)
+    SELECT printf('part-%06d.tar', n // {SHARD_SAMPLES}) AS archive, n % {SHARD_SAMPLES} * 2 + k AS ord, path, md5(body) AS digest, strlen(body)::BIGINT AS n_bytes FROM m""",
+)
+def tar_shards_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples through the tar sink, SHARD_SAMPLES a file over all datasets, and back by their places."""
+    folder = scratch_folder(spark, "tars")
+    shards.TarSink()(_image_samples(spark, sf), folder, maxcount=SHARD_SAMPLES)
+    return _digests(archives.with_payloads(archives.list_members(spark, f"{folder}/*.tar")))
