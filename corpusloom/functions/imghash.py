@@ -62,6 +62,27 @@ def _compared(table: pa.Table, below: int) -> pa.Table:
     return pa.table({"key": keys[found], "n": count[found], "distance": least[found], "nearest": nearest[found]})
 
 
+def _dealt(named: DataFrame) -> DataFrame:
+    """The rows of ``named`` (label, key, bits) without nulls, each with its block (``own``) of the ``blocks`` of its label."""
+    sound = named.filter("label IS NOT NULL AND key IS NOT NULL AND bits IS NOT NULL")
+    blocks = sound.groupBy("label").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    return sound.join(blocks, "label").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+
+
+def near_pairs(rows: DataFrame, label: str, key: str, bits: str, below: int) -> DataFrame:
+    """Pairs (a, b, distance) of a label's rows, a < b, whose strings of at most 63 bits differ at fewer than ``below`` places.
+
+    All pairs of a label are compared, in tasks of one block by one block, however large the label, and every near one is returned.
+    """
+    dealt = _dealt(rows.select(F.col(label).alias("label"), F.col(key).alias("key"), _packed(F.col(bits)).alias("bits")))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    x = dealt.select("label", F.col("key").alias("a"), F.col("bits").alias("x"), F.col("own").alias("i"), other.alias("j"))
+    y = dealt.select("label", F.col("key").alias("b"), F.col("bits").alias("y"), F.col("own").alias("j"), other.alias("i"))
+    met = x.hint("shuffle_hash").join(y, ["label", "i", "j"]).filter("a < b")
+    distance = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))).cast("long")
+    return met.select("a", "b", distance.alias("distance")).filter(F.col("distance") < below)
+
+
 def near_counts(rows: DataFrame, label: str, key: str, bits: str, below: int) -> DataFrame:
     """For each row its key, how many other rows of its label differ at fewer than ``below`` places (of at most 63), the least distance, and the first key at it.
 
@@ -70,9 +91,7 @@ def near_counts(rows: DataFrame, label: str, key: str, bits: str, below: int) ->
     """
     ship(rows.sparkSession)
     named = rows.select(F.col(label).alias("label"), F.col(key).cast("long").alias("key"), _packed(F.col(bits)).alias("bits"))
-    sound = named.filter("label IS NOT NULL AND key IS NOT NULL AND bits IS NOT NULL")
-    blocks = sound.groupBy("label").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    dealt = sound.join(blocks, "label").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = _dealt(named)
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("label", "key", "bits", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     parts = met.groupBy("label", "i", "j").applyInArrow(lambda t: _compared(t, below), "key long, n long, distance long, nearest long")

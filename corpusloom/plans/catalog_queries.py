@@ -112,12 +112,24 @@ def phash_bits(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "hamming_pairs",
+    f"""WITH b AS (SELECT * FROM ({_DIFF_SQL}))
+    SELECT x.vec_id AS a, y.vec_id AS b, hamming(x.bits, y.bits)::BIGINT AS distance
+    FROM b x JOIN b y ON x.label = y.label AND x.vec_id < y.vec_id WHERE hamming(x.bits, y.bits) < 20""",
+)
+def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference compares the frames of one video; here those of a label, all of them."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", imghash.difference_bits(F.col("embedding")).alias("bits"))
+    return imghash.near_pairs(rows, "label", "vec_id", "bits", 20)
+
+
+@query(
+    "hamming_nearest",
     f"""WITH b AS (SELECT * FROM ({_DIFF_SQL})),
     p AS (SELECT x.vec_id, y.vec_id AS other, hamming(x.bits, y.bits)::BIGINT AS distance FROM b x JOIN b y ON x.label = y.label AND x.vec_id <> y.vec_id WHERE hamming(x.bits, y.bits) < 20)
     SELECT b.vec_id, count(other) AS n_near, min(distance) AS distance, arg_min(other, distance * 1000000000 + other) AS nearest FROM b LEFT JOIN p USING (vec_id) GROUP BY 1""",
 )
-def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """The reference compares the frames of one video; here those of a label, all of them: how many are near to each, and the nearest."""
+def hamming_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the pairs of ``hamming_pairs``, how many each row has, and its nearest row."""
     rows = table(spark, sf, "embeddings").select("vec_id", "label", imghash.difference_bits(F.col("embedding")).alias("bits"))
     return imghash.near_counts(rows, "label", "vec_id", "bits", 20).withColumnRenamed("key", "vec_id")
 

@@ -45,6 +45,7 @@ def test_hamming_pairs_takes_every_vector(spark, tmp_path, monkeypatch):
     apart = lambda a, b: sum(x != y for x, y in zip(bits[a], bits[b], strict=True))
     want = [(a, b, apart(a, b)) for b in range(1, 300) for a in range(1, b) if a % 3 == b % 3 and apart(a, b) < 20]
     assert any(a >= 120 for a, _, _ in want)
+    assert sorted(map(tuple, catalog.queries()["hamming_pairs"](spark, str(tmp_path)).collect())) == sorted(want)
     near = {k: sorted([(d, b) for a, b, d in want if a == k] + [(d, a) for a, b, d in want if b == k]) for k in range(300)}
-    got = {r["vec_id"]: (r["n_near"], r["distance"], r["nearest"]) for r in catalog.queries()["hamming_pairs"](spark, str(tmp_path)).collect()}
+    got = {r["vec_id"]: (r["n_near"], r["distance"], r["nearest"]) for r in catalog.queries()["hamming_nearest"](spark, str(tmp_path)).collect()}
     assert got == {k: ((len(n), *n[0]) if n else (0, None, None)) for k, n in near.items()}
