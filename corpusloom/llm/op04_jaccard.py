@@ -12,7 +12,9 @@ shortened, node by node, as long as the node above holds no more than ``SPARSE``
 that the target needs, and elsewhere pairs meet under shorter prefixes, which few others share, well above the target.
 
 Candidates are verified inside trie nodes, never beyond them.  Nodes of different tries with the same
-classes are one.  The classes of a node are dealt into blocks of bounded size, and two blocks meet in a task:
+classes are one.  The classes of a node are dealt into blocks of bounded size, and two blocks meet in a task.
+They meet without their shingles first: a class goes on only with a partner there whose size can reach the threshold and
+whose key it shares in no earlier trie, so that sets are sent for pairs that are to be counted, and for no others.  Then
 intersections of shingle sets are counted by matrix products there, and a pair counts in the first trie that
 shares its prefix only, so that each is counted once.  The task returns for each class its number of links and
 one edge to its part of the block, never the pairs.  Verified edges alone are closed to groups.
@@ -207,6 +209,50 @@ def trie_nodes(found: DataFrame) -> DataFrame:
     return checkpoint(first.select("key", F.col("tree").alias("first"), blocks.alias("blocks")))
 
 
+def _unmet(keys: np.ndarray, left: np.ndarray, right: np.ndarray, tree: int) -> np.ndarray:
+    """For each class of ``left`` and of ``right`` whether they share no key in a trie before ``tree``."""
+    out = np.ones((len(left), len(right)), bool)
+    for earlier in range(tree):
+        out &= keys[left, earlier][:, None] != keys[right, earlier][None, :]
+    if left is right:
+        np.fill_diagonal(out, False)
+    return out
+
+
+def _partnered(threshold: float) -> Callable[[pa.Table], pa.Table]:
+    """The rows of two blocks (or one) with a partner that can reach the threshold by size and is met in no earlier trie."""
+    ratio = Fraction(threshold).limit_denominator(10_000)
+
+    def run(table: pa.Table) -> pa.Table:
+        low, high = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        block, sizes = table.column("block").to_numpy(), table.column("n").to_numpy()
+        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, TREES)
+        left = np.flatnonzero(block == low)
+        right = left if low == high else np.flatnonzero(block == high)
+        # At most the smaller set is shared, so the larger one is at most so many times as large.
+        least = np.minimum(sizes[left][:, None], sizes[right][None, :])
+        most = np.maximum(sizes[left][:, None], sizes[right][None, :])
+        pairs = _unmet(keys, left, right, table.column("first")[0].as_py()) & (least * ratio.denominator >= most * ratio.numerator)
+        needed = np.zeros(table.num_rows, bool)
+        needed[left[pairs.any(axis=1)]] = True
+        needed[right[pairs.any(axis=0)]] = True
+        out = table.drop_columns(["n"]).filter(pa.array(needed))
+        at = out.column_names.index("keys")
+        return out.set_column(at, "keys", out.column("keys").cast(pa.list_(pa.int64())))
+
+    return run
+
+
+def partnered(members: DataFrame, threshold: float) -> DataFrame:
+    """node, key, first, keys, block and blocks that meet (i, j) for each class of ``members`` that verification needs there."""
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    met = members.select("node", "n", "key", "first", "keys", "block", other)
+    met = met.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    shape = "node binary, key long, first int, keys array<long>, block int, i int, j int"
+    return checkpoint(met.groupBy("key", "i", "j").applyInArrow(_partnered(threshold), shape))
+
+
 def _intersections(rows: np.ndarray, shingles: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For each class of ``left`` and of ``right`` the number of shingles they share.
 
@@ -267,10 +313,8 @@ def _verifier(threshold: float) -> Callable[[pa.Table], pa.Table]:
             shared = _intersections(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), left, right)
             p, q = ratio.numerator, ratio.denominator
             linked = shared * (p + q) >= p * (sizes[left][:, None] + sizes[right][None, :])
-            for earlier in range(tree):
-                linked &= keys[left, earlier][:, None] != keys[right, earlier][None, :]
+            linked &= _unmet(keys, left, right, tree)
             if left is right:
-                np.fill_diagonal(linked, False)
                 links[left] = linked @ copies[left]
             else:
                 links[left] = linked @ copies[right]
@@ -325,15 +369,15 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     release(spark)
     shared = trie_nodes(found)
     # A node of a later trie with the same classes shares its key with none that was kept.
-    members = found.join(shared, "key").select("node", "key", "first", "blocks")
-    members = checkpoint(with_keys(members, found).select("node", "keys", "key", "first", "blocks"))
+    members = found.join(shared, "key").select("node", "n", "key", "first", "blocks")
+    members = checkpoint(with_keys(members, found).select("node", "n", "keys", "key", "first", "blocks"))
+    del found, shared
+    release(spark)
+    members = partnered(members, threshold)
     release(spark)
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     classes = checkpoint(members.select("node").distinct().join(nodes.select("node", "m", "cls"), "node"))
     sets = _sets_of(rows, classes.select("node", "cls")).join(classes.select("node", "m"), "node")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    paired = members.join(sets, "node").select("key", "first", "keys", "node", "m", "shingles", "block", other)
-    paired = paired.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    paired = members.join(sets, "node").select("key", "first", "keys", "node", "m", "shingles", "block", "i", "j")
     verified = paired.groupBy("key", "i", "j").applyInArrow(_verifier(threshold), "node binary, links long, top binary")
     verified = checkpoint(verified)
     release(spark)

@@ -76,3 +76,35 @@ def test_recall_against_all_pairs(spark):
     queries = [k for k, _ in rows if k % 50 == 0]
     assert sum(got[k] for k in queries) >= 0.99 * sum(true[k] for k in queries) > 0
     assert all(got[k] <= true[k] for k, _ in rows)
+
+
+@pytest.mark.parametrize("block", [256, 5])
+def test_sets_are_sent_for_pairs_to_be_counted_only(spark, monkeypatch, block):
+    """Of nodes that hold classes of many sizes, in several tries, each pair that can be linked keeps its first node, and nothing else goes on."""
+    monkeypatch.setattr(op04_jaccard, "BLOCK_CLASSES", block)
+    rng = random.Random(3)
+    n = {b"%04d" % k: rng.choice((50, 60, 90, 140, 1000 + 900 * k)) for k in range(90)}
+    found, together = [], defaultdict(list)
+    for tree in range(4):
+        for node in n:
+            if rng.random() < 0.7:
+                key = tree * 100 + rng.randrange(6)
+                found.append((node, n[node], tree, key))
+                together[key].append(node)
+    found = spark.createDataFrame(found, "node binary, n long, tree int, key long")
+    shared = op04_jaccard.trie_nodes(found)
+    members = op04_jaccard.with_keys(found.join(shared, "key").select("node", "n", "key", "first", "blocks"), found)
+    got = {(r["key"], r["i"], r["j"], bytes(r["node"])): r["block"] for r in op04_jaccard.partnered(members, 0.8).collect()}
+    first, want = {}, set()
+    for key in sorted(together):
+        for a in together[key]:
+            for b in together[key]:
+                if a < b and 5 * min(n[a], n[b]) >= 4 * max(n[a], n[b]):
+                    first.setdefault((a, b), key)
+    at = {(key, node): b for (key, _, _, node), b in got.items()}
+    for (a, b), key in first.items():
+        i, j = sorted((at[key, a], at[key, b]))
+        want |= {(key, i, j, a), (key, i, j, b)}
+    assert set(got) == want
+    assert len(want) < sum(map(len, together.values())) or block == 5
+    assert block == 256 or max(j for _, _, j, _ in want) > 0
